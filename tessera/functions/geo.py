@@ -51,12 +51,23 @@ _CELL_OFFSET = 1 << 20
 MIN_CELL = 2.0 / (1 << 19)  # smallest cell edge the 21-bit packing allows
 
 
-def cell_key(x: Column, y: Column, z: Column, h: float, dx: int = 0, dy: int = 0, dz: int = 0) -> Column:
-    """Packed id of the cube cell (edge ``h``) holding (x, y, z), shifted by (dx, dy, dz)."""
-    def idx(v: Column, d: int) -> Column:
-        return F.floor(v / F.lit(h)).cast("long") + F.lit(_CELL_OFFSET + d)
+def _pack_sql(ix: str, iy: str, iz: str) -> str:
+    o = _CELL_OFFSET
+    return f"(({ix}) + {o}) * {1 << 42} + (({iy}) + {o}) * {1 << 21} + (({iz}) + {o})"
 
-    return idx(x, dx) * F.lit(1 << 42) + idx(y, dy) * F.lit(1 << 21) + idx(z, dz)
+
+def cell_key(x: str, y: str, z: str, h: float) -> Column:
+    """Packed id of the cube cell (edge ``h``) holding the unit vector in
+    columns x, y, z (built as one SQL expression: one call to the JVM)."""
+    return F.expr(_pack_sql(*[f"CAST(floor(`{c}` / {h!r}) AS BIGINT)" for c in (x, y, z)]))
+
+
+def neighbour_cell_keys(x: str, y: str, z: str, h: float) -> Column:
+    """Array of the 27 packed ids of the 3x3x3 block of cubes around the cube
+    holding (x, y, z)."""
+    ix, iy, iz = [f"CAST(floor(`{c}` / {h!r}) AS BIGINT)" for c in (x, y, z)]
+    body = _pack_sql(f"{ix} + (i div 9) - 1", f"{iy} + ((i div 3) % 3) - 1", f"{iz} + (i % 3) - 1")
+    return F.expr(f"transform(sequence(0, 26), i -> {body})")
 
 
 def ring_edges(ring: Column) -> Column:

@@ -36,11 +36,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from tessera.functions.geo import MIN_CELL, cell_key, chord, sphere_distance_m, unit_vector
+from tessera.functions.geo import MIN_CELL, cell_key, chord, neighbour_cell_keys, sphere_distance_m, unit_vector
 from tessera.session import bounded_broadcast, checkpoint_dir
 
 _EPS = 1e-9  # chord slack on the unit sphere (~6 mm on Earth)
-_OFFSETS = [(dx, dy, dz) for dx in (-1, 0, 1) for dy in (-1, 0, 1) for dz in (-1, 0, 1)]
 
 
 def _points(points: DataFrame, point_id: str, lon: str, lat: str) -> DataFrame:
@@ -51,23 +50,32 @@ def _points(points: DataFrame, point_id: str, lon: str, lat: str) -> DataFrame:
     return p.withColumns({"_px": x, "_py": y, "_pz": z})
 
 
-def _sites(sites: DataFrame, site_key: str, lon: str, lat: str) -> DataFrame:
+def _sites(sites: DataFrame, site_key: str, lon: str, lat: str, payload: list[str]) -> DataFrame:
+    """Sites reduced to one per location (smallest key, with its attributes)."""
     s = (
         sites.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull() & F.col(site_key).isNotNull())
         .groupBy(F.col(lon).alias("_slon"), F.col(lat).alias("_slat"))
-        .agg(F.min(site_key).alias("_sk"))
+        .agg(F.min(F.struct(F.col(site_key).alias("_sk"), *[F.col(c) for c in payload])).alias("_kp"))
+        .select("_slon", "_slat", "_kp.*")
     )
     x, y, z = unit_vector("_slon", "_slat")
     return s.withColumns({"_sx": x, "_sy": y, "_sz": z})
 
 
-def _candidate(s: Column) -> Column:
-    """(distance, key, lon, lat) of one candidate; struct order = tie-break order."""
+def _entry(payload: list[str]) -> Column:
+    """What a candidate list holds per site."""
+    return F.struct("_sk", "_slon", "_slat", *payload)
+
+
+def _candidate(s: Column, payload: list[str]) -> Column:
+    """(distance, key, lon, lat, attributes...) of one candidate; the struct
+    order is the tie-break order (distance, then smallest key)."""
     return F.struct(
         sphere_distance_m("_plon", "_plat", s["_slon"], s["_slat"]).alias("d"),
         s["_sk"].alias("k"),
         s["_slon"].alias("lon"),
         s["_slat"].alias("lat"),
+        *[s[c].alias(c) for c in payload],
     )
 
 
@@ -76,11 +84,10 @@ def _within(best: Column, h: float) -> Column:
     return chord(F.col("_px"), F.col("_py"), F.col("_pz"), bx, by, bz) <= F.lit(h - _EPS)
 
 
-def _neighbour_rows(s: DataFrame, h: float) -> DataFrame:
+def _neighbour_rows(s: DataFrame, h: float, payload: list[str]) -> DataFrame:
     """Each site once per cube in the 3x3x3 block around its own cube."""
-    x, y, z = F.col("_sx"), F.col("_sy"), F.col("_sz")
-    keys = F.array(*[cell_key(x, y, z, h, dx, dy, dz) for dx, dy, dz in _OFFSETS])
-    return s.select(F.explode(keys).alias("_cell"), "_sk", "_slon", "_slat")
+    keys = neighbour_cell_keys("_sx", "_sy", "_sz", h)
+    return s.select(F.explode(keys).alias("_cell"), "_sk", "_slon", "_slat", *payload)
 
 
 def _levels(n: int, extent: float, levels: int) -> list[float]:
@@ -115,13 +122,16 @@ def nearest_site(
     site_key: str = "site_key",
     site_lon: str = "site_lon",
     site_lat: str = "site_lat",
+    site_cols: list[str] | None = None,
     form: str = "array",
     levels: int = 3,
     max_broadcast_sites: int = 10_000,
     distance_col: str = "distance_m",
 ) -> DataFrame:
-    """(point_id, site_key, distance_m) of the nearest site for every point.
+    """(point_id, site_key, distance_m, *site_cols) of the nearest site for every point.
 
+    ``site_cols`` are site attributes carried along with each candidate, so
+    no join back to the site table is needed.
     Points or sites with a NULL coordinate are ignored; with no sites the
     result is empty (as a cross join with an empty side would be).
     ``form="array"`` picks the best candidate with ``array_min`` in the
@@ -130,41 +140,49 @@ def nearest_site(
     """
     if form not in ("array", "window"):
         raise ValueError("form must be 'array' or 'window'")
+    payload = list(site_cols or [])
     pts = _points(points, point_id, lon, lat)
-    s = _sites(sites, site_key, site_lon, site_lat)
+    s = _sites(sites, site_key, site_lon, site_lat, payload)
     n, extent = _site_stats(s)
     key_type = sites.schema[site_key].dataType
     if n == 0:
         return pts.select(
-            point_id, F.lit(None).cast(key_type).alias(site_key), F.lit(None).cast("double").alias(distance_col)
+            point_id,
+            F.lit(None).cast(key_type).alias(site_key),
+            F.lit(None).cast("double").alias(distance_col),
+            *[F.lit(None).cast(sites.schema[c].dataType).alias(c) for c in payload],
         ).limit(0)
     hs = _levels(n, extent, levels)
     if n <= max_broadcast_sites:
-        best = _nearest_broadcast(pts, s, hs, form)
+        best = _nearest_broadcast(pts, s, hs, form, payload)
     else:
-        best = _nearest_shuffled(pts, s, _levels(n, extent, 64), point_id)
+        best = _nearest_shuffled(pts, s, _levels(n, extent, 64), point_id, payload)
     return best.select(
         F.col(point_id),
         F.col("_best.k").cast(key_type).alias(site_key),
         F.col("_best.d").alias(distance_col),
+        *[F.col(f"_best.{c}").alias(c) for c in payload],
     )
 
 
-def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str) -> DataFrame:
+def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str, payload: list[str]) -> DataFrame:
+    def cand(e):
+        return _candidate(e, payload)
+
     cur = pts
     for r, h in enumerate(hs):
         table = (
-            _neighbour_rows(s, h)
+            _neighbour_rows(s, h, payload)
             .groupBy(F.col("_cell").alias(f"_c{r}"))
-            .agg(F.collect_list(F.struct("_sk", "_slon", "_slat")).alias(f"_cands{r}"))
+            .agg(F.collect_list(_entry(payload)).alias(f"_cands{r}"))
         )
-        key = cell_key(F.col("_px"), F.col("_py"), F.col("_pz"), h)
+        key = cell_key("_px", "_py", "_pz", h)
         if r > 0:
             key = F.when(F.col("_best").isNull(), key)
         cur = cur.withColumn(f"_k{r}", key).join(
             F.broadcast(table), F.col(f"_k{r}") == F.col(f"_c{r}"), "left"
         )
-        cur = cur.withColumn(f"_b{r}", F.array_min(F.transform(f"_cands{r}", _candidate)))
+        cur = cur.withColumn(f"_b{r}", F.array_min(F.transform(f"_cands{r}", cand)))
         hit = F.when(_within(F.col(f"_b{r}"), h), F.col(f"_b{r}"))
         cols = {"_best": hit if r == 0 else F.coalesce(F.col("_best"), hit)}
         if form == "window":
@@ -174,22 +192,24 @@ def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str)
     # Whatever the levels left open is resolved against every site.  The
     # site list is a single row whose size was checked against the bound;
     # resolved points join it with a NULL key and carry nothing.
-    every = s.agg(F.collect_list(F.struct("_sk", "_slon", "_slat")).alias("_all")).withColumn(
+    every = s.agg(F.collect_list(_entry(payload)).alias("_all")).withColumn(
         "_ak", F.lit(0)
     )
     open_key = F.when(F.col("_best").isNull(), F.lit(0)) if hs else F.lit(0)
     cur = cur.withColumn("_ak", open_key).join(F.broadcast(every), "_ak", "left")
     if form == "array":
-        brute = F.array_min(F.transform("_all", _candidate))
+        brute = F.array_min(F.transform("_all", cand))
         return cur.withColumn("_best", F.coalesce(F.col("_best"), brute) if hs else brute)
     todo = F.coalesce(F.col("_list"), F.col("_all")) if hs else F.col("_all")
-    cand = cur.select(*pts.columns, F.explode(todo).alias("_s")).withColumn("_best", _candidate(F.col("_s")))
+    exploded = cur.select(*pts.columns, F.explode(todo).alias("_s")).withColumn("_best", cand(F.col("_s")))
     pid = pts.columns[0]
     w = Window.partitionBy(pid).orderBy(F.col("_best.d"), F.col("_best.k"))
-    return cand.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    return exploded.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
 
 
-def _nearest_shuffled(pts: DataFrame, s: DataFrame, hs: list[float], point_id: str) -> DataFrame:
+def _nearest_shuffled(
+    pts: DataFrame, s: DataFrame, hs: list[float], point_id: str, payload: list[str]
+) -> DataFrame:
     """Level-by-level search with shuffled joins; every level is checkpointed
     (reliable, in the session's checkpoint folder) so no level recomputes the
     previous ones and a lost executor only repeats the current level."""
@@ -202,10 +222,10 @@ def _nearest_shuffled(pts: DataFrame, s: DataFrame, hs: list[float], point_id: s
     for h in hs:
         last = h >= 2.0
         pairs = pending.withColumn(
-            "_cell", cell_key(F.col("_px"), F.col("_py"), F.col("_pz"), h)
-        ).join(_neighbour_rows(s, h), "_cell")
+            "_cell", cell_key("_px", "_py", "_pz", h)
+        ).join(_neighbour_rows(s, h, payload), "_cell")
         best = pairs.groupBy(point_id, "_px", "_py", "_pz", "_plon", "_plat").agg(
-            F.min(_candidate(F.struct("_sk", "_slon", "_slat"))).alias("_best")
+            F.min(_candidate(_entry(payload), payload)).alias("_best")
         )
         if not last:
             best = best.filter(_within(F.col("_best"), h))

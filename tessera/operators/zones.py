@@ -3,8 +3,8 @@
 Point-in-polygon join at scale, with no nested-loop join:
 
 1. Each zone gets a bounding box and a grid level: level ``l`` uses square
-   cells of ``res * 2**l`` degrees and is the finest at which the zone's box
-   spans at most ``cells_per_axis`` cells per axis.  A zone therefore covers a
+   cells of ``2**l`` degrees (one global dyadic grid) and is the finest at
+   which the zone's box spans at most ``cells_per_axis`` cells per axis.  A zone therefore covers a
    bounded number of cells whatever its size, and nothing is capped: large
    zones just sit on coarser levels.
 2. Zone cells are exploded to rows ``(level, cx, cy, zone)``.  Each point
@@ -13,8 +13,9 @@ Point-in-polygon join at scale, with no nested-loop join:
 3. Candidates are cut by the box, then decided exactly by the even-odd rule
    over the zone's edges (boundary points excluded).
 
-The cell table and the edge table are broadcast when their row counts are
-proven within bounds, otherwise shuffled on their keys (AQE splits hot cells).
+The cell table and the edge table are broadcast when their exact row counts
+(from one aggregate over the zones) are within bounds, otherwise shuffled on
+their keys (AQE splits hot cells).
 """
 
 from __future__ import annotations
@@ -23,7 +24,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import edges_bbox, geojson_edges, polygon_contains
-from tessera.session import bounded_broadcast
 
 
 def zones_from_geojson(
@@ -33,10 +33,12 @@ def zones_from_geojson(
     edges_col: str = "edges",
 ) -> DataFrame:
     """Add ``edges`` (array of ``struct<ax,ay,bx,by>``) parsed from a GeoJSON
-    Polygon/MultiPolygon; features of other types or unparseable geometry get
-    NULL edges and should be filtered by the caller."""
-    edges = geojson_edges(F.col(geom_type_col), F.col(coordinates_col))
-    return features.withColumn(edges_col, F.when(F.size(edges) > 0, edges))
+    Polygon/MultiPolygon; other types or unparseable geometry give NULL
+    edges.  A zone with NULL or no edges contains no point.
+
+    No filter is put on ``edges`` here: Catalyst pushes filters below the
+    projection and would inline the whole parse into the condition."""
+    return features.withColumn(edges_col, geojson_edges(F.col(geom_type_col), F.col(coordinates_col)))
 
 
 def with_bbox(zones: DataFrame, edges_col: str = "edges") -> DataFrame:
@@ -44,14 +46,29 @@ def with_bbox(zones: DataFrame, edges_col: str = "edges") -> DataFrame:
     return zones.withColumns({"min_x": minx, "min_y": miny, "max_x": maxx, "max_y": maxy})
 
 
-def _base_resolution(boxes: DataFrame) -> float:
-    """Median zone extent in degrees (one aggregate row to the driver)."""
-    row = boxes.agg(
-        F.percentile_approx(F.greatest(F.col("_w"), F.col("_h")), 0.5).alias("m"),
-        F.max(F.greatest(F.col("_w"), F.col("_h"))).alias("mx"),
-    ).collect()[0]
-    m = row["m"] or row["mx"] or 1.0
-    return float(m) if m > 0 else 1e-6
+def _zone_levels(zones: DataFrame, zone_id: str, edges_col: str, cells_per_axis: int) -> DataFrame:
+    """Zones with box and grid level on a global dyadic grid: level ``l``
+    has square cells of ``2**l`` degrees, and a zone takes the finest level
+    at which its box spans at most ``cells_per_axis`` cells per axis."""
+    z = with_bbox(zones.select(zone_id, edges_col), edges_col)
+    extent = F.greatest(F.col("max_x") - F.col("min_x"), F.col("max_y") - F.col("min_y"))
+    level = F.coalesce(F.ceil(F.log2(extent / F.lit(float(cells_per_axis)))), F.lit(_MIN_LEVEL))
+    level = F.least(F.lit(_MAX_LEVEL), F.greatest(F.lit(_MIN_LEVEL), level))
+    # A zone without edges has no box and gets no level, hence no cells.
+    z = z.withColumn("_lvl", F.when(extent.isNotNull(), level).cast("int"))
+    size = F.pow(F.lit(2.0), F.col("_lvl"))
+    return z.withColumns(
+        {
+            "_x0": F.floor(F.col("min_x") / size),
+            "_x1": F.floor(F.col("max_x") / size),
+            "_y0": F.floor(F.col("min_y") / size),
+            "_y1": F.floor(F.col("max_y") / size),
+        }
+    )
+
+
+# Cell edge between 2**-30 degrees (~0.1 mm) and 2**8 degrees (whole globe).
+_MIN_LEVEL, _MAX_LEVEL = -30, 8
 
 
 def points_in_zones(
@@ -61,7 +78,6 @@ def points_in_zones(
     lon: str = "lon",
     lat: str = "lat",
     edges_col: str = "edges",
-    res: float | None = None,
     cells_per_axis: int = 4,
     max_broadcast_rows: int = 2_000_000,
 ) -> DataFrame:
@@ -71,59 +87,48 @@ def points_in_zones(
     per zone; a point in no zone does not appear (inner semantics).  Points
     with a NULL coordinate are ignored.
     """
-    z = with_bbox(zones.filter(F.col(edges_col).isNotNull()).select(zone_id, edges_col), edges_col)
-    z = z.withColumns({"_w": F.col("max_x") - F.col("min_x"), "_h": F.col("max_y") - F.col("min_y")})
-    base = res if res is not None else _base_resolution(z)
-    k = float(cells_per_axis)
-    extent = F.greatest(F.col("_w"), F.col("_h"))
-    level = F.greatest(F.lit(0), F.ceil(F.log2(extent / F.lit(base * k)))).cast("int")
-    z = z.withColumn("_lvl", F.coalesce(level, F.lit(0)))
-    size = F.lit(base) * F.pow(F.lit(2.0), F.col("_lvl"))
+    z = _zone_levels(zones, zone_id, edges_col, cells_per_axis)
+    # One small aggregate decides the plan: the levels in use (a few small
+    # integers), and the exact row counts of the cell and edge tables.
+    ncells = (F.col("_x1") - F.col("_x0") + 1) * (F.col("_y1") - F.col("_y0") + 1)
+    info = z.agg(
+        F.collect_set("_lvl").alias("levels"),
+        F.coalesce(F.sum(ncells), F.lit(0)).alias("cells"),
+        F.count(F.lit(1)).alias("zones"),
+    ).collect()[0]
+    used = sorted(info["levels"])
+    if not used:
+        return points.limit(0).withColumn(zone_id, F.lit(None).cast(zones.schema[zone_id].dataType))
+
     cells = z.select(
-        zone_id,
-        "_lvl",
-        "min_x",
-        "min_y",
-        "max_x",
-        "max_y",
-        F.explode(F.sequence(F.floor(F.col("min_x") / size), F.floor(F.col("max_x") / size))).alias("_cx"),
-        F.floor(F.col("min_y") / size).alias("_y0"),
-        F.floor(F.col("max_y") / size).alias("_y1"),
+        zone_id, "_lvl", "min_x", "min_y", "max_x", "max_y",
+        F.explode(F.sequence("_x0", "_x1")).alias("_cx"), "_y0", "_y1",
     ).select(
         zone_id, "_lvl", "min_x", "min_y", "max_x", "max_y", "_cx",
         F.explode(F.sequence("_y0", "_y1")).alias("_cy"),
     )
-    # Levels in use: at most a few dozen small integers.
-    used = sorted(r["_lvl"] for r in z.select("_lvl").distinct().collect())
-    if not used:
-        return points.limit(0).withColumn(zone_id, F.lit(None).cast(zones.schema[zone_id].dataType))
 
     p = points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
-    keys = F.array(
-        *[
-            F.struct(
-                F.lit(l).alias("_lvl"),
-                F.floor(F.col(lon) / F.lit(base * 2.0**l)).alias("_cx"),
-                F.floor(F.col(lat) / F.lit(base * 2.0**l)).alias("_cy"),
-            )
-            for l in used
-        ]
-    )
-    probe = p.withColumn("_key", F.explode(keys) if len(used) > 1 else keys[0]).select(
-        "*", "_key._lvl", "_key._cx", "_key._cy"
-    ).drop("_key")
-
-    cell_side, _ = bounded_broadcast(cells, max_broadcast_rows)
+    keys = [
+        F.struct(
+            F.lit(l).alias("_lvl"),
+            F.floor(F.col(lon) / F.lit(2.0**l)).alias("_cx"),
+            F.floor(F.col(lat) / F.lit(2.0**l)).alias("_cy"),
+        )
+        for l in used
+    ]
+    key = F.explode(F.array(*keys)) if len(keys) > 1 else keys[0]
+    probe = p.withColumn("_key", key).select("*", "_key._lvl", "_key._cx", "_key._cy").drop("_key")
+
+    cell_side = F.broadcast(cells) if info["cells"] <= max_broadcast_rows else cells
     cand = probe.join(cell_side, ["_lvl", "_cx", "_cy"]).filter(
         (F.col(lon) > F.col("min_x"))
         & (F.col(lon) < F.col("max_x"))
         & (F.col(lat) > F.col("min_y"))
         & (F.col(lat) < F.col("max_y"))
     )
-    edge_side, _ = bounded_broadcast(
-        zones.filter(F.col(edges_col).isNotNull()).select(F.col(zone_id).alias("_zid"), F.col(edges_col).alias("_edges")),
-        max_broadcast_rows,
-    )
+    edges = zones.select(F.col(zone_id).alias("_zid"), F.col(edges_col).alias("_edges"))
+    edge_side = F.broadcast(edges) if info["zones"] <= max_broadcast_rows else edges
     hits = cand.join(edge_side, F.col(zone_id) == F.col("_zid")).filter(
         polygon_contains("_edges", lon, lat)
     )

@@ -18,7 +18,7 @@ from tessera.functions.parse import parse_currency, parse_timestamp_any
 from tessera.functions.stats import round_sig
 from tessera.operators.bands import band_counts, band_counts_udf
 from tessera.operators.codes import code_frequency, explode_codes, parse_code_dictionary
-from tessera.operators.nearest import attach_site_columns, nearest_site, nearest_site_summary
+from tessera.operators.nearest import nearest_site, nearest_site_summary
 from tessera.operators.stats import (
     area_rates,
     correlation,
@@ -30,6 +30,7 @@ from tessera.operators.stats import (
 from tessera.operators.topn import topn_share, topn_share_sql
 from tessera.operators.zones import points_in_zones, with_bbox, zones_from_geojson
 from tessera.plans import derived
+from tessera.session import checkpoint_dir
 from tessera.sources.geojson import feature_schema
 from tessera.sources.tables import read_table
 from tessera.sources.text import text_lines
@@ -157,8 +158,7 @@ def _nearest(spark, base, form: str) -> DataFrame:
     # Points at (0, 0) are treated as missing, as in the record files.
     pts = pts.filter((F.col("lat") != 0.0) | (F.col("lon") != 0.0))
     sites = derived.supplier_sites(_t(spark, base, "supplier"))
-    near = nearest_site(pts, sites, "event_id", form=form)
-    return attach_site_columns(near, sites, "site_key", ["site_name"])
+    return nearest_site(pts, sites, "event_id", site_cols=["site_name"], form=form)
 
 
 def _nearest_out(df: DataFrame) -> DataFrame:
@@ -200,7 +200,13 @@ def q_currency_parse(spark, base):
 
 
 def _zones(spark, base) -> DataFrame:
-    """Nation zones: GeoJSON Feature text parsed with the reader's schema."""
+    """Nation zones: GeoJSON Feature text parsed with the reader's schema.
+
+    The zone table is a small dimension; it is materialised once with a
+    reliable checkpoint (in the session's checkpoint folder) so that the
+    render-and-parse expressions are not re-planned and inlined into every
+    filter Catalyst pushes down through them."""
+    checkpoint_dir(spark)
     g = derived.nation_zone_geojson(_t(spark, base, "nation"))
     f = g.select(F.from_json("geojson", feature_schema({"zone_id": "int", "name": "string"})).alias("f"))
     feats = f.select(
@@ -209,7 +215,7 @@ def _zones(spark, base) -> DataFrame:
         F.col("f.geometry.type").alias("geom_type"),
         F.col("f.geometry.coordinates").alias("coordinates"),
     )
-    return zones_from_geojson(feats)
+    return zones_from_geojson(feats).checkpoint(eager=True)
 
 
 def q_zones_from_geojson(spark, base):
@@ -239,10 +245,9 @@ def q_points_in_zones(spark, base):
     return counts.join(z.select("zone_id", "zone_name"), "zone_id").select("zone_id", "zone_name", "cnt")
 
 
-def _blocks(spark, base) -> DataFrame:
+def _blocks(spark, base, z: DataFrame) -> DataFrame:
     """Zones with their area, zip and population; invalid ones dropped before
     any spatial work."""
-    z = _zones(spark, base)
     cust = derived.nation_customers(_t(spark, base, "customer"))
     b = z.join(cust, z["zone_id"] == cust["nationkey"], "left").select(
         "zone_id",
@@ -256,7 +261,6 @@ def _blocks(spark, base) -> DataFrame:
         & F.col("zip_code").isNotNull()
         & F.col("population").isNotNull()
         & (F.col("population") > 0)
-        & F.col("edges").isNotNull()
     )
 
 
@@ -267,21 +271,18 @@ def _income(spark, base) -> DataFrame:
     )
 
 
-def _demo(spark, base) -> DataFrame:
-    return weighted_mean_by_area(_blocks(spark, base), _income(spark, base))
-
-
 def q_zone_weighted_mean(spark, base):
-    d = _demo(spark, base)
+    d = weighted_mean_by_area(_blocks(spark, base, _zones(spark, base)), _income(spark, base))
     return d.select("area", "population", round_sig("income").alias("income"))
 
 
 def _rates(spark, base) -> DataFrame:
-    blocks = _blocks(spark, base)
+    blocks = _blocks(spark, base, _zones(spark, base))
     hits = points_in_zones(_event_points(spark, base, EVENT_YEAR_WINDOW), blocks, "zone_id")
     area_of = blocks.select("zone_id", "area")
     counts = hits.join(area_of, "zone_id").groupBy("area").agg(F.count(F.lit(1)).alias("events"))
-    return area_rates(_demo(spark, base), counts, count_col="events", years=RATE_YEARS)
+    demo = weighted_mean_by_area(blocks, _income(spark, base))
+    return area_rates(demo, counts, count_col="events", years=RATE_YEARS)
 
 
 def _rates_out(df: DataFrame) -> DataFrame:
