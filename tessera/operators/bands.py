@@ -5,11 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions import bands as _bands_module
 from tessera.functions.bands import AGE_BANDS, Band, band_expr, band_labels_pandas
 
+# Executors need not have this package installed: the band helper the UDF
+# calls is shipped inside the pickled UDF itself.
+cloudpickle.register_pickle_by_value(_bands_module)
+
 
 def _filtered(df: DataFrame, value_col: str, text_col: str | None, contains: str | None) -> DataFrame:
     cond = F.col(value_col).isNotNull() & (F.col(value_col) > 0)

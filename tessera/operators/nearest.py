@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from tessera.functions.geo import MIN_CELL, cell_key, chord, neighbour_cell_keys, sphere_distance_m, unit_vector
+from tessera.functions.geo import MIN_CELL, cell_key, neighbour_cell_keys, sphere_distance_m, unit_vector
 from tessera.session import bounded_broadcast, checkpoint_dir
 
 _EPS = 1e-9  # chord slack on the unit sphere (~6 mm on Earth)
@@ -62,16 +62,28 @@ def _sites(sites: DataFrame, site_key: str, lon: str, lat: str, payload: list[st
     return s.withColumns({"_sx": x, "_sy": y, "_sz": z})
 
 
+_SITE_FIELDS = ("_sk", "_slon", "_slat", "_sx", "_sy", "_sz")
+
+
 def _entry(payload: list[str]) -> Column:
-    """What a candidate list holds per site."""
-    return F.struct("_sk", "_slon", "_slat", *payload)
+    """What a candidate list holds per site: key, lon/lat, unit vector, attributes."""
+    return F.struct(*_SITE_FIELDS, *payload)
 
 
 def _candidate(s: Column, payload: list[str]) -> Column:
-    """(distance, key, lon, lat, attributes...) of one candidate; the struct
-    order is the tie-break order (distance, then smallest key)."""
+    """(squared chord, key, lon, lat, attributes...) of one candidate.
+
+    The squared chord between unit vectors orders sites exactly as the
+    great-circle distance does, with four multiply-adds and no trigonometry;
+    the struct order is the tie-break order (distance, then smallest key).
+    """
+    c2 = (
+        (F.col("_px") - s["_sx"]) * (F.col("_px") - s["_sx"])
+        + (F.col("_py") - s["_sy"]) * (F.col("_py") - s["_sy"])
+        + (F.col("_pz") - s["_sz"]) * (F.col("_pz") - s["_sz"])
+    )
     return F.struct(
-        sphere_distance_m("_plon", "_plat", s["_slon"], s["_slat"]).alias("d"),
+        c2.alias("c2"),
         s["_sk"].alias("k"),
         s["_slon"].alias("lon"),
         s["_slat"].alias("lat"),
@@ -80,20 +92,20 @@ def _candidate(s: Column, payload: list[str]) -> Column:
 
 
 def _within(best: Column, h: float) -> Column:
-    bx, by, bz = unit_vector(best["lon"], best["lat"])
-    return chord(F.col("_px"), F.col("_py"), F.col("_pz"), bx, by, bz) <= F.lit(h - _EPS)
+    return best["c2"] <= F.lit((h - _EPS) ** 2)
 
 
 def _neighbour_rows(s: DataFrame, h: float, payload: list[str]) -> DataFrame:
     """Each site once per cube in the 3x3x3 block around its own cube."""
     keys = neighbour_cell_keys("_sx", "_sy", "_sz", h)
-    return s.select(F.explode(keys).alias("_cell"), "_sk", "_slon", "_slat", *payload)
+    return s.select(F.explode(keys).alias("_cell"), *_SITE_FIELDS, *payload)
 
 
 def _levels(n: int, extent: float, levels: int) -> list[float]:
     if n <= 1 or extent <= 0:
         return []
-    h0 = min(max(2.0 * extent / math.sqrt(n), MIN_CELL), 2.0)
+    # About one site spacing for sites spread over a patch of that extent.
+    h0 = min(max(extent / math.sqrt(n), MIN_CELL), 2.0)
     out = []
     for r in range(levels):
         h = h0 * 8**r
@@ -160,7 +172,7 @@ def nearest_site(
     return best.select(
         F.col(point_id),
         F.col("_best.k").cast(key_type).alias(site_key),
-        F.col("_best.d").alias(distance_col),
+        sphere_distance_m("_plon", "_plat", F.col("_best.lon"), F.col("_best.lat")).alias(distance_col),
         *[F.col(f"_best.{c}").alias(c) for c in payload],
     )
 
@@ -203,7 +215,7 @@ def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str,
     todo = F.coalesce(F.col("_list"), F.col("_all")) if hs else F.col("_all")
     exploded = cur.select(*pts.columns, F.explode(todo).alias("_s")).withColumn("_best", cand(F.col("_s")))
     pid = pts.columns[0]
-    w = Window.partitionBy(pid).orderBy(F.col("_best.d"), F.col("_best.k"))
+    w = Window.partitionBy(pid).orderBy(F.col("_best.c2"), F.col("_best.k"))
     return exploded.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
 
 
@@ -229,7 +241,7 @@ def _nearest_shuffled(
         )
         if not last:
             best = best.filter(_within(F.col("_best"), h))
-        done = best.select(point_id, "_best").checkpoint()
+        done = best.select(point_id, "_plon", "_plat", "_best").checkpoint()
         parts.append(done)
         if last:
             break
