@@ -16,7 +16,8 @@ Two physical plans:
   candidate lists are broadcast and every point is resolved inside its own
   partition -- a chain of broadcast hash joins plus ``array_min`` over the
   candidates; no shuffle of points at all.  A point already resolved joins
-  with a NULL key, so it carries no further candidate lists.
+  with a NULL key, so it carries no further candidate lists.  The last
+  resort, the list of all sites, is a scalar subquery evaluated once.
 * more sites: candidate pairs are formed with shuffled equi-joins on the cube
   id (AQE splits hot cubes), the best per point is a shuffled ``min`` of a
   (distance, key) struct, and unresolved points go to the next, coarser level.
@@ -201,14 +202,11 @@ def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str,
             lst = F.when(_within(F.col(f"_b{r}"), h), F.col(f"_cands{r}"))
             cols["_list"] = lst if r == 0 else F.coalesce(F.col("_list"), lst)
         cur = cur.withColumns(cols).drop(f"_k{r}", f"_c{r}", f"_cands{r}", f"_b{r}")
-    # Whatever the levels left open is resolved against every site.  The
-    # site list is a single row whose size was checked against the bound;
-    # resolved points join it with a NULL key and carry nothing.
-    every = s.agg(F.collect_list(_entry(payload)).alias("_all")).withColumn(
-        "_ak", F.lit(0)
-    )
-    open_key = F.when(F.col("_best").isNull(), F.lit(0)) if hs else F.lit(0)
-    cur = cur.withColumn("_ak", open_key).join(F.broadcast(every), "_ak", "left")
+    # Whatever the levels left open is resolved against every site: the site
+    # list is a scalar subquery, evaluated once; its size was checked
+    # against the bound.  Resolved points never evaluate it.
+    every = s.agg(F.collect_list(_entry(payload))).scalar()
+    cur = cur.withColumn("_all", F.when(F.col("_best").isNull(), every) if hs else every)
     if form == "array":
         brute = F.array_min(F.transform("_all", cand))
         return cur.withColumn("_best", F.coalesce(F.col("_best"), brute) if hs else brute)
