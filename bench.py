@@ -6,7 +6,7 @@ rates and correlations) on ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1)
 with ``local[$BENCH_CPUS]`` and prints one JSON line.
 
 Each query is timed from building its plan (including any small planning
-jobs it runs) to having collected its full result on the driver.  The JVM
+jobs it runs) to having its full result on the driver as an Arrow table.  The JVM
 and Python workers are warmed up first; every query runs ``$BENCH_REPEAT``
 times (default 3) and the fastest run is reported.  ``value`` is the sum of
 the headline queries.  Set ``BENCH_ALL=1`` to also time every other
@@ -45,7 +45,7 @@ def _time(spark, name: str, base: str, repeat: int) -> float:
     best = float("inf")
     for _ in range(repeat):
         t0 = time.perf_counter()
-        QUERIES[name](spark, base).collect()
+        QUERIES[name](spark, base).toArrow()
         best = min(best, time.perf_counter() - t0)
     return best
 
