@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import NON_WS_CLASS, WS_CLASS
+from tessera.session import row_count_within
 
 # "code<blanks>description": the first word is the code, the rest the text.
 _STRICT = rf"(?s)^({NON_WS_CLASS}+){WS_CLASS}+(.*)$"
@@ -68,6 +69,7 @@ def code_frequency(
     code_col: str = "code",
     desc_col: str = "description",
     freq_col: str = "frequency",
+    max_broadcast_rows: int = 5_000_000,
 ) -> DataFrame:
     """Frequency of each code with its description, most frequent first.
 
@@ -83,7 +85,10 @@ def code_frequency(
     if join_hint is not None:
         if join_hint not in JOIN_HINTS:
             raise ValueError(f"join_hint must be one of {JOIN_HINTS}")
-        d = d.hint(join_hint)
+        # A broadcast is honoured only for a dictionary proven small enough;
+        # above the bound the planner chooses (a shuffled join).
+        if join_hint != "broadcast" or row_count_within(d, max_broadcast_rows) is not None:
+            d = d.hint(join_hint)
     joined = freq.join(d, on=code_col, how=how)
     return joined.select(
         F.col(code_col),

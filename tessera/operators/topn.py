@@ -25,25 +25,24 @@ def topn_share(
     deterministic.  ``as_text`` renders the share with two decimals
     (``format_number``, half-even); otherwise it is a double rounded half-up.
 
-    Plan: one aggregate (partial + final) by (group, category), then one
-    shuffle by group for the two window functions; the rank filter is applied
-    inside the window (group limit) before rows leave it.
+    Plan: one aggregate (partial + final) by (group, category).  Group
+    totals come from a second, tiny aggregate of those counts, not from an
+    unordered window, so no task ever holds all categories of a group: the
+    rank filter is pushed into the window as a group limit, applied before
+    the shuffle (each task keeps at most ``n`` rows per group) and again
+    after it.  The totals (one row per group) are joined back at the end.
     """
     measure = F.count(F.lit(1)) if weight_col is None else F.sum(weight_col)
     counts = df.groupBy(group_col, category_col).agg(measure.cast("long").alias(count_col))
-    per_group = Window.partitionBy(group_col)
+    totals = counts.groupBy(F.col(group_col).alias("_g")).agg(F.sum(count_col).alias("_total"))
     ranked = Window.partitionBy(group_col).orderBy(F.col(count_col).desc(), F.col(category_col))
+    top = counts.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n)
     pct = F.col(count_col) / F.col("_total") * 100
-    return (
-        counts.withColumn("_total", F.sum(count_col).over(per_group))
-        .withColumn("_rank", F.row_number().over(ranked))
-        .filter(F.col("_rank") <= n)
-        .select(
-            group_col,
-            category_col,
-            count_col,
-            (F.format_number(pct, 2) if as_text else F.round(pct, 2)).alias(share_col),
-        )
+    return top.join(totals, top[group_col].eqNullSafe(totals["_g"])).select(
+        group_col,
+        category_col,
+        count_col,
+        (F.format_number(pct, 2) if as_text else F.round(pct, 2)).alias(share_col),
     )
 
 
@@ -59,7 +58,7 @@ def topn_share_sql(
     view_prefix: str = "tessera",
 ) -> DataFrame:
     """The same analysis as one SQL statement with chained CTEs
-    (join -> group -> window) over two temporary views.
+    (join -> group -> totals and ranks -> join) over two temporary views.
 
     ``group_expr`` is a SQL expression over the records (e.g. ``year(ts)``).
     Output columns: group, category, cnt, share (double, half-up).
@@ -77,13 +76,16 @@ def topn_share_sql(
         grouped AS (
             SELECT grp, category, COUNT(*) AS cnt FROM joined GROUP BY grp, category
         ),
-        windowed AS (
+        totals AS (
+            SELECT grp, SUM(cnt) AS total FROM grouped GROUP BY grp
+        ),
+        ranked AS (
             SELECT grp, category, cnt,
-                   SUM(cnt) OVER (PARTITION BY grp) AS total,
                    ROW_NUMBER() OVER (PARTITION BY grp ORDER BY cnt DESC, category) AS rn
             FROM grouped
         )
-        SELECT grp, category, cnt, ROUND((cnt / total) * 100, 2) AS share
-        FROM windowed WHERE rn <= {int(n)}
+        SELECT r.grp, r.category, r.cnt, ROUND((r.cnt / t.total) * 100, 2) AS share
+        FROM ranked r JOIN totals t ON r.grp <=> t.grp
+        WHERE r.rn <= {int(n)}
         """
     )

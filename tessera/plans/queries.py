@@ -79,7 +79,7 @@ def _orders_with_nation(spark, base) -> DataFrame:
     return (
         _orders_by_customer_year(spark, base)
         .join(c, F.col("o_custkey") == F.col("c_custkey"))
-        .join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
+        .join(n, F.col("c_nationkey") == F.col("n_nationkey"))
         .select("year", F.col("n_name").alias("category"), "n")
     )
 
@@ -97,7 +97,7 @@ def q_topn_share_sql(spark, base):
     o = _t(spark, base, "orders").select("o_custkey", F.year("o_orderdate").alias("year"))
     c = _t(spark, base, "customer").select("c_custkey", "c_nationkey")
     n = _t(spark, base, "nation").select("n_nationkey", "n_name")
-    lookup = c.join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey")).select(
+    lookup = c.join(n, F.col("c_nationkey") == F.col("n_nationkey")).select(
         "c_custkey", F.col("n_name").alias("category")
     )
     out = topn_share_sql(spark, o, lookup, "o_custkey", "c_custkey", "r.year", "category", TOP_N, "tessera_q2")
