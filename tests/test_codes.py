@@ -55,3 +55,14 @@ def test_replicate_nl_hint_ignored_for_left_join(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
     assert rows(df) == [("a", "first", 2), ("b", "b", 1)]
+
+
+def test_hot_code_is_summed_before_the_shuffle(spark):
+    # One code holds far more than a third of all tokens.
+    recs = spark.createDataFrame([("0913 " * 50 + "1814",)] * 40 + [("2000",)], "m string")
+    d = parse_code_dictionary(_lines(spark, ["0913 Hot"]))
+    df = code_frequency(explode_codes(recs, "m"), d)
+    assert rows(df) == [("0913", "Hot", 2000), ("1814", "1814", 40), ("2000", "2000", 1)]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # partial aggregate sits below the exchange that groups by code
+    assert "partial_count" in plan

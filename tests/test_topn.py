@@ -37,3 +37,12 @@ def test_sql_form_inner_join_drops_unknown(spark):
     assert rows(out) == [(2020, "Hispanic", 2, 66.67), (2020, "White", 1, 33.33), (2021, "White", 1, 100.0)]
     df_form = recs.join(lookup, "code").select("year", F.col("full"))
     assert rows(topn_share(df_form, "year", "full")) == rows(out)
+
+
+def test_rank_uses_window_group_limit(spark):
+    data = [(1, f"c{i % 50}") for i in range(500)]
+    df = spark.createDataFrame(data, "year int, cat string")
+    out = topn_share(df, "year", "cat")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    assert sum(r["cnt"] for r in out.collect()) == 30
