@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import NON_WS_CLASS, WS_CLASS
-from tessera.session import row_count_within
+from tessera.session import row_count_within, spread
 
 # "code<blanks>description": the first word is the code, the rest the text.
 _STRICT = rf"(?s)^({NON_WS_CLASS}+){WS_CLASS}+(.*)$"
@@ -55,9 +55,8 @@ def parse_code_dictionary(
 def explode_codes(df: DataFrame, list_col: str, code_col: str = "code") -> DataFrame:
     """One row per code in a whitespace-separated list column (empty tokens dropped)."""
     # Explode first, then drop empty tokens: the filter stays in generated code.
-    tokens = df.filter(F.col(list_col).isNotNull() & (F.col(list_col) != "")).select(
-        F.explode(F.split(F.col(list_col), WS_CLASS + "+")).alias(code_col)
-    )
+    texts = spread(df.select(list_col).filter(F.col(list_col).isNotNull() & (F.col(list_col) != "")))
+    tokens = texts.select(F.explode(F.split(F.col(list_col), WS_CLASS + "+")).alias(code_col))
     return tokens.filter(F.col(code_col) != "")
 
 

@@ -38,7 +38,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from tessera.functions.geo import MIN_CELL, cell_key, neighbour_cell_keys, sphere_distance_m, unit_vector
-from tessera.session import bounded_broadcast, checkpoint_dir
+from tessera.session import bounded_broadcast, checkpoint_dir, spread
 
 _EPS = 1e-9  # chord slack on the unit sphere (~6 mm on Earth)
 
@@ -48,7 +48,7 @@ def _points(points: DataFrame, point_id: str, lon: str, lat: str) -> DataFrame:
         F.col(point_id), F.col(lon).alias("_plon"), F.col(lat).alias("_plat")
     )
     x, y, z = unit_vector("_plon", "_plat")
-    return p.withColumns({"_px": x, "_py": y, "_pz": z})
+    return spread(p).withColumns({"_px": x, "_py": y, "_pz": z})
 
 
 def _sites(sites: DataFrame, site_key: str, lon: str, lat: str, payload: list[str]) -> DataFrame:
@@ -117,6 +117,9 @@ def _levels(n: int, extent: float, levels: int) -> list[float]:
 
 
 def _site_stats(s: DataFrame) -> tuple[int, float]:
+    """Row count and largest axis extent of the site unit vectors: one
+    aggregate, one row to the driver.  Counted before duplicate locations
+    are merged, so the count bounds the number of distinct sites."""
     row = s.agg(
         F.count(F.lit(1)).alias("n"),
         F.greatest(
@@ -156,7 +159,9 @@ def nearest_site(
     payload = list(site_cols or [])
     pts = _points(points, point_id, lon, lat)
     s = _sites(sites, site_key, site_lon, site_lat, payload)
-    n, extent = _site_stats(s)
+    valid = sites.filter(F.col(site_lon).isNotNull() & F.col(site_lat).isNotNull() & F.col(site_key).isNotNull())
+    x, y, z = unit_vector(site_lon, site_lat)
+    n, extent = _site_stats(valid.select(x.alias("_sx"), y.alias("_sy"), z.alias("_sz")))
     key_type = sites.schema[site_key].dataType
     if n == 0:
         return pts.select(

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import edges_bbox, geojson_edges, polygon_contains
+from tessera.session import spread
 
 
 def zones_from_geojson(
@@ -108,7 +109,7 @@ def points_in_zones(
         F.explode(F.sequence("_y0", "_y1")).alias("_cy"),
     )
 
-    p = points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
+    p = spread(points.filter(F.col(lon).isNotNull() & F.col(lat).isNotNull()))
     keys = [
         F.struct(
             F.lit(l).alias("_lvl"),

@@ -88,3 +88,14 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
     if row_count_within(df, max_rows) is not None:
         return F.broadcast(df), True
     return df, False
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a CPU-heavy input over all cores when its scan gives fewer
+    partitions than the cluster has (e.g. a file with one row group, which
+    cannot be split).  A large input already has many partitions and is
+    returned untouched, so no shuffle is added at scale."""
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
