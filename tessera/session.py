@@ -95,6 +95,8 @@ def spread(df: DataFrame) -> DataFrame:
     partitions than the cluster has (e.g. a file with one row group, which
     cannot be split).  A large input already has many partitions and is
     returned untouched, so no shuffle is added at scale."""
+    if df.isStreaming:
+        return df
     want = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < want:
         return df.repartition(want)

@@ -77,6 +77,8 @@ def test_grid_join_equals_brute_force(spark):
     assert grid == brute and len(grid) > 100
     plan = points_in_zones(pts, z, "zid")._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in plan and "Cartesian" not in plan
+    # Same answer when the zone tables are too big to broadcast (shuffled joins).
+    assert rows(points_in_zones(pts, z, "zid", max_broadcast_rows=0), "pid", "zid") == brute
 
 
 def test_geojson_files(spark, tmp_path):
