@@ -102,11 +102,9 @@ def _neighbour_rows(s: DataFrame, h: float, payload: list[str]) -> DataFrame:
     return s.select(F.explode(keys).alias("_cell"), *_SITE_FIELDS, *payload)
 
 
-def _levels(n: int, extent: float, levels: int) -> list[float]:
-    if n <= 1 or extent <= 0:
-        return []
-    # About one site spacing for sites spread over a patch of that extent.
-    h0 = min(max(extent / math.sqrt(n), MIN_CELL), 2.0)
+def _levels(h0: float, levels: int) -> list[float]:
+    """Cube edges h0, 8*h0, 64*h0, ... (at most ``levels``), capped at 2 (the
+    unit sphere's diameter, where one level holds every site)."""
     out = []
     for r in range(levels):
         h = h0 * 8**r
@@ -116,6 +114,34 @@ def _levels(n: int, extent: float, levels: int) -> list[float]:
     return out
 
 
+_SCALES = 17  # candidate base edges h_ext / 2**j, j = 0..16
+
+
+def _base_cell(valid_xyz: DataFrame, n: int, extent: float, max_sites_per_cell: int) -> tuple[float, float] | None:
+    """(finest edge h0, typical edge h_ext), or None when all sites share one place.
+
+    ``h_ext`` is about one site spacing over the sites' extent.  ``h0`` is the
+    coarsest of h_ext / 2**j whose densest cube holds at most
+    ``max_sites_per_cell`` sites, so a city holding a third of all sites gets
+    small cubes instead of one huge candidate list.  All scales are measured
+    in one aggregate over the site table (one small row per scale)."""
+    if n <= 1 or extent <= 0:
+        return None
+    h_ext = min(max(extent / math.sqrt(n), MIN_CELL), 2.0)
+    scales = [max(h_ext / 2**j, MIN_CELL) for j in range(_SCALES)]
+    keyed = valid_xyz.select(
+        F.explode(
+            F.array(*[F.struct(F.lit(j).alias("j"), cell_key("_sx", "_sy", "_sz", h).alias("c")) for j, h in enumerate(scales)])
+        ).alias("k")
+    )
+    occupancy = keyed.groupBy("k.j", "k.c").count().groupBy("j").agg(F.max("count").alias("m")).collect()
+    densest = {r["j"]: r["m"] for r in occupancy}
+    for j, h in enumerate(scales):
+        if densest.get(j, 0) <= max_sites_per_cell:
+            return h, h_ext
+    return scales[-1], h_ext
+
+
 def _site_stats(s: DataFrame) -> tuple[int, float]:
     """Row count and largest axis extent of the site unit vectors: one
     aggregate, one row to the driver.  Counted before duplicate locations
@@ -141,7 +167,9 @@ def nearest_site(
     site_cols: list[str] | None = None,
     form: str = "array",
     levels: int = 3,
+    max_levels: int = 8,
     max_broadcast_sites: int = 10_000,
+    max_sites_per_cell: int = 32,
     distance_col: str = "distance_m",
 ) -> DataFrame:
     """(point_id, site_key, distance_m, *site_cols) of the nearest site for every point.
@@ -161,7 +189,8 @@ def nearest_site(
     s = _sites(sites, site_key, site_lon, site_lat, payload)
     valid = sites.filter(F.col(site_lon).isNotNull() & F.col(site_lat).isNotNull() & F.col(site_key).isNotNull())
     x, y, z = unit_vector(site_lon, site_lat)
-    n, extent = _site_stats(valid.select(x.alias("_sx"), y.alias("_sy"), z.alias("_sz")))
+    valid_xyz = valid.select(x.alias("_sx"), y.alias("_sy"), z.alias("_sz"))
+    n, extent = _site_stats(valid_xyz)
     key_type = sites.schema[site_key].dataType
     if n == 0:
         return pts.select(
@@ -170,11 +199,18 @@ def nearest_site(
             F.lit(None).cast("double").alias(distance_col),
             *[F.lit(None).cast(sites.schema[c].dataType).alias(c) for c in payload],
         ).limit(0)
-    hs = _levels(n, extent, levels)
+    cells = _base_cell(valid_xyz, n, extent, max_sites_per_cell)
+    if cells is None:
+        hs = []
+    else:
+        h0, h_ext = cells
+        # Enough 8x levels to reach 64x the typical edge from the finest one.
+        span = max(1, math.ceil(math.log(64 * h_ext / h0, 8)) + 1)
+        hs = _levels(h0, min(max(levels, span), max_levels))
     if n <= max_broadcast_sites:
         best = _nearest_broadcast(pts, s, hs, form, payload)
     else:
-        best = _nearest_shuffled(pts, s, _levels(n, extent, 64), point_id, payload)
+        best = _nearest_shuffled(pts, s, _levels(hs[0], 64) if hs else [], point_id, payload)
     return best.select(
         F.col(point_id),
         F.col("_best.k").cast(key_type).alias(site_key),
