@@ -137,14 +137,18 @@ def points_in_zones(
 
 
 def count_points_in_zones(
-    points: DataFrame, zones: DataFrame, zone_id: str, count_col: str = "cnt", **kw
+    points: DataFrame,
+    zones: DataFrame,
+    zone_id: str,
+    lon: str = "lon",
+    lat: str = "lat",
+    count_col: str = "cnt",
+    **options,
 ) -> DataFrame:
-    """Points per zone (zones with no point are absent)."""
-    return (
-        points_in_zones(points.select(kw.get("lon", "lon"), kw.get("lat", "lat")), zones, zone_id, **kw)
-        .groupBy(zone_id)
-        .agg(F.count(F.lit(1)).alias(count_col))
-    )
+    """Points per zone (zones with no point are absent); only the
+    coordinates of the points are read."""
+    hits = points_in_zones(points.select(lon, lat), zones, zone_id, lon=lon, lat=lat, **options)
+    return hits.groupBy(zone_id).agg(F.count(F.lit(1)).alias(count_col))
 
 
 __all__ = ["zones_from_geojson", "with_bbox", "points_in_zones", "count_points_in_zones"]

@@ -19,12 +19,18 @@ def build_session(
     master: str | None = None,
     shuffle_partitions: int | None = None,
     driver_memory: str | None = None,
+    executors: int | None = None,
+    executor_cores: int | None = None,
+    executor_memory: str | None = None,
     extra: dict[str, str] | None = None,
 ) -> SparkSession:
     """Session with adaptive execution (coalescing + skew-join splitting) on.
 
-    ``shuffle_partitions`` is a starting point only: AQE coalesces small
-    partitions and splits skewed ones at run time.
+    ``executors`` / ``executor_cores`` / ``executor_memory`` request executor
+    resources from a cluster manager; when given and ``shuffle_partitions`` is
+    not, the shuffle starts at 4 partitions per requested core.  Either way it
+    is a starting point only: AQE coalesces small partitions and splits skewed
+    ones at run time.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -38,6 +44,14 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if executors:
+        conf["spark.executor.instances"] = str(executors)
+    if executor_cores:
+        conf["spark.executor.cores"] = str(executor_cores)
+    if executor_memory:
+        conf["spark.executor.memory"] = executor_memory
+    if not shuffle_partitions and executors:
+        shuffle_partitions = executors * (executor_cores or 1) * 4
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     if driver_memory:
