@@ -68,13 +68,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Folder for reliable checkpoints.
 
     Uses ``spark.checkpoint.dir`` from the session (on a cluster this names a
-    shared folder).  Only when it is unset -- local tests -- a fresh scratch
-    folder is created and registered.
+    shared folder).  Only when it is unset in local mode (tests) is a fresh
+    scratch folder created and registered; on a cluster an unset folder is an
+    error, since a machine-local folder would not survive a lost executor.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster (e.g. on HDFS or S3)")
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
