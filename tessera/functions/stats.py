@@ -35,5 +35,9 @@ def round_sig(c: Column | str, digits: int = 9) -> Column:
     """
     v = _col(c)
     e = F.floor(F.log10(F.abs(v)))
-    scale = F.pow(F.lit(10.0), e)
-    return F.when(v == 0, F.lit(0.0)).otherwise(F.round(v / scale, digits - 1) * scale)
+    # Only exact powers of ten (10**k, k >= 0) are used, each step being one
+    # correctly rounded operation, so every engine gets the same bits.
+    scale = F.pow(F.lit(10.0), F.abs(e))
+    up = F.round(v / scale, digits - 1) * scale
+    down = F.round(v * scale, digits - 1) / scale
+    return F.when(v == 0, F.lit(0.0)).when(e >= 0, up).otherwise(down)

@@ -169,7 +169,12 @@ def sql_distance_m(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
 
 def sql_round_sig(x: str, digits: int = 9) -> str:
     e = f"floor(log10(abs({x})))"
-    return f"(CASE WHEN {x} = 0 THEN 0e0 ELSE round({x} / pow(10e0, {e}), {digits - 1}) * pow(10e0, {e}) END)"
+    s = f"pow(10e0, abs({e}))"
+    d = digits - 1
+    return (
+        f"(CASE WHEN {x} = 0 THEN 0e0 WHEN {e} >= 0 THEN round({x} / {s}, {d}) * {s} "
+        f"ELSE round({x} * {s}, {d}) / {s} END)"
+    )
 
 
 def sql_diamond_inside(px: str, py: str, cx: str, cy: str, a: str, b: str) -> str:

@@ -27,3 +27,22 @@ def test_weighted_mean_rates_and_subsets(spark):
     assert [r["area"] for r in top_areas(rates, "income", 1).collect()] == ["B"]
     c = subset_correlations(rates, "income", "annual_rate", "income", k=1).collect()[0]
     assert abs(c["corr_all"] + 1.0) < 1e-12 and c["corr_top"] is None and c["corr_bottom"] is None
+
+
+def test_round_sig_agrees_with_sql_twin(spark):
+    import random
+
+    import duckdb
+
+    from tessera.functions import round_sig
+    from tessera.plans.derived import sql_round_sig
+
+    rnd = random.Random(1)
+    vals = [0.0, -0.0, 1.0, 10.0, 0.1, 123456789.123, -9.99999999999e-7]
+    vals += [rnd.uniform(-1, 1) * 10 ** rnd.randint(-12, 12) for _ in range(3000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+    got = {r["i"]: r["r"] for r in df.select("i", round_sig("x").alias("r")).collect()}
+    con = duckdb.connect()
+    con.register("t", df.toPandas())
+    want = dict(con.sql(f"SELECT i, {sql_round_sig('x')} AS r FROM t").fetchall())
+    assert got == want
