@@ -167,6 +167,12 @@ def sql_distance_m(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
     )
 
 
+def sql_spark_round(x: str, digits: int) -> str:
+    """Spark's ROUND of a double: half-up on its shortest decimal text (so
+    1.005 -> 1.01), where a plain SQL round works on the binary value."""
+    return f"CAST(round(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18)), {digits}) AS DOUBLE)"
+
+
 def sql_round_sig(x: str, digits: int = 9) -> str:
     e = f"floor(log10(abs({x})))"
     s = f"pow(10e0, abs({e}))"

@@ -16,6 +16,7 @@ from tessera.plans.derived import (
     SQL_ZONE_FRAME,
     sql_distance_m,
     sql_round_sig,
+    sql_spark_round,
     sql_zone_contains,
 )
 
@@ -49,7 +50,7 @@ WITH g AS (
 SELECT year, category, cnt, {share_expr} AS share FROM w WHERE rn <= {Q.TOP_N}"""
 
 
-TOPN_SHARE = _topn("round((cnt / total) * 100, 2)")
+TOPN_SHARE = _topn(sql_spark_round("(cnt / total) * 100", 2))
 TOPN_SHARE_TEXT = _topn("printf('%.2f', (cnt / total) * 100)")
 
 _STRICT = rf"(?s)^({NON_WS_CLASS}+){WS_CLASS}+(.*)$"

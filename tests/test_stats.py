@@ -46,3 +46,21 @@ def test_round_sig_agrees_with_sql_twin(spark):
     con.register("t", df.toPandas())
     want = dict(con.sql(f"SELECT i, {sql_round_sig('x')} AS r FROM t").fetchall())
     assert got == want
+
+
+def test_spark_round_twin_on_decimal_ties(spark):
+    import random
+
+    import duckdb
+    from pyspark.sql import functions as F
+
+    from tessera.plans.derived import sql_spark_round
+
+    rnd = random.Random(3)
+    vals = [k / 1000 + 0.005 for k in range(0, 100000, 7)] + [rnd.uniform(0, 100) for _ in range(5000)]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(vals)], "i int, x double")
+    got = {r["i"]: r["r"] for r in df.select("i", F.round("x", 2).alias("r")).collect()}
+    con = duckdb.connect()
+    con.register("t", df.toPandas())
+    want = dict(con.sql(f"SELECT i, {sql_spark_round('x', 2)} FROM t").fetchall())
+    assert got == want
