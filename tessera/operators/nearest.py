@@ -34,7 +34,6 @@ import math
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql import Window
 
 from tessera.functions.geo import MIN_CELL, cell_key, neighbour_cell_keys, sphere_distance_m, unit_vector
