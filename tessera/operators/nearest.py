@@ -168,6 +168,7 @@ def nearest_site(
     levels: int = 3,
     max_levels: int = 8,
     max_broadcast_sites: int = 10_000,
+    max_broadcast_entries: int = 2_000_000,
     max_sites_per_cell: int = 32,
     distance_col: str = "distance_m",
 ) -> DataFrame:
@@ -175,6 +176,10 @@ def nearest_site(
 
     ``site_cols`` are site attributes carried along with each candidate, so
     no join back to the site table is needed.
+
+    The broadcast plan is used when the site count is within
+    ``max_broadcast_sites`` and its candidate lists (27 entries per site per
+    level) within ``max_broadcast_entries``; otherwise the shuffled plan.
     Points or sites with a NULL coordinate are ignored; with no sites the
     result is empty (as a cross join with an empty side would be).
     ``form="array"`` picks the best candidate with ``array_min`` in the
@@ -206,7 +211,8 @@ def nearest_site(
         # Enough 8x levels to reach 64x the typical edge from the finest one.
         span = max(1, math.ceil(math.log(64 * h_ext / h0, 8)) + 1)
         hs = _levels(h0, min(max(levels, span), max_levels))
-    if n <= max_broadcast_sites:
+    # The broadcast lists hold 27 entries per site per level (~60 bytes each).
+    if n <= max_broadcast_sites and 27 * n * max(len(hs), 1) <= max_broadcast_entries:
         best = _nearest_broadcast(pts, s, hs, form, payload)
     else:
         best = _nearest_shuffled(pts, s, _levels(hs[0], 64) if hs else [], point_id, payload)
