@@ -108,13 +108,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Spread a CPU-heavy input over all cores when its scan gives fewer
-    partitions than the cluster has (e.g. a file with one row group, which
-    cannot be split).  A large input already has many partitions and is
-    returned untouched, so no shuffle is added at scale."""
+    """Spread a CPU-heavy input over all cores when its scan cannot use them.
+
+    A parquet file with one row group is read by one task however it is
+    split, so split count alone can mislead: an input is spread when it has
+    fewer splits than cores, or when it comes from fewer files than cores
+    and has under four splits per core (a small input, cheap to shuffle).
+    A large input has many files and splits and is returned untouched, so no
+    shuffle is added at scale.
+    """
     if df.isStreaming:
         return df
     want = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    splits = df.rdd.getNumPartitions()
+    if splits < want or (splits < 4 * want and len(df.inputFiles()) < want):
         return df.repartition(want)
     return df
