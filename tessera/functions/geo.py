@@ -56,10 +56,15 @@ def _pack_sql(ix: str, iy: str, iz: str) -> str:
     return f"(({ix}) + {o}) * {1 << 42} + (({iy}) + {o}) * {1 << 21} + (({iz}) + {o})"
 
 
+def cell_key_sql(x: str, y: str, z: str, h: float) -> str:
+    """SQL text of :func:`cell_key`, for building larger expressions."""
+    return _pack_sql(*[f"CAST(floor(`{c}` / {h!r}) AS BIGINT)" for c in (x, y, z)])
+
+
 def cell_key(x: str, y: str, z: str, h: float) -> Column:
     """Packed id of the cube cell (edge ``h``) holding the unit vector in
     columns x, y, z (built as one SQL expression: one call to the JVM)."""
-    return F.expr(_pack_sql(*[f"CAST(floor(`{c}` / {h!r}) AS BIGINT)" for c in (x, y, z)]))
+    return F.expr(cell_key_sql(x, y, z, h))
 
 
 def neighbour_cell_keys(x: str, y: str, z: str, h: float) -> Column:

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tessera.functions.geo import MIN_CELL, cell_key, neighbour_cell_keys, sphere_distance_m, unit_vector
+from tessera.functions.geo import MIN_CELL, cell_key, cell_key_sql, neighbour_cell_keys, sphere_distance_m, unit_vector
 from tessera.session import bounded_broadcast, checkpoint_dir, spread
 
 _EPS = 1e-9  # chord slack on the unit sphere (~6 mm on Earth)
@@ -113,45 +113,48 @@ def _levels(h0: float, levels: int) -> list[float]:
     return out
 
 
-_SCALES = 17  # candidate base edges h_ext / 2**j, j = 0..16
+# Candidate finest cube edges: 2**-1 ... 2**-19 (MIN_CELL) on the unit sphere.
+_SCALES = [2.0**-j for j in range(1, 20)]
 
 
-def _base_cell(valid_xyz: DataFrame, n: int, extent: float, max_sites_per_cell: int) -> tuple[float, float] | None:
-    """(finest edge h0, typical edge h_ext), or None when all sites share one place.
+def _plan_cells(
+    valid_xyz: DataFrame, max_sites_per_cell: int, small: int
+) -> tuple[int, float, float | None]:
+    """(site count, typical edge h_ext, finest edge h0).
 
     ``h_ext`` is about one site spacing over the sites' extent.  ``h0`` is the
-    coarsest of h_ext / 2**j whose densest cube holds at most
+    largest candidate edge not above ``h_ext`` whose densest cube holds at most
     ``max_sites_per_cell`` sites, so a city holding a third of all sites gets
-    small cubes instead of one huge candidate list.  All scales are measured
-    in one aggregate over the site table (one small row per scale)."""
-    if n <= 1 or extent <= 0:
-        return None
-    h_ext = min(max(extent / math.sqrt(n), MIN_CELL), 2.0)
-    scales = [max(h_ext / 2**j, MIN_CELL) for j in range(_SCALES)]
-    keyed = valid_xyz.select(
-        F.explode(
-            F.array(*[F.struct(F.lit(j).alias("j"), cell_key("_sx", "_sy", "_sz", h).alias("c")) for j, h in enumerate(scales)])
-        ).alias("k")
-    )
-    occupancy = keyed.groupBy("k.j", "k.c").count().groupBy("j").agg(F.max("count").alias("m")).collect()
-    densest = {r["j"]: r["m"] for r in occupancy}
-    for j, h in enumerate(scales):
-        if densest.get(j, 0) <= max_sites_per_cell:
-            return h, h_ext
-    return scales[-1], h_ext
-
-
-def _site_stats(s: DataFrame) -> tuple[int, float]:
-    """Row count and largest axis extent of the site unit vectors: one
-    aggregate, one row to the driver.  Counted before duplicate locations
-    are merged, so the count bounds the number of distinct sites."""
-    row = s.agg(
+    small cubes instead of one huge candidate list.  The count is taken before
+    duplicate locations are merged, so it bounds the number of distinct sites.
+    ``h0`` is None when all sites share one place.
+
+    Two small jobs: count and extent (one map stage), then the densest cube
+    at every candidate edge -- in one task when there are at most ``small``
+    sites (bounded), else as a distributed aggregate.
+    """
+    row = valid_xyz.agg(
         F.count(F.lit(1)).alias("n"),
         F.greatest(
             F.max("_sx") - F.min("_sx"), F.max("_sy") - F.min("_sy"), F.max("_sz") - F.min("_sz")
         ).alias("ext"),
     ).collect()[0]
-    return int(row["n"]), float(row["ext"] or 0.0)
+    n, extent = int(row["n"]), float(row["ext"] or 0.0)
+    if n <= 1 or extent <= 0:
+        return n, 0.0, None
+    h_ext = min(max(extent / math.sqrt(n), MIN_CELL), 2.0)
+    scales = [h for h in _SCALES if h <= h_ext] or [_SCALES[-1]]
+    if n <= max_sites_per_cell:
+        return n, h_ext, scales[0]
+    src = valid_xyz.coalesce(1) if n <= small else valid_xyz
+    pairs = ", ".join(f"named_struct('j', {j}, 'c', {cell_key_sql('_sx', '_sy', '_sz', h)})" for j, h in enumerate(scales))
+    keyed = src.select(F.expr(f"explode(array({pairs}))").alias("k"))
+    densest = {
+        r["j"]: r["m"]
+        for r in keyed.groupBy("k.j", "k.c").count().groupBy("j").agg(F.max("count").alias("m")).collect()
+    }
+    fits = [h for j, h in enumerate(scales) if densest.get(j, 0) <= max_sites_per_cell]
+    return n, h_ext, (fits[0] if fits else scales[-1])
 
 
 def nearest_site(
@@ -194,7 +197,7 @@ def nearest_site(
     valid = sites.filter(F.col(site_lon).isNotNull() & F.col(site_lat).isNotNull() & F.col(site_key).isNotNull())
     x, y, z = unit_vector(site_lon, site_lat)
     valid_xyz = valid.select(x.alias("_sx"), y.alias("_sy"), z.alias("_sz"))
-    n, extent = _site_stats(valid_xyz)
+    n, h_ext, h0 = _plan_cells(valid_xyz, max_sites_per_cell, max_broadcast_sites)
     key_type = sites.schema[site_key].dataType
     if n == 0:
         return pts.select(
@@ -203,11 +206,9 @@ def nearest_site(
             F.lit(None).cast("double").alias(distance_col),
             *[F.lit(None).cast(sites.schema[c].dataType).alias(c) for c in payload],
         ).limit(0)
-    cells = _base_cell(valid_xyz, n, extent, max_sites_per_cell)
-    if cells is None:
+    if h0 is None:
         hs = []
     else:
-        h0, h_ext = cells
         # Enough 8x levels to reach 64x the typical edge from the finest one.
         span = max(1, math.ceil(math.log(64 * h_ext / h0, 8)) + 1)
         hs = _levels(h0, min(max(levels, span), max_levels))
