@@ -209,8 +209,8 @@ def nearest_site(
     if h0 is None:
         hs = []
     else:
-        # Enough 8x levels to reach 64x the typical edge from the finest one.
-        span = max(1, math.ceil(math.log(64 * h_ext / h0, 8)) + 1)
+        # Enough 8x levels to reach 32x the typical edge from the finest one.
+        span = 1 + max(0, math.ceil(math.log(32 * h_ext / h0, 8)))
         hs = _levels(h0, min(max(levels, span), max_levels))
     # The broadcast lists hold 27 entries per site per level (~60 bytes each).
     if n <= max_broadcast_sites and 27 * n * max(len(hs), 1) <= max_broadcast_entries:
