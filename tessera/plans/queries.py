@@ -199,7 +199,7 @@ def q_currency_parse(spark, base):
 # --- Q5: zones, rates and correlations ---------------------------------------
 
 
-def _zones(spark, base) -> DataFrame:
+def _zones(spark, base, materialise: bool = True) -> DataFrame:
     """Nation zones: GeoJSON Feature text parsed with the reader's schema.
 
     The zone table is a small dimension; it is materialised once with a
@@ -215,7 +215,8 @@ def _zones(spark, base) -> DataFrame:
         F.col("f.geometry.type").alias("geom_type"),
         F.col("f.geometry.coordinates").alias("coordinates"),
     )
-    return zones_from_geojson(feats).checkpoint(eager=True)
+    zones = zones_from_geojson(feats)
+    return zones.checkpoint(eager=True) if materialise else zones
 
 
 def q_zones_from_geojson(spark, base):
@@ -277,7 +278,9 @@ def q_zone_weighted_mean(spark, base):
 
 
 def _rates(spark, base) -> DataFrame:
-    blocks = _blocks(spark, base, _zones(spark, base))
+    # The finished block table (zones with population, filtered) is the
+    # dimension every later step reads: materialise it once.
+    blocks = _blocks(spark, base, _zones(spark, base, materialise=False)).checkpoint(eager=True)
     hits = points_in_zones(_event_points(spark, base, EVENT_YEAR_WINDOW), blocks, "zone_id")
     area_of = blocks.select("zone_id", "area")
     counts = hits.join(area_of, "zone_id").groupBy("area").agg(F.count(F.lit(1)).alias("events"))
