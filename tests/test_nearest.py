@@ -1,3 +1,4 @@
+import math
 import random
 
 import pytest
@@ -77,3 +78,17 @@ def test_array_plan_keeps_points_in_place(spark):
     # The only exchanges build the broadcast site tables; points never shuffle.
     summary = nearest_site_summary(near, ["site_key", "site_name"])
     assert summary.agg(F.sum("cnt")).collect()[0][0] == 101
+
+
+def test_whole_globe_poles_and_date_line(spark):
+    rnd = random.Random(21)
+    sites = [(k, f"S{k}", rnd.uniform(-180, 180), math.degrees(math.asin(rnd.uniform(-1, 1)))) for k in range(300)]
+    sites += [(1000, "north", 10.0, 89.9), (1001, "east", 179.95, 0.0), (1002, "west", -179.95, 0.5)]
+    pts = [(i, rnd.uniform(-180, 180), math.degrees(math.asin(rnd.uniform(-1, 1)))) for i in range(1500)]
+    pts += [(5000, -170.0, 89.95), (5001, -179.99, 0.1), (5002, 179.99, 0.4), (5003, 0.0, -90.0)]
+    p = spark.createDataFrame(pts, "pid long, lon double, lat double")
+    s = spark.createDataFrame(sites, "site_key long, site_name string, site_lon double, site_lat double")
+    got = nearest_site(p, s, "pid", site_cols=["site_name"])
+    _cmp(got, _brute(p, s))
+    near = {r["pid"]: r["site_key"] for r in got.filter("pid >= 5000").collect()}
+    assert near[5000] == 1000 and near[5001] == 1001 and near[5002] == 1002
