@@ -133,7 +133,8 @@ def station_summary(spark: SparkSession, data_dir: str, form: str = "array", pat
 
 
 def area_table(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
-    """(COMM, population, income_pc, crimes_2020_2021, annual_crime_rate) per community."""
+    """(COMM, population, income_pc, crimes_2020_2021, annual_crime_rate) per
+    community, richest first."""
     rec = records(spark, data_dir, paths)
     pts = (
         rec.filter(
@@ -175,7 +176,7 @@ def area_table(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
         F.col("income").alias("income_pc"),
         F.col("events").alias("crimes_2020_2021"),
         F.col("annual_rate").alias("annual_crime_rate"),
-    )
+    ).orderBy(F.col("income_pc").desc(), F.col("COMM"))
 
 
 def income_rate_correlations(spark: SparkSession, data_dir: str, k: int = 10, paths=None) -> DataFrame:
