@@ -135,6 +135,10 @@ def station_summary(spark: SparkSession, data_dir: str, form: str = "array", pat
 def area_table(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
     """(COMM, population, income_pc, crimes_2020_2021, annual_crime_rate) per
     community, richest first."""
+    return _areas(spark, data_dir, paths).orderBy(F.col("income_pc").desc(), F.col("COMM"))
+
+
+def _areas(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
     rec = records(spark, data_dir, paths)
     pts = (
         rec.filter(
@@ -176,19 +180,19 @@ def area_table(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
         F.col("income").alias("income_pc"),
         F.col("events").alias("crimes_2020_2021"),
         F.col("annual_rate").alias("annual_crime_rate"),
-    ).orderBy(F.col("income_pc").desc(), F.col("COMM"))
+    )
 
 
 def income_rate_correlations(spark: SparkSession, data_dir: str, k: int = 10, paths=None) -> DataFrame:
     """One row: correlation of income and crime rate over all communities,
     the k richest and the k poorest."""
-    t = area_table(spark, data_dir, paths)
+    t = _areas(spark, data_dir, paths)
     return subset_correlations(t, "income_pc", "annual_crime_rate", "income_pc", k, "COMM")
 
 
 def richest_areas(spark: SparkSession, data_dir: str, k: int = 10, paths=None) -> DataFrame:
-    return top_areas(area_table(spark, data_dir, paths), "income_pc", k, True, "COMM")
+    return top_areas(_areas(spark, data_dir, paths), "income_pc", k, True, "COMM")
 
 
 def poorest_areas(spark: SparkSession, data_dir: str, k: int = 10, paths=None) -> DataFrame:
-    return top_areas(area_table(spark, data_dir, paths), "income_pc", k, False, "COMM")
+    return top_areas(_areas(spark, data_dir, paths), "income_pc", k, False, "COMM")
