@@ -113,15 +113,26 @@ def mo_code_frequency(
 # Q4 -------------------------------------------------------------------------
 
 
-def station_summary(spark: SparkSession, data_dir: str, form: str = "array", paths=None) -> DataFrame:
+def station_summary(
+    spark: SparkSession, data_dir: str, form: str = "array", id_col: str | None = None, paths=None
+) -> DataFrame:
     """(DIVISION, average_distance_km, count): for each station, the records
     it is nearest to.  Records without coordinates or at (0, 0) are skipped,
-    as are stations without coordinates."""
+    as are stations without coordinates.
+
+    ``id_col`` names a unique record id column in the files (e.g. ``DR_NO``);
+    without one a generated id is used, which is stable only while the input
+    files and their splits stay the same (it matters for ``form="window"``).
+    """
+    columns = dict(RECORD_COLUMNS)
+    if id_col:
+        columns[id_col] = "string"
+    rec = read_csv_columns(spark, _path(data_dir, "records", paths), columns)
+    rid = F.col(id_col) if id_col else F.monotonically_increasing_id()
     pts = (
-        records(spark, data_dir, paths)
-        .filter(F.col("LAT").isNotNull() & F.col("LON").isNotNull())
+        rec.filter(F.col("LAT").isNotNull() & F.col("LON").isNotNull())
         .filter((F.col("LAT") != 0.0) | (F.col("LON") != 0.0))
-        .select(F.monotonically_increasing_id().alias("record_id"), F.col("LON").alias("lon"), F.col("LAT").alias("lat"))
+        .select(rid.alias("record_id"), F.col("LON").alias("lon"), F.col("LAT").alias("lat"))
     )
     stations = read_csv_columns(spark, _path(data_dir, "stations", paths), SITE_COLUMNS)
     near = nearest_site(pts, stations, "record_id", site_key="DIVISION", site_lon="X", site_lat="Y", form=form)
