@@ -46,3 +46,33 @@ def test_rank_uses_window_group_limit(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
     assert sum(r["cnt"] for r in out.collect()) == 30
+
+
+def test_matches_pandas_on_random_data(spark):
+    import random
+
+    import pandas as pd
+
+    rnd = random.Random(9)
+    data = [
+        (rnd.choice([2019, 2020, 2021, None]), rnd.choice(["a", "b", "c", "d", "e", None]))
+        for _ in range(3000)
+    ]
+    df = spark.createDataFrame(data, "year int, cat string")
+    pdf = pd.DataFrame(data, columns=["year", "cat"])
+    counts = pdf.groupby(["year", "cat"], dropna=False).size().reset_index(name="cnt")
+    totals = counts.groupby("year", dropna=False)["cnt"].sum().rename("total").reset_index()
+    counts = counts.merge(totals, on="year", how="left")
+    # rank: count desc, then category asc with NULL first (Spark's ascending order)
+    counts["cat_key"] = counts["cat"].fillna("")
+    counts["null_first"] = counts["cat"].notna()
+    for n in (1, 2, 3):
+        want = set()
+        for _, g in counts.groupby("year", dropna=False):
+            g = g.sort_values(["cnt", "null_first", "cat_key"], ascending=[False, True, True]).head(n)
+            for r in g.itertuples():
+                y = None if pd.isna(r.year) else int(r.year)
+                c = None if pd.isna(r.cat) else r.cat
+                want.add((y, c, int(r.cnt), round(r.cnt / r.total * 100, 2)))
+        got = {tuple(r) for r in topn_share(df, "year", "cat", n=n).collect()}
+        assert got == want
