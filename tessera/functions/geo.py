@@ -34,6 +34,15 @@ def sphere_distance_m(lon1, lat1, lon2, lat2) -> Column:
     return 2 * F.lit(EARTH_RADIUS_M) * F.asin(F.sqrt(F.least(F.lit(1.0), a)))
 
 
+def sphere_distance_sql(lon1: str, lat1: str, lon2: str, lat2: str) -> str:
+    """Spark SQL text of :func:`sphere_distance_m`, same operations in the
+    same order (so the same bits)."""
+    return (
+        f"2 * {EARTH_RADIUS_M!r}D * asin(sqrt(least(1.0D, pow(sin(radians({lat2} - {lat1}) / 2), 2) + "
+        f"cos(radians({lat1})) * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2))))"
+    )
+
+
 def unit_vector(lon, lat) -> tuple[Column, Column, Column]:
     """(x, y, z) of the point on the unit sphere."""
     lon, lat = _col(lon), _col(lat)

@@ -36,10 +36,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from tessera.functions.geo import MIN_CELL, cell_key, cell_key_sql, neighbour_cell_keys, sphere_distance_m, unit_vector
+from tessera.functions.geo import (
+    MIN_CELL,
+    cell_key,
+    cell_key_sql,
+    neighbour_cell_keys,
+    sphere_distance_m,
+    sphere_distance_sql,
+    unit_vector,
+)
 from tessera.session import bounded_broadcast, checkpoint_dir, spread
 
 _EPS = 1e-9  # chord slack on the unit sphere (~6 mm on Earth)
+_TIE = 1e-9  # relative squared-chord band re-ranked by exact distance
 
 
 def _points(points: DataFrame, point_id: str, lon: str, lat: str) -> DataFrame:
@@ -70,31 +79,62 @@ def _entry(payload: list[str]) -> Column:
     return F.struct(*_SITE_FIELDS, *payload)
 
 
-def _candidate(s: Column, payload: list[str]) -> Column:
-    """(squared chord, key, lon, lat, attributes...) of one candidate.
+def _exact(lon: Column, lat: Column, k: Column, extra: list[Column]) -> Column:
+    """(great-circle distance, key, lon, lat, attributes...): the final order."""
+    return F.struct(
+        sphere_distance_m("_plon", "_plat", lon, lat).alias("d"),
+        k.alias("k"),
+        lon.alias("lon"),
+        lat.alias("lat"),
+        *extra,
+    )
 
-    The squared chord between unit vectors orders sites exactly as the
-    great-circle distance does, with four multiply-adds and no trigonometry;
-    the struct order is the tie-break order (distance, then smallest key).
-    """
-    c2 = (
-        (F.col("_px") - s["_sx"]) * (F.col("_px") - s["_sx"])
-        + (F.col("_py") - s["_sy"]) * (F.col("_py") - s["_sy"])
-        + (F.col("_pz") - s["_sz"]) * (F.col("_pz") - s["_sz"])
+
+def _exact_of_entry(e: Column, payload: list[str]) -> Column:
+    return _exact(e["_slon"], e["_slat"], e["_sk"], [e[x].alias(x) for x in payload])
+
+
+def _c2_sql(e: str) -> str:
+    return (
+        f"((_px - {e}._sx) * (_px - {e}._sx) + (_py - {e}._sy) * (_py - {e}._sy)"
+        f" + (_pz - {e}._sz) * (_pz - {e}._sz))"
     )
-    return F.struct(
-        c2.alias("c2"),
-        s["_sk"].alias("k"),
-        s["_slon"].alias("lon"),
-        s["_slat"].alias("lat"),
-        *[s[c].alias(c) for c in payload],
+
+
+def _fields_sql(e: str, payload: list[str]) -> str:
+    extra = "".join(f", '{c}', {e}.`{c}`" for c in payload)
+    return f"'k', {e}._sk, 'lon', {e}._slon, 'lat', {e}._slat{extra}"
+
+
+def _pick_sql(arr: str, best: str, payload: list[str]) -> tuple[Column, Column]:
+    """(chord-best candidate, exact best) over the site entries in array
+    column ``arr``; the second expression reads the first from column ``best``.
+
+    The squared chord between unit vectors orders sites as the great-circle
+    distance does, with a few multiply-adds and no trigonometry.  The entries
+    within 1e-9 (relative) of the chord-best are then compared by great-circle
+    distance and key, so the answer is exactly "smallest distance, then
+    smallest key".  Built as SQL text: one call to the JVM per expression."""
+    chord_best = f"array_min(transform(`{arr}`, e -> named_struct('c2', {_c2_sql('e')}, {_fields_sql('e', payload)})))"
+    dist = sphere_distance_sql("_plon", "_plat", "e._slon", "e._slat")
+    exact = (
+        f"array_min(transform(filter(`{arr}`, e -> {_c2_sql('e')} <= `{best}`.c2 * {1.0 + _TIE!r}D),"
+        f" e -> named_struct('d', {dist}, {_fields_sql('e', payload)})))"
     )
+    return F.expr(chord_best), F.expr(exact)
 
 
 def _within(best: Column, h: float) -> Column:
     return best["c2"] <= F.lit((h - _EPS) ** 2)
 
 
+def _within_exact(best: Column, h: float) -> Column:
+    """Chord test for an exact (distance-ranked) best, from its coordinates."""
+    bx, by, bz = unit_vector(best["lon"], best["lat"])
+    c2 = (F.col("_px") - bx) ** 2 + (F.col("_py") - by) ** 2 + (F.col("_pz") - bz) ** 2
+    return c2 <= F.lit((h - _EPS) ** 2)
+
+
 def _neighbour_rows(s: DataFrame, h: float, payload: list[str]) -> DataFrame:
     """Each site once per cube in the 3x3x3 block around its own cube."""
     keys = neighbour_cell_keys("_sx", "_sy", "_sz", h)
@@ -220,15 +260,12 @@ def nearest_site(
     return best.select(
         F.col(point_id),
         F.col("_best.k").cast(key_type).alias(site_key),
-        sphere_distance_m("_plon", "_plat", F.col("_best.lon"), F.col("_best.lat")).alias(distance_col),
+        F.col("_best.d").alias(distance_col),
         *[F.col(f"_best.{c}").alias(c) for c in payload],
     )
 
 
 def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str, payload: list[str]) -> DataFrame:
-    def cand(e):
-        return _candidate(e, payload)
-
     cur = pts
     for r, h in enumerate(hs):
         table = (
@@ -242,25 +279,29 @@ def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str,
         cur = cur.withColumn(f"_k{r}", key).join(
             F.broadcast(table), F.col(f"_k{r}") == F.col(f"_c{r}"), "left"
         )
-        cur = cur.withColumn(f"_b{r}", F.array_min(F.transform(f"_cands{r}", cand)))
-        hit = F.when(_within(F.col(f"_b{r}"), h), F.col(f"_b{r}"))
+        b, t = _pick_sql(f"_cands{r}", f"_b{r}", payload)
+        cur = cur.withColumn(f"_b{r}", b).withColumn(f"_t{r}", t)
+        hit = F.when(_within(F.col(f"_b{r}"), h), F.col(f"_t{r}"))
         cols = {"_best": hit if r == 0 else F.coalesce(F.col("_best"), hit)}
         if form == "window":
             lst = F.when(_within(F.col(f"_b{r}"), h), F.col(f"_cands{r}"))
             cols["_list"] = lst if r == 0 else F.coalesce(F.col("_list"), lst)
-        cur = cur.withColumns(cols).drop(f"_k{r}", f"_c{r}", f"_cands{r}", f"_b{r}")
+        cur = cur.withColumns(cols).drop(f"_k{r}", f"_c{r}", f"_cands{r}", f"_b{r}", f"_t{r}")
     # Whatever the levels left open is resolved against every site: the site
     # list is a scalar subquery, evaluated once; its size was checked
     # against the bound.  Resolved points never evaluate it.
     every = s.agg(F.collect_list(_entry(payload))).scalar()
     cur = cur.withColumn("_all", F.when(F.col("_best").isNull(), every) if hs else every)
     if form == "array":
-        brute = F.array_min(F.transform("_all", cand))
+        b, brute = _pick_sql("_all", "_ab", payload)
+        cur = cur.withColumn("_ab", b)
         return cur.withColumn("_best", F.coalesce(F.col("_best"), brute) if hs else brute)
     todo = F.coalesce(F.col("_list"), F.col("_all")) if hs else F.col("_all")
-    exploded = cur.select(*pts.columns, F.explode(todo).alias("_s")).withColumn("_best", cand(F.col("_s")))
+    exploded = cur.select(*pts.columns, F.explode(todo).alias("_s")).withColumn(
+        "_best", _exact_of_entry(F.col("_s"), payload)
+    )
     pid = pts.columns[0]
-    w = Window.partitionBy(pid).orderBy(F.col("_best.c2"), F.col("_best.k"))
+    w = Window.partitionBy(pid).orderBy(F.col("_best.d"), F.col("_best.k"))
     return exploded.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
 
 
@@ -282,10 +323,10 @@ def _nearest_shuffled(
             "_cell", cell_key("_px", "_py", "_pz", h)
         ).join(_neighbour_rows(s, h, payload), "_cell")
         best = pairs.groupBy(point_id, "_px", "_py", "_pz", "_plon", "_plat").agg(
-            F.min(_candidate(_entry(payload), payload)).alias("_best")
+            F.min(_exact_of_entry(_entry(payload), payload)).alias("_best")
         )
         if not last:
-            best = best.filter(_within(F.col("_best"), h))
+            best = best.filter(_within_exact(F.col("_best"), h))
         done = best.select(point_id, "_plon", "_plat", "_best").checkpoint()
         parts.append(done)
         if last:

@@ -92,3 +92,21 @@ def test_whole_globe_poles_and_date_line(spark):
     _cmp(got, _brute(p, s))
     near = {r["pid"]: r["site_key"] for r in got.filter("pid >= 5000").collect()}
     assert near[5000] == 1000 and near[5001] == 1001 and near[5002] == 1002
+
+
+@pytest.mark.parametrize("bound", [10_000, 0])
+def test_exact_ties_go_to_the_smallest_key(spark, bound):
+    # Sites placed symmetrically around points: equal distances, so the
+    # smaller key must win whatever the float noise of the ranking.
+    sites, pts = [], []
+    k = 0
+    for i in range(30):
+        lon, lat = -118.0 + i * 0.01, 34.0 + (i % 5) * 0.01
+        for dx, dy in ((0.003, 0.0), (-0.003, 0.0), (0.0, 0.003), (0.0, -0.003)):
+            sites.append((1000 - k, f"S{k}", lon + dx, lat + dy))
+            k += 1
+        pts.append((i, lon, lat))
+    s = spark.createDataFrame(sites, "site_key long, site_name string, site_lon double, site_lat double")
+    p = spark.createDataFrame(pts, "pid long, lon double, lat double")
+    got = nearest_site(p, s, "pid", site_cols=["site_name"], max_broadcast_sites=bound)
+    _cmp(got, _brute(p, s))
