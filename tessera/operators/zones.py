@@ -13,9 +13,9 @@ Point-in-polygon join at scale, with no nested-loop join:
 3. Candidates are cut by the box, then decided exactly by the even-odd rule
    over the zone's edges (boundary points excluded).
 
-The cell table and the edge table are broadcast when their exact row counts
-(from one aggregate over the zones) are within bounds, otherwise shuffled on
-their keys (AQE splits hot cells).
+The cell table and the edge table are broadcast when their exact sizes (cell
+rows; zone rows and total edges -- from one aggregate over the zones) are
+within bounds, otherwise shuffled on their keys (AQE splits hot cells).
 """
 
 from __future__ import annotations
@@ -81,6 +81,7 @@ def points_in_zones(
     edges_col: str = "edges",
     cells_per_axis: int = 4,
     max_broadcast_rows: int = 2_000_000,
+    max_broadcast_edges: int = 5_000_000,
 ) -> DataFrame:
     """Every (point row, zone id) pair where the zone strictly contains the point.
 
@@ -90,12 +91,13 @@ def points_in_zones(
     """
     z = _zone_levels(zones, zone_id, edges_col, cells_per_axis)
     # One small aggregate decides the plan: the levels in use (a few small
-    # integers), and the exact row counts of the cell and edge tables.
+    # integers), and the exact sizes of the cell and edge tables.
     ncells = (F.col("_x1") - F.col("_x0") + 1) * (F.col("_y1") - F.col("_y0") + 1)
     info = z.agg(
         F.collect_set("_lvl").alias("levels"),
         F.coalesce(F.sum(ncells), F.lit(0)).alias("cells"),
         F.count(F.lit(1)).alias("zones"),
+        F.coalesce(F.sum(F.greatest(F.size(edges_col), F.lit(0))), F.lit(0)).alias("edges"),
     ).collect()[0]
     used = sorted(info["levels"])
     if not used:
@@ -129,7 +131,8 @@ def points_in_zones(
         & (F.col(lat) < F.col("max_y"))
     )
     edges = zones.select(F.col(zone_id).alias("_zid"), F.col(edges_col).alias("_edges"))
-    edge_side = F.broadcast(edges) if info["zones"] <= max_broadcast_rows else edges
+    small = info["zones"] <= max_broadcast_rows and info["edges"] <= max_broadcast_edges
+    edge_side = F.broadcast(edges) if small else edges
     hits = cand.join(edge_side, F.col(zone_id) == F.col("_zid")).filter(
         polygon_contains("_edges", lon, lat)
     )
