@@ -68,7 +68,7 @@ def code_frequency(
     code_col: str = "code",
     desc_col: str = "description",
     freq_col: str = "frequency",
-    max_broadcast_rows: int = 5_000_000,
+    max_broadcast_rows: int = 1_000_000,
 ) -> DataFrame:
     """Frequency of each code with its description, most frequent first.
 
