@@ -66,3 +66,20 @@ def test_hot_code_is_summed_before_the_shuffle(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # partial aggregate sits below the exchange that groups by code
     assert "partial_count" in plan
+
+
+def test_broadcast_hint_needs_a_small_dictionary(spark):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        codes = explode_codes(spark.createDataFrame([("a b a",)], "m string"), "m")
+        d = parse_code_dictionary(_lines(spark, ["a first", "b second"]))
+        ok = code_frequency(codes, d, join_hint="broadcast")
+        assert "BroadcastHashJoin" in ok._jdf.queryExecution().executedPlan().toString()
+        big = code_frequency(codes, d, join_hint="broadcast", max_broadcast_rows=1)
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+        assert rows(big) == rows(ok)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
