@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 LON0, LAT0 = -118.67, 33.70
 LON_SPAN, LAT_SPAN = 0.52, 0.64
 ZONE_W, ZONE_H = 0.104, 0.128  # nation zones: a 5 x 5 grid of such boxes
+# supplier zones: half-width 0.002 + 0.001 * (key mod 4) degrees, height 1.25x
+SITE_ZONE_W, SITE_ZONE_STEP, SITE_ZONE_ASPECT = 0.002, 0.001, 1.25
 
 
 def _scatter(expr: Column, modulus: int, origin: float, span: float) -> Column:
@@ -93,6 +95,48 @@ def nation_zone_geojson(nation: DataFrame) -> DataFrame:
     return nation.select("n_nationkey", "n_name", "n_regionkey", feature.alias("geojson"))
 
 
+def _feature_text(zone_id: Column, name: Column, geom_type: Column, coords_json: Column) -> Column:
+    return F.concat(
+        F.lit('{"type":"Feature","properties":'),
+        F.to_json(F.struct(zone_id.alias("zone_id"), name.alias("name"))),
+        F.lit(',"geometry":{"type":"'),
+        geom_type,
+        F.lit('","coordinates":'),
+        coords_json,
+        F.lit("}}"),
+    )
+
+
+def supplier_zone_geojson(supplier: DataFrame) -> DataFrame:
+    """supplier -> (s_suppkey, s_name, geojson): one zone per supplier, a
+    diamond around its site whose size steps with the key; keys with
+    remainder 1 mod 3 get a hole, remainder 2 a two-part MultiPolygon."""
+    k = F.col("s_suppkey")
+    cx = _scatter(k * 7919, 97, LON0, LON_SPAN)
+    cy = _scatter(k * 104729, 89, LAT0, LAT_SPAN)
+    a = F.lit(SITE_ZONE_W) + F.lit(SITE_ZONE_STEP) * (k % 4)
+    b = a * F.lit(SITE_ZONE_ASPECT)
+    kind = k % 3
+    outer = _diamond(cx, cy, a, b)
+    coords = (
+        F.when(kind == 1, F.to_json(F.array(outer, _diamond(cx, cy, a * 0.5, b * 0.5))))
+        .when(
+            kind == 2,
+            F.to_json(
+                F.array(
+                    F.array(_diamond(cx - a * 0.5, cy, a * 0.4, b * 0.4)),
+                    F.array(_diamond(cx + a * 0.5, cy, a * 0.4, b * 0.4)),
+                )
+            ),
+        )
+        .otherwise(F.to_json(F.array(outer)))
+    )
+    geom_type = F.when(kind == 2, "MultiPolygon").otherwise("Polygon")
+    return supplier.select(
+        "s_suppkey", "s_name", _feature_text(k, F.col("s_name"), geom_type, coords).alias("geojson")
+    )
+
+
 def nation_customers(customer: DataFrame) -> DataFrame:
     """Per nation: customer count and the mean balance in whole cents (floor)."""
     return customer.groupBy(F.col("c_nationkey").alias("nationkey")).agg(
@@ -154,6 +198,16 @@ SELECT n_nationkey, n_name, n_regionkey,
        {ZONE_W / 2}e0 AS a, {ZONE_H / 2}e0 AS b
 FROM nation"""
 
+SQL_SUPPLIER_ZONE_FRAME = f"""
+SELECT s_suppkey, s_name, s_suppkey % 3 AS kind, cx, cy, a, a * {SITE_ZONE_ASPECT}e0 AS b
+FROM (
+    SELECT s_suppkey, s_name,
+           {LON0}e0 + ((s_suppkey*7919) % 97)/97e0*{LON_SPAN}e0 AS cx,
+           {LAT0}e0 + ((s_suppkey*104729) % 89)/89e0*{LAT_SPAN}e0 AS cy,
+           {SITE_ZONE_W}e0 + {SITE_ZONE_STEP}e0 * (s_suppkey % 4) AS a
+    FROM supplier
+)"""
+
 SQL_NATION_CUSTOMERS = """
 SELECT c_nationkey AS nationkey, COUNT(*) AS n_customers,
        CAST(floor(SUM(CAST(round(c_acctbal*100) AS BIGINT)) / COUNT(*)) AS BIGINT) AS mean_cents

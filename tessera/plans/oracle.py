@@ -13,6 +13,7 @@ from tessera.plans.derived import (
     SQL_EVENT_POINTS,
     SQL_NATION_CUSTOMERS,
     SQL_SUPPLIER_SITES,
+    SQL_SUPPLIER_ZONE_FRAME,
     SQL_ZONE_FRAME,
     sql_distance_m,
     sql_round_sig,
@@ -126,14 +127,14 @@ CURRENCY_PARSE = """
 SELECT c_custkey, c_acctbal AS amount FROM customer WHERE c_acctbal >= 0"""
 
 ZONES_FROM_GEOJSON = f"""
-SELECT n_nationkey AS zone_id, n_name AS zone_name,
-       CASE WHEN n_regionkey = 2 THEN 'MultiPolygon' ELSE 'Polygon' END AS geom_type,
-       CAST(CASE WHEN n_regionkey IN (1, 2) THEN 8 ELSE 4 END AS INTEGER) AS n_edges,
-       round(CASE WHEN n_regionkey = 2 THEN (cx - a*0.5e0) - a*0.4e0 ELSE cx - a END, 6) AS min_x,
-       round(CASE WHEN n_regionkey = 2 THEN cy - b*0.4e0 ELSE cy - b END, 6) AS min_y,
-       round(CASE WHEN n_regionkey = 2 THEN (cx + a*0.5e0) + a*0.4e0 ELSE cx + a END, 6) AS max_x,
-       round(CASE WHEN n_regionkey = 2 THEN cy + b*0.4e0 ELSE cy + b END, 6) AS max_y
-FROM ({SQL_ZONE_FRAME})"""
+SELECT s_suppkey AS zone_id, s_name AS zone_name,
+       CASE WHEN kind = 2 THEN 'MultiPolygon' ELSE 'Polygon' END AS geom_type,
+       CAST(CASE WHEN kind IN (1, 2) THEN 8 ELSE 4 END AS INTEGER) AS n_edges,
+       round(CASE WHEN kind = 2 THEN (cx - a*0.5e0) - a*0.4e0 ELSE cx - a END, 6) AS min_x,
+       round(CASE WHEN kind = 2 THEN cy - b*0.4e0 ELSE cy - b END, 6) AS min_y,
+       round(CASE WHEN kind = 2 THEN (cx + a*0.5e0) + a*0.4e0 ELSE cx + a END, 6) AS max_x,
+       round(CASE WHEN kind = 2 THEN cy + b*0.4e0 ELSE cy + b END, 6) AS max_y
+FROM ({SQL_SUPPLIER_ZONE_FRAME})"""
 
 POINTS_IN_ZONES = f"""
 WITH p AS ({SQL_EVENT_POINTS}), z AS ({SQL_ZONE_FRAME})

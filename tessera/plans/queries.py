@@ -220,7 +220,16 @@ def _zones(spark, base, materialise: bool = True) -> DataFrame:
 
 
 def q_zones_from_geojson(spark, base):
-    z = with_bbox(_zones(spark, base))
+    """One GeoJSON feature per supplier, parsed into edges and a box."""
+    g = derived.supplier_zone_geojson(_t(spark, base, "supplier"))
+    f = g.select(F.from_json("geojson", feature_schema({"zone_id": "long", "name": "string"})).alias("f"))
+    feats = f.select(
+        F.col("f.properties.zone_id").alias("zone_id"),
+        F.col("f.properties.name").alias("zone_name"),
+        F.col("f.geometry.type").alias("geom_type"),
+        F.col("f.geometry.coordinates").alias("coordinates"),
+    )
+    z = with_bbox(zones_from_geojson(feats))
     return z.select(
         "zone_id",
         "zone_name",
