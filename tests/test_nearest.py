@@ -110,3 +110,14 @@ def test_exact_ties_go_to_the_smallest_key(spark, bound):
     p = spark.createDataFrame(pts, "pid long, lon double, lat double")
     got = nearest_site(p, s, "pid", site_cols=["site_name"], max_broadcast_sites=bound)
     _cmp(got, _brute(p, s))
+
+
+def test_attach_site_columns(spark):
+    from tessera.operators import attach_site_columns
+
+    pts, sites = _data(spark, n_pts=30)
+    near = nearest_site(pts, sites, "pid")
+    named = attach_site_columns(near, sites, "site_key", ["site_name"])
+    assert rows(named, "pid", "site_key", "site_name") == rows(
+        nearest_site(pts, sites, "pid", site_cols=["site_name"]), "pid", "site_key", "site_name"
+    )

@@ -19,3 +19,15 @@ def test_semicolon_csv_and_text(spark, tmp_path):
     assert rows(read_lines(spark, str(tmp_path / "t.txt"))) == [("0100 A",), ("0200 B",)]
     texts = spark.createDataFrame([("a\nb",), ("c",)], "text string")
     assert rows(text_lines(texts, "text")) == [("a",), ("b",), ("c",)]
+
+
+def test_positional_schema_reader(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from tessera.sources import read_csv_schema
+
+    (tmp_path / "s.csv").write_text("X,Y,DIVISION\n-118.0,34.0,Alpha\nbad,34.1,Bravo\n")
+    schema = T.StructType(
+        [T.StructField("X", T.DoubleType()), T.StructField("Y", T.DoubleType()), T.StructField("DIVISION", T.StringType())]
+    )
+    assert rows(read_csv_schema(spark, str(tmp_path / "s.csv"), schema)) == [(None, 34.1, "Bravo"), (-118.0, 34.0, "Alpha")]
