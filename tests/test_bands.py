@@ -44,3 +44,18 @@ def test_udf_form_equals_native(spark):
 def test_native_plan_has_no_python(spark):
     plan = band_counts(_records(spark), "age", "desc", "ASSAULT")._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "ArrowEval" not in plan
+
+
+def test_native_and_pandas_banding_agree(spark):
+    import pandas as pd
+
+    from tessera.functions import band_expr, band_labels_pandas
+
+    custom = (("low", None, 9), ("mid", 10, 19), ("high", 20, None))
+    values = list(range(-5, 130)) + [None]
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    for bands in (None, custom):
+        kw = {} if bands is None else {"bands": bands}
+        native = [r[0] for r in df.select(band_expr("v", **kw)).collect()]
+        series = band_labels_pandas(pd.Series(values, dtype="float64"), **kw)
+        assert native == list(series)
