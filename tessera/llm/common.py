@@ -70,7 +70,7 @@ def alnum_words(text: bytes | None) -> list[bytes]:
 class WordHashes(dict):
     """64-bit hash of each word, kept while the vocabulary is small."""
 
-    LIMIT = 500_000
+    LIMIT = 200_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

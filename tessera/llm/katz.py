@@ -30,10 +30,10 @@ from tessera.llm.common import Batches, WordHashes, as_bytes, blank_words, mix,
 END, START = np.uint64(1), np.uint64(2)
 # Counts above this are taken as reliable by Good and Turing's formula.
 RELIABLE = 5
-CHUNK_TOKENS = 1_000_000
+CHUNK_TOKENS = 1_500_000
 CHUNK_DOCS = 50_000
 # Bytes of text that one partition of the tables stands for.
-PARTITION_BYTES = 24_000_000
+PARTITION_BYTES = 12_000_000
 
 
 def held_out() -> F.Column:
@@ -149,15 +149,25 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32 if top < 2**32 else np.uint64)
 
 
+def _planes(x: np.ndarray) -> bytes:
+    """Sorted 64-bit hashes byte by byte, highest bytes together: those are
+    nearly alike and take little room in a compressed shuffle."""
+    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unplanes(x: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
 def _pack(w: np.ndarray, h: np.ndarray) -> dict:
     """Pairs sorted by word: each word with its number of pairs, histories by place."""
     _, starts = _group(w)
     hu, at = np.unique(h, return_inverse=True)
-    return {"w": w[starts], "wn": _small(np.diff(np.append(starts, len(w)))), "hu": hu, "h": _small(at)}
+    return {"w": _planes(w[starts]), "wn": _small(np.diff(np.append(starts, len(w)))), "hu": _planes(hu), "h": _small(at)}
 
 
 def _unpack(x: dict) -> tuple[np.ndarray, np.ndarray]:
-    return np.repeat(x["w"], x["wn"].astype(np.int64)), x["hu"][x["h"]]
+    return np.repeat(_unplanes(x["w"]), x["wn"].astype(np.int64)), _unplanes(x["hu"])[x["h"]]
 
 
 def _count_parts(docs: DataFrame, parts: int) -> DataFrame:
@@ -264,8 +274,9 @@ def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     value -= np.where((pc > 0) & (pw != END), np.log10(np.maximum(pc, 1)), 0.0)
     base = np.log10(pc + 0.5)
     # Back from the sorted pairs to each chunk's pairs and documents.
-    place = np.empty(len(w), np.int64)
-    place[order] = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(order))))
+    place = np.empty(len(w), np.int32)
+    place[order] = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(order))))
+    del w, h, c, wh, order, starts
     out, late, upto = [], [], 0
     for b in x:
         k = len(b["h"])
@@ -274,23 +285,29 @@ def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
         n, doc = b["n"].astype(np.float64), b["doc"].astype(np.int64)
         add = lambda v: np.bincount(doc, v, b["docs"])  # noqa: B023, E731
         have = np.unique(doc)
-        data = {"docs": have + b["row"], "score": add(n * value[pos])[have], "base": add(n * base[pos])[have],
-                "known": add(n * (pc[pos] > 0))[have], "meta": b["meta"], "row": b["row"]}
+        known = add(n * (pc[pos] > 0))[have].astype(np.int64)
+        data = {"docs": have.astype(np.uint16), "score": add(n * value[pos])[have], "base": add(n * base[pos])[have],
+                "known": _small(known), "meta": b["meta"], "row": b["row"]}
         out.append((int(xhash(b["row"]) % model.parts), pickle.dumps(data, 5)))
         new = ~seen[pos]
-        late.append((ph[pos[new]], doc[new] + b["row"], n[new]))
-    # Sums over the words seen after each history, and histories' own counts.
+        late.append((b["row"], ph[pos[new]], b["doc"][new], b["n"][new]))
+        b.clear()
+    # Sums over the words seen after each history, and words' own counts.
     o, hs = _group(ph[seen])
     hist = ph[seen][o][hs]
     pu, dm = _sums(uni[seen][o], hs), _sums(gain[seen][o], hs)
-    hh = np.concatenate([hist, uw[own & (uc > 0) & (uw != END)]])
-    z = np.zeros(len(hh) - len(hist))
-    cols = [hh, np.concatenate([np.zeros(len(hist)), uc[own & (uc > 0) & (uw != END)]]), np.concatenate([pu, z]), np.concatenate([dm, z])]
-    lh, ld, ln = (np.concatenate([t[i] for t in late]) for i in range(3))
+    alone = own & (uc > 0) & (uw != END)
+    cw, cc = uw[alone], uc[alone]
+    parts = np.uint64(model.parts)
     for i in range(model.parts):
-        a, b = (hh % np.uint64(model.parts)) == i, (lh % np.uint64(model.parts)) == i
-        if a.any() or b.any():
-            data = {"h": cols[0][a], "c": cols[1][a], "pu": cols[2][a], "dm": cols[3][a], "lh": lh[b], "ld": ld[b], "ln": _small(ln[b].astype(np.int64))}
+        a, b = hist % parts == i, cw % parts == i
+        unseen = []
+        for row, lh, ld, ln in late:
+            m = lh % parts == i
+            if m.any():
+                unseen.append((row, lh[m], ld[m], ln[m]))
+        if a.any() or b.any() or unseen:
+            data = {"h": _planes(hist[a]), "pu": pu[a], "dm": dm[a], "w": _planes(cw[b]), "c": _small(cc[b]), "unseen": unseen}
             out.append((i, pickle.dumps(data, 5)))
     return pd.DataFrame(out, columns=["part", "data"]).astype({"part": "int32"})
 
@@ -310,7 +327,9 @@ def _gather(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     for b in x:
         if "docs" not in b:
             continue
-        sums.append(pd.DataFrame({"row": b["docs"], "n_known": b["known"], "base": b["base"], "score": b["score"]}))
+        sums.append(
+            pd.DataFrame({"row": b["docs"] + np.int64(b["row"]), "n_known": b["known"].astype(float), "base": b["base"], "score": b["score"]})
+        )
         if b["meta"]:
             m = b["meta"]
             metas.append(
@@ -319,10 +338,22 @@ def _gather(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
             )
     hist = [b for b in x if "h" in b]
     if hist:
-        h, c, pu, dm, lh, ld, ln = (np.concatenate([b[k] for b in hist]) for k in ("h", "c", "pu", "dm", "lh", "ld", "ln"))
+        joined = lambda k: np.concatenate([b[k] for b in hist])
+        h = np.concatenate([_unplanes(b["h"]) for b in hist])
+        w = np.concatenate([_unplanes(b["w"]) for b in hist])
         order, starts = _group(h)
-        hu = h[order][starts]
-        c, pu, dm = (_sums(v[order], starts) for v in (c, pu, dm))
+        hu, pu, dm = h[order][starts], _sums(joined("pu")[order], starts), _sums(joined("dm")[order], starts)
+        # A word that is not spread is counted by one partition only.
+        order = np.argsort(w)
+        w, counts = w[order], joined("c").astype(np.int64)[order]
+        c = np.zeros(len(hu))
+        if len(w):
+            at = np.minimum(np.searchsorted(w, hu), len(w) - 1)
+            c = np.where(w[at] == hu, counts[at], 0)
+        late = [t for b in hist for t in b["unseen"]]
+        lh = np.concatenate([t[1] for t in late]) if late else np.empty(0, np.uint64)
+        ld = np.concatenate([t[2] + np.int64(t[0]) for t in late]) if late else np.empty(0, np.int64)
+        ln = np.concatenate([t[3] for t in late]) if late else np.empty(0)
         hot, at = model.spread_at(hu)
         if len(model.spread_counts):
             c = np.where(hot, model.spread_counts[at], c)
