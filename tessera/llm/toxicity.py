@@ -27,6 +27,7 @@ from tessera.llm.spans import sentences
 MAX_FEATURES = 20_000
 FIT_ROWS = 300
 MIN_DOCS = 5
+MIN_Z = 3.0
 PRECISION = 0.9
 THRESHOLD = 0.3
 MAX_CHAIN = 128
@@ -231,7 +232,9 @@ def fit_toxic_model(
         c = feature_counts(train).filter(F.col("docs") >= MIN_DOCS)
         # Score test of the feature's share of toxic documents.
         z = (F.col("toxic") - F.col("docs") * share1) / F.sqrt(F.col("docs") * share1 * (1 - share1))
-        top = c.withColumn("z", z).orderBy(F.desc(F.abs("z")), "feature").limit(max_features).collect()
+        # Few partitions, as each sends its own top rows to the driver.
+        strong = c.withColumn("z", z).filter(F.abs("z") >= MIN_Z).repartition(8)
+        top = strong.orderBy(F.desc(F.abs("z")), "feature").limit(max_features).collect()
         for r in top:
             a, b = r["toxic"], r["docs"] - r["toxic"]
             odds[bytes(r["feature"])] = float(np.log(((a + 0.5) / (n1 + 1)) / ((b + 0.5) / (n - n1 + 1))))
@@ -240,8 +243,11 @@ def fit_toxic_model(
     model = ToxicModel(odds, labelled)
     rows = []
     for y in (0, 1):
-        some = train.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
-        rows += [((r["text"]).encode(), y) for r in some.select("text").collect()]
+        own = train.filter(F.col("toxic") == y)
+        # Ids first: only the chosen rows' texts go to the driver.
+        ids = [r[0] for r in own.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).collect()]
+        texts = own.filter(F.col("doc_id").isin(ids)).dropDuplicates(["doc_id"]).orderBy("doc_id").select("text")
+        rows += [(r["text"].encode(), y) for r in texts.collect()] if ids else []
     prior = min(0.999, max(0.001, n1 / n)) if n else 0.5
     if odds:
         _fit_chain(model, rows)
