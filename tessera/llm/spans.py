@@ -1,6 +1,7 @@
 """Substring dedup over sliding spans of sentences.
 
-Every run of ``run`` consecutive sentences is hashed.  A run is kept in the
+Every run of ``run`` consecutive sentences (more, if those are short) is hashed.
+A run is kept in the
 first document (smallest doc_id) that has it, at its first place there; the
 sentences that any other occurrence covers are removed.
 """
@@ -34,18 +35,24 @@ def sentences(text: bytes | None) -> list[bytes]:
 
 
 def runs_of(pieces: list[bytes], run: int, min_words: int) -> list[tuple[int, int, bytes]]:
-    """(start, end, 128-bit hash) of the runs of ``run`` sentences with at
-    least ``min_words`` words.  Case of A-Z and blanks do not count, pieces
-    without words are passed over.  A text of fewer sentences is one run."""
+    """(start, end, 128-bit hash) of the sliding runs: ``run`` sentences, and
+    further ones until there are ``min_words`` words.  Case of A-Z and blanks
+    do not count, pieces without words are passed over.  A text of fewer
+    sentences is one run; runs that stay short of the words are none."""
     words = [(i, p.translate(LOWER_BYTES).split()) for i, p in enumerate(pieces)]
     words = [(i, w) for i, w in words if w]
+    sizes = [len(w) for _, w in words]
     n = min(run, len(words))
     out = []
     for k in range(len(words) - n + 1 if n else 0):
-        part = words[k : k + n]
-        if sum(len(w) for _, w in part) >= min_words:
-            key = b"\n".join(b" ".join(w) for _, w in part)
-            out.append((part[0][0], part[-1][0] + 1, xxhash.xxh3_128_digest(key)))
+        end = k + n
+        size = sum(sizes[k:end])
+        while size < min_words and end < len(words):
+            size += sizes[end]
+            end += 1
+        if size >= min_words:
+            key = b"\n".join(b" ".join(w) for _, w in words[k:end])
+            out.append((words[k][0], words[end - 1][0] + 1, xxhash.xxh3_128_digest(key)))
     return out
 
 

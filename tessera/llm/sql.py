@@ -102,7 +102,7 @@ def _node(u: str) -> str:
 def _canonical(n: str) -> str:
     bare = rf"regexp_replace({n}, '([?&])(?:utm_[a-z]+|ref|gclid|fbclid)=[^&]*', '\1', 'g')"
     bare = rf"regexp_replace(regexp_replace({bare}, '\?&+', '?', 'g'), '&&+', '&', 'g')"
-    return rf"regexp_replace(regexp_replace({bare}, '[?&]+$', ''), '([^/])/$', '\1')"
+    return rf"regexp_replace(regexp_replace({bare}, '[?&]+$', ''), '(?s)^([^/]+/.*[^/])/$', '\1')"
 
 
 def _href(tag: str, mark: str, name: str) -> str:

@@ -49,10 +49,11 @@ def url_node(url: Column) -> Column:
 
 
 def canonical_node(node: Column) -> Column:
-    """The node without tracking parameters and without a slash at its end."""
+    """The node without tracking parameters and without a slash at its end
+    (a host's root keeps its own)."""
     bare = F.regexp_replace(node, rf"(?<=[?&]){TRACKING}(&|$)", "")
     bare = F.regexp_replace(bare, r"[?&]+$", "")
-    return F.regexp_replace(bare, r"(?<=[^/])/$", "")
+    return F.regexp_replace(bare, r"(?s)^([^/]+/.*[^/])/$", "$1")
 
 
 def _html_target(html: Column, tag: str, mark: str, value: str) -> Column:

@@ -1,3 +1,5 @@
+"""The documents fixture of this folder's tests."""
+
 import os
 import sys
 

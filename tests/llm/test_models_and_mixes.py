@@ -6,6 +6,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+from llm_docs import docs  # noqa: F401  (puts the repository on the path)
 import corpus_pipeline
 import numpy as np
 import pytest

@@ -5,6 +5,7 @@ import random
 import re
 
 import pytest
+from llm_docs import docs  # noqa: F401
 from tessera.llm import decontaminate, neardup, pii, spans
 
 WORDS = [f"w{i}" for i in range(400)]
@@ -148,17 +149,19 @@ def brute_spans(rows, run, min_words):
     windows = []
     for (k, _, _), ps in zip(rows, norm):
         n = min(run, len(ps))
-        ws = [(i, tuple(ps[i : i + n])) for i in range(len(ps) - n + 1)] if n else []
-        ws = [(i, w) for i, w in ws if sum(len(x.split()) for x in w) >= min_words]
-        windows.append((n, ws))
+        ws = []
+        for i in range(len(ps) - n + 1 if n else 0):
+            ends = [e for e in range(i + n, len(ps) + 1) if sum(len(x.split()) for x in ps[i:e]) >= min_words]
+            ws += [(i, tuple(ps[i : ends[0]]))] if ends else []
+        windows.append(ws)
         for _, w in ws:
             owners[w] = min(owners.get(w, k), k)
     out = []
-    for (k, _, _), ps, (n, ws) in zip(rows, norm, windows):
+    for (k, _, _), ps, ws in zip(rows, norm, windows):
         gone, seen = set(), set()
         for i, w in ws:
             if owners[w] < k or w in seen:
-                gone.update(range(i, i + n))
+                gone.update(range(i, i + len(w)))
             seen.add(w)
         out.append((k, [p for i, p in enumerate(ps) if i not in gone]))
     return sorted(out, key=str)
