@@ -3,11 +3,13 @@ whitespace-separated code lists."""
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import NON_WS_CLASS, WS_CLASS
-from tessera.session import row_count_within, spread
+from tessera.session import bounded_broadcast, spread
 
 # "code<blanks>description": the first word is the code, the rest the text.
 _STRICT = rf"(?s)^({NON_WS_CLASS}+){WS_CLASS}+(.*)$"
@@ -84,10 +86,13 @@ def code_frequency(
     if join_hint is not None:
         if join_hint not in JOIN_HINTS:
             raise ValueError(f"join_hint must be one of {JOIN_HINTS}")
-        # A broadcast is honoured only for a dictionary proven small enough;
-        # above the bound the planner chooses (a shuffled join).
-        if join_hint != "broadcast" or row_count_within(d, max_broadcast_rows) is not None:
+        # A broadcast is honoured only for a dictionary proven small enough.
+        if join_hint != "broadcast":
             d = d.hint(join_hint)
+        else:
+            d, small = bounded_broadcast(d, max_broadcast_rows)
+            if not small:
+                warnings.warn("dictionary above the broadcast bound: the planner chooses the join", stacklevel=2)
     joined = freq.join(d, on=code_col, how=how)
     return joined.select(
         F.col(code_col),

@@ -158,20 +158,18 @@ _SCALES = [2.0**-j for j in range(1, 20)]
 
 
 def _plan_cells(
-    valid_xyz: DataFrame, max_sites_per_cell: int, small: int
+    valid_xyz: DataFrame, max_sites_per_cell: int
 ) -> tuple[int, float, float | None]:
     """(site count, typical edge h_ext, finest edge h0).
 
     ``h_ext`` is about one site spacing over the sites' extent.  ``h0`` is the
     largest candidate edge not above ``h_ext`` whose densest cube holds at most
     ``max_sites_per_cell`` sites, so a city holding a third of all sites gets
-    small cubes instead of one huge candidate list.  The count is taken before
-    duplicate locations are merged, so it bounds the number of distinct sites.
+    small cubes instead of one huge candidate list.  Sites are counted by place.
     ``h0`` is None when all sites share one place.
 
     Two small jobs: count and extent (one map stage), then the densest cube
-    at every candidate edge -- in one task when there are at most ``small``
-    sites (bounded), else as a distributed aggregate.
+    at every candidate edge as a distributed aggregate.
     """
     row = valid_xyz.agg(
         F.count(F.lit(1)).alias("n"),
@@ -186,7 +184,7 @@ def _plan_cells(
     scales = [h for h in _SCALES if h <= h_ext] or [_SCALES[-1]]
     if n <= max_sites_per_cell:
         return n, h_ext, scales[0]
-    src = valid_xyz.coalesce(1) if n <= small else valid_xyz
+    src = valid_xyz
     pairs = ", ".join(f"named_struct('j', {j}, 'c', {cell_key_sql('_sx', '_sy', '_sz', h)})" for j, h in enumerate(scales))
     keyed = src.select(F.expr(f"explode(array({pairs}))").alias("k"))
     densest = {
@@ -227,17 +225,15 @@ def nearest_site(
     result is empty (as a cross join with an empty side would be).
     ``form="array"`` picks the best candidate with ``array_min`` in the
     point's own row; ``form="window"`` explodes the candidates and keeps
-    ``row_number() == 1`` per point (the classic plan, one shuffle by point).
+    ``row_number() == 1`` per place (the classic plan).  Every form and plan
+    gives one row for each input row, whatever its id.
     """
     if form not in ("array", "window"):
         raise ValueError("form must be 'array' or 'window'")
     payload = list(site_cols or [])
     pts = _points(points, point_id, lon, lat)
     s = _sites(sites, site_key, site_lon, site_lat, payload)
-    valid = sites.filter(F.col(site_lon).isNotNull() & F.col(site_lat).isNotNull() & F.col(site_key).isNotNull())
-    x, y, z = unit_vector(site_lon, site_lat)
-    valid_xyz = valid.select(x.alias("_sx"), y.alias("_sy"), z.alias("_sz"))
-    n, h_ext, h0 = _plan_cells(valid_xyz, max_sites_per_cell, max_broadcast_sites)
+    n, h_ext, h0 = _plan_cells(s.select("_sx", "_sy", "_sz"), max_sites_per_cell)
     key_type = sites.schema[site_key].dataType
     if n == 0:
         return pts.select(
@@ -254,9 +250,20 @@ def nearest_site(
         hs = _levels(h0, min(max(levels, span), max_levels))
     # The broadcast lists hold 27 entries per site per level (~60 bytes each).
     if n <= max_broadcast_sites and 27 * n * max(len(hs), 1) <= max_broadcast_entries:
+        small = True
+    else:
+        small = False
+    if small and form == "array":
         best = _nearest_broadcast(pts, s, hs, form, payload)
     else:
-        best = _nearest_shuffled(pts, s, _levels(hs[0], 64) if hs else [], point_id, payload)
+        # Each place is searched once and its answer joined back to every
+        # point there, whatever the points' ids: NULL, repeated or unique.
+        places = pts.drop(point_id).dropDuplicates(["_plon", "_plat"])
+        if small:
+            found = _nearest_broadcast(places, s, hs, form, payload)
+        else:
+            found = _nearest_shuffled(places, s, _levels(hs[0], 64) if hs else [], payload)
+        best = pts.join(found.select("_plon", "_plat", "_best"), ["_plon", "_plat"])
     return best.select(
         F.col(point_id),
         F.col("_best.k").cast(key_type).alias(site_key),
@@ -300,14 +307,11 @@ def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str,
     exploded = cur.select(*pts.columns, F.explode(todo).alias("_s")).withColumn(
         "_best", _exact_of_entry(F.col("_s"), payload)
     )
-    pid = pts.columns[0]
-    w = Window.partitionBy(pid).orderBy(F.col("_best.d"), F.col("_best.k"))
+    w = Window.partitionBy("_plon", "_plat").orderBy(F.col("_best.d"), F.col("_best.k"))
     return exploded.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
 
 
-def _nearest_shuffled(
-    pts: DataFrame, s: DataFrame, hs: list[float], point_id: str, payload: list[str]
-) -> DataFrame:
+def _nearest_shuffled(pts: DataFrame, s: DataFrame, hs: list[float], payload: list[str]) -> DataFrame:
     """Level-by-level search with shuffled joins; every level is checkpointed
     (reliable, in the session's checkpoint folder) so no level recomputes the
     previous ones and a lost executor only repeats the current level."""
@@ -322,16 +326,16 @@ def _nearest_shuffled(
         pairs = pending.withColumn(
             "_cell", cell_key("_px", "_py", "_pz", h)
         ).join(_neighbour_rows(s, h, payload), "_cell")
-        best = pairs.groupBy(point_id, "_px", "_py", "_pz", "_plon", "_plat").agg(
+        best = pairs.groupBy("_px", "_py", "_pz", "_plon", "_plat").agg(
             F.min(_exact_of_entry(_entry(payload), payload)).alias("_best")
         )
         if not last:
             best = best.filter(_within_exact(F.col("_best"), h))
-        done = best.select(point_id, "_plon", "_plat", "_best").checkpoint()
+        done = best.select("_plon", "_plat", "_best").checkpoint()
         parts.append(done)
         if last:
             break
-        pending = pending.join(done.select(point_id), point_id, "left_anti").checkpoint()
+        pending = pending.join(done.select("_plon", "_plat"), ["_plon", "_plat"], "left_anti").checkpoint()
         if pending.isEmpty():
             break
     out = parts[0]

@@ -37,7 +37,7 @@ def topn_share(
     totals = counts.groupBy(F.col(group_col).alias("_g")).agg(F.sum(count_col).alias("_total"))
     ranked = Window.partitionBy(group_col).orderBy(F.col(count_col).desc(), F.col(category_col))
     top = counts.withColumn("_rank", F.row_number().over(ranked)).filter(F.col("_rank") <= n)
-    pct = F.col(count_col) / F.col("_total") * 100
+    pct = F.try_divide(F.col(count_col), F.col("_total")) * 100
     return top.join(totals, top[group_col].eqNullSafe(totals["_g"])).select(
         group_col,
         category_col,
@@ -71,7 +71,6 @@ def topn_share_sql(
         WITH joined AS (
             SELECT {group_expr} AS grp, l.`{category_col}` AS category
             FROM {rv} r JOIN {lv} l ON r.`{record_key}` = l.`{lookup_key}`
-            WHERE r.`{record_key}` IS NOT NULL
         ),
         grouped AS (
             SELECT grp, category, COUNT(*) AS cnt FROM joined GROUP BY grp, category
@@ -84,7 +83,7 @@ def topn_share_sql(
                    ROW_NUMBER() OVER (PARTITION BY grp ORDER BY cnt DESC, category) AS rn
             FROM grouped
         )
-        SELECT r.grp, r.category, r.cnt, ROUND((r.cnt / t.total) * 100, 2) AS share
+        SELECT r.grp, r.category, r.cnt, ROUND(try_divide(r.cnt, t.total) * 100, 2) AS share
         FROM ranked r JOIN totals t ON r.grp <=> t.grp
         WHERE r.rn <= {int(n)}
         """

@@ -32,16 +32,16 @@ def event_points(events: DataFrame) -> DataFrame:
         "event_id",
         "user_id",
         "ts",
-        _scatter(uid * 7919 + eid * 104729, 10007, LON0, LON_SPAN).alias("lon"),
-        _scatter(eid * 15485863, 10009, LAT0, LAT_SPAN).alias("lat"),
+        _scatter((uid % 10007) * 7919 + (eid % 10007) * 104729, 10007, LON0, LON_SPAN).alias("lon"),
+        _scatter((eid % 10009) * 15485863, 10009, LAT0, LAT_SPAN).alias("lat"),
     )
 
 
 def user_home(user_id: Column) -> tuple[Column, Column]:
     """A fixed home point per user id."""
     return (
-        _scatter(user_id * 7919, 10007, LON0, LON_SPAN),
-        _scatter(user_id * 15485863, 10009, LAT0, LAT_SPAN),
+        _scatter((user_id % 10007) * 7919, 10007, LON0, LON_SPAN),
+        _scatter((user_id % 10009) * 15485863, 10009, LAT0, LAT_SPAN),
     )
 
 
@@ -51,8 +51,8 @@ def supplier_sites(supplier: DataFrame) -> DataFrame:
     return supplier.select(
         k.alias("site_key"),
         F.col("s_name").alias("site_name"),
-        _scatter(k * 7919, 97, LON0, LON_SPAN).alias("site_lon"),
-        _scatter(k * 104729, 89, LAT0, LAT_SPAN).alias("site_lat"),
+        _scatter((k % 97) * 7919, 97, LON0, LON_SPAN).alias("site_lon"),
+        _scatter((k % 89) * 104729, 89, LAT0, LAT_SPAN).alias("site_lat"),
     )
 
 
@@ -112,8 +112,8 @@ def supplier_zone_geojson(supplier: DataFrame) -> DataFrame:
     diamond around its site whose size steps with the key; keys with
     remainder 1 mod 3 get a hole, remainder 2 a two-part MultiPolygon."""
     k = F.col("s_suppkey")
-    cx = _scatter(k * 7919, 97, LON0, LON_SPAN)
-    cy = _scatter(k * 104729, 89, LAT0, LAT_SPAN)
+    cx = _scatter((k % 97) * 7919, 97, LON0, LON_SPAN)
+    cy = _scatter((k % 89) * 104729, 89, LAT0, LAT_SPAN)
     a = F.lit(SITE_ZONE_W) + F.lit(SITE_ZONE_STEP) * (k % 4)
     b = a * F.lit(SITE_ZONE_ASPECT)
     kind = k % 3
@@ -181,14 +181,14 @@ def rendered_balances(customer: DataFrame) -> DataFrame:
 
 SQL_EVENT_POINTS = f"""
 SELECT event_id, user_id, ts,
-       {LON0}e0 + ((user_id*7919 + event_id*104729) % 10007)/10007e0*{LON_SPAN}e0 AS lon,
-       {LAT0}e0 + ((event_id*15485863) % 10009)/10009e0*{LAT_SPAN}e0 AS lat
+       {LON0}e0 + (((user_id % 10007)*7919 + (event_id % 10007)*104729) % 10007)/10007e0*{LON_SPAN}e0 AS lon,
+       {LAT0}e0 + (((event_id % 10009)*15485863) % 10009)/10009e0*{LAT_SPAN}e0 AS lat
 FROM events"""
 
 SQL_SUPPLIER_SITES = f"""
 SELECT s_suppkey AS site_key, s_name AS site_name,
-       {LON0}e0 + ((s_suppkey*7919) % 97)/97e0*{LON_SPAN}e0 AS site_lon,
-       {LAT0}e0 + ((s_suppkey*104729) % 89)/89e0*{LAT_SPAN}e0 AS site_lat
+       {LON0}e0 + (((s_suppkey % 97)*7919) % 97)/97e0*{LON_SPAN}e0 AS site_lon,
+       {LAT0}e0 + (((s_suppkey % 89)*104729) % 89)/89e0*{LAT_SPAN}e0 AS site_lat
 FROM supplier"""
 
 SQL_ZONE_FRAME = f"""
@@ -202,8 +202,8 @@ SQL_SUPPLIER_ZONE_FRAME = f"""
 SELECT s_suppkey, s_name, s_suppkey % 3 AS kind, cx, cy, a, a * {SITE_ZONE_ASPECT}e0 AS b
 FROM (
     SELECT s_suppkey, s_name,
-           {LON0}e0 + ((s_suppkey*7919) % 97)/97e0*{LON_SPAN}e0 AS cx,
-           {LAT0}e0 + ((s_suppkey*104729) % 89)/89e0*{LAT_SPAN}e0 AS cy,
+           {LON0}e0 + (((s_suppkey % 97)*7919) % 97)/97e0*{LON_SPAN}e0 AS cx,
+           {LAT0}e0 + (((s_suppkey % 89)*104729) % 89)/89e0*{LAT_SPAN}e0 AS cy,
            {SITE_ZONE_W}e0 + {SITE_ZONE_STEP}e0 * (s_suppkey % 4) AS a
     FROM supplier
 )"""

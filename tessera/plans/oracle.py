@@ -33,6 +33,11 @@ WHERE p_size IS NOT NULL AND p_size > 0 AND p_name IS NOT NULL AND p_name <> ''
   AND contains(p_name, '{Q.PART_NAME_CONTAINS}')
 GROUP BY 1"""
 
+BAND_COUNTS_FRACTIONAL = f"""
+SELECT {_BAND.replace('p_size', 'v')} AS band, COUNT(*) AS cnt
+FROM (SELECT p_size * 1.5e0 AS v FROM part) WHERE v IS NOT NULL AND v > 0
+GROUP BY 1"""
+
 
 def _topn(share_expr: str) -> str:
     return f"""
@@ -72,27 +77,27 @@ SELECT code, MIN(description) AS description FROM (
 ) WHERE code <> '' GROUP BY code"""
 
 
-def _frequency(join: str) -> str:
+def _frequency(join: str, dictionary: str) -> str:
     return f"""
 WITH t AS (
     SELECT unnest(regexp_split_to_array(text, '{WS_CLASS}+')) AS code
     FROM documents WHERE text IS NOT NULL AND text <> ''
 ), f AS (
     SELECT code, COUNT(*) AS frequency FROM t WHERE code <> '' GROUP BY code
-), d AS ({DICTIONARY})
+), d AS ({dictionary})
 SELECT f.code, COALESCE(d.description, f.code) AS description, f.frequency
 FROM f {join} JOIN d ON f.code = d.code"""
 
 
-CODE_FREQUENCY = _frequency("LEFT")
-CODE_FREQUENCY_INNER = _frequency("INNER")
+CODE_FREQUENCY = _frequency("LEFT", DICTIONARY)
+CODE_FREQUENCY_INNER = _frequency("INNER", DICTIONARY_LENIENT)
 
 SPHERE_DISTANCE = f"""
 SELECT event_id, user_id, round({sql_distance_m('lon', 'lat', 'hlon', 'hlat')}, 3) AS metres
 FROM (
     SELECT event_id, user_id, lon, lat,
-           -118.67e0 + ((user_id*7919) % 10007)/10007e0*0.52e0 AS hlon,
-           33.7e0 + ((user_id*15485863) % 10009)/10009e0*0.64e0 AS hlat
+           -118.67e0 + (((user_id % 10007)*7919) % 10007)/10007e0*0.52e0 AS hlon,
+           33.7e0 + (((user_id % 10009)*15485863) % 10009)/10009e0*0.64e0 AS hlat
     FROM ({SQL_EVENT_POINTS})
 )"""
 
@@ -205,18 +210,19 @@ SELECT {sql_round_sig(f"(SELECT {_pearson('income', 'annual_rate')} FROM rates)"
 
 MOMENTS = f"""
 SELECT COUNT(*) AS n,
-       {sql_round_sig('avg(l_quantity)')} AS mean_x,
-       {sql_round_sig('avg(l_extendedprice)')} AS mean_y,
-       {sql_round_sig('avg(l_quantity * l_quantity)')} AS mean_x2,
-       {sql_round_sig('avg(l_extendedprice * l_extendedprice)')} AS mean_y2,
-       {sql_round_sig('avg(l_quantity * l_extendedprice)')} AS mean_xy
-FROM lineitem"""
+       {sql_round_sig('avg(l_quantity)')} AS mean_l_quantity,
+       {sql_round_sig('avg(l_extendedprice)')} AS mean_l_extendedprice,
+       {sql_round_sig('var_pop(l_quantity)')} AS var_l_quantity,
+       {sql_round_sig('var_pop(l_extendedprice)')} AS var_l_extendedprice,
+       {sql_round_sig('covar_pop(l_quantity, l_extendedprice)')} AS covar_l_quantity_l_extendedprice
+FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL"""
 
 CORRELATION = f"""
 SELECT {sql_round_sig(f"({_pearson('l_quantity', 'l_extendedprice')})")} AS corr
 FROM lineitem WHERE l_quantity IS NOT NULL AND l_extendedprice IS NOT NULL"""
 
 ORACLE: dict[str, str] = {
+    "band_counts_fractional": BAND_COUNTS_FRACTIONAL,
     "band_counts": BAND_COUNTS,
     "band_counts_udf": BAND_COUNTS,
     "topn_share": TOPN_SHARE,
@@ -232,6 +238,7 @@ ORACLE: dict[str, str] = {
     "join_hint_replicate_nl": CODE_FREQUENCY,
     "sphere_distance": SPHERE_DISTANCE,
     "nearest_site": NEAREST_SITE,
+    "nearest_site_shuffled": NEAREST_SITE,
     "nearest_site_window": NEAREST_SITE,
     "nearest_site_summary": NEAREST_SITE_SUMMARY,
     "year_window": YEAR_WINDOW,

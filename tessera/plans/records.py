@@ -161,6 +161,8 @@ def _areas(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
         .select(F.col("LON").alias("lon"), F.col("LAT").alias("lat"))
     )
     feats = read_features(spark, _path(data_dir, "blocks", paths), BLOCK_PROPERTIES)
+    # A block without geometry counts nowhere; tested on the raw text.
+    feats = feats.filter(F.col("geom_type").isNotNull() & F.col("coordinates").isNotNull())
     blocks = (
         zones_from_geojson(feats)
         .select(

@@ -7,7 +7,6 @@ the bench and scripts; the operators never create or configure one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,8 +80,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     if spark.sparkContext.getCheckpointDir() is None:
-        if path.startswith("/") and "://" not in path:
-            os.makedirs(path, exist_ok=True)
         spark.sparkContext.setCheckpointDir(path)
     return path
 
@@ -90,19 +87,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def row_count_within(df: DataFrame, max_rows: int) -> int | None:
     """Row count of ``df`` if it is at most ``max_rows``, else ``None``.
 
-    Reads at most ``max_rows + 1`` rows, so probing a large table is cheap.
+    One aggregate over ``df``: each task sends a count, never its rows.
     """
-    n = df.limit(max_rows + 1).count()
+    n = df.count()
     return n if n <= max_rows else None
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Mark ``df`` for broadcast only if its row count is proven <= max_rows.
+def bounded_broadcast(df: DataFrame, max_rows: int, max_bytes: int = 256 << 20) -> tuple[DataFrame, bool]:
+    """Mark ``df`` for broadcast only if rows and bytes are proven in bounds.
 
-    Returns the (possibly hinted) frame and whether the hint was applied.  Above
-    the bound the frame is returned untouched and the planner shuffles it.
+    Bytes are 8 for each value and the texts' own.  Returns the (possibly
+    hinted) frame and whether the hint was applied; otherwise the frame is
+    untouched and the planner shuffles it.
     """
-    if row_count_within(df, max_rows) is not None:
+    texts = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in df.schema if f.dataType.simpleString() == "string"]
+    width = sum(texts, F.lit(8 * len(df.columns)))
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(width.cast("long")).alias("b")).first()
+    if row["n"] <= max_rows and (row["b"] or 0) <= max_bytes:
         return F.broadcast(df), True
     return df, False
 
@@ -110,17 +111,12 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
 def spread(df: DataFrame) -> DataFrame:
     """Spread a CPU-heavy input over all cores when its scan cannot use them.
 
-    A parquet file with one row group is read by one task however it is
-    split, so split count alone can mislead: an input is spread when it has
-    fewer splits than cores, or when it comes from fewer files than cores
-    and has under four splits per core (a small input, cheap to shuffle).
-    A large input has many files and splits and is returned untouched, so no
-    shuffle is added at scale.
+    A parquet file with one row group is read by one task however it is split,
+    so an input of fewer files than cores is dealt out.  Only the file list is
+    looked at: nothing runs while the plan is built.  Frames that are not read
+    from files, and inputs of many files, are returned untouched.
     """
     if df.isStreaming:
         return df
     want = df.sparkSession.sparkContext.defaultParallelism
-    splits = df.rdd.getNumPartitions()
-    if splits < want or (splits < 4 * want and len(df.inputFiles()) < want):
-        return df.repartition(want)
-    return df
+    return df.repartition(want) if 0 < len(df.inputFiles()) < want else df

@@ -42,10 +42,14 @@ def read_csv_columns(
     pruning reaches the CSV reader, so unused columns are not converted.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
-    raw = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE").csv(paths)
+    options = {"header": True, "sep": sep, "mode": "PERMISSIVE"}
+    raw = spark.read.options(**options).csv(paths)
     missing = [c for c in columns if c not in raw.columns]
     if missing:
         raise ValueError(f"CSV header lacks columns {missing}; found {raw.columns}")
+    # The first header gives the schema; every other file's header must agree
+    # with it, or the read fails instead of taking columns by position.
+    raw = spark.read.schema(raw.schema).options(enforceSchema=False, **options).csv(paths)
     return raw.select(
         *[
             (F.col(f"`{name}`") if typ == "string" else F.col(f"`{name}`").try_cast(typ)).alias(name)

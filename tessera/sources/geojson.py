@@ -47,6 +47,7 @@ def read_features(
     ``layout="collection"``: one FeatureCollection document per file (read as
     multi-line JSON; such a file is one split).  ``layout="lines"``: one
     Feature per line, which splits across tasks -- prefer it for large inputs.
+    A file of the other layout fails the read.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     feature = feature_schema(properties)
@@ -55,9 +56,12 @@ def read_features(
             [T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(feature))]
         )
         raw = spark.read.schema(schema).option("multiLine", True).json(paths)
-        feats = raw.select(F.explode("features").alias("f"))
+        wrong = F.raise_error(F.lit("not a FeatureCollection: read it with layout='lines'?"))
+        feats = raw.select(F.explode(F.coalesce("features", wrong.cast(T.ArrayType(feature)))).alias("f"))
     elif layout == "lines":
-        feats = spark.read.schema(feature).json(paths).select(F.struct("*").alias("f"))
+        wrong = F.raise_error(F.lit("a line is not a Feature: read it with layout='collection'?"))
+        raw = spark.read.schema(feature).json(paths)
+        feats = raw.select(F.when(F.col("type") == "Feature", F.struct("*")).otherwise(wrong.cast(feature)).alias("f"))
     else:
         raise ValueError(f"unknown layout {layout!r}")
     return feats.select(

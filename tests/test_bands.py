@@ -59,3 +59,9 @@ def test_native_and_pandas_banding_agree(spark):
         native = [r[0] for r in df.select(band_expr("v", **kw)).collect()]
         series = band_labels_pandas(pd.Series(values, dtype="float64"), **kw)
         assert native == list(series)
+
+
+def test_fractional_values_between_bands(spark):
+    df = spark.createDataFrame([(17.5,), (24.5,), (64.5,), (18.0,)], "v double")
+    want = [("Children", 1), ("Elderly", 2), ("Young Adults", 1)]
+    assert rows(band_counts(df, "v")) == want == rows(band_counts_udf(df, "v"))

@@ -121,3 +121,18 @@ def test_attach_site_columns(spark):
     assert rows(named, "pid", "site_key", "site_name") == rows(
         nearest_site(pts, sites, "pid", site_cols=["site_name"]), "pid", "site_key", "site_name"
     )
+
+
+def test_every_plan_gives_one_row_per_point(spark):
+    """NULL ids, repeated ids with equal and other places: same rows on all plans."""
+    pts = spark.createDataFrame(
+        [(None, 0.1, 0.1), (None, 5.0, 5.0), (1, 0.2, 0.2), (1, 80.0, 40.0), (2, 0.1, 0.1), (2, 0.1, 0.1), (3, None, 1.0)],
+        "id long, lon double, lat double",
+    )
+    sites = spark.createDataFrame(
+        [(k, 0.1 * k, 0.05 * k) for k in range(40)] + [(99, 80.0, 41.0)], "site_key long, site_lon double, site_lat double"
+    )
+    plans = [dict(form="array"), dict(form="window"), dict(max_broadcast_sites=0), dict(max_broadcast_sites=0, form="window")]
+    key = lambda r: (r["id"] is not None, r["id"] or 0, r["site_key"], round(r["distance_m"], 6))
+    got = [sorted(key(r) for r in nearest_site(pts, sites, "id", **p).collect()) for p in plans]
+    assert len(got[0]) == 6 and all(g == got[0] for g in got)

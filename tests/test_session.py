@@ -18,9 +18,18 @@ def test_checkpoint_dir_comes_from_the_session(spark, tmp_path):
     assert spark.range(3).checkpoint(eager=True).count() == 3
 
 
-def test_spread_only_small_inputs(spark, tmp_path):
+def test_bounded_broadcast_counts_bytes(spark):
+    df = spark.range(10).selectExpr("repeat('x', 1000) AS t")
+    assert bounded_broadcast(df, 100, max_bytes=1000)[1] is False
+    assert bounded_broadcast(df, 100, max_bytes=100_000)[1] is True
+
+
+def test_spread_looks_at_files_only(spark, tmp_path):
     want = spark.sparkContext.defaultParallelism
-    one = spark.range(1000).coalesce(1)
-    assert spread(one).rdd.getNumPartitions() == want
-    many = spark.range(0, 1000, numPartitions=8 * want)
-    assert spread(many).rdd.getNumPartitions() == 8 * want
+    for name, n in (("one", 1), ("many", 2 * want)):
+        spark.range(1000).repartition(n).write.parquet(str(tmp_path / name))
+    assert spread(spark.read.parquet(str(tmp_path / "one"))).rdd.getNumPartitions() == want
+    many = spark.read.parquet(str(tmp_path / "many"))
+    assert spread(many) is many
+    made = spark.range(10)
+    assert spread(made) is made

@@ -31,3 +31,32 @@ def test_positional_schema_reader(spark, tmp_path):
         [T.StructField("X", T.DoubleType()), T.StructField("Y", T.DoubleType()), T.StructField("DIVISION", T.StringType())]
     )
     assert rows(read_csv_schema(spark, str(tmp_path / "s.csv"), schema)) == [(None, 34.1, "Bravo"), (-118.0, 34.0, "Alpha")]
+
+
+def test_reordered_csv_header_fails(spark, tmp_path):
+    import pytest
+
+    from tessera.sources.csv import read_csv_columns
+
+    (tmp_path / "a.csv").write_text("A,B\n1,x\n")
+    (tmp_path / "b.csv").write_text("B,A\ny,2\n")
+    paths = [str(tmp_path / n) for n in ("a.csv", "b.csv")]
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_columns(spark, paths, {"A": "int", "B": "string"}).collect()
+    assert read_csv_columns(spark, paths[:1], {"B": "string"}).collect()[0]["B"] == "x"
+
+
+def test_wrong_geojson_layout_fails(spark, tmp_path):
+    import pytest
+
+    from tessera.sources.geojson import read_features
+
+    f = '{"type":"Feature","properties":{"n":"a"},"geometry":{"type":"Polygon","coordinates":[]}}'
+    (tmp_path / "lines.json").write_text(f + "\n" + f + "\n")
+    (tmp_path / "coll.json").write_text('{"type":"FeatureCollection","features":[' + f + "]}")
+    good = {"lines": "lines.json", "collection": "coll.json"}
+    for layout, name in good.items():
+        assert read_features(spark, str(tmp_path / name), {"n": "string"}, layout).count() >= 1
+    for layout, name in (("lines", "coll.json"), ("collection", "lines.json")):
+        with pytest.raises(Exception, match="layout"):
+            read_features(spark, str(tmp_path / name), {"n": "string"}, layout).collect()

@@ -9,8 +9,18 @@ def test_correlation_edge_cases(spark):
     assert correlation(const, "x", "y").collect()[0][0] is None
     lin = spark.createDataFrame([(float(i), 2.0 * i) for i in range(10)], "x double, y double")
     assert abs(correlation(lin, "x", "y").collect()[0][0] - 1.0) < 1e-12
-    m = moments(lin, "x", "y").collect()[0]
-    assert m["n"] == 10 and m["mean_x"] == 4.5 and m["mean_xy"] == 2 * sum(i * i for i in range(10)) / 10
+
+
+def test_moments_over_complete_rows(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (3.0, 8.0), (None, 5.0), (7.0, None)], "x double, y double")
+    m = moments(df, ["x", "y"]).first().asDict()
+    assert m == {"n": 2, "mean_x": 2.0, "mean_y": 5.0, "var_x": 1.0, "var_y": 9.0, "covar_x_y": 3.0}
+
+
+def test_zero_population_gives_null(spark):
+    blocks = spark.createDataFrame([("A", "1", 0.0)], "area string, zip_code string, population double")
+    income = spark.createDataFrame([("1", 10.0)], "zip_code string, income double")
+    assert rows(weighted_mean_by_area(blocks, income)) == [("A", 0.0, None)]
 
 
 def test_weighted_mean_rates_and_subsets(spark):
