@@ -36,24 +36,26 @@ def sentences(text: bytes | None) -> list[bytes]:
 
 def runs_of(pieces: list[bytes], run: int, min_words: int) -> list[tuple[int, int, bytes]]:
     """(start, end, 128-bit hash) of the sliding runs: ``run`` sentences, and
-    further ones until there are ``min_words`` words.  Case of A-Z and blanks
-    do not count, pieces without words are passed over.  A text of fewer
-    sentences is one run; runs that stay short of the words are none."""
+    further ones until there are ``min_words`` words.  They grow forward from
+    every first sentence and backward from every last one, so a repeated
+    passage is covered from end to end.  Case of A-Z and blanks do not count,
+    pieces without words are passed over.  A text of fewer sentences is one
+    run; runs that stay short of the words are none."""
     words = [(i, p.translate(LOWER_BYTES).split()) for i, p in enumerate(pieces)]
     words = [(i, w) for i, w in words if w]
-    sizes = [len(w) for _, w in words]
-    n = min(run, len(words))
-    out = []
-    for k in range(len(words) - n + 1 if n else 0):
-        end = k + n
-        size = sum(sizes[k:end])
-        while size < min_words and end < len(words):
-            size += sizes[end]
-            end += 1
-        if size >= min_words:
-            key = b"\n".join(b" ".join(w) for _, w in words[k:end])
-            out.append((words[k][0], words[end - 1][0] + 1, xxhash.xxh3_128_digest(key)))
-    return out
+    total = np.concatenate([[0], np.cumsum([len(w) for _, w in words])]).astype(np.int64)
+    n, m = min(run, len(words)), len(words)
+    if not n:
+        return []
+    starts, ends = np.arange(m - n + 1), np.arange(n, m + 1)
+    forward = np.maximum(starts + n, np.searchsorted(total, total[starts] + min_words))
+    backward = np.minimum(ends - n, np.searchsorted(total, total[ends] - min_words, "right") - 1)
+    spans = {(int(a), int(b)) for a, b in zip(starts, forward) if b <= m}
+    spans |= {(int(a), int(b)) for a, b in zip(backward, ends) if a >= 0}
+    joined = [b" ".join(w) for _, w in words]
+    return [
+        (words[a][0], words[b - 1][0] + 1, xxhash.xxh3_128_digest(b"\n".join(joined[a:b]))) for a, b in sorted(spans)
+    ]
 
 
 def _halves(digests: list[bytes]) -> list[pa.Array]:

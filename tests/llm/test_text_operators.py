@@ -153,6 +153,10 @@ def brute_spans(rows, run, min_words):
         for i in range(len(ps) - n + 1 if n else 0):
             ends = [e for e in range(i + n, len(ps) + 1) if sum(len(x.split()) for x in ps[i:e]) >= min_words]
             ws += [(i, tuple(ps[i : ends[0]]))] if ends else []
+        for e in range(n, len(ps) + 1) if n else []:
+            starts = [i for i in range(e - n + 1) if sum(len(x.split()) for x in ps[i:e]) >= min_words]
+            ws += [(starts[-1], tuple(ps[starts[-1] : e]))] if starts else []
+        ws = sorted(set(ws), key=lambda x: (x[0], len(x[1])))
         windows.append(ws)
         for _, w in ws:
             owners[w] = min(owners.get(w, k), k)
