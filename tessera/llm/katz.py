@@ -21,6 +21,7 @@ import pickle
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,7 +34,7 @@ RELIABLE = 5
 CHUNK_TOKENS = 1_500_000
 CHUNK_DOCS = 50_000
 # Bytes of text that one partition of the tables stands for.
-PARTITION_BYTES = 12_000_000
+PARTITION_BYTES = 16_000_000
 
 
 def held_out() -> F.Column:
@@ -149,25 +150,46 @@ def _small(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint8 if top < 256 else np.uint16 if top < 65536 else np.uint32 if top < 2**32 else np.uint64)
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """Sorted 64-bit hashes byte by byte, highest bytes together: those are
-    nearly alike and take little room in a compressed shuffle."""
-    return np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T).tobytes()
+_ARRAY = "ndarray"
 
 
-def _unplanes(x: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(x, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+def _encode(x: object) -> object:
+    """Arrays byte by byte, like bytes of all members together: sorted hashes
+    and small counts then compress well."""
+    if isinstance(x, np.ndarray):
+        raw = np.ascontiguousarray(x).view(np.uint8).reshape(len(x), x.dtype.itemsize)
+        return (_ARRAY, x.dtype.str, raw.T.tobytes())
+    if isinstance(x, dict):
+        return {k: _encode(v) for k, v in x.items()}
+    return [_encode(v) for v in x] if isinstance(x, list) else x
+
+
+def _decode(x: object) -> object:
+    if isinstance(x, tuple) and x and x[0] == _ARRAY:
+        kind = np.dtype(x[1])
+        return np.ascontiguousarray(np.frombuffer(x[2], np.uint8).reshape(kind.itemsize, -1).T).view(kind).ravel()
+    if isinstance(x, dict):
+        return {k: _decode(v) for k, v in x.items()}
+    return [_decode(v) for v in x] if isinstance(x, list) else x
+
+
+def _dump(x: dict) -> bytes:
+    return zstandard.compress(pickle.dumps(_encode(x), 5), 3)
+
+
+def _load(b: bytes) -> dict:
+    return _decode(pickle.loads(zstandard.decompress(b)))
 
 
 def _pack(w: np.ndarray, h: np.ndarray) -> dict:
     """Pairs sorted by word: each word with its number of pairs, histories by place."""
     _, starts = _group(w)
     hu, at = np.unique(h, return_inverse=True)
-    return {"w": _planes(w[starts]), "wn": _small(np.diff(np.append(starts, len(w)))), "hu": _planes(hu), "h": _small(at)}
+    return {"w": w[starts], "wn": _small(np.diff(np.append(starts, len(w)))), "hu": hu, "h": _small(at)}
 
 
 def _unpack(x: dict) -> tuple[np.ndarray, np.ndarray]:
-    return np.repeat(_unplanes(x["w"]), x["wn"].astype(np.int64)), _unplanes(x["hu"])[x["h"]]
+    return np.repeat(x["w"], x["wn"].astype(np.int64)), x["hu"][x["h"]]
 
 
 def _count_parts(docs: DataFrame, parts: int) -> DataFrame:
@@ -180,7 +202,7 @@ def _count_parts(docs: DataFrame, parts: int) -> DataFrame:
             order, starts = _group(part, w, h)
             p, w, h, c = part[order][starts], w[order][starts], h[order][starts], np.diff(np.append(starts, len(order)))
             cuts = np.searchsorted(p, np.arange(parts + 1))
-            rows = [(i, pickle.dumps({**_pack(w[a:b], h[a:b]), "c": _small(c[a:b])}, 5)) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
+            rows = [(i, _dump({**_pack(w[a:b], h[a:b]), "c": _small(c[a:b])})) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
             yield _send(rows)
 
     return docs.mapInArrow(count, "part int, data binary")
@@ -190,7 +212,7 @@ def fit(docs: DataFrame, parts: int) -> KatzModel:
     """Counts of counts over all training documents (``held`` false)."""
 
     def summarise(rows: pd.DataFrame) -> pd.DataFrame:
-        x = [pickle.loads(b) for b in rows["data"]]
+        x = [_load(b) for b in rows["data"]]
         wh = [_unpack(b) for b in x]
         w, h = np.concatenate([a for a, _ in wh]), np.concatenate([b for _, b in wh])
         c = np.concatenate([b["c"].astype(np.int64) for b in x])
@@ -245,7 +267,7 @@ def _request_parts(docs: DataFrame, model: KatzModel) -> DataFrame:
                     "occ": _small(np.diff(np.append(ps, b - a))), "c": _small(_sums(n[a:b] * train[a:b], ps)),
                     "meta": None if rows else meta, **_pack(w[a:b][ps], h[a:b][ps]),
                 }
-                rows.append((i, pickle.dumps(data, 5)))
+                rows.append((i, _dump(data)))
             yield _send(rows)
 
     return docs.mapInArrow(request, "part int, data binary")
@@ -253,7 +275,7 @@ def _request_parts(docs: DataFrame, model: KatzModel) -> DataFrame:
 
 def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     """One partition of the tables: count, score, and what the histories need."""
-    x = [pickle.loads(b) for b in rows["data"]]
+    x = [_load(b) for b in rows["data"]]
     wh = [_unpack(b) for b in x]
     w, h = np.concatenate([a for a, _ in wh]), np.concatenate([b for _, b in wh])
     c = np.concatenate([b["c"].astype(np.int64) for b in x])
@@ -288,7 +310,7 @@ def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
         known = add(n * (pc[pos] > 0))[have].astype(np.int64)
         data = {"docs": have.astype(np.uint16), "score": add(n * value[pos])[have], "base": add(n * base[pos])[have],
                 "known": _small(known), "meta": b["meta"], "row": b["row"]}
-        out.append((int(xhash(b["row"]) % model.parts), pickle.dumps(data, 5)))
+        out.append((int(xhash(b["row"]) % model.parts), _dump(data)))
         new = ~seen[pos]
         late.append((b["row"], ph[pos[new]], b["doc"][new], b["n"][new]))
         b.clear()
@@ -305,10 +327,10 @@ def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
         for row, lh, ld, ln in late:
             m = lh % parts == i
             if m.any():
-                unseen.append((row, lh[m], ld[m], ln[m]))
+                unseen.append([row, lh[m], ld[m], ln[m]])
         if a.any() or b.any() or unseen:
-            data = {"h": _planes(hist[a]), "pu": pu[a], "dm": dm[a], "w": _planes(cw[b]), "c": _small(cc[b]), "unseen": unseen}
-            out.append((i, pickle.dumps(data, 5)))
+            data = {"h": hist[a], "pu": pu[a], "dm": dm[a], "w": cw[b], "c": _small(cc[b]), "unseen": unseen}
+            out.append((i, _dump(data)))
     return pd.DataFrame(out, columns=["part", "data"]).astype({"part": "int32"})
 
 
@@ -322,7 +344,7 @@ _DOC = "row long, doc_id long, held_out boolean, n_tokens long, n_known double,
 
 def _gather(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     """Partial scores of documents, and backoff weights for unseen pairs."""
-    x = [pickle.loads(b) for b in rows["data"]]
+    x = [_load(b) for b in rows["data"]]
     sums, metas = [], []
     for b in x:
         if "docs" not in b:
@@ -339,8 +361,8 @@ def _gather(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     hist = [b for b in x if "h" in b]
     if hist:
         joined = lambda k: np.concatenate([b[k] for b in hist])
-        h = np.concatenate([_unplanes(b["h"]) for b in hist])
-        w = np.concatenate([_unplanes(b["w"]) for b in hist])
+        h = joined("h")
+        w = joined("w")
         order, starts = _group(h)
         hu, pu, dm = h[order][starts], _sums(joined("pu")[order], starts), _sums(joined("dm")[order], starts)
         # A word that is not spread is counted by one partition only.
