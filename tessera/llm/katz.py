@@ -34,7 +34,7 @@ RELIABLE = 5
 CHUNK_TOKENS = 1_500_000
 CHUNK_DOCS = 50_000
 # Bytes of text that one partition of the tables stands for.
-PARTITION_BYTES = 16_000_000
+PARTITION_BYTES = 24_000_000
 
 
 def held_out() -> F.Column:
@@ -174,7 +174,7 @@ def _decode(x: object) -> object:
 
 
 def _dump(x: dict) -> bytes:
-    return zstandard.compress(pickle.dumps(_encode(x), 5), 3)
+    return zstandard.compress(pickle.dumps(_encode(x), 5), 6)
 
 
 def _load(b: bytes) -> dict:
@@ -309,7 +309,7 @@ def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
         have = np.unique(doc)
         known = add(n * (pc[pos] > 0))[have].astype(np.int64)
         data = {"docs": have.astype(np.uint16), "score": add(n * value[pos])[have], "base": add(n * base[pos])[have],
-                "known": _small(known), "meta": b["meta"], "row": b["row"]}
+                "known": _small(known), "meta": b["meta"], "row": b["row"], "size": b["docs"]}
         out.append((int(xhash(b["row"]) % model.parts), _dump(data)))
         new = ~seen[pos]
         late.append((b["row"], ph[pos[new]], b["doc"][new], b["n"][new]))
@@ -339,30 +339,29 @@ def xhash(row: int) -> int:
     return int(mix(np.array([row], np.uint64), np.array([0x5BD1E995], np.uint64))[0])
 
 
-_DOC = "row long, doc_id long, held_out boolean, n_tokens long, n_known double, base double, score double"
+_DOC = "doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double"
 
 
 def _gather(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
-    """Partial scores of documents, and backoff weights for unseen pairs."""
+    """Partial scores summed for each chunk, and backoff weights for unseen
+    pairs: again packed by chunk, one row for each chunk and partition."""
     x = [_load(b) for b in rows["data"]]
-    sums, metas = [], []
+    out = []
+    sums: dict[int, dict] = {}
     for b in x:
-        if "docs" not in b:
-            continue
-        sums.append(
-            pd.DataFrame({"row": b["docs"] + np.int64(b["row"]), "n_known": b["known"].astype(float), "base": b["base"], "score": b["score"]})
-        )
-        if b["meta"]:
-            m = b["meta"]
-            metas.append(
-                pd.DataFrame({"row": b["row"] + np.arange(len(m["ids"])), "doc_id": pd.array(m["ids"], "Int64"),
-                              "held_out": pd.array(m["held"], "boolean"), "n_tokens": pd.array(m["n"].astype(np.int64), "Int64")})
-            )
+        if "docs" in b:
+            own = sums.setdefault(b["row"], {"meta": None})
+            if b["meta"]:
+                own["meta"] = b["meta"]
+            for k in ("score", "base", "known"):
+                own[k] = own.get(k, 0) + np.bincount(b["docs"], b[k], b["size"])
+    for row, own in sums.items():
+        own["known"] = _small(own["known"].astype(np.int64))
+        out.append((row, _dump(own)))
     hist = [b for b in x if "h" in b]
     if hist:
         joined = lambda k: np.concatenate([b[k] for b in hist])
-        h = joined("h")
-        w = joined("w")
+        h, w = joined("h"), joined("w")
         order, starts = _group(h)
         hu, pu, dm = h[order][starts], _sums(joined("pu")[order], starts), _sums(joined("dm")[order], starts)
         # A word that is not spread is counted by one partition only.
@@ -372,28 +371,37 @@ def _gather(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
         if len(w):
             at = np.minimum(np.searchsorted(w, hu), len(w) - 1)
             c = np.where(w[at] == hu, counts[at], 0)
-        late = [t for b in hist for t in b["unseen"]]
-        lh = np.concatenate([t[1] for t in late]) if late else np.empty(0, np.uint64)
-        ld = np.concatenate([t[2] + np.int64(t[0]) for t in late]) if late else np.empty(0, np.int64)
-        ln = np.concatenate([t[3] for t in late]) if late else np.empty(0)
         hot, at = model.spread_at(hu)
         if len(model.spread_counts):
             c = np.where(hot, model.spread_counts[at], c)
         c = np.where(hu == START, model.docs, c)
         ok = c > 0
         weight = np.where(ok, np.log10(np.where(ok, c - dm, 1.0)) - np.log10(np.maximum(1 - pu, 1e-300)), 0.0)
-        if len(hu) and len(lh):
-            at = np.minimum(np.searchsorted(hu, lh), len(hu) - 1)
-            v = np.where(hu[at] == lh, weight[at], 0.0) * ln
-            ur, inv = np.unique(ld, return_inverse=True)
-            sums.append(pd.DataFrame({"row": ur, "n_known": 0.0, "base": 0.0, "score": np.bincount(inv, v)}))
-    names = ["row", "doc_id", "held_out", "n_tokens", "n_known", "base", "score"]
-    if not sums:
-        return pd.DataFrame(columns=names)
-    out = pd.concat(sums, ignore_index=True).groupby("row", as_index=False).sum()
-    if not metas:
-        return out.reindex(columns=names).astype({"doc_id": "Int64", "held_out": "boolean", "n_tokens": "Int64"})
-    return out.merge(pd.concat(metas, ignore_index=True), on="row", how="outer").reindex(columns=names)
+        late: dict[int, list] = {}
+        for b in hist:
+            for row, lh, ld, ln in b["unseen"]:
+                if len(hu):
+                    at = np.minimum(np.searchsorted(hu, lh), len(hu) - 1)
+                    late.setdefault(row, []).append((ld, np.where(hu[at] == lh, weight[at], 0.0) * ln))
+        for row, parts in late.items():
+            docs, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+            value = np.bincount(at, np.concatenate([p[1] for p in parts]))
+            out.append((row, _dump({"docs": docs, "late": value})))
+    return pd.DataFrame(out, columns=["chunk", "data"]).astype({"chunk": "int64"})
+
+
+def _finish(rows: pd.DataFrame) -> pd.DataFrame:
+    """The documents of one chunk."""
+    x = [_load(b) for b in rows["data"]]
+    own = next(b for b in x if "meta" in b)
+    score, m = own["score"], own["meta"]
+    for b in x:
+        if "late" in b:
+            score = score + np.bincount(b["docs"], b["late"], len(score))
+    return pd.DataFrame(
+        {"doc_id": pd.array(m["ids"], "Int64"), "held_out": m["held"], "n_tokens": m["n"].astype(np.int64),
+         "n_known": own["known"].astype(np.int64), "base": own["base"], "score": score}
+    )
 
 
 def score_documents(docs: DataFrame, partition_bytes: int = PARTITION_BYTES) -> DataFrame:
@@ -411,15 +419,8 @@ def score_documents(docs: DataFrame, partition_bytes: int = PARTITION_BYTES) ->
     parts = int(max(4, -(-size // partition_bytes)))
     model = fit(d, parts)
     scored = _request_parts(d, model).groupBy("part").applyInPandas(lambda r: _score_part(r, model), "part int, data binary")
-    rows = scored.groupBy("part").applyInPandas(lambda r: _gather(r, model), _DOC)
-    out = rows.groupBy("row").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("held_out").alias("held_out"),
-        F.max("n_tokens").alias("n_tokens"),
-        F.sum("n_known").cast("long").alias("n_known"),
-        F.sum("base").alias("base"),
-        F.sum("score").alias("score"),
-    )
+    sums = scored.groupBy("part").applyInPandas(lambda r: _gather(r, model), "chunk long, data binary")
+    out = sums.groupBy("chunk").applyInPandas(_finish, _DOC)
     n, v = model.tokens, model.types
     first = float(-np.log10(model.docs)) if model.docs else 0.0
     return out.select(
