@@ -104,7 +104,8 @@ def _chunks(batches: Batches, only_training: bool):
     tokens or CHUNK_DOCS documents; a longer document is a chunk of its own."""
     hashes, row = WordHashes(), TaskContext.get().partitionId() << 40
     ids, held, words, size = [], [], [], 0
-    for batch in batches:
+    # Few texts at a time are held as Python objects.
+    for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
         for k, out, t in zip(batch.column("doc_id").to_pylist(), batch.column("held").to_pylist(), as_bytes(batch, "text")):
             if only_training and out:
                 continue
@@ -255,6 +256,7 @@ def _request_parts(docs: DataFrame, model: KatzModel) -> DataFrame:
             order, starts = _group(part, w, h, doc)
             p, w, h, doc, n = part[order][starts], w[order][starts], h[order][starts], doc[order][starts], np.diff(np.append(starts, len(order)))
             train = train[order][starts]
+            del key, hot, part, order, starts
             meta = {"ids": ids, "held": held, "n": _small(np.array([len(x) + 1 for x in words]))}
             cuts = np.searchsorted(p, np.arange(model.parts + 1))
             rows = []
