@@ -17,6 +17,7 @@ gives the unseen pairs their weight.
 from __future__ import annotations
 
 import pickle
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -31,10 +32,14 @@ from tessera.llm.common import Batches, WordHashes, as_bytes, blank_words, mix,
 END, START = np.uint64(1), np.uint64(2)
 # Counts above this are taken as reliable by Good and Turing's formula.
 RELIABLE = 5
-CHUNK_TOKENS = 1_500_000
+CHUNK_TOKENS = 750_000
+# Counting keeps no documents apart, so its chunks can be larger.
+COUNT_TOKENS = 1_500_000
+# Bytes sent in one batch.
+SEND_BYTES = 2_000_000
 CHUNK_DOCS = 50_000
 # Bytes of text that one partition of the tables stands for.
-PARTITION_BYTES = 24_000_000
+PARTITION_BYTES = 48_000_000
 
 
 def held_out() -> F.Column:
@@ -89,9 +94,11 @@ class KatzModel:
 def _group(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order that sorts by the keys (first key first), and where groups start."""
     order = np.lexsort(keys[::-1])
-    new = np.ones(len(order), bool)
-    if len(order):
-        new[1:] = np.any([k[order][1:] != k[order][:-1] for k in keys], axis=0)
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for k in keys:
+        k = k[order]
+        new[1:] |= k[1:] != k[:-1]
     return order, np.flatnonzero(new)
 
 
@@ -99,8 +106,8 @@ def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else values[:0]
 
 
-def _chunks(batches: Batches, only_training: bool):
-    """(first row, doc ids, held out, word arrays) of at most CHUNK_TOKENS
+def _chunks(batches: Batches, only_training: bool, tokens: int = CHUNK_TOKENS):
+    """(first row, doc ids, held out, word arrays) of at most ``tokens``
     tokens or CHUNK_DOCS documents; a longer document is a chunk of its own."""
     hashes, row = WordHashes(), TaskContext.get().partitionId() << 40
     ids, held, words, size = [], [], [], 0
@@ -111,7 +118,7 @@ def _chunks(batches: Batches, only_training: bool):
                 continue
             w = hashes.of(blank_words(t))
             w += np.uint64(3) * (w < 3)  # keep clear of the two marks
-            if ids and (size + len(w) + 1 > CHUNK_TOKENS or len(ids) >= CHUNK_DOCS):
+            if ids and (size + len(w) + 1 > tokens or len(ids) >= CHUNK_DOCS):
                 yield row, ids, held, words
                 row += len(ids)
                 ids, held, words, size = [], [], [], 0
@@ -139,10 +146,18 @@ def _pairs(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return w, h, np.repeat(np.arange(len(words), dtype=np.uint16), n)
 
 
-def _send(rows: list[tuple[int, bytes]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary())], names=["part", "data"]
-    )
+def _send(rows: Iterator[tuple[int, bytes]]) -> Batches:
+    """Batches of about SEND_BYTES, so that a chunk's rows are not all held at once."""
+    part, data, size = [], [], 0
+    for p, b in rows:
+        part.append(p)
+        data.append(b)
+        size += len(b)
+        if size >= SEND_BYTES:
+            yield pa.record_batch([pa.array(part, pa.int32()), pa.array(data, pa.binary())], names=["part", "data"])
+            part, data, size = [], [], 0
+    if part:
+        yield pa.record_batch([pa.array(part, pa.int32()), pa.array(data, pa.binary())], names=["part", "data"])
 
 
 def _small(x: np.ndarray) -> np.ndarray:
@@ -197,14 +212,14 @@ def _count_parts(docs: DataFrame, parts: int) -> DataFrame:
     """Training pairs with their counts, packed by chunk, for each partition."""
 
     def count(batches: Batches) -> Batches:
-        for _, _, _, words in _chunks(batches, True):
+        for _, _, _, words in _chunks(batches, True, COUNT_TOKENS):
             w, h, _ = _pairs(words)
             part = (w % np.uint64(parts)).astype(np.int32)
             order, starts = _group(part, w, h)
             p, w, h, c = part[order][starts], w[order][starts], h[order][starts], np.diff(np.append(starts, len(order)))
             cuts = np.searchsorted(p, np.arange(parts + 1))
-            rows = [(i, _dump({**_pack(w[a:b], h[a:b]), "c": _small(c[a:b])})) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a]
-            yield _send(rows)
+            del part, order, starts
+            yield from _send((i, _dump({**_pack(w[a:b], h[a:b]), "c": _small(c[a:b])})) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a)
 
     return docs.mapInArrow(count, "part int, data binary")
 
@@ -259,18 +274,21 @@ def _request_parts(docs: DataFrame, model: KatzModel) -> DataFrame:
             del key, hot, part, order, starts
             meta = {"ids": ids, "held": held, "n": _small(np.array([len(x) + 1 for x in words]))}
             cuts = np.searchsorted(p, np.arange(model.parts + 1))
-            rows = []
-            for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-                if b == a:
-                    continue
-                _, ps = _group(w[a:b], h[a:b])
-                data = {
-                    "row": row, "docs": len(ids), "doc": doc[a:b], "n": _small(n[a:b]),
-                    "occ": _small(np.diff(np.append(ps, b - a))), "c": _small(_sums(n[a:b] * train[a:b], ps)),
-                    "meta": None if rows else meta, **_pack(w[a:b][ps], h[a:b][ps]),
-                }
-                rows.append((i, _dump(data)))
-            yield _send(rows)
+
+            def packed(w=w, h=h, doc=doc, n=n, train=train, cuts=cuts, meta=meta, row=row, docs=len(ids)):
+                for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
+                    if b == a:
+                        continue
+                    _, ps = _group(w[a:b], h[a:b])
+                    data = {
+                        "row": row, "docs": docs, "doc": doc[a:b], "n": _small(n[a:b]),
+                        "occ": _small(np.diff(np.append(ps, b - a))), "c": _small(_sums(n[a:b] * train[a:b], ps)),
+                        "meta": meta, **_pack(w[a:b][ps], h[a:b][ps]),
+                    }
+                    meta = None  # the chunk's first row carries it
+                    yield i, _dump(data)
+
+            yield from _send(packed())
 
     return docs.mapInArrow(request, "part int, data binary")
 
