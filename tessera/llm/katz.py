@@ -32,14 +32,14 @@ from tessera.llm.common import Batches, WordHashes, as_bytes, blank_words, mix,
 END, START = np.uint64(1), np.uint64(2)
 # Counts above this are taken as reliable by Good and Turing's formula.
 RELIABLE = 5
-CHUNK_TOKENS = 750_000
+CHUNK_TOKENS = 1_000_000
 # Counting keeps no documents apart, so its chunks can be larger.
 COUNT_TOKENS = 1_500_000
 # Bytes sent in one batch.
 SEND_BYTES = 2_000_000
 CHUNK_DOCS = 50_000
 # Bytes of text that one partition of the tables stands for.
-PARTITION_BYTES = 48_000_000
+PARTITION_BYTES = 32_000_000
 
 
 def held_out() -> F.Column:
@@ -160,6 +160,12 @@ def _send(rows: Iterator[tuple[int, bytes]]) -> Batches:
         yield pa.record_batch([pa.array(part, pa.int32()), pa.array(data, pa.binary())], names=["part", "data"])
 
 
+def _dealt(rows: DataFrame, parts: int) -> DataFrame:
+    """One task for each partition of the tables: tasks that hold several would
+    sort them all in memory before the first is done."""
+    return rows.repartition(parts, "part")
+
+
 def _small(x: np.ndarray) -> np.ndarray:
     """Counts in as few bytes as they need."""
     top = int(x.max(initial=0))
@@ -208,6 +214,20 @@ def _unpack(x: dict) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(x["w"], x["wn"].astype(np.int64)), x["hu"][x["h"]]
 
 
+def _joined(chunks: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[int]]:
+    """Words, histories and counts of all chunks' pairs, and each chunk's number
+    of pairs.  The packed forms are given up on the way."""
+    sizes = [len(x["h"]) for x in chunks]
+    total = sum(sizes)
+    w, h, c, at = np.empty(total, np.uint64), np.empty(total, np.uint64), np.empty(total, np.int64), 0
+    for x, k in zip(chunks, sizes):
+        w[at : at + k], h[at : at + k] = _unpack(x)
+        c[at : at + k] = x.pop("c")
+        del x["w"], x["wn"], x["hu"], x["h"]
+        at += k
+    return w, h, c, sizes
+
+
 def _count_parts(docs: DataFrame, parts: int) -> DataFrame:
     """Training pairs with their counts, packed by chunk, for each partition."""
 
@@ -228,12 +248,10 @@ def fit(docs: DataFrame, parts: int) -> KatzModel:
     """Counts of counts over all training documents (``held`` false)."""
 
     def summarise(rows: pd.DataFrame) -> pd.DataFrame:
-        x = [_load(b) for b in rows["data"]]
-        wh = [_unpack(b) for b in x]
-        w, h = np.concatenate([a for a, _ in wh]), np.concatenate([b for _, b in wh])
-        c = np.concatenate([b["c"].astype(np.int64) for b in x])
+        w, h, c, _ = _joined([_load(b) for b in rows["data"]])
         order, starts = _group(w, h)
-        pair, w = _sums(c[order], starts), w[order][starts]
+        pair, w = _sums(c[order], starts), w[order[starts]]
+        del h, c, order, starts
         _, ws = _group(w)
         word, w = _sums(pair, ws), w[ws]
         top = np.argsort(-word, kind="stable")[:64]
@@ -246,7 +264,7 @@ def fit(docs: DataFrame, parts: int) -> KatzModel:
         )
 
     schema = "tokens long, types long, n1 array<long>, n2 array<long>, docs long, top array<long>, count array<long>"
-    rows = _count_parts(docs, parts).groupBy("part").applyInPandas(summarise, schema).collect()
+    rows = _dealt(_count_parts(docs, parts), parts).groupBy("part").applyInPandas(summarise, schema).collect()
     tokens = sum(r["tokens"] for r in rows)
     total = lambda k: np.array([r[k] for r in rows]).sum(axis=0) if rows else np.zeros(RELIABLE + 1, int)
     spread = {
@@ -296,12 +314,11 @@ def _request_parts(docs: DataFrame, model: KatzModel) -> DataFrame:
 def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     """One partition of the tables: count, score, and what the histories need."""
     x = [_load(b) for b in rows["data"]]
-    wh = [_unpack(b) for b in x]
-    w, h = np.concatenate([a for a, _ in wh]), np.concatenate([b for _, b in wh])
-    c = np.concatenate([b["c"].astype(np.int64) for b in x])
+    w, h, c, sizes = _joined(x)
     order, starts = _group(w, h)
     pair = _sums(c[order], starts)
-    pw, ph = w[order][starts], h[order][starts]
+    pw, ph = w[order[starts]], h[order[starts]]
+    del w, h, c
     _, ws = _group(pw)
     uw, uc = pw[ws], _sums(pair, ws)
     hot, at = model.spread_at(uw)
@@ -316,12 +333,11 @@ def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     value -= np.where((pc > 0) & (pw != END), np.log10(np.maximum(pc, 1)), 0.0)
     base = np.log10(pc + 0.5)
     # Back from the sorted pairs to each chunk's pairs and documents.
-    place = np.empty(len(w), np.int32)
+    place = np.empty(len(order), np.int32)
     place[order] = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(order))))
-    del w, h, c, wh, order, starts
+    del order, starts
     out, late, upto = [], [], 0
-    for b in x:
-        k = len(b["h"])
+    for b, k in zip(x, sizes):
         pos = np.repeat(place[upto : upto + k], b["occ"].astype(np.int64))
         upto += k
         n, doc = b["n"].astype(np.float64), b["doc"].astype(np.int64)
@@ -438,8 +454,8 @@ def score_documents(docs: DataFrame, partition_bytes: int = PARTITION_BYTES) ->
     size = d.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = int(max(4, -(-size // partition_bytes)))
     model = fit(d, parts)
-    scored = _request_parts(d, model).groupBy("part").applyInPandas(lambda r: _score_part(r, model), "part int, data binary")
-    sums = scored.groupBy("part").applyInPandas(lambda r: _gather(r, model), "chunk long, data binary")
+    scored = _dealt(_request_parts(d, model), parts).groupBy("part").applyInPandas(lambda r: _score_part(r, model), "part int, data binary")
+    sums = _dealt(scored, parts).groupBy("part").applyInPandas(lambda r: _gather(r, model), "chunk long, data binary")
     out = sums.groupBy("chunk").applyInPandas(_finish, _DOC)
     n, v = model.tokens, model.types
     first = float(-np.log10(model.docs)) if model.docs else 0.0
