@@ -39,7 +39,7 @@ COUNT_TOKENS = 1_500_000
 SEND_BYTES = 2_000_000
 CHUNK_DOCS = 50_000
 # Bytes of text that one partition of the tables stands for.
-PARTITION_BYTES = 32_000_000
+PARTITION_BYTES = 26_000_000
 
 
 def held_out() -> F.Column:
@@ -166,6 +166,12 @@ def _dealt(rows: DataFrame, parts: int) -> DataFrame:
     return rows.repartition(parts, "part")
 
 
+def _release() -> None:
+    """Give freed memory back to the system; the worker goes on to other steps."""
+    pa.default_memory_pool().release_unused()
+    pa.system_memory_pool().release_unused()
+
+
 def _small(x: np.ndarray) -> np.ndarray:
     """Counts in as few bytes as they need."""
     top = int(x.max(initial=0))
@@ -240,6 +246,8 @@ def _count_parts(docs: DataFrame, parts: int) -> DataFrame:
             cuts = np.searchsorted(p, np.arange(parts + 1))
             del part, order, starts
             yield from _send((i, _dump({**_pack(w[a:b], h[a:b]), "c": _small(c[a:b])})) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a)
+            del w, h, c, words
+            _release()
 
     return docs.mapInArrow(count, "part int, data binary")
 
@@ -307,12 +315,15 @@ def _request_parts(docs: DataFrame, model: KatzModel) -> DataFrame:
                     yield i, _dump(data)
 
             yield from _send(packed())
+            del packed, w, h, doc, n, train, words
+            _release()
 
     return docs.mapInArrow(request, "part int, data binary")
 
 
 def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     """One partition of the tables: count, score, and what the histories need."""
+    _release()
     x = [_load(b) for b in rows["data"]]
     w, h, c, sizes = _joined(x)
     order, starts = _group(w, h)
@@ -381,6 +392,7 @@ _DOC = "doc_id long, held_out boolean, n_tokens long, n_known long, base double,
 def _gather(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     """Partial scores summed for each chunk, and backoff weights for unseen
     pairs: again packed by chunk, one row for each chunk and partition."""
+    _release()
     x = [_load(b) for b in rows["data"]]
     out = []
     sums: dict[int, dict] = {}
