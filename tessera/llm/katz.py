@@ -39,7 +39,7 @@ COUNT_TOKENS = 1_500_000
 SEND_BYTES = 2_000_000
 CHUNK_DOCS = 50_000
 # Bytes of text that one partition of the tables stands for.
-PARTITION_BYTES = 26_000_000
+PARTITION_BYTES = 32_000_000
 
 
 def held_out() -> F.Column:
@@ -161,9 +161,9 @@ def _send(rows: Iterator[tuple[int, bytes]]) -> Batches:
 
 
 def _dealt(rows: DataFrame, parts: int) -> DataFrame:
-    """One task for each partition of the tables: tasks that hold several would
-    sort them all in memory before the first is done."""
-    return rows.repartition(parts, "part")
+    """One task for each partition of the tables: a task that holds several would
+    sort them all before the first is done."""
+    return rows.repartitionById(parts, F.col("part"))
 
 
 def _release() -> None:
