@@ -60,10 +60,18 @@ def feature_counts(train: DataFrame) -> DataFrame:
     """(feature, toxic, docs): documents with the feature, over all training rows."""
 
     def count(batches: Batches) -> Batches:
+        known: dict[bytes, tuple] = {}
         for batch in batches:
             toxic, docs = Counter(), Counter()
             for t, y in zip(as_bytes(batch, "text"), batch.column("toxic").to_pylist()):
-                own = {f for w in set(alnum_words(t)) for f in features_of(w)}
+                own = set()
+                for w in set(alnum_words(t)):
+                    f = known.get(w)
+                    if f is None:
+                        if len(known) >= 100_000:
+                            known.clear()
+                        f = known[w] = features_of(w)
+                    own.update(f)
                 docs.update(own)
                 if y:
                     toxic.update(own)
@@ -106,9 +114,36 @@ class ToxicModel:
         return any(f in self.labelled for f in features_of(word))
 
 
-def chain_marginals(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+class Emissions(dict):
+    """The second state's score of each word, kept while the vocabulary is small."""
+
+    LIMIT = 300_000
+
+    def __init__(self, model: ToxicModel):
+        super().__init__()
+        self.odds = model.odds
+        self.w = [float(x) for x in model.w]
+
+    def __missing__(self, word: bytes) -> float:
+        if len(self) >= self.LIMIT:
+            self.clear()
+        score = self.w[3]
+        for f, w in zip(features_of(word), self.w):
+            odds = self.odds.get(f)
+            if odds is not None:
+                score += odds * w
+        self[word] = score
+        return score
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, words), np.float64, len(words))
+
+
+def chain_marginals(
+    emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray, count_pairs: bool = True
+) -> tuple[np.ndarray, np.ndarray]:
     """Marginal of the second state for every token, and the expected counts
-    of the four transitions.
+    of the four transitions (zeros without ``count_pairs``).
 
     ``emit`` has the second state's score of all tokens, chain after chain (the
     first state's is 0).  Chains of similar length go through the forward and
@@ -145,7 +180,7 @@ def chain_marginals(emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray) ->
             g = alpha * beta
             g /= g.sum(axis=2, keepdims=True)
             p[pos[inside]] = g[:, :, 1][inside]
-            if steps > 1:
+            if count_pairs and steps > 1:
                 x = alpha[:, :-1, :, None] * m[None, None] * (e[:, 1:] * beta[:, 1:])[:, :, None, :]
                 x /= x.sum(axis=(2, 3), keepdims=True)
                 pairs += x[inside[:, 1:]].sum(axis=0)
@@ -196,11 +231,11 @@ def _fit_chain(model: ToxicModel, rows: list[tuple[bytes, int]], rounds: int = 3
 
 def _fit_score(model: ToxicModel, rows: list[tuple[bytes, int]], prior: float) -> None:
     """Logistic regression on the documents' marginals, classes weighted to ``prior``."""
-    cache: dict = {}
+    emissions = Emissions(model)
     f, y = [], []
     for text, toxic in rows:
         w, n = _tokens(text)
-        f.append(_summary(chain_marginals(model.inputs(w, cache) @ model.w, np.array(n, int), model.t)[0]))
+        f.append(_summary(chain_marginals(emissions.of(w), np.array(n, int), model.t, count_pairs=False)[0]))
         y.append(float(toxic))
     f, y = np.array(f), np.array(y)
     share_ = max(1e-9, y.mean()), max(1e-9, 1 - y.mean())
@@ -257,12 +292,12 @@ def fit_toxic_model(
     return model
 
 
-def _score_texts(texts: list[bytes | None], model: ToxicModel, cache: dict) -> list[tuple[float, np.ndarray]]:
+def _score_texts(texts: list[bytes | None], model: ToxicModel, emissions: Emissions) -> list[tuple[float, np.ndarray]]:
     """(score, marginal of each word) of every text."""
     parts = [_tokens(t) for t in texts]
     words = [w for ws, _ in parts for w in ws]
     lengths = np.array([n for _, ns in parts for n in ns], int)
-    p, _ = chain_marginals(model.inputs(words, cache) @ model.w, lengths, model.t)
+    p, _ = chain_marginals(emissions.of(words), lengths, model.t, count_pairs=False)
     each = np.split(p, np.cumsum([len(ws) for ws, _ in parts])[:-1])
     return [(float(1 / (1 + np.exp(-np.clip(_summary(own) @ model.score_w, -30, 30)))), own) for own in each]
 
@@ -278,12 +313,13 @@ def tag_toxic(docs: DataFrame, model: ToxicModel, span_at: float = 0.5) -> DataF
     span = pa.struct([("start", pa.int32()), ("end", pa.int32()), ("marginal", pa.float64())])
 
     def tag(batches: Batches) -> Batches:
-        model, cache = shared(sent), {}
+        model = shared(sent)
+        emissions = Emissions(model)
         for batch in batches:
             scores, spans = [], []
             for at in range(0, batch.num_rows, 256):
                 texts = as_bytes(batch.slice(at, 256), "text")
-                for t, (s, own) in zip(texts, _score_texts(texts, model, cache)):
+                for t, (s, own) in zip(texts, _score_texts(texts, model, emissions)):
                     scores.append(s)
                     hot = np.flatnonzero(own >= span_at)
                     found = []
@@ -321,11 +357,12 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     sent = share(docs.sparkSession, model)
 
     def keep(batches: Batches) -> Batches:
-        model, cache = shared(sent), {}
+        model = shared(sent)
+        emissions = Emissions(model)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                scores = [s for s, _ in _score_texts(as_bytes(part, "text"), model, cache)]
+                scores = [s for s, _ in _score_texts(as_bytes(part, "text"), model, emissions)]
                 yield part.filter(pa.array([s < threshold for s in scores], pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)
