@@ -107,10 +107,11 @@ def _feature_text(zone_id: Column, name: Column, geom_type: Column, coords_json:
     )
 
 
-def supplier_zone_geojson(supplier: DataFrame) -> DataFrame:
+def supplier_zone_geojson(supplier: DataFrame, null_every: int | None = None) -> DataFrame:
     """supplier -> (s_suppkey, s_name, geojson): one zone per supplier, a
     diamond around its site whose size steps with the key; keys with
-    remainder 1 mod 3 get a hole, remainder 2 a two-part MultiPolygon."""
+    remainder 1 mod 3 get a hole, remainder 2 a two-part MultiPolygon.
+    With ``null_every``, its multiples render a null geometry."""
     k = F.col("s_suppkey")
     cx = _scatter((k % 97) * 7919, 97, LON0, LON_SPAN)
     cy = _scatter((k % 89) * 104729, 89, LAT0, LAT_SPAN)
@@ -132,9 +133,15 @@ def supplier_zone_geojson(supplier: DataFrame) -> DataFrame:
         .otherwise(F.to_json(F.array(outer)))
     )
     geom_type = F.when(kind == 2, "MultiPolygon").otherwise("Polygon")
-    return supplier.select(
-        "s_suppkey", "s_name", _feature_text(k, F.col("s_name"), geom_type, coords).alias("geojson")
-    )
+    feature = _feature_text(k, F.col("s_name"), geom_type, coords)
+    if null_every is not None:
+        empty = F.concat(
+            F.lit('{"type":"Feature","properties":'),
+            F.to_json(F.struct(k.alias("zone_id"), F.col("s_name").alias("name"))),
+            F.lit(',"geometry":null}'),
+        )
+        feature = F.when(k % null_every == 0, empty).otherwise(feature)
+    return supplier.select("s_suppkey", "s_name", feature.alias("geojson"))
 
 
 def nation_customers(customer: DataFrame) -> DataFrame:
@@ -241,14 +248,14 @@ def sql_diamond_inside(px: str, py: str, cx: str, cy: str, a: str, b: str) -> st
     return f"(abs({px} - ({cx}))/({a}) + abs({py} - ({cy}))/({b}) < 1)"
 
 
-def sql_zone_contains(px: str, py: str) -> str:
-    """Containment in the nation zone (z.*) written analytically, independent
-    of the edge-based test used on the Spark side."""
+def sql_zone_contains(px: str, py: str, kind: str = "z.n_regionkey") -> str:
+    """Containment in the zone (z.*) written analytically, independent of the
+    edge-based test used on the Spark side; ``kind`` is 1 with a hole, 2 in two parts."""
     outer = sql_diamond_inside(px, py, "z.cx", "z.cy", "z.a", "z.b")
     in_hole_or_edge = f"(abs({px} - z.cx)/(z.a*0.5e0) + abs({py} - z.cy)/(z.b*0.5e0) <= 1)"
     left = sql_diamond_inside(px, py, "z.cx - z.a*0.5e0", "z.cy", "z.a*0.4e0", "z.b*0.4e0")
     right = sql_diamond_inside(px, py, "z.cx + z.a*0.5e0", "z.cy", "z.a*0.4e0", "z.b*0.4e0")
     return (
-        f"(CASE WHEN z.n_regionkey = 1 THEN {outer} AND NOT {in_hole_or_edge} "
-        f"WHEN z.n_regionkey = 2 THEN {left} OR {right} ELSE {outer} END)"
+        f"(CASE WHEN {kind} = 1 THEN {outer} AND NOT {in_hole_or_edge} "
+        f"WHEN {kind} = 2 THEN {left} OR {right} ELSE {outer} END)"
     )

@@ -148,6 +148,13 @@ FROM p JOIN z ON {sql_zone_contains('p.lon', 'p.lat')}
 WHERE p.lat <> 0 AND p.lon <> 0
 GROUP BY 1, 2"""
 
+POINTS_IN_SUPPLIER_ZONES = f"""
+WITH p AS ({SQL_EVENT_POINTS}), z AS ({SQL_SUPPLIER_ZONE_FRAME})
+SELECT z.s_suppkey AS zone_id, z.s_name AS zone_name, COUNT(*) AS cnt
+FROM p JOIN z ON {sql_zone_contains('p.lon', 'p.lat', 'z.kind')}
+WHERE p.lat <> 0 AND p.lon <> 0 AND z.s_suppkey % {Q.NULL_GEOMETRY_EVERY} <> 0
+GROUP BY 1, 2"""
+
 _AREAS = f"""
 WITH cust AS ({SQL_NATION_CUSTOMERS}),
 blocks AS (
@@ -245,6 +252,7 @@ ORACLE: dict[str, str] = {
     "currency_parse": CURRENCY_PARSE,
     "zones_from_geojson": ZONES_FROM_GEOJSON,
     "points_in_zones": POINTS_IN_ZONES,
+    "points_in_supplier_zones": POINTS_IN_SUPPLIER_ZONES,
     "zone_weighted_mean": ZONE_WEIGHTED_MEAN,
     "zone_rates": ZONE_RATES,
     "richest_zones": RICHEST_ZONES,

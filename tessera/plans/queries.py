@@ -42,6 +42,7 @@ YEAR_WINDOW = (1997, 1998)
 EVENT_YEAR_WINDOW = (2023, 2024)
 RATE_YEARS = 2.0
 TOP_K_AREAS = 10
+NULL_GEOMETRY_EVERY = 11
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -232,16 +233,21 @@ def _zones(spark, base, materialise: bool = True) -> DataFrame:
     return zones.checkpoint(eager=True) if materialise else zones
 
 
-def q_zones_from_geojson(spark, base):
-    """One GeoJSON feature per supplier, parsed into edges and a box."""
-    g = derived.supplier_zone_geojson(_t(spark, base, "supplier"))
+def _supplier_features(spark, base, null_every: int | None = None) -> DataFrame:
+    """One parsed GeoJSON feature per supplier."""
+    g = derived.supplier_zone_geojson(_t(spark, base, "supplier"), null_every)
     f = g.select(F.from_json("geojson", feature_schema({"zone_id": "long", "name": "string"})).alias("f"))
-    feats = f.select(
+    return f.select(
         F.col("f.properties.zone_id").alias("zone_id"),
         F.col("f.properties.name").alias("zone_name"),
         F.col("f.geometry.type").alias("geom_type"),
         F.col("f.geometry.coordinates").alias("coordinates"),
     )
+
+
+def q_zones_from_geojson(spark, base):
+    """One GeoJSON feature per supplier, parsed into edges and a box."""
+    feats = _supplier_features(spark, base)
     z = with_bbox(zones_from_geojson(feats))
     return z.select(
         "zone_id",
@@ -273,6 +279,18 @@ def q_points_in_zones(spark, base):
     return counts.join(z.select("zone_id", "zone_name"), "zone_id").select("zone_id", "zone_name", "cnt")
 
 
+def q_points_in_supplier_zones(spark, base):
+    """Events counted in overlapping zones of several sizes, one per supplier;
+    suppliers without geometry are no zones."""
+    feats = _supplier_features(spark, base, NULL_GEOMETRY_EVERY)
+    feats = feats.filter(F.col("geom_type").isNotNull() & F.col("coordinates").isNotNull())
+    checkpoint_dir(spark)
+    z = zones_from_geojson(feats).checkpoint(eager=True)
+    hits = points_in_zones(_event_points(spark, base), z, "zone_id")
+    counts = hits.groupBy("zone_id").agg(F.count(F.lit(1)).alias("cnt"))
+    return counts.join(z.select("zone_id", "zone_name"), "zone_id").select("zone_id", "zone_name", "cnt")
+
+
 def _blocks(spark, base, z: DataFrame) -> DataFrame:
     """Zones with their area, zip and population; invalid ones dropped before
     any spatial work."""
@@ -376,6 +394,7 @@ QUERIES: dict[str, Query] = {
     "currency_parse": q_currency_parse,
     "zones_from_geojson": q_zones_from_geojson,
     "points_in_zones": q_points_in_zones,
+    "points_in_supplier_zones": q_points_in_supplier_zones,
     "zone_weighted_mean": q_zone_weighted_mean,
     "zone_rates": q_zone_rates,
     "richest_zones": q_richest_zones,
