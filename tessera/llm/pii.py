@@ -8,8 +8,11 @@ term discloses the share
 
     pmi(t, e) / ic(e) = log(n(t, e) * n / (n(t) * n(e))) / log(n / n(e))
 
-which is 1 where the term occurs with that value only.  Terms above the
-threshold are generalised wherever they stand near the value.
+which is 1 where the term occurs with that value only.  The share of t's
+documents that have e is not taken as counted but with one document more, in
+which e stands by chance alone: (n(t, e) + n(e) / n) / (n(t) + 1).  So a value
+seen once is judged too, by as much as one document can show in so many.
+Terms above the threshold are generalised wherever they stand near the value.
 """
 
 from __future__ import annotations
@@ -34,7 +37,6 @@ _HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 # A term is a run of letters (all beyond ASCII count) of at least three characters.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}+"
 NEAR = 80  # code points looked at on either side of a value
-MIN_DOCS = 3  # documents that must have the term near the value
 DISCLOSURE = 0.9
 
 _SPAN = "array<struct<start:int,end:int,value:string>>"
@@ -136,12 +138,10 @@ def document_counts(docs: DataFrame) -> DataFrame:
     return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
 
 
-def disclosing_terms(
-    docs: DataFrame, found: DataFrame, min_docs: int = MIN_DOCS, disclosure: float = DISCLOSURE
-) -> DataFrame:
+def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term, share): terms that reveal at least ``disclosure`` of a value."""
     pairs = found.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("p"))
-    pairs = pairs.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_te")).filter(F.col("n_te") >= min_docs)
+    pairs = pairs.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_te"))
     values = F.flatten(F.array(*[F.col(f"{k}.value") for k in KINDS]))
     ents = found.select(F.explode(F.array_distinct(F.transform(values, lower_ascii))).alias("entity"))
     ents = ents.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
@@ -150,14 +150,15 @@ def disclosing_terms(
     j = pairs.join(ents, "entity").join(document_counts(docs), "term")
     # A value in every document holds no information to disclose.
     ic = F.log(F.lit(total) / F.col("n_e"))
-    share = F.when(ic > 0, F.log(F.col("n_te") * F.lit(total) / (F.col("n_t") * F.col("n_e"))) / ic)
+    p = (F.col("n_te") + F.col("n_e") / F.lit(total)) / (F.col("n_t") + 1)
+    share = F.when(ic > 0, 1 + F.log(p) / ic)
     return j.withColumn("share", share).filter(F.col("share") >= disclosure).select("entity", "term", "share")
 
 
-def _with_terms(docs: DataFrame, min_docs: int, disclosure: float) -> DataFrame:
+def _with_terms(docs: DataFrame, disclosure: float) -> DataFrame:
     """``personal_data`` with ``term``: the spans of disclosing terms."""
     found = cut(personal_data(docs))
-    reveal = disclosing_terms(docs, found, min_docs, disclosure)
+    reveal = disclosing_terms(docs, found, disclosure)
     near = found.select("key", F.explode("near").alias("t")).select("key", "t.entity", "t.term", "t.start", "t.end").distinct()
     hits = near.join(reveal, ["entity", "term"]).select("key", F.struct("start", "end", F.col("term").alias("value")).alias("s"))
     hits = hits.groupBy("key").agg(F.sort_array(F.collect_set("s")).alias("term"))
@@ -178,14 +179,14 @@ def _marks(kind: str) -> Column:
     return F.transform(F.col(kind), lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), mark))
 
 
-def report(docs: DataFrame, min_docs: int = MIN_DOCS, disclosure: float = DISCLOSURE) -> DataFrame:
+def report(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """Counts, digest and spans of every row of ``docs``.
 
     Null and empty texts hold nothing.  Rows are judged by their text, so
     repeated rows and rows that share a doc_id come out each on its own.  An
     empty table gives no rows.
     """
-    d = _with_terms(docs, min_docs, disclosure)
+    d = _with_terms(docs, disclosure)
     kinds = list(KINDS)
     return d.select(
         "doc_id",
@@ -195,11 +196,11 @@ def report(docs: DataFrame, min_docs: int = MIN_DOCS, disclosure: float = DISCLO
     )
 
 
-def sanitise(docs: DataFrame, min_docs: int = MIN_DOCS, disclosure: float = DISCLOSURE) -> DataFrame:
+def sanitise(docs: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
     """``docs`` with every span replaced by its kind, ``[EMAIL]`` or ``[TERM]``
     for example; spans that overlap become one, named by the first of them.
     Other columns stay, but n_chars, where there is one, follows the text."""
-    spans = _with_terms(docs, min_docs, disclosure)
+    spans = _with_terms(docs, disclosure)
     marked = F.concat(*[_marks(k) for k in [*KINDS, "term"]])
     spans = spans.select("key", F.sort_array(marked).alias("marks")).filter(F.size("marks") > 0).dropDuplicates(["key"])
     spans = spans.select(F.col("key").alias("_key"), F.col("marks").alias("_marks"))

@@ -263,6 +263,15 @@ def test_disclosing_terms_are_generalised(docs):
     assert pii.sanitise(docs(rows)).columns == docs(rows).columns
 
 
+def test_values_seen_once_are_judged(docs):
+    rows = [(i, f"weather talk number {i}", "s") for i in range(1500)]
+    rows.append((2000, "weather talk by Quibble at once@corp.example today", "s"))
+    rows.append((2001, "talk of today", "s"))
+    got = {r["doc_id"]: r["spans"].split(",") for r in pii.report(docs(rows)).collect()}
+    # Quibble stands with that address only; the other words stand elsewhere too.
+    assert [s for s in got[2000] if s.startswith("term")] == ["term:16:23"]
+
+
 def test_pii_of_odd_rows(docs):
     assert pii.report(docs([])).count() == 0
     got = pii.report(docs(ODD)).collect()
