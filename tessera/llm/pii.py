@@ -1,10 +1,10 @@
 """Information-theoretic sanitisation, in DataFrame functions only.
 
-Personal data are found by patterns.  Beside them stand terms that give the
-protected value away: from how often a term stands near a value, and how often
-anywhere, the corpus tells how much of the value's information the term
-reveals.  With counts of documents n(t, e) near, n(t), n(e) and n in all, the
-term discloses the share
+Personal data are found by patterns.  With them stand terms that give the
+protected value away: from how often a term stands in a text with a value, and
+how often anywhere, the corpus tells how much of the value's information the
+term reveals.  With counts of documents n(t, e) of both, n(t), n(e) and n in
+all, the term discloses the share
 
     pmi(t, e) / ic(e) = log(n(t, e) * n / (n(t) * n(e))) / log(n / n(e))
 
@@ -12,11 +12,14 @@ which is 1 where the term occurs with that value only.  The share of t's
 documents that have e is not taken as counted but with one document more, in
 which e stands by chance alone: (n(t, e) + n(e) / n) / (n(t) + 1).  So a value
 seen once is judged too, by as much as one document can show in so many.
-Terms above the threshold are generalised wherever they stand near the value.
+Terms above the threshold are generalised wherever they stand in a text that
+holds the value.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,14 +39,14 @@ _HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 
 # A term is a run of letters (all beyond ASCII count) of at least three characters.
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}+"
-NEAR = 80  # code points looked at on either side of a value
 DISCLOSURE = 0.9
 
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
-def find_spans(text: Column, pattern: str) -> Column:
-    """Leftmost, non-overlapping matches as (start, end, value) in code points.
+def find_spans(text: Column, pattern: str, wanted: Callable[[Column], Column] | None = None) -> Column:
+    """Leftmost, non-overlapping matches as (start, end, value) in code points;
+    only those whose value is ``wanted``, if that is given.
 
     Matches and what lies between them alternate, so positions are running
     sums of their lengths.
@@ -58,7 +61,10 @@ def find_spans(text: Column, pattern: str) -> Column:
         a = acc["at"] + s["gap"]
         b = a + F.length(s["m"])
         one = F.struct(a.alias("start"), b.alias("end"), s["m"].alias("value"))
-        return F.struct(b.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+        out = F.concat(acc["out"], F.array(one))
+        if wanted is not None:
+            out = F.when(wanted(s["m"]), out).otherwise(acc["out"])
+        return F.struct(b.alias("at"), out.alias("out"))
 
     return F.aggregate(steps, start, step, lambda acc: acc["out"])
 
@@ -92,77 +98,70 @@ def kind_spans(text: Column, kind: str) -> Column:
     return F.when(has, F.filter(found, lambda s: _valid(kind, s["value"]))).otherwise(none)
 
 
-def _near(text: Column, span: Column) -> Column:
-    """Terms within ``NEAR`` code points of the span, cut words left out."""
-    entity = lower_ascii(span["value"])
-
-    def side(at: Column, size: Column, cut_first: Column, cut_last: Column) -> Column:
-        piece = F.substring(text, at + 1, size)
-        terms = F.filter(
-            find_spans(piece, TERM),
-            lambda s: ~(cut_first & (s["start"] == 0)) & ~(cut_last & (s["end"] == F.length(piece))),
-        )
-        return F.transform(
-            terms,
-            lambda s: F.struct(
-                entity.alias("entity"), F.lower(s["value"]).alias("term"), (s["start"] + at).alias("start"), (s["end"] + at).alias("end")
-            ),
-        )
-
-    left = F.greatest(span["start"] - NEAR, F.lit(0))
-    after = F.length(text) > span["end"] + NEAR
-    return F.concat(
-        side(left, span["start"] - left, left > 0, F.lit(False)),
-        side(span["end"], F.lit(NEAR), F.lit(False), after),
-    )
+def _terms(text: Column) -> Column:
+    """The distinct terms of the whole text, in lower case."""
+    return F.array_distinct(F.transform(F.array_distinct(F.regexp_extract_all(text, F.lit(TERM), F.lit(0))), F.lower))
+
+
+def _base() -> Column:
+    return F.concat(*[F.col(k) for k in KINDS])
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """doc_id, key (of the text), one array of spans per kind, and ``near``:
-    the (entity, term, start, end) next to them, clear of all base spans."""
+    """doc_id, key (of the text), one array of spans per kind, and the text
+    where there is any of them (else null)."""
     d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     d = d.select("doc_id", "text", *[kind_spans(F.col("text"), k).alias(k) for k in KINDS])
-    base = F.concat(*[F.col(k) for k in KINDS])
-    d = d.withColumn("base", base)
-    near = F.flatten(F.transform("base", lambda s: _near(F.col("text"), s)))
-    clear = F.filter(near, lambda t: ~F.exists("base", lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
-    none = F.array().cast("array<struct<entity:string,term:string,start:int,end:int>>")
-    return d.select(
-        "doc_id", F.md5("text").alias("key"), *KINDS, F.when(F.size("base") > 0, clear).otherwise(none).alias("near")
-    )
+    return d.select("doc_id", F.md5("text").alias("key"), *KINDS, F.when(F.size(_base()) > 0, F.col("text")).alias("text"))
 
 
 def document_counts(docs: DataFrame) -> DataFrame:
     """(term, n_t): documents of the whole table that have the term."""
-    words = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(TERM), F.lit(0)))
-    return docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
+    return docs.select(F.explode(_terms(F.col("text"))).alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_t"))
 
 
 def disclosing_terms(docs: DataFrame, found: DataFrame, disclosure: float = DISCLOSURE) -> DataFrame:
-    """(entity, term, share): terms that reveal at least ``disclosure`` of a value."""
-    pairs = found.select(F.explode(F.array_distinct(F.transform("near", lambda x: F.struct(x["entity"].alias("entity"), x["term"].alias("term"))))).alias("p"))
-    pairs = pairs.groupBy("p.entity", "p.term").agg(F.count(F.lit(1)).alias("n_te"))
-    values = F.flatten(F.array(*[F.col(f"{k}.value") for k in KINDS]))
-    ents = found.select(F.explode(F.array_distinct(F.transform(values, lower_ascii))).alias("entity"))
-    ents = ents.groupBy("entity").agg(F.count(F.lit(1)).alias("n_e"))
-    n = found.agg(F.count(F.lit(1)).alias("n"))
-    total = float(n.first()[0])
-    j = pairs.join(ents, "entity").join(document_counts(docs), "term")
+    """(key, terms): the terms of each text that reveal at least ``disclosure``
+    of a value in it, wherever in the text either of them stands.
+
+    Texts are counted by the number of their rows.  The values of one text that
+    no other has are alike in all counts: one of them stands for all.
+    """
+    total = float(found.count())
+    values = F.array_distinct(F.transform(_base(), lambda s: lower_ascii(s["value"])))
+    texts = found.filter(F.col("text").isNotNull()).select("key", "text", values.alias("values"))
+    texts = texts.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.first("text").alias("text"), F.first("values").alias("values"))
+    held = texts.select("key", "m", F.explode("values").alias("entity"))
+    ents = held.groupBy("entity").agg(F.sum("m").alias("n_e"), (F.count(F.lit(1)) == 1).alias("single"))
+    held = held.join(ents, "entity")
+    one = F.when(F.col("single"), F.concat(F.lit("\x00"), F.col("key"))).otherwise(F.col("entity"))
+    held = held.select("key", one.alias("entity"), "n_e").distinct()
     # A value in every document holds no information to disclose.
+    held = held.filter(F.col("n_e") < total)
+    # As n(t, e) is at most n(e), a term in more documents than this is below the threshold.
+    most = (F.col("n_e") + F.col("n_e") / F.lit(total)) * F.pow(F.lit(total) / F.col("n_e"), F.lit(1 - disclosure)) * (1 + 1e-9) - 1
+    per = held.groupBy("key").agg(F.collect_list(F.struct("entity", "n_e", most.alias("most"))).alias("entities"), F.max(most).alias("most"))
+    terms = texts.select("key", "m", F.explode(_terms(F.col("text"))).alias("term")).join(document_counts(docs), "term")
+    pairs = terms.join(per, "key").filter(F.col("n_t") <= F.col("most"))
+    pairs = pairs.select("key", "m", "term", "n_t", F.explode("entities").alias("e")).filter(F.col("n_t") <= F.col("e.most"))
+    pairs = cut(pairs.select("key", "m", "term", "n_t", "e.entity", "e.n_e"))
+    counts = pairs.groupBy("entity", "term", "n_t", "n_e").agg(F.sum("m").alias("n_te"))
     ic = F.log(F.lit(total) / F.col("n_e"))
     p = (F.col("n_te") + F.col("n_e") / F.lit(total)) / (F.col("n_t") + 1)
-    share = F.when(ic > 0, 1 + F.log(p) / ic)
-    return j.withColumn("share", share).filter(F.col("share") >= disclosure).select("entity", "term", "share")
+    reveal = counts.filter(1 + F.log(p) / ic >= disclosure).select("entity", "term")
+    return pairs.join(reveal, ["entity", "term"]).groupBy("key").agg(F.collect_set("term").alias("terms"))
 
 
 def _with_terms(docs: DataFrame, disclosure: float) -> DataFrame:
-    """``personal_data`` with ``term``: the spans of disclosing terms."""
+    """``personal_data`` with ``term``: the spans of disclosing terms, clear of
+    all base spans."""
     found = cut(personal_data(docs))
     reveal = disclosing_terms(docs, found, disclosure)
-    near = found.select("key", F.explode("near").alias("t")).select("key", "t.entity", "t.term", "t.start", "t.end").distinct()
-    hits = near.join(reveal, ["entity", "term"]).select("key", F.struct("start", "end", F.col("term").alias("value")).alias("s"))
-    hits = hits.groupBy("key").agg(F.sort_array(F.collect_set("s")).alias("term"))
-    return found.drop("near").join(hits, "key", "left").withColumn("term", F.coalesce("term", F.array().cast(_SPAN)))
+    spans = find_spans(F.col("text"), TERM, lambda m: F.array_contains("terms", F.lower(m)))
+    clear = F.filter(spans, lambda t: ~F.exists(_base(), lambda s: (s["start"] < t["end"]) & (t["start"] < s["end"])))
+    clear = F.transform(clear, lambda t: F.struct(t["start"].alias("start"), t["end"].alias("end"), F.lower(t["value"]).alias("value")))
+    j = found.join(reveal, "key", "left")
+    return j.withColumn("term", F.when(F.col("terms").isNotNull(), clear).otherwise(F.array().cast(_SPAN))).drop("text", "terms")
 
 
 def _listed(kinds: list[str]) -> Column:

@@ -272,6 +272,18 @@ def test_values_seen_once_are_judged(docs):
     assert [s for s in got[2000] if s.startswith("term")] == ["term:16:23"]
 
 
+def test_disclosing_terms_far_from_the_value_are_generalised(docs):
+    filler = "so it was said of them all " * 40
+    rows = [(i, f"Zorblatt writes. {filler}Mail boss@corp.example. {filler}Again zorblatt.", "s") for i in range(5)]
+    rows += [(10 + i, f"writes mail again {filler}", "s") for i in range(30)]
+    got = {r["doc_id"]: r["spans"].split(",") for r in pii.report(docs(rows)).collect()}
+    t, n = rows[0][1], len(rows[0][1])
+    assert [s for s in got[0] if s.startswith("term")] == ["term:0:8", f"term:{n - 9}:{n - 1}"]
+    out = {r["doc_id"]: r["text"] for r in pii.sanitise(docs(rows)).collect()}
+    assert out[0] == re.sub("(?i)zorblatt", "[TERM]", t).replace("boss@corp.example.", "[EMAIL].")
+    assert out[10] == rows[5][1]
+
+
 def test_pii_of_odd_rows(docs):
     assert pii.report(docs([])).count() == 0
     got = pii.report(docs(ODD)).collect()
