@@ -1,7 +1,7 @@
 """Substring dedup over sliding spans of sentences.
 
-Every run of ``run`` consecutive sentences (more, if those are short) is hashed.
-A run is kept in the
+Every run of ``run`` consecutive sentences (more, if those are short) is hashed,
+and so is every sentence that alone has more than ``LONG`` words.  A run is kept in the
 first document (smallest doc_id) that has it, at its first place there; the
 sentences that any other occurrence covers are removed.
 """
@@ -20,6 +20,8 @@ from tessera.llm.common import LOWER_BYTES, Batches, as_bytes
 
 RUN = 2
 MIN_WORDS = 20
+# A sentence of more words is a run by itself too.
+LONG = 50
 
 # A sentence ends after . ! or ? before a blank, or at a line end.
 _END = re.compile(rb"(?:(?<=[.!?])[ \t-\r]|\n)[ \t-\r]*")
@@ -39,8 +41,9 @@ def runs_of(pieces: list[bytes], run: int, min_words: int) -> list[tuple[int, in
     further ones until there are ``min_words`` words.  They grow forward from
     every first sentence and backward from every last one, so a repeated
     passage is covered from end to end.  Case of A-Z and blanks do not count,
-    pieces without words are passed over.  A text of fewer sentences is one
-    run; runs that stay short of the words are none."""
+    pieces without words are passed over.  A sentence of more than ``LONG``
+    words is a run, and a text of fewer sentences is one; runs that stay short
+    of the words are none."""
     words = [(i, p.translate(LOWER_BYTES).split()) for i, p in enumerate(pieces)]
     words = [(i, w) for i, w in words if w]
     total = np.concatenate([[0], np.cumsum([len(w) for _, w in words])]).astype(np.int64)
@@ -52,6 +55,7 @@ def runs_of(pieces: list[bytes], run: int, min_words: int) -> list[tuple[int, in
     backward = np.minimum(ends - n, np.searchsorted(total, total[ends] - min_words, "right") - 1)
     spans = {(int(a), int(b)) for a, b in zip(starts, forward) if b <= m}
     spans |= {(int(a), int(b)) for a, b in zip(backward, ends) if a >= 0}
+    spans |= {(i, i + 1) for i, (_, w) in enumerate(words) if len(w) > max(LONG, min_words)}
     joined = [b" ".join(w) for _, w in words]
     return [
         (words[a][0], words[b - 1][0] + 1, xxhash.xxh3_128_digest(b"\n".join(joined[a:b]))) for a, b in sorted(spans)

@@ -191,6 +191,18 @@ def test_spans_equal_brute_force(docs):
     assert all(by[i]["text"] == t and by[i]["n_removed"] == 0 for i, t, _ in rows[:10])
 
 
+def test_one_long_sentence_is_a_passage(docs):
+    rng = random.Random(7)
+    long, short = prose(rng, 51) + ". ", prose(rng, 50) + ". "
+    around = [prose(rng, 12) + ". " for _ in range(8)]
+    rows = [(1, around[0] + long + around[1] + short + around[2], "s"), (2, around[3] + long.upper() + around[4] + short + around[5], "s")]
+    rows += [(3, around[6] + long + around[7] + long, "s"), (4, long, "s")]
+    got = {r["doc_id"]: (r["text"], r["n_removed"], r["first_docs"]) for r in spans.dedup_spans(docs(rows)).collect()}
+    assert got[1] == (rows[0][1], 0, [])
+    assert got[2] == (around[3] + around[4] + short + around[5], 1, [1])
+    assert got[3] == (around[6] + around[7], 2, [1]) and got[4] == ("", 1, [1])
+
+
 def test_rows_that_share_an_id_keep_their_spans(docs):
     t = "One two three four five six seven eight nine ten. " * 1 + "Eleven twelve thirteen fourteen fifteen sixteen seventeen eighteen nineteen twenty."
     got = spans.dedup_spans(docs([(1, t, "s"), (1, t, "s"), (None, t, "s")])).collect()
