@@ -47,8 +47,9 @@ def _class(s: np.ndarray) -> tuple[int, int]:
     return int(hi), int(lo)
 
 
-def document_sets(docs: DataFrame, shingle: int = SHINGLE, k: int = K) -> DataFrame:
-    """(doc_id, n_shingles, hi, lo, sketch): set size, class and bottom-k sketch."""
+def document_sets(docs: DataFrame, shingle: int = SHINGLE, k: int = K, also: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, n_shingles, hi, lo, sketch): set size, class and bottom-k sketch;
+    then the long columns ``also`` as they are."""
 
     def sets(batches: Batches) -> Batches:
         hashes = WordHashes()
@@ -62,11 +63,12 @@ def document_sets(docs: DataFrame, shingle: int = SHINGLE, k: int = K) -> DataFr
                     pa.array([h for h, _ in keys], pa.int64()),
                     pa.array([x for _, x in keys], pa.int64()),
                     pa.array([s[:k].tobytes() for s in rows], pa.binary()),
+                    *[batch.column(x) for x in also],
                 ],
-                names=["doc_id", "n_shingles", "hi", "lo", "sketch"],
+                names=["doc_id", "n_shingles", "hi", "lo", "sketch", *also],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(sets, _SETS)
+    return docs.select("doc_id", "text", *also).mapInArrow(sets, _SETS + "".join(f", {x} long" for x in also))
 
 
 def shared_needed(n: int, k: int = K, k_min: int = K_MIN, percent: int = PERCENT) -> int:
@@ -196,7 +198,15 @@ def near_duplicates(
     once each.  Only one row of a group has kept true, equal doc_ids aside.  A
     null doc_id is last: its row is kept only if its group has no other id.
     """
-    s = cut(document_sets(docs, shingle, k))
+    out = _grouped(docs, shingle, percent, k, k_min)
+    comp = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+
+
+def _grouped(docs: DataFrame, shingle: int, percent: int, k: int, k_min: int, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_shingles, g, component_id, ``also`` for every row of ``docs``:
+    its group, and that by the smallest doc_id; both null for the empty set."""
+    s = cut(document_sets(docs, shingle, k, also))
     # A class gets a number from its 128-bit hash; the smaller half serves as id.
     real = s.filter("n_shingles > 0")
     key = F.xxhash64("hi", "lo")
@@ -258,13 +268,30 @@ def near_duplicates(
     group = classes.select("c", "doc_id").join(final.select(F.col("node").alias("c"), "component"), "c", "left")
     group = cut(group.select("c", "doc_id", F.coalesce("component", "c").alias("g")))
     named = group.groupBy("g").agg(F.min("doc_id").alias("component_id"))
-    label = group.join(named, "g").select("c", "component_id")
+    label = group.join(named, "g").select("c", "g", "component_id")
     out = s.withColumn("c", F.when(F.col("n_shingles") > 0, key)).join(label, "c", "left")
-    comp = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", comp.alias("component_id"), F.col("doc_id").eqNullSafe(comp).alias("kept"))
+    return out.select("doc_id", "n_shingles", "g", "component_id", *also)
 
 
-def drop_near_duplicates(docs: DataFrame, **kw) -> DataFrame:
-    """The documents kept, one row for each group, all columns as they are."""
-    gone = near_duplicates(docs, **kw).filter("not kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("gone_id")), "left_anti")
+def drop_near_duplicates(
+    docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, k: int = K, k_min: int = K_MIN
+) -> DataFrame:
+    """The documents kept, one row for each group, all columns as they are.
+
+    Rows are told apart by a 128-bit hash of all their columns, not by doc_id:
+    rows of one id with unlike texts are judged each by its text, and of equal
+    rows one is kept.  A group keeps a row of its smallest doc_id, null last.
+    Rows of the empty set are linked with nothing and all stay.
+    """
+    row = ("_row_hi", "_row_lo")
+    whole = [F.col(c) for c in docs.columns] + [F.col(c).isNull() for c in docs.columns]
+    keyed = docs.select("*", *[F.xxhash64(F.lit(i), *whole).alias(r) for i, r in enumerate(row)])
+    rows = _grouped(keyed, shingle, percent, k, k_min, row).filter(F.col("g").isNotNull())
+    rows = cut(rows.groupBy("g", *row).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("m")))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id"), *row))
+    marks = rows.join(rows.groupBy("g").agg(first.alias("first")), "g")
+    kept = (F.col(row[0]) == F.col(f"first.{row[0]}")) & (F.col(row[1]) == F.col(f"first.{row[1]}"))
+    marks = cut(marks.select(*row, "m", kept.alias("kept")).filter("not kept or m > 1"))
+    once = keyed.join(marks.select(*row), list(row), "left_anti")
+    repeated = keyed.join(marks.filter("kept").select(*row), list(row)).dropDuplicates(list(row))
+    return once.select(*docs.columns).unionAll(repeated.select(*docs.columns))

@@ -138,6 +138,17 @@ def test_drop_keeps_one_row_of_each_group(docs):
     assert neardup.near_duplicates(docs([])).count() == 0
 
 
+def test_drop_decides_by_row_where_ids_repeat_or_are_null(docs):
+    same = [(i, "one text of seven words in all", "s") for i in (None, None, 2, 2)]
+    rows = [(1, "a b c d e f", "s"), (4, "A b c d e f", "s"), (4, "quite other words under the same id", "s")]
+    rows += [(None, "a  b c d e f", "s"), (None, "clean text of no id at all", "s"), (None, "null ids only have this text", "s")]
+    rows += [(None, "Null ids only have this text", "s"), (7, "", "s"), (7, "", "s"), *same]
+    kept = [(r["doc_id"], r["text"]) for r in neardup.drop_near_duplicates(docs(rows)).collect()]
+    low = sorted(((k, t.lower()) for k, t in kept), key=str)
+    want = [(1, "a b c d e f"), (4, rows[2][1]), (None, rows[4][1]), (None, rows[5][1]), (7, ""), (7, ""), (2, same[0][1])]
+    assert low == sorted(want, key=str)
+
+
 # --- span dedup --------------------------------------------------------------
 
 
