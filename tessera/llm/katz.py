@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Batches, WordHashes, as_bytes, blank_words, mix, share, shared
+from tessera.llm.common import Batches, WordHashes, as_bytes, blank_words, cut, mix, share, shared
 
 END, START = np.uint64(1), np.uint64(2)
 # Counts above this are taken as reliable by Good and Turing's formula.
@@ -234,13 +234,37 @@ def _joined(chunks: list[dict]) -> tuple[np.ndarray, np.ndarray, np.ndarray, lis
     return w, h, c, sizes
 
 
-def _count_parts(docs: DataFrame, parts: int) -> DataFrame:
-    """Training pairs with their counts, packed by chunk, for each partition."""
+def _hot_words(docs: DataFrame, parts: int) -> np.ndarray:
+    """All words that can fill a quarter of a partition, and few others: a chunk
+    names those of an eighth, which leaves out less than an eighth of any word's
+    share, so the others come to an eighth of a partition over all chunks."""
+
+    def count(batches: Batches) -> Batches:
+        for _, _, _, words in _chunks(batches, True, COUNT_TOKENS):
+            w, n = np.unique(np.concatenate([*words, np.full(len(words), END)]), return_counts=True)
+            often = n * 8 * parts >= n.sum()
+            w, n = np.append(w[often], np.uint64(0)), np.append(n[often], n.sum())  # 0: all tokens
+            yield pa.record_batch([pa.array(w.view(np.int64)), pa.array(n.astype(np.int64))], names=["w", "n"])
+
+    sums = docs.mapInArrow(count, "w long, n long").groupBy("w").agg(F.sum("n").alias("n"))
+    sums = sums.persist()
+    total = sums.filter("w = 0").first()
+    often = sums.filter((F.col("w") != 0) & (F.col("n") * 8 * parts >= F.lit(total["n"]))).collect() if total else []
+    sums.unpersist()
+    return np.sort(np.array([r["w"] for r in often], np.int64).view(np.uint64))
+
+
+def _count_parts(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
+    """Training pairs with their counts, packed by chunk, for each partition;
+    those of hot words are dealt by the pair."""
 
     def count(batches: Batches) -> Batches:
         for _, _, _, words in _chunks(batches, True, COUNT_TOKENS):
             w, h, _ = _pairs(words)
-            part = (w % np.uint64(parts)).astype(np.int32)
+            key, often = w.copy(), np.isin(w, hot)
+            key[often] = mix(w[often], h[often])
+            part = (key % np.uint64(parts)).astype(np.int32)
+            del key, often
             order, starts = _group(part, w, h)
             p, w, h, c = part[order][starts], w[order][starts], h[order][starts], np.diff(np.append(starts, len(order)))
             cuts = np.searchsorted(p, np.arange(parts + 1))
@@ -254,6 +278,7 @@ def _count_parts(docs: DataFrame, parts: int) -> DataFrame:
 
 def fit(docs: DataFrame, parts: int) -> KatzModel:
     """Counts of counts over all training documents (``held`` false)."""
+    hot = _hot_words(docs, parts)
 
     def summarise(rows: pd.DataFrame) -> pd.DataFrame:
         w, h, c, _ = _joined([_load(b) for b in rows["data"]])
@@ -262,23 +287,26 @@ def fit(docs: DataFrame, parts: int) -> KatzModel:
         del h, c, order, starts
         _, ws = _group(w)
         word, w = _sums(pair, ws), w[ws]
-        top = np.argsort(-word, kind="stable")[:64]
-        n = [[int((v == r).sum()) for r in range(1, RELIABLE + 2)] for v in (word, pair)]
+        part = np.isin(w, hot)  # only a part of these words' counts
+        n = [[int((v == r).sum()) for r in range(1, RELIABLE + 2)] for v in (word[~part], pair)]
         return pd.DataFrame(
             {
-                "tokens": [int(word.sum())], "types": [len(word)], "n1": [n[0]], "n2": [n[1]],
-                "docs": [int(word[w == END].sum())], "top": [w[top].astype(np.int64).tolist()], "count": [word[top].tolist()],
+                "tokens": [int(word.sum())], "types": [int((~part).sum())], "n1": [n[0]], "n2": [n[1]],
+                "docs": [int(word[w == END].sum())], "hot": [w[part].view(np.int64).tolist()], "count": [word[part].tolist()],
             }
         )
 
-    schema = "tokens long, types long, n1 array<long>, n2 array<long>, docs long, top array<long>, count array<long>"
-    rows = _dealt(_count_parts(docs, parts), parts).groupBy("part").applyInPandas(summarise, schema).collect()
+    schema = "tokens long, types long, n1 array<long>, n2 array<long>, docs long, hot array<long>, count array<long>"
+    found = cut(_dealt(_count_parts(docs, parts, hot), parts).groupBy("part").applyInPandas(summarise, schema))
+    rows = found.drop("hot", "count").collect()
     tokens = sum(r["tokens"] for r in rows)
     total = lambda k: np.array([r[k] for r in rows]).sum(axis=0) if rows else np.zeros(RELIABLE + 1, int)
-    spread = {
-        w & (2**64 - 1): c for r in rows for w, c in zip(r["top"], r["count"]) if c * 4 * parts > tokens
-    }
-    return KatzModel(parts, sum(r["docs"] for r in rows), tokens, sum(r["types"] for r in rows), total("n1"), total("n2"), spread)
+    own = found.select(F.explode(F.arrays_zip("hot", "count")).alias("x")).groupBy("x.hot").agg(F.sum("x.count").alias("n"))
+    own = {r["hot"] & (2**64 - 1): r["n"] for r in own.collect()}
+    n1 = total("n1") + np.array([sum(c == r for c in own.values()) for r in range(1, RELIABLE + 2)])
+    types = sum(r["types"] for r in rows) + len(own)
+    spread = {w: c for w, c in own.items() if c * 4 * parts > tokens}
+    return KatzModel(parts, sum(r["docs"] for r in rows), tokens, types, n1, total("n2"), spread)
 
 
 def _request_parts(docs: DataFrame, model: KatzModel) -> DataFrame:

@@ -234,6 +234,17 @@ def test_katz_scores_equal_brute_force(docs, monkeypatch, chunk):
         assert math.isclose(r["score"], score, rel_tol=1e-7, abs_tol=1e-7)
 
 
+def test_counting_deals_a_hot_word_by_its_pairs(docs, monkeypatch):
+    rows = [(i, " ".join(f"v{i}x{j} hot" for j in range(60)), "s") for i in range(40)]
+    sent, dealt = [], katz._dealt
+    monkeypatch.setattr(katz, "_dealt", lambda df, parts: sent.append(df) or dealt(df, parts))
+    katz.fit(docs(rows).withColumn("held", katz.held_out()), 8)
+    load = {}
+    for r in sent[0].collect():
+        load[r["part"]] = load.get(r["part"], 0) + len(katz._load(r["data"])["h"])
+    assert max(load.values()) < 0.25 * sum(load.values())
+
+
 def test_katz_of_odd_rows(docs):
     assert katz.score_documents(docs([])).count() == 0
     got = katz.score_documents(docs([(None, "a b", "s"), (1, "a b", "s"), (1, "a b", "s")])).collect()
