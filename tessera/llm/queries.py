@@ -7,7 +7,22 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, decontaminate, katz, mix, neardup, pii, spans, sql, topk, toxicity, urls
+from tessera.llm import (
+    align,
+    chat,
+    decontaminate,
+    fingerprint,
+    katz,
+    merkle,
+    mix,
+    neardup,
+    pii,
+    spans,
+    sql,
+    topk,
+    toxicity,
+    urls,
+)
 from tessera.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,6 +77,18 @@ def op10_exact_top_k(spark, sf_dir):
     return topk.exact_top_k(v, v.filter("vec_id % 20 = 0"))
 
 
+def op11_multiset_hash(spark, sf_dir):
+    return fingerprint.edited_fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op12_merkle_manifest(spark, sf_dir):
+    return merkle.manifest_proofs(table(spark, sf_dir, "documents"))
+
+
+def op13_tokenizer_alignment(spark, sf_dir):
+    return align.align_documents(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -75,6 +102,9 @@ QUERIES: dict[str, Query] = {
         op8_pii_sanitise,
         op9_span_dedup,
         op10_exact_top_k,
+        op11_multiset_hash,
+        op12_merkle_manifest,
+        op13_tokenizer_alignment,
     )
 }
 
@@ -85,4 +115,5 @@ ORACLE: dict[str, str] = {
     "op4_minhash_near_dedup": sql.OP4,
     "op5_url_filter": sql.OP5,
     "op10_exact_top_k": sql.OP10,
+    "op12_merkle_manifest": sql.OP12,
 }

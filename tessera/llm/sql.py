@@ -143,3 +143,90 @@ s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(CAST(q.v AS D
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= {TOP}
 """
+
+
+# --- 12: Merkle manifest -------------------------------------------------------
+
+# Levels of a language's tree and of the tree over the languages: enough for
+# 8**9 rows of a language and 8**4 languages.
+_LANG_LEVELS, _TOP_LEVELS = 9, 4
+
+
+def _encoded(c: str) -> str:
+    v = f"CAST({c} AS VARCHAR)"
+    return f"coalesce(CAST(strlen({v}) AS VARCHAR) || ':' || {v}, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_encoded(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+# CRC-32 of a decimal number, bit by bit.
+_CRC32 = """xor(list_reduce(
+        list_prepend(4294967295::BIGINT, list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: ascii(ch)::BIGINT)),
+        lambda c, b: list_reduce(list_prepend(xor(c, b), [1, 2, 3, 4, 5, 6, 7, 8]::BIGINT[]),
+            lambda x, i: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _tree(name: str, levels: int) -> str:
+    """Levels of the trees in ``{name}0`` (t, i, n, h), each with what stands left
+    and right of a node in its run."""
+    out = []
+    for k in range(levels):
+        at = f"{name}{k}"
+        out.append(f"""{at}_run AS (SELECT t, i // 8 AS r, n, list({{'i': i, 'h': h}} ORDER BY i) AS run FROM {at} GROUP BY t, r, n),
+{name}{k + 1} AS (
+    SELECT t, r AS i, CASE WHEN n = 1 THEN 1 ELSE (n + 7) // 8 END AS n,
+           CASE WHEN n = 1 THEN run[1].h ELSE sha256(array_to_string([x.h for x in run], '')) END AS h
+    FROM {at}_run),
+{at}_sib AS (
+    SELECT a.t, a.i, array_to_string([x.h for x in b.run if x.i < a.i], '') AS lft,
+           array_to_string([x.h for x in b.run if x.i > a.i], '') AS rgt, a.n > 1 AS up
+    FROM {at} a JOIN {at}_run b ON a.t = b.t AND a.i // 8 = b.r)""")
+    return ",\n".join(out)
+
+
+def _fold(start: str, source: str, name: str, levels: int, tag: str) -> str:
+    """CTEs that fold ``f`` and ``bad`` of ``source`` (rid, t, i) up the levels."""
+    out, prev = [], source
+    for k in range(levels):
+        at = f"{tag}{k}"
+        out.append(f"""{at} AS (
+    SELECT p.rid, p.t, p.i // 8 AS i, p.proof || s.lft || s.rgt AS proof,
+           CASE WHEN s.up THEN sha256(s.lft || p.f || s.rgt) ELSE p.f END AS f
+    FROM {prev} p JOIN {name}{k}_sib s ON p.t = s.t AND p.i = s.i)""")
+        prev = at
+    return ",\n".join(out)
+
+
+OP12 = f"""
+WITH d AS (
+    SELECT *, coalesce('v' || lang, '-') AS tree, {_leaf('text')} AS leaf,
+           CASE WHEN text IS NOT NULL AND {_CRC32} % 3 = 0 THEN {_leaf(_LOWER)} END AS bad
+    FROM documents
+),
+rows_ AS (
+    SELECT *, row_number() OVER (ORDER BY tree, doc_id NULLS FIRST, leaf) AS rid,
+           row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+           COUNT(*) OVER (PARTITION BY tree) AS n
+    FROM d
+),
+l0 AS (SELECT tree AS t, i, n, leaf AS h FROM rows_),
+{_tree('l', _LANG_LEVELS)},
+g0 AS (
+    SELECT 0 AS t, row_number() OVER (ORDER BY t) - 1 AS i, COUNT(*) OVER () AS n, h, t AS tree
+    FROM l{_LANG_LEVELS}
+),
+{_tree('g', _TOP_LEVELS)},
+start_ AS (SELECT rid, tree AS t, i, '' AS proof, coalesce(bad, leaf) AS f FROM rows_),
+{_fold('start_', 'start_', 'l', _LANG_LEVELS, 'u')},
+mid AS (
+    SELECT u.rid, 0 AS t, g0.i, u.proof, u.f FROM u{_LANG_LEVELS - 1} u JOIN g0 ON u.t = g0.tree
+),
+{_fold('mid', 'mid', 'g', _TOP_LEVELS, 'w')}
+SELECT r.doc_id, r.leaf, s.h AS subroot, g.h AS root, sha256(w.proof) AS proof_sha256, w.f AS folded_root,
+       w.f = g.h AS verified,
+       CAST(r.i + list_sum([r.i // CAST(8 ** k AS BIGINT) for k in range(1, {_LANG_LEVELS + 1})]) AS BIGINT) AS log_position
+FROM rows_ r JOIN w{_TOP_LEVELS - 1} w USING (rid) JOIN g0 s ON s.tree = r.tree CROSS JOIN g{_TOP_LEVELS} g"""
