@@ -135,19 +135,22 @@ def polygon_contains(edges: Column | str, px: Column | str, py: Column | str) ->
     """
     e, x, y = _col(edges), _col(px), _col(py)
 
-    def crossing(acc, s):
+    def step(acc, s):
         straddles = (s["ay"] > y) != (s["by"] > y)
         x_at = (s["bx"] - s["ax"]) * (y - s["ay"]) / (s["by"] - s["ay"]) + s["ax"]
-        return acc + F.when(straddles, F.when(x < x_at, 1).otherwise(0)).otherwise(0)
-
-    def on_edge(s):
-        return (
-            ((x - s["ax"]) * (s["by"] - s["ay"]) == (y - s["ay"]) * (s["bx"] - s["ax"]))
-            & (x >= F.least(s["ax"], s["bx"]))
+        on_edge = (
+            (x >= F.least(s["ax"], s["bx"]))
             & (x <= F.greatest(s["ax"], s["bx"]))
             & (y >= F.least(s["ay"], s["by"]))
             & (y <= F.greatest(s["ay"], s["by"]))
+            & ((x - s["ax"]) * (s["by"] - s["ay"]) == (y - s["ay"]) * (s["bx"] - s["ax"]))
         )
+        crossed = F.when(straddles, F.when(x < x_at, 1).otherwise(0)).otherwise(0)
+        return acc + crossed + F.when(on_edge, F.lit(_ON_EDGE)).otherwise(0)
+
+    # One walk: crossings below _ON_EDGE, edges that hold the point from there on.
+    seen = F.aggregate(e, F.lit(0).cast("long"), step)
+    return (seen < _ON_EDGE) & ((seen % 2) == 1)
+
 
-    crossings = F.aggregate(e, F.lit(0), crossing)
-    return ((crossings % 2) == 1) & ~F.exists(e, on_edge)
+_ON_EDGE = 1 << 40

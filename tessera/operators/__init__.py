@@ -12,7 +12,14 @@ from tessera.operators.stats import (
     weighted_mean_by_area,
 )
 from tessera.operators.topn import topn_share, topn_share_sql
-from tessera.operators.zones import count_points_in_zones, points_in_zones, with_bbox, zones_from_geojson
+from tessera.operators.zones import (
+    ZoneCells,
+    clip_zones,
+    count_points_in_zones,
+    points_in_zones,
+    with_bbox,
+    zones_from_geojson,
+)
 
 __all__ = [
     "band_counts",
@@ -31,6 +38,8 @@ __all__ = [
     "weighted_mean_by_area",
     "topn_share",
     "topn_share_sql",
+    "ZoneCells",
+    "clip_zones",
     "count_points_in_zones",
     "points_in_zones",
     "with_bbox",

@@ -253,6 +253,7 @@ ORACLE: dict[str, str] = {
     "zones_from_geojson": ZONES_FROM_GEOJSON,
     "points_in_zones": POINTS_IN_ZONES,
     "points_in_supplier_zones": POINTS_IN_SUPPLIER_ZONES,
+    "zone_counts_eager": POINTS_IN_SUPPLIER_ZONES,
     "zone_weighted_mean": ZONE_WEIGHTED_MEAN,
     "zone_rates": ZONE_RATES,
     "richest_zones": RICHEST_ZONES,

@@ -28,7 +28,7 @@ from tessera.operators.stats import (
     weighted_mean_by_area,
 )
 from tessera.operators.topn import topn_share, topn_share_sql
-from tessera.operators.zones import points_in_zones, with_bbox, zones_from_geojson
+from tessera.operators.zones import ZoneCells, count_points_in_zones, with_bbox, zones_from_geojson
 from tessera.plans import derived
 from tessera.session import checkpoint_dir
 from tessera.sources.geojson import feature_schema
@@ -274,23 +274,32 @@ def _event_points(spark, base, window: tuple[int, int] | None = None) -> DataFra
 
 def q_points_in_zones(spark, base):
     z = _zones(spark, base)
-    hits = points_in_zones(_event_points(spark, base), z, "zone_id")
-    counts = hits.groupBy("zone_id").agg(F.count(F.lit(1)).alias("cnt"))
+    counts = count_points_in_zones(_event_points(spark, base), z, "zone_id")
     return counts.join(z.select("zone_id", "zone_name"), "zone_id").select("zone_id", "zone_name", "cnt")
 
 
-def q_points_in_supplier_zones(spark, base):
-    """Events counted in overlapping zones of several sizes, one per supplier;
-    suppliers without geometry are no zones."""
+def _supplier_zone_counts(spark, base, clip: bool | None = None, **kw):
     feats = _supplier_features(spark, base, NULL_GEOMETRY_EVERY)
     feats = feats.filter(F.col("geom_type").isNotNull() & F.col("coordinates").isNotNull())
     checkpoint_dir(spark)
     z = zones_from_geojson(feats).checkpoint(eager=True)
-    hits = points_in_zones(_event_points(spark, base), z, "zone_id")
-    counts = hits.groupBy("zone_id").agg(F.count(F.lit(1)).alias("cnt"))
+    cells = ZoneCells(z, "zone_id", clip=clip)
+    counts = count_points_in_zones(_event_points(spark, base), cells, "zone_id", **kw)
     return counts.join(z.select("zone_id", "zone_name"), "zone_id").select("zone_id", "zone_name", "cnt")
 
 
+def q_points_in_supplier_zones(spark, base):
+    """Events counted in overlapping zones of several sizes, one per supplier;
+    suppliers without geometry are no zones."""
+    return _supplier_zone_counts(spark, base, clip=True)
+
+
+def q_zone_counts_eager(spark, base):
+    """The same by the plan for cell tables beyond the broadcast bound: counts
+    per cell go through the join, only points in border cells are tested."""
+    return _supplier_zone_counts(spark, base, clip=True, max_broadcast_rows=0)
+
+
 def _blocks(spark, base, z: DataFrame) -> DataFrame:
     """Zones with their area, zip and population; invalid ones dropped before
     any spatial work."""
@@ -326,9 +335,7 @@ def _rates(spark, base) -> DataFrame:
     # The finished block table (zones with population, filtered) is the
     # dimension every later step reads: materialise it once.
     blocks = _blocks(spark, base, _zones(spark, base, materialise=False)).checkpoint(eager=True)
-    hits = points_in_zones(_event_points(spark, base, EVENT_YEAR_WINDOW), blocks, "zone_id")
-    area_of = blocks.select("zone_id", "area")
-    counts = hits.join(area_of, "zone_id").groupBy("area").agg(F.count(F.lit(1)).alias("events"))
+    counts = count_points_in_zones(_event_points(spark, base, EVENT_YEAR_WINDOW), blocks, "area", count_col="events")
     demo = weighted_mean_by_area(blocks, _income(spark, base))
     return area_rates(demo, counts, count_col="events", years=RATE_YEARS)
 
@@ -395,6 +402,7 @@ QUERIES: dict[str, Query] = {
     "zones_from_geojson": q_zones_from_geojson,
     "points_in_zones": q_points_in_zones,
     "points_in_supplier_zones": q_points_in_supplier_zones,
+    "zone_counts_eager": q_zone_counts_eager,
     "zone_weighted_mean": q_zone_weighted_mean,
     "zone_rates": q_zone_rates,
     "richest_zones": q_richest_zones,

@@ -26,7 +26,7 @@ from tessera.operators.codes import code_frequency, explode_codes, parse_code_di
 from tessera.operators.nearest import nearest_site, nearest_site_summary
 from tessera.operators.stats import area_rates, subset_correlations, top_areas, weighted_mean_by_area
 from tessera.operators.topn import topn_share, topn_share_sql
-from tessera.operators.zones import points_in_zones, zones_from_geojson
+from tessera.operators.zones import count_points_in_zones, zones_from_geojson
 from tessera.sources.csv import (
     CATEGORY_CODE_COLUMNS,
     INCOME_COLUMNS,
@@ -166,7 +166,6 @@ def _areas(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
     blocks = (
         zones_from_geojson(feats)
         .select(
-            F.monotonically_increasing_id().alias("block_id"),
             F.col("COMM").alias("area"),
             F.col("ZCTA20").alias("zip_code"),
             F.col("POP20").alias("population"),
@@ -181,10 +180,8 @@ def _areas(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
     income = inc.select(
         F.col("Zip Code").alias("zip_code"), parse_currency("Estimated Median Income").alias("income")
     ).filter(F.col("zip_code").isNotNull() & F.col("income").isNotNull())
-    hits = points_in_zones(pts, blocks, "block_id")
-    counts = hits.join(blocks.select("block_id", "area"), "block_id").groupBy("area").agg(
-        F.count(F.lit(1)).alias("events")
-    )
+    # Every block is a zone of its own under its area's name: no block key, no join back.
+    counts = count_points_in_zones(pts, blocks, "area", count_col="events")
     demo = weighted_mean_by_area(blocks, income)
     rates = area_rates(demo, counts, count_col="events", years=float(RATE_WINDOW[1] - RATE_WINDOW[0] + 1))
     return rates.select(
