@@ -18,11 +18,13 @@ Two physical plans:
   candidates; no shuffle of points at all.  A point already resolved joins
   with a NULL key, so it carries no further candidate lists.  The last
   resort, the list of all sites, is a scalar subquery evaluated once.
-* more sites: candidate pairs are formed with shuffled equi-joins on the cube
-  id (AQE splits hot cubes), the best per point is a shuffled ``min`` of a
-  (distance, key) struct, and unresolved points go to the next, coarser level.
-  Each level is materialised with a reliable checkpoint; the coarsest level
-  holds every site, so the search always terminates with an exact answer.
+* more sites: best-first branch and bound over a tree of cubes.  A cube is
+  summed up by the tight box of its sites; its children (or, in the finest
+  cubes, its sites) are one array.  A point keeps the cubes whose box may hold
+  its nearest site: those no farther, at their nearest, than some other box is
+  at its farthest.  Cubes are opened level by level with shuffled equi-joins on
+  the cube id (AQE splits hot cubes), so a point far outside a dense city opens
+  the few cubes on the city's near side, not the city.
 
 Ties in distance go to the smallest site key; sites sharing one location are
 first reduced to the smallest key, which can never lose such a tie.
@@ -32,6 +34,7 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
@@ -128,13 +131,6 @@ def _within(best: Column, h: float) -> Column:
     return best["c2"] <= F.lit((h - _EPS) ** 2)
 
 
-def _within_exact(best: Column, h: float) -> Column:
-    """Chord test for an exact (distance-ranked) best, from its coordinates."""
-    bx, by, bz = unit_vector(best["lon"], best["lat"])
-    c2 = (F.col("_px") - bx) ** 2 + (F.col("_py") - by) ** 2 + (F.col("_pz") - bz) ** 2
-    return c2 <= F.lit((h - _EPS) ** 2)
-
-
 def _neighbour_rows(s: DataFrame, h: float, payload: list[str]) -> DataFrame:
     """Each site once per cube in the 3x3x3 block around its own cube."""
     keys = neighbour_cell_keys("_sx", "_sy", "_sz", h)
@@ -153,46 +149,50 @@ def _levels(h0: float, levels: int) -> list[float]:
     return out
 
 
-# Candidate finest cube edges: 2**-1 ... 2**-19 (MIN_CELL) on the unit sphere.
+# Cube edges: 2**-1 ... 2**-19 (MIN_CELL) on the unit sphere.
 _SCALES = [2.0**-j for j in range(1, 20)]
+# Edges of a cube and of its children differ by this factor; the search starts
+# from at most so many cubes (or the few on the whole globe at the largest edge).
+_FACTOR, _TOP = 8, 64
 
 
-def _plan_cells(
-    valid_xyz: DataFrame, max_sites_per_cell: int
-) -> tuple[int, float, float | None]:
-    """(site count, typical edge h_ext, finest edge h0).
+def _typical_edge(n: int, extent: float) -> float:
+    """About one site spacing over the sites' extent."""
+    return min(max(extent / math.sqrt(n), MIN_CELL), 2.0)
 
-    ``h_ext`` is about one site spacing over the sites' extent.  ``h0`` is the
-    largest candidate edge not above ``h_ext`` whose densest cube holds at most
-    ``max_sites_per_cell`` sites, so a city holding a third of all sites gets
-    small cubes instead of one huge candidate list.  Sites are counted by place.
-    ``h0`` is None when all sites share one place.
 
-    Two small jobs: count and extent (one map stage), then the densest cube
-    at every candidate edge as a distributed aggregate.
-    """
-    row = valid_xyz.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.greatest(
-            F.max("_sx") - F.min("_sx"), F.max("_sy") - F.min("_sy"), F.max("_sz") - F.min("_sz")
-        ).alias("ext"),
-    ).collect()[0]
-    n, extent = int(row["n"]), float(row["ext"] or 0.0)
-    if n <= 1 or extent <= 0:
-        return n, 0.0, None
-    h_ext = min(max(extent / math.sqrt(n), MIN_CELL), 2.0)
-    scales = [h for h in _SCALES if h <= h_ext] or [_SCALES[-1]]
-    if n <= max_sites_per_cell:
-        return n, h_ext, scales[0]
-    src = valid_xyz
-    pairs = ", ".join(f"named_struct('j', {j}, 'c', {cell_key_sql('_sx', '_sy', '_sz', h)})" for j, h in enumerate(scales))
-    keyed = src.select(F.expr(f"explode(array({pairs}))").alias("k"))
+def _finest(h_ext: float, densest: dict[int, int], max_sites_per_cell: int) -> float:
+    """The largest cube edge not above ``h_ext`` whose densest cube holds at most
+    ``max_sites_per_cell`` sites, so a city holding a third of all sites gets
+    small cubes instead of one huge candidate list."""
+    scales = [(j, h) for j, h in enumerate(_SCALES) if h <= h_ext] or [(len(_SCALES) - 1, _SCALES[-1])]
+    fits = [h for j, h in scales if densest.get(j, 0) <= max_sites_per_cell]
+    return fits[0] if fits else scales[-1][1]
+
+
+def _plan_small(xyz: np.ndarray, max_sites_per_cell: int) -> tuple[float, float | None]:
+    """(typical edge, finest edge) for few sites, from their unit vectors;
+    the finest is None when all sites share one place."""
+    extent = float((xyz.max(axis=0) - xyz.min(axis=0)).max())
+    if len(xyz) <= 1 or extent <= 0:
+        return 0.0, None
+    h_ext = _typical_edge(len(xyz), extent)
     densest = {
-        r["j"]: r["m"]
-        for r in keyed.groupBy("k.j", "k.c").count().groupBy("j").agg(F.max("count").alias("m")).collect()
+        j: int(np.unique(np.floor(xyz / h), axis=0, return_counts=True)[1].max())
+        for j, h in enumerate(_SCALES)
+        if h <= h_ext
     }
-    fits = [h for j, h in enumerate(scales) if densest.get(j, 0) <= max_sites_per_cell]
-    return n, h_ext, (fits[0] if fits else scales[-1])
+    return h_ext, _finest(h_ext, densest, max_sites_per_cell)
+
+
+def _census(s: DataFrame) -> dict[int, tuple[int, int]]:
+    """For each cube edge: the sites of the densest cube and the number of
+    cubes, by one distributed aggregate."""
+    pairs = ", ".join(f"named_struct('j', {j}, 'c', {cell_key_sql('_sx', '_sy', '_sz', h)})" for j, h in enumerate(_SCALES))
+    keyed = s.select(F.expr(f"explode(array({pairs}))").alias("k"))
+    per_cube = keyed.groupBy("k.j", "k.c").count()
+    rows = per_cube.groupBy("j").agg(F.max("count").alias("m"), F.count(F.lit(1)).alias("n")).collect()
+    return {r["j"]: (r["m"], r["n"]) for r in rows}
 
 
 def nearest_site(
@@ -233,8 +233,10 @@ def nearest_site(
     payload = list(site_cols or [])
     pts = _points(points, point_id, lon, lat)
     s = _sites(sites, site_key, site_lon, site_lat, payload)
-    n, h_ext, h0 = _plan_cells(s.select("_sx", "_sy", "_sz"), max_sites_per_cell)
     key_type = sites.schema[site_key].dataType
+    # One job: the sites themselves if they are few, else only that they are not.
+    few = s.limit(max_broadcast_sites + 1).toArrow()
+    n, hs = few.num_rows, []
     if n == 0:
         return pts.select(
             point_id,
@@ -242,12 +244,14 @@ def nearest_site(
             F.lit(None).cast("double").alias(distance_col),
             *[F.lit(None).cast(sites.schema[c].dataType).alias(c) for c in payload],
         ).limit(0)
-    if h0 is None:
-        hs = []
-    else:
-        # Enough 8x levels to reach 32x the typical edge from the finest one.
-        span = 1 + max(0, math.ceil(math.log(32 * h_ext / h0, 8)))
-        hs = _levels(h0, min(max(levels, span), max_levels))
+    if n <= max_broadcast_sites:
+        xyz = np.column_stack([few.column(c).to_numpy() for c in ("_sx", "_sy", "_sz")])
+        h_ext, h0 = _plan_small(xyz, max_sites_per_cell)
+        if h0 is not None:
+            # Enough 8x levels to reach 32x the typical edge from the finest one.
+            span = 1 + max(0, math.ceil(math.log(32 * h_ext / h0, 8)))
+            hs = _levels(h0, min(max(levels, span), max_levels))
+        s = pts.sparkSession.createDataFrame(few, s.schema).coalesce(1)
     # The broadcast lists hold 27 entries per site per level (~60 bytes each).
     if n <= max_broadcast_sites and 27 * n * max(len(hs), 1) <= max_broadcast_entries:
         small = True
@@ -262,7 +266,7 @@ def nearest_site(
         if small:
             found = _nearest_broadcast(places, s, hs, form, payload)
         else:
-            found = _nearest_shuffled(places, s, _levels(hs[0], 64) if hs else [], payload)
+            found = _nearest_shuffled(places, s, payload, max_sites_per_cell)
         best = pts.join(found.select("_plon", "_plat", "_best"), ["_plon", "_plat"])
     return best.select(
         F.col(point_id),
@@ -311,37 +315,102 @@ def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str,
     return exploded.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
 
 
-def _nearest_shuffled(pts: DataFrame, s: DataFrame, hs: list[float], payload: list[str]) -> DataFrame:
-    """Level-by-level search with shuffled joins; every level is checkpointed
-    (reliable, in the session's checkpoint folder) so no level recomputes the
-    previous ones and a lost executor only repeats the current level."""
-    spark = pts.sparkSession
-    checkpoint_dir(spark)
-    if not hs or hs[-1] < 2.0:
-        hs = list(hs) + [2.0]
-    pending = pts
-    parts: list[DataFrame] = []
-    for h in hs:
-        last = h >= 2.0
-        pairs = pending.withColumn(
-            "_cell", cell_key("_px", "_py", "_pz", h)
-        ).join(_neighbour_rows(s, h, payload), "_cell")
-        best = pairs.groupBy("_px", "_py", "_pz", "_plon", "_plat").agg(
-            F.min(_exact_of_entry(_entry(payload), payload)).alias("_best")
-        )
-        if not last:
-            best = best.filter(_within_exact(F.col("_best"), h))
-        done = best.select("_plon", "_plat", "_best").checkpoint()
-        parts.append(done)
-        if last:
-            break
-        pending = pending.join(done.select("_plon", "_plat"), ["_plon", "_plat"], "left_anti").checkpoint()
-        if pending.isEmpty():
-            break
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+_BOX = ("_x0", "_y0", "_z0", "_x1", "_y1", "_z1")
+
+
+def _summaries(df: DataFrame, child: Column, lo: tuple, hi: tuple, key: str) -> DataFrame:
+    """(cube, tight box, children) of every cube of one level, materialised."""
+    box = [F.min(c).alias(b) for c, b in zip(lo, _BOX[:3])] + [F.max(c).alias(b) for c, b in zip(hi, _BOX[3:])]
+    return df.groupBy(F.expr(key).alias("_cube")).agg(*box, F.collect_list(child).alias("_children")).checkpoint()
+
+
+def _cube_tree(s: DataFrame, payload: list[str], max_sites_per_cell: int) -> list[DataFrame]:
+    """Levels of cubes from the finest, whose children are the sites, up to one
+    of at most ``_TOP`` cubes; a coarser cube's children are cubes."""
+    census = _census(s)
+    j = _SCALES.index(_finest(_SCALES[0], {k: m for k, (m, _) in census.items()}, max_sites_per_cell))
+    own = ("_sx", "_sy", "_sz")
+    tree = [_summaries(s, _entry(payload), own, own, cell_key_sql(*own, _SCALES[j]))]
+    step = int(math.log2(_FACTOR))
+    while census[j][1] > _TOP and j > 0:
+        j = max(j - step, 0)
+        below = tree[-1]
+        child = F.struct("_cube", *_BOX)
+        tree.append(_summaries(below, child, _BOX[:3], _BOX[3:], cell_key_sql(*_BOX[:3], _SCALES[j])))
+    return tree
+
+
+def _near_sql(e: str) -> str:
+    """Least squared distance from the point to the box of ``e``."""
+    axes = [f"greatest(0D, {e}._{c}0 - _p{c}, _p{c} - {e}._{c}1)" for c in "xyz"]
+    return " + ".join(f"pow({a}, 2)" for a in axes)
+
+
+def _far_sql(e: str) -> str:
+    """Greatest squared distance from the point to the box of ``e``: within it
+    there is a site."""
+    axes = [f"greatest(abs(_p{c} - {e}._{c}0), abs(_p{c} - {e}._{c}1))" for c in "xyz"]
+    return " + ".join(f"pow({a}, 2)" for a in axes)
+
+
+def _keep_sql(boxes: str) -> str:
+    """The cubes among array ``boxes`` that may hold the nearest site, as
+    (cube, near, far); a hair of slack keeps ties."""
+    scored = f"transform({boxes}, e -> named_struct('cube', e._cube, 'near', {_near_sql('e')}, 'far', {_far_sql('e')}))"
+    return _prune_sql(scored)
+
+
+def _with_least_sql(array: str, value: str) -> str:
+    """One-element array of (q: the array, m: its least ``value``), so that
+    both are built once and not per element."""
+    return f"transform(array({array}), q -> named_struct('q', q, 'm', array_min(transform(q, e -> {value}))))"
+
+
+def _prune_sql(scored: str) -> str:
+    keep = f"filter(w.q, e -> e.near <= w.m * {1.0 + 4 * _TIE!r}D + 1e-15D)"
+    return f"transform({_with_least_sql(scored, 'e.far')}, w -> {keep})[0]"
+
+
+def _exact_sql(arr: str, payload: list[str]) -> str:
+    """Best site of the array by distance, then key, as in :func:`_pick_sql`."""
+    near = f"filter(w.q, e -> {_c2_sql('e')} <= w.m * {1.0 + _TIE!r}D)"
+    dist = sphere_distance_sql("_plon", "_plat", "e._slon", "e._slat")
+    best = f"array_min(transform({near}, e -> named_struct('d', {dist}, {_fields_sql('e', payload)})))"
+    return f"transform({_with_least_sql(f'`{arr}`', _c2_sql('e'))}, w -> {best})[0]"
+
+
+_PLACE = ["_px", "_py", "_pz", "_plon", "_plat"]
+
+
+def _open_cubes(places: DataFrame, tree: list[DataFrame]) -> DataFrame:
+    """Every place with the finest cubes that may hold its nearest site, one row
+    per cube (``_cube``)."""
+    top = tree[-1].select("_cube", *_BOX)
+    # Few boxes (counted while the tree was built), as one array.
+    every = top.agg(F.collect_list(F.struct("_cube", *_BOX))).scalar()
+    cur = places.select(*_PLACE, every.alias("_boxes")).select(*_PLACE, F.expr(_keep_sql("_boxes")).alias("_kept"))
+    for level in reversed(tree[1:]):
+        opened = cur.select(*_PLACE, F.explode("_kept.cube").alias("_cube")).join(level.select("_cube", "_children"), "_cube")
+        kept = opened.select(*_PLACE, F.expr(_keep_sql("_children")).alias("_kept"))
+        cur = kept.groupBy(*_PLACE).agg(F.flatten(F.collect_list("_kept")).alias("_all"))
+        cur = cur.select(*_PLACE, F.expr(_prune_sql("_all")).alias("_kept"))
+    return cur.select(*_PLACE, F.explode("_kept.cube").alias("_cube"))
+
+
+def _nearest_shuffled(places: DataFrame, s: DataFrame, payload: list[str], max_sites_per_cell: int) -> DataFrame:
+    """Branch and bound over the tree of cubes.
+
+    The sites and each level of the tree are materialised with a reliable
+    checkpoint; of the places only those with their open cubes are moved.  In
+    the finest cubes the best site of the cube's array is chosen in the row,
+    and the best over a place's few cubes by a shuffled ``min``.
+    """
+    checkpoint_dir(places.sparkSession)
+    s = s.checkpoint()
+    tree = _cube_tree(s, payload, max_sites_per_cell)
+    cand = _open_cubes(places, tree).join(tree[0].select("_cube", F.col("_children").alias("_cands")), "_cube")
+    best = cand.select(*_PLACE, F.expr(_exact_sql("_cands", payload)).alias("_t"))
+    return best.groupBy("_plon", "_plat").agg(F.min("_t").alias("_best"))
 
 
 def nearest_site_summary(

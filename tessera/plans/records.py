@@ -120,15 +120,14 @@ def station_summary(
     it is nearest to.  Records without coordinates or at (0, 0) are skipped,
     as are stations without coordinates.
 
-    ``id_col`` names a unique record id column in the files (e.g. ``DR_NO``);
-    without one a generated id is used, which is stable only while the input
-    files and their splits stay the same (it matters for ``form="window"``).
+    ``id_col`` names a record id column in the files (e.g. ``DR_NO``) to read;
+    the result does not depend on ids, so without one there is none.
     """
     columns = dict(RECORD_COLUMNS)
     if id_col:
         columns[id_col] = "string"
     rec = read_csv_columns(spark, _path(data_dir, "records", paths), columns)
-    rid = F.col(id_col) if id_col else F.monotonically_increasing_id()
+    rid = F.col(id_col) if id_col else F.lit(None).cast("string")
     pts = (
         rec.filter(F.col("LAT").isNotNull() & F.col("LON").isNotNull())
         .filter((F.col("LAT") != 0.0) | (F.col("LON") != 0.0))

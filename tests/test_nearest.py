@@ -136,3 +136,46 @@ def test_every_plan_gives_one_row_per_point(spark):
     key = lambda r: (r["id"] is not None, r["id"] or 0, r["site_key"], round(r["distance_m"], 6))
     got = [sorted(key(r) for r in nearest_site(pts, sites, "id", **p).collect()) for p in plans]
     assert len(got[0]) == 6 and all(g == got[0] for g in got)
+
+
+def test_far_points_open_few_cubes_of_a_dense_city(spark):
+    """A city of 4,000 sites, some sites far apart, points near and very far:
+    the pairs looked at stay far below points x sites, and answers are exact."""
+    from tessera.operators import nearest as N
+
+    rnd = random.Random(21)
+    city = [(i, -118.2 + rnd.gauss(0, 0.02), 34.0 + rnd.gauss(0, 0.02)) for i in range(4000)]
+    rest = [(5000 + i, rnd.uniform(-180, 180), rnd.uniform(-80, 80)) for i in range(30)]
+    sites = spark.createDataFrame(city + rest, "site_key int, site_lon double, site_lat double")
+    pts = [(i, rnd.uniform(-125, -110), rnd.uniform(25, 45)) for i in range(250)]
+    pts += [(300 + i, -118.2 + rnd.gauss(0, 0.02), 34.0 + rnd.gauss(0, 0.02)) for i in range(100)]
+    points = spark.createDataFrame(pts, "pid int, lon double, lat double")
+    got = rows(nearest_site(points, sites, "pid", max_broadcast_sites=0).select("pid", "site_key"))
+
+    def metres(a, b):
+        (x1, y1), (x2, y2) = (tuple(map(math.radians, p)) for p in (a, b))
+        h = math.sin((y2 - y1) / 2) ** 2 + math.cos(y1) * math.cos(y2) * math.sin((x2 - x1) / 2) ** 2
+        return 2 * 6371008.0 * math.asin(min(1.0, math.sqrt(h)))
+
+    want = [(k, min((metres((x, y), (sx, sy)), sk) for sk, sx, sy in city + rest)[1]) for k, x, y in pts]
+    assert got == sorted(want)
+    s = N._sites(sites, "site_key", "site_lon", "site_lat", []).cache()
+    tree = N._cube_tree(s, [], 32)
+    opened = N._open_cubes(N._points(points, "pid", "lon", "lat"), tree).join(tree[0], "_cube")
+    pairs = opened.agg(F.sum(F.size("_children"))).first()[0]
+    assert len(tree) > 1 and pairs < len(pts) * (len(city) + len(rest)) / 10
+    plan = nearest_site(points, sites, "pid", max_broadcast_sites=0)._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan and "Python" not in plan
+
+
+def test_shuffled_plan_on_random_places_and_ties(spark):
+    rnd = random.Random(5)
+    grid = [(i * 100 + j, i * 1.0, j * 1.0) for i in range(30) for j in range(30)]
+    sites = spark.createDataFrame(grid, "site_key int, site_lon double, site_lat double")
+    # Half of the points stand in the middle between four sites of one latitude pair.
+    pts = [(i, rnd.randrange(29) + 0.5, rnd.randrange(30) * 1.0) for i in range(150)]
+    pts += [(200 + i, rnd.uniform(-20, 50), rnd.uniform(-20, 50)) for i in range(150)]
+    points = spark.createDataFrame(pts, "pid int, lon double, lat double")
+    a = rows(nearest_site(points, sites, "pid", max_broadcast_sites=0))
+    b = rows(nearest_site(points, sites, "pid"))
+    assert a == b and len(a) == len(pts)
