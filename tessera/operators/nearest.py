@@ -19,10 +19,10 @@ Two physical plans:
   with a NULL key, so it carries no further candidate lists.  The last
   resort, the list of all sites, is a scalar subquery evaluated once.
 * more sites: best-first branch and bound over a tree of cubes.  A cube is
-  summed up by the tight box of its sites; its children (or, in the finest
-  cubes, its sites) are one array.  A point keeps the cubes whose box may hold
-  its nearest site: those no farther, at their nearest, than some other box is
-  at its farthest.  Cubes are opened level by level with shuffled equi-joins on
+  summed up by the tight box of its sites and its most central site; its
+  children (or, in the finest cubes, its sites) are one array.  A point keeps the
+  cubes whose box may hold its nearest site: those no farther, at their nearest,
+  than the central site of any other.  Cubes are opened level by level with shuffled equi-joins on
   the cube id (AQE splits hot cubes), so a point far outside a dense city opens
   the few cubes on the city's near side, not the city.
 
@@ -152,8 +152,9 @@ def _levels(h0: float, levels: int) -> list[float]:
 # Cube edges: 2**-1 ... 2**-19 (MIN_CELL) on the unit sphere.
 _SCALES = [2.0**-j for j in range(1, 20)]
 # Edges of a cube and of its children differ by this factor; the search starts
-# from at most so many cubes (or the few on the whole globe at the largest edge).
-_FACTOR, _TOP = 8, 64
+# from at most so many cubes (or the few on the whole globe at the largest edge)
+# and ends in cubes of at most so many sites, where the smallest edge allows it.
+_FACTOR, _TOP, _LEAF = 4, 32, 8
 
 
 def _typical_edge(n: int, extent: float) -> float:
@@ -266,7 +267,7 @@ def nearest_site(
         if small:
             found = _nearest_broadcast(places, s, hs, form, payload)
         else:
-            found = _nearest_shuffled(places, s, payload, max_sites_per_cell)
+            found = _nearest_shuffled(places, s, payload)
         best = pts.join(found.select("_plon", "_plat", "_best"), ["_plon", "_plat"])
     return best.select(
         F.col(point_id),
@@ -316,27 +317,32 @@ def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str,
 
 
 _BOX = ("_x0", "_y0", "_z0", "_x1", "_y1", "_z1")
+_REP = ("_rx", "_ry", "_rz")
 
 
-def _summaries(df: DataFrame, child: Column, lo: tuple, hi: tuple, key: str) -> DataFrame:
-    """(cube, tight box, children) of every cube of one level, materialised."""
+def _summaries(df: DataFrame, child: Column, lo: tuple, hi: tuple, rep: tuple, h: float) -> DataFrame:
+    """(cube, tight box, central site, children) of every cube of one level, materialised."""
     box = [F.min(c).alias(b) for c, b in zip(lo, _BOX[:3])] + [F.max(c).alias(b) for c, b in zip(hi, _BOX[3:])]
-    return df.groupBy(F.expr(key).alias("_cube")).agg(*box, F.collect_list(child).alias("_children")).checkpoint()
+    off = [F.pow(F.col(c) / h - F.floor(F.col(c) / h) - 0.5, 2) for c in rep]
+    central = F.min(F.struct((off[0] + off[1] + off[2]).alias("off"), *[F.col(c).alias(r) for c, r in zip(rep, _REP)]))
+    cubes = df.groupBy(F.expr(cell_key_sql(*lo, h)).alias("_cube")).agg(
+        *box, central.alias("_central"), F.collect_list(child).alias("_children")
+    )
+    return cubes.select("_cube", *_BOX, *[F.col(f"_central.{r}").alias(r) for r in _REP], "_children").checkpoint()
 
 
-def _cube_tree(s: DataFrame, payload: list[str], max_sites_per_cell: int) -> list[DataFrame]:
+def _cube_tree(s: DataFrame, payload: list[str], leaf_sites: int = _LEAF) -> list[DataFrame]:
     """Levels of cubes from the finest, whose children are the sites, up to one
     of at most ``_TOP`` cubes; a coarser cube's children are cubes."""
     census = _census(s)
-    j = _SCALES.index(_finest(_SCALES[0], {k: m for k, (m, _) in census.items()}, max_sites_per_cell))
+    j = _SCALES.index(_finest(_SCALES[0], {k: m for k, (m, _) in census.items()}, leaf_sites))
     own = ("_sx", "_sy", "_sz")
-    tree = [_summaries(s, _entry(payload), own, own, cell_key_sql(*own, _SCALES[j]))]
+    tree = [_summaries(s, _entry(payload), own, own, own, _SCALES[j])]
     step = int(math.log2(_FACTOR))
     while census[j][1] > _TOP and j > 0:
         j = max(j - step, 0)
-        below = tree[-1]
-        child = F.struct("_cube", *_BOX)
-        tree.append(_summaries(below, child, _BOX[:3], _BOX[3:], cell_key_sql(*_BOX[:3], _SCALES[j])))
+        child = F.struct("_cube", *_BOX, *_REP)
+        tree.append(_summaries(tree[-1], child, _BOX[:3], _BOX[3:], _REP, _SCALES[j]))
     return tree
 
 
@@ -347,10 +353,8 @@ def _near_sql(e: str) -> str:
 
 
 def _far_sql(e: str) -> str:
-    """Greatest squared distance from the point to the box of ``e``: within it
-    there is a site."""
-    axes = [f"greatest(abs(_p{c} - {e}._{c}0), abs(_p{c} - {e}._{c}1))" for c in "xyz"]
-    return " + ".join(f"pow({a}, 2)" for a in axes)
+    """Squared distance from the point to the central site of ``e``."""
+    return " + ".join(f"(_p{c} - {e}._r{c}) * (_p{c} - {e}._r{c})" for c in "xyz")
 
 
 def _keep_sql(boxes: str) -> str:
@@ -385,9 +389,8 @@ _PLACE = ["_px", "_py", "_pz", "_plon", "_plat"]
 def _open_cubes(places: DataFrame, tree: list[DataFrame]) -> DataFrame:
     """Every place with the finest cubes that may hold its nearest site, one row
     per cube (``_cube``)."""
-    top = tree[-1].select("_cube", *_BOX)
     # Few boxes (counted while the tree was built), as one array.
-    every = top.agg(F.collect_list(F.struct("_cube", *_BOX))).scalar()
+    every = tree[-1].agg(F.collect_list(F.struct("_cube", *_BOX, *_REP))).scalar()
     cur = places.select(*_PLACE, every.alias("_boxes")).select(*_PLACE, F.expr(_keep_sql("_boxes")).alias("_kept"))
     for level in reversed(tree[1:]):
         opened = cur.select(*_PLACE, F.explode("_kept.cube").alias("_cube")).join(level.select("_cube", "_children"), "_cube")
@@ -397,7 +400,7 @@ def _open_cubes(places: DataFrame, tree: list[DataFrame]) -> DataFrame:
     return cur.select(*_PLACE, F.explode("_kept.cube").alias("_cube"))
 
 
-def _nearest_shuffled(places: DataFrame, s: DataFrame, payload: list[str], max_sites_per_cell: int) -> DataFrame:
+def _nearest_shuffled(places: DataFrame, s: DataFrame, payload: list[str]) -> DataFrame:
     """Branch and bound over the tree of cubes.
 
     The sites and each level of the tree are materialised with a reliable
@@ -407,7 +410,7 @@ def _nearest_shuffled(places: DataFrame, s: DataFrame, payload: list[str], max_s
     """
     checkpoint_dir(places.sparkSession)
     s = s.checkpoint()
-    tree = _cube_tree(s, payload, max_sites_per_cell)
+    tree = _cube_tree(s, payload)
     cand = _open_cubes(places, tree).join(tree[0].select("_cube", F.col("_children").alias("_cands")), "_cube")
     best = cand.select(*_PLACE, F.expr(_exact_sql("_cands", payload)).alias("_t"))
     return best.groupBy("_plon", "_plat").agg(F.min("_t").alias("_best"))

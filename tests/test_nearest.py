@@ -160,7 +160,7 @@ def test_far_points_open_few_cubes_of_a_dense_city(spark):
     want = [(k, min((metres((x, y), (sx, sy)), sk) for sk, sx, sy in city + rest)[1]) for k, x, y in pts]
     assert got == sorted(want)
     s = N._sites(sites, "site_key", "site_lon", "site_lat", []).cache()
-    tree = N._cube_tree(s, [], 32)
+    tree = N._cube_tree(s, [])
     opened = N._open_cubes(N._points(points, "pid", "lon", "lat"), tree).join(tree[0], "_cube")
     pairs = opened.agg(F.sum(F.size("_children"))).first()[0]
     assert len(tree) > 1 and pairs < len(pts) * (len(city) + len(rest)) / 10
