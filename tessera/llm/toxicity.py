@@ -19,18 +19,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Batches, alnum_words, as_bytes, cut, share, shared
+from tessera.llm.common import Batches, alnum_words, as_bytes, share, shared
 from tessera.llm.spans import sentences
 
-# The features kept (by significance), and the labelled rows of each class
-# that the chain and the score are fitted on: bounds of the model's size.
-MAX_FEATURES = 20_000
+# Bounds of what the model is fitted on, all of them rows in the order of their
+# ids' hash: labelled rows of each class for the features' statistics (None: all),
+# and of these for the chain and the score, rows of each class and bytes of text.
+TRAIN_ROWS = 10_000
 FIT_ROWS = 300
+FIT_BYTES = 8 << 20
 MIN_DOCS = 5
 MIN_Z = 3.0
 PRECISION = 0.9
 THRESHOLD = 0.3
-MAX_CHAIN = 128
+# Longer chains go through the products of their steps instead of step by step.
+LONG_CHAIN = 512
 
 _WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 
@@ -41,15 +44,30 @@ def features_of(word: bytes) -> tuple[bytes, bytes, bytes]:
     return b"w" + word, b"4" + s[:4].encode(), b"5" + s[:5].encode()
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) of the labelled documents that may be learned from.
+def training_labels(labels: DataFrame) -> DataFrame:
+    """(doc_id, toxic) of the labelled ids that may be learned from.
 
-    Rows whose crc32(doc_id as text) mod 4 is 2 are held out.  Labels other
-    than 0 and 1 are dropped, several of one document count as the highest.
+    Ids whose crc32(doc_id as text) mod 4 is 2 are held out, null ids are never
+    learned from.  Labels other than 0 and 1 are dropped, several of one
+    document count as the highest.
     """
-    y = labels.filter("toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    d = docs.filter(~held_out()).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    return d.join(y.withColumnRenamed("doc_id", "y_id"), F.col("doc_id") == F.col("y_id")).select("doc_id", "text", "toxic")
+    y = labels.filter("toxic in (0, 1) and doc_id is not null").filter(~held_out())
+    return y.groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
+
+
+def training_rows(docs: DataFrame, y: DataFrame, train_rows: int | None) -> DataFrame:
+    """(doc_id, text, toxic) of at most ``train_rows`` labelled ids of each class.
+
+    The ids are chosen from the labels alone and sent to the documents, so no
+    text is moved; without a bound both sides are joined as Spark sees fit.
+    """
+    if train_rows is not None:
+        order = [F.xxhash64("doc_id"), F.col("doc_id")]
+        chosen = [r for k in (0, 1) for r in y.filter(F.col("toxic") == k).orderBy(*order).limit(train_rows).collect()]
+        y = F.broadcast(docs.sparkSession.createDataFrame(chosen, y.schema))
+    d = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    y = y.withColumnRenamed("doc_id", "y_id")
+    return d.join(y, F.col("doc_id") == F.col("y_id")).select("doc_id", "text", "toxic")
 
 
 def held_out() -> F.Column:
@@ -139,6 +157,26 @@ class Emissions(dict):
         return np.fromiter(map(self.__getitem__, words), np.float64, len(words))
 
 
+def _products(steps: np.ndarray) -> np.ndarray:
+    """Products of each matrix with all before it (doubling), scaled."""
+    out, k = steps.copy(), 1
+    while k < len(out):
+        out[k:] = out[:-k] @ out[k:]
+        out /= out.max(axis=(1, 2), keepdims=True)
+        k *= 2
+    return out
+
+
+def _long_chain(e: np.ndarray, m: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward vectors of one long chain, from products of its
+    2x2 steps: logarithmically many passes instead of one for every token."""
+    step = m[None] * e[1:, None, :]
+    alpha = np.concatenate([e[:1], e[0] @ _products(step)])
+    back = _products(step[::-1].transpose(0, 2, 1))[::-1].transpose(0, 2, 1)
+    beta = np.concatenate([back.sum(axis=2), np.ones((1, 2))])
+    return (x / x.sum(axis=1, keepdims=True) for x in (alpha, beta))
+
+
 def chain_marginals(
     emit: np.ndarray, lengths: np.ndarray, trans: np.ndarray, count_pairs: bool = True
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -156,6 +194,18 @@ def chain_marginals(
     bucket = np.ceil(np.log2(np.maximum(lengths, 1))).astype(int) if len(lengths) else np.empty(0, int)
     for b in np.unique(bucket):
         which = np.flatnonzero((bucket == b) & (lengths > 0))
+        if 1 << b > LONG_CHAIN:
+            for i in which:
+                at = slice(starts[i], starts[i] + lengths[i])
+                e1 = 1 / (1 + np.exp(-np.clip(emit[at], -50, 50)))
+                e = np.stack([1 - e1, e1], axis=1)
+                alpha, beta = _long_chain(e, m)
+                g = alpha * beta
+                p[at] = g[:, 1] / g.sum(axis=1)
+                if count_pairs:
+                    x = alpha[:-1, :, None] * m[None] * (e[1:] * beta[1:])[:, None, :]
+                    pairs += (x / x.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            continue
         size = max(1, 2_000_000 >> int(b))
         for at in range(0, len(which), size):
             own = which[at : at + size]
@@ -188,13 +238,13 @@ def chain_marginals(
 
 
 def _tokens(text: bytes | None) -> tuple[list[bytes], list[int]]:
-    """Words of the text and the lengths of its chains: sentences, longer ones
-    in pieces of ``MAX_CHAIN`` words."""
+    """Words of the text and the lengths of its chains, the sentences."""
     words, lengths = [], []
     for s in sentences(text):
         own = alnum_words(s)
         words += own
-        lengths += [MAX_CHAIN] * (len(own) // MAX_CHAIN) + [len(own) % MAX_CHAIN] * (len(own) % MAX_CHAIN > 0)
+        if own:
+            lengths.append(len(own))
     return words, lengths
 
 
@@ -249,42 +299,63 @@ def _fit_score(model: ToxicModel, rows: list[tuple[bytes, int]], prior: float) -
     model.score_w = w
 
 
+def _fit_texts(train: DataFrame, fit_rows: int, fit_bytes: int) -> list[tuple[bytes, int]]:
+    """(text, toxic) of the first rows of each class by hash, as far as both bounds
+    allow; of several texts under one id the smallest."""
+    each = train.groupBy("doc_id", "toxic").agg(F.max(F.octet_length("text")).alias("size"))
+    ids = []
+    for y in (0, 1):
+        own = each.filter(F.col("toxic") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).collect()
+        left = fit_bytes // 2
+        for r in own:
+            if r["size"] <= left:
+                ids.append(r["doc_id"])
+                left -= r["size"]
+    if not ids:
+        return []
+    texts = train.filter(F.col("doc_id").isin(ids)).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    return [(r["text"].encode(), r["toxic"]) for r in sorted(texts.collect(), key=lambda r: (r["toxic"], r["doc_id"]))]
+
+
 def fit_toxic_model(
-    docs: DataFrame, labels: DataFrame, max_features: int = MAX_FEATURES, fit_rows: int = FIT_ROWS
+    docs: DataFrame,
+    labels: DataFrame,
+    train_rows: int | None = TRAIN_ROWS,
+    fit_rows: int = FIT_ROWS,
+    fit_bytes: int = FIT_BYTES,
 ) -> ToxicModel:
-    """Learn from all labelled training rows (feature statistics) and from a
-    bounded sample, ``fit_rows`` of each class in hash order (chain and score).
+    """Learn the features' odds from at most ``train_rows`` labelled rows of each
+    class (None: all), the chain and the score from a part of these, at most
+    ``fit_rows`` of each class with ``fit_bytes`` of text together.
 
-    Without training rows, or with one class only, scores stay at the base rate.
+    Every feature that passes the test is kept.  Classes count by their shares
+    of all labels.  Without training rows, or with one class only, scores stay at
+    the base rate.
     """
-    train = cut(training_rows(docs, labels))
-    total = train.agg(F.count(F.lit(1)), F.sum("toxic")).first()
-    n, n1 = total[0], total[1] or 0
+    y = training_labels(labels)
+    n, n1 = y.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     odds: dict[bytes, float] = {}
     labelled: set[bytes] = set()
+    rows: list[tuple[bytes, int]] = []
     if 0 < n1 < n:
-        share1 = n1 / n
-        c = feature_counts(train).filter(F.col("docs") >= MIN_DOCS)
-        # Score test of the feature's share of toxic documents.
-        z = (F.col("toxic") - F.col("docs") * share1) / F.sqrt(F.col("docs") * share1 * (1 - share1))
-        # Few partitions, as each sends its own top rows to the driver.
-        strong = c.withColumn("z", z).filter(F.abs("z") >= MIN_Z).repartition(8)
-        top = strong.orderBy(F.desc(F.abs("z")), "feature").limit(max_features).collect()
-        for r in top:
-            a, b = r["toxic"], r["docs"] - r["toxic"]
-            odds[bytes(r["feature"])] = float(np.log(((a + 0.5) / (n1 + 1)) / ((b + 0.5) / (n - n1 + 1))))
-            if a >= PRECISION * r["docs"]:
-                labelled.add(bytes(r["feature"]))
+        train = training_rows(docs, y, train_rows)
+        s, s1 = train.agg(F.count(F.lit(1)), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+        if 0 < s1 < s:
+            # A row of the sample stands for so many labelled ones of its class.
+            w1, w0 = n1 / s1, (n - n1) / (s - s1)
+            share1 = s1 / s
+            c = feature_counts(train).filter(F.col("docs") >= MIN_DOCS)
+            # Score test of the feature's share of toxic documents.
+            z = (F.col("toxic") - F.col("docs") * share1) / F.sqrt(F.col("docs") * share1 * (1 - share1))
+            for r in c.filter(F.abs(z) >= MIN_Z).orderBy("feature").collect():
+                a, b = r["toxic"], r["docs"] - r["toxic"]
+                odds[bytes(r["feature"])] = float(np.log(((a + 0.5) / (s1 + 1)) / ((b + 0.5) / (s - s1 + 1))))
+                if a * w1 >= PRECISION * (a * w1 + b * w0):
+                    labelled.add(bytes(r["feature"]))
+            rows = _fit_texts(train, fit_rows, fit_bytes)
     model = ToxicModel(odds, labelled)
-    rows = []
-    for y in (0, 1):
-        own = train.filter(F.col("toxic") == y)
-        # Ids first: only the chosen rows' texts go to the driver.
-        ids = [r[0] for r in own.select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).collect()]
-        texts = own.filter(F.col("doc_id").isin(ids)).dropDuplicates(["doc_id"]).orderBy("doc_id").select("text")
-        rows += [(r["text"].encode(), y) for r in texts.collect()] if ids else []
     prior = min(0.999, max(0.001, n1 / n)) if n else 0.5
-    if odds:
+    if odds and len({k for _, k in rows}) == 2:
         _fit_chain(model, rows)
         _fit_score(model, rows, prior)
     else:

@@ -153,6 +153,33 @@ def test_chain_marginals_equal_enumeration():
     assert np.allclose(pairs, want_pairs)
 
 
+def test_long_chains_equal_the_steps(monkeypatch):
+    rng = np.random.default_rng(3)
+    lengths = np.array([1, 700, 2, 3000, 513, 40])
+    emit, trans = rng.normal(0, 8, lengths.sum()), rng.normal(0, 3, (2, 2))
+    p, pairs = toxicity.chain_marginals(emit, lengths, trans)
+    monkeypatch.setattr(toxicity, "LONG_CHAIN", 10**9)
+    q, own = toxicity.chain_marginals(emit, lengths, trans)
+    assert np.allclose(p, q, atol=1e-9) and np.allclose(pairs, own, atol=1e-6)
+
+
+def test_bounded_training_rows_move_no_text(spark, docs):
+    d, labels, rows, _ = labelled(spark, docs)
+    y = toxicity.training_labels(labels)
+    whole = toxicity.training_rows(d, y, None)
+    some = toxicity.training_rows(d, y, 20)
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+    per = {r["toxic"]: r["count"] for r in some.groupBy("toxic").count().collect()}
+    assert per == {0: 20, 1: 20} and whole.count() > 40
+    # The bound holds no rows back when it is above their number.
+    every = toxicity.fit_toxic_model(d, labels, train_rows=None)
+    bounded = toxicity.fit_toxic_model(d, labels, train_rows=10**6)
+    assert every.odds == bounded.odds and np.allclose(every.score_w, bounded.score_w)
+    none = toxicity.fit_toxic_model(d, labels, fit_bytes=0)
+    assert none.score_w[:3].tolist() == [0, 0, 0]
+
+
 def test_toxic_documents_and_spans_are_found(spark, docs):
     d, labels, rows, marks = labelled(spark, docs)
     got = {r["doc_id"]: r for r in toxicity.score_documents(d, labels).collect()}
