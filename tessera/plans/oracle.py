@@ -128,6 +128,15 @@ FROM orders
 WHERE o_orderstatus IN ('F', 'O') AND year(o_orderdate) BETWEEN {Q.YEAR_WINDOW[0]} AND {Q.YEAR_WINDOW[1]}
 GROUP BY 1"""
 
+REJECT_COUNTS = f"""
+SELECT 'rows' AS rule, COUNT(*) AS n FROM orders
+UNION ALL SELECT 'unparsed_date', COUNT(*) FROM orders WHERE o_orderstatus NOT IN ('F', 'O') OR o_orderdate IS NULL
+UNION ALL SELECT 'outside_window', COUNT(*) FROM orders
+    WHERE o_orderstatus IN ('F', 'O') AND year(o_orderdate) NOT BETWEEN {Q.YEAR_WINDOW[0]} AND {Q.YEAR_WINDOW[1]}"""
+
+CSV_TYPED_ROWS = """
+SELECT CAST(o_orderkey AS BIGINT) AS key, o_orderstatus || ', "q"' AS status, CAST(o_totalprice AS DOUBLE) AS price FROM orders"""
+
 CURRENCY_PARSE = """
 SELECT c_custkey, c_acctbal AS amount FROM customer WHERE c_acctbal >= 0"""
 
@@ -249,8 +258,12 @@ ORACLE: dict[str, str] = {
     "nearest_site_window": NEAREST_SITE,
     "nearest_site_summary": NEAREST_SITE_SUMMARY,
     "year_window": YEAR_WINDOW,
+    "csv_typed_rows": CSV_TYPED_ROWS,
     "currency_parse": CURRENCY_PARSE,
     "zones_from_geojson": ZONES_FROM_GEOJSON,
+    "zones_from_collection_files": ZONES_FROM_GEOJSON,
+    "reject_counts": REJECT_COUNTS,
+    "zone_rates_sql": ZONE_RATES,
     "points_in_zones": POINTS_IN_ZONES,
     "points_in_supplier_zones": POINTS_IN_SUPPLIER_ZONES,
     "zone_counts_eager": POINTS_IN_SUPPLIER_ZONES,

@@ -8,13 +8,16 @@ significant digits; per-row distances to fixed decimals.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.geo import sphere_distance_m
 from tessera.functions.parse import parse_currency, parse_timestamp_any
+from tessera.functions.sql import register_functions
 from tessera.functions.stats import round_sig
 from tessera.operators.bands import band_counts, band_counts_udf
 from tessera.operators.codes import code_frequency, explode_codes, parse_code_dictionary
@@ -31,7 +34,8 @@ from tessera.operators.topn import topn_share, topn_share_sql
 from tessera.operators.zones import ZoneCells, count_points_in_zones, with_bbox, zones_from_geojson
 from tessera.plans import derived
 from tessera.session import checkpoint_dir
-from tessera.sources.geojson import feature_schema
+from tessera.sources.geojson import feature_schema, read_features
+from tessera.sources.rejects import count_rejects
 from tessera.sources.tables import read_table
 from tessera.sources.text import text_lines
 
@@ -201,6 +205,30 @@ def q_year_window(spark, base):
     return y.filter(F.col("year").between(lo, hi)).groupBy("year").agg(F.count(F.lit(1)).alias("cnt"))
 
 
+def q_reject_counts(spark, base):
+    """Rows that each rule of the year window turns away, counted while the
+    window itself is computed."""
+    d = derived.rendered_order_dates(_t(spark, base, "orders")).select(F.year(parse_timestamp_any("date_text")).alias("year"))
+    lo, hi = YEAR_WINDOW
+    seen = Observation("year_window")
+    rules = {"unparsed_date": F.col("year").isNull(), "outside_window": ~F.col("year").between(lo, hi)}
+    d = count_rejects(d, rules, seen)
+    d.filter(F.col("year").between(lo, hi)).groupBy("year").agg(F.count(F.lit(1)).alias("cnt")).collect()
+    return spark.createDataFrame(sorted(seen.get.items()), "rule string, n long")
+
+
+def q_csv_typed_rows(spark, base):
+    """Orders rendered as CSV records, parsed back and typed."""
+    o = _t(spark, base, "orders")
+    quoted = F.concat(F.lit('"'), F.col("o_orderstatus"), F.lit(', ""q"""'))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), quoted, F.col("o_totalprice").cast("string"))
+    # A quote within quotes is written twice, as in the record files.
+    r = F.from_csv(line, "key STRING, status STRING, price STRING", {"escape": '"'})
+    return o.select(r.alias("r")).select(
+        F.col("r.key").try_cast("long").alias("key"), F.col("r.status").alias("status"), F.col("r.price").try_cast("double").alias("price")
+    )
+
+
 def q_currency_parse(spark, base):
     b = derived.rendered_balances(_t(spark, base, "customer"))
     return b.select("c_custkey", parse_currency("balance_text").alias("amount")).filter(
@@ -258,6 +286,29 @@ def q_zones_from_geojson(spark, base):
     )
 
 
+def q_zones_from_collection_files(spark, base):
+    """The suppliers' features written as FeatureCollection files in the shared
+    folder, then read back by splits and parsed."""
+
+    def collections(batches):
+        # A partition's texts as the members of one document.
+        lead = '{"type": "FeatureCollection", "name": "a \\"{[", "features": [\n'
+        for batch in batches:
+            for text in batch.column(0).to_pylist():
+                yield pa.RecordBatch.from_pydict({"value": [lead + text]})
+                lead = ",\n"
+        if lead == ",\n":
+            yield pa.RecordBatch.from_pydict({"value": ["\n]}\n"]})
+
+    g = derived.supplier_zone_geojson(_t(spark, base, "supplier")).select("geojson")
+    folder = f"{checkpoint_dir(spark)}/features-{uuid.uuid4().hex}"
+    g.mapInArrow(collections, "value string").write.text(folder)
+    feats = read_features(spark, folder, {"zone_id": "long", "name": "string"}, layout="collection")
+    z = with_bbox(zones_from_geojson(feats.withColumnRenamed("name", "zone_name")))
+    boxes = [F.round(c, 6).alias(c) for c in ("min_x", "min_y", "max_x", "max_y")]
+    return z.select("zone_id", "zone_name", "geom_type", F.size("edges").alias("n_edges"), *boxes)
+
+
 def _event_points(spark, base, window: tuple[int, int] | None = None) -> DataFrame:
     p = derived.event_points(_t(spark, base, "events"))
     # Either coordinate 0 means missing here (the zone analysis is stricter).
@@ -354,6 +405,37 @@ def q_zone_rates(spark, base):
     return _rates_out(_rates(spark, base))
 
 
+def q_zone_rates_sql(spark, base):
+    """The area rates as one SQL text over views and SQL-defined functions."""
+    register_functions(spark)
+    blocks = _blocks(spark, base, _zones(spark, base, materialise=False)).checkpoint(eager=True)
+    cells = ZoneCells(blocks, "area", clip=True)
+    views = {"blocks": blocks, "income": _income(spark, base), "cells": cells.cells, "points": _event_points(spark, base, EVENT_YEAR_WINDOW)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(f"tessera_q5_{name}")
+    levels = ", ".join(map(str, cells.levels))
+    out = spark.sql(f"""
+WITH demo AS (
+    SELECT area, population, weighted_mean(weighted, population) AS income
+    FROM (SELECT area, SUM(population) AS population, SUM(population * income) AS weighted
+          FROM tessera_q5_blocks JOIN tessera_q5_income USING (zip_code)
+          GROUP BY area)
+),
+located AS (SELECT lon, lat, point_cells(lon, lat, array({levels})) AS ks FROM tessera_q5_points),
+probes AS (SELECT lon, lat, k FROM located LATERAL VIEW explode(ks) AS k),
+hits AS (
+    SELECT c.area, COUNT(*) AS events
+    FROM probes p JOIN tessera_q5_cells c ON p.k.lvl = c._lvl AND p.k.cx = c._cx AND p.k.cy = c._cy
+    WHERE c._edges IS NULL OR zone_contains(c._edges, p.lon, p.lat)
+    GROUP BY c.area
+)
+SELECT d.area, d.population, d.income, COALESCE(h.events, 0) AS events,
+       yearly_rate(COALESCE(h.events, 0), d.population, {RATE_YEARS}D) AS annual_rate
+FROM demo d LEFT JOIN hits h USING (area)
+WHERE d.population > 0 AND d.income IS NOT NULL""")
+    return _rates_out(out)
+
+
 def q_richest_zones(spark, base):
     return _rates_out(top_areas(_rates(spark, base), "income", TOP_K_AREAS, True, "area"))
 
@@ -398,8 +480,12 @@ QUERIES: dict[str, Query] = {
     "nearest_site_shuffled": q_nearest_site_shuffled,
     "nearest_site_summary": q_nearest_site_summary,
     "year_window": q_year_window,
+    "csv_typed_rows": q_csv_typed_rows,
     "currency_parse": q_currency_parse,
     "zones_from_geojson": q_zones_from_geojson,
+    "zones_from_collection_files": q_zones_from_collection_files,
+    "reject_counts": q_reject_counts,
+    "zone_rates_sql": q_zone_rates_sql,
     "points_in_zones": q_points_in_zones,
     "points_in_supplier_zones": q_points_in_supplier_zones,
     "zone_counts_eager": q_zone_counts_eager,

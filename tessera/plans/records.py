@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.parse import parse_currency, parse_timestamp_any
@@ -35,6 +35,7 @@ from tessera.sources.csv import (
     read_csv_columns,
 )
 from tessera.sources.geojson import read_features
+from tessera.sources.rejects import count_rejects
 from tessera.sources.text import read_lines
 
 # Default file names and the analyses' parameters.
@@ -63,11 +64,29 @@ def records(spark: SparkSession, data_dir: str, paths: Mapping[str, str] | None
 # Q1 -------------------------------------------------------------------------
 
 
-def age_groups(spark: SparkSession, data_dir: str, udf: bool = False, paths=None) -> DataFrame:
-    """(age_group, count) of aggravated-assault victims, most frequent first."""
+def _counted(df: DataFrame, rules: Mapping[str, Column], seen: Observation | None) -> DataFrame:
+    return df if seen is None else count_rejects(df, rules, seen)
+
+
+def _no_place() -> Column:
+    return F.col("LAT").isNull() | F.col("LON").isNull()
+
+
+def age_groups(
+    spark: SparkSession, data_dir: str, udf: bool = False, paths=None, seen: Observation | None = None
+) -> DataFrame:
+    """(age_group, count) of aggravated-assault victims, most frequent first.
+
+    ``seen``, here and below, gets the number of records and of those that each
+    cleaning rule turns away, from the same scan.
+    """
     fn = band_counts_udf if udf else band_counts
+    rules = {
+        "no_age": F.col("Vict Age").isNull() | (F.col("Vict Age") <= 0),
+        "no_text": F.coalesce(F.col("Crm Cd Desc"), F.lit("")) == "",
+    }
     return fn(
-        records(spark, data_dir, paths), "Vict Age", "Crm Cd Desc", ASSAULT_TEXT,
+        _counted(records(spark, data_dir, paths), rules, seen), "Vict Age", "Crm Cd Desc", ASSAULT_TEXT,
         band_col="age_group", count_col="count",
     )
 
@@ -99,10 +118,16 @@ def descent_top3(spark: SparkSession, data_dir: str, form: str = "df", paths=Non
 
 
 def mo_code_frequency(
-    spark: SparkSession, data_dir: str, join_hint: str | None = None, how: str = "left", paths=None
+    spark: SparkSession,
+    data_dir: str,
+    join_hint: str | None = None,
+    how: str = "left",
+    paths=None,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """(MO Code, Description, Frequency) over all records, most frequent first."""
-    codes = explode_codes(records(spark, data_dir, paths), "Mocodes")
+    rules = {"no_codes": F.coalesce(F.col("Mocodes"), F.lit("")) == ""}
+    codes = explode_codes(_counted(records(spark, data_dir, paths), rules, seen), "Mocodes")
     dictionary = parse_code_dictionary(read_lines(spark, _path(data_dir, "mo_codes", paths)), lenient=how == "inner")
     out = code_frequency(codes, dictionary, how=how, join_hint=join_hint)
     return out.select(
@@ -114,7 +139,12 @@ def mo_code_frequency(
 
 
 def station_summary(
-    spark: SparkSession, data_dir: str, form: str = "array", id_col: str | None = None, paths=None
+    spark: SparkSession,
+    data_dir: str,
+    form: str = "array",
+    id_col: str | None = None,
+    paths=None,
+    seen: Observation | None = None,
 ) -> DataFrame:
     """(DIVISION, average_distance_km, count): for each station, the records
     it is nearest to.  Records without coordinates or at (0, 0) are skipped,
@@ -126,7 +156,8 @@ def station_summary(
     columns = dict(RECORD_COLUMNS)
     if id_col:
         columns[id_col] = "string"
-    rec = read_csv_columns(spark, _path(data_dir, "records", paths), columns)
+    rules = {"no_place": _no_place(), "at_zero": (F.col("LAT") == 0.0) & (F.col("LON") == 0.0)}
+    rec = _counted(read_csv_columns(spark, _path(data_dir, "records", paths), columns), rules, seen)
     rid = F.col(id_col) if id_col else F.lit(None).cast("string")
     pts = (
         rec.filter(F.col("LAT").isNotNull() & F.col("LON").isNotNull())
@@ -142,14 +173,20 @@ def station_summary(
 # Q5 -------------------------------------------------------------------------
 
 
-def area_table(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
+def area_table(spark: SparkSession, data_dir: str, paths=None, seen: Observation | None = None) -> DataFrame:
     """(COMM, population, income_pc, crimes_2020_2021, annual_crime_rate) per
     community, richest first."""
-    return _areas(spark, data_dir, paths).orderBy(F.col("income_pc").desc(), F.col("COMM"))
+    return _areas(spark, data_dir, paths, seen).orderBy(F.col("income_pc").desc(), F.col("COMM"))
 
 
-def _areas(spark: SparkSession, data_dir: str, paths=None) -> DataFrame:
-    rec = records(spark, data_dir, paths)
+def _areas(spark: SparkSession, data_dir: str, paths=None, seen: Observation | None = None) -> DataFrame:
+    rules = {
+        "no_place": _no_place(),
+        "at_zero": (F.col("LAT") == 0.0) | (F.col("LON") == 0.0),
+        "no_date": F.col("DATE OCC").isNull(),
+        "unparsed_date": F.col("DATE OCC").isNotNull() & parse_timestamp_any("DATE OCC").isNull(),
+    }
+    rec = _counted(records(spark, data_dir, paths), rules, seen)
     pts = (
         rec.filter(
             F.col("LAT").isNotNull() & F.col("LON").isNotNull()

@@ -6,9 +6,12 @@ from tessera.sources.csv import (
     RECORD_COLUMNS,
     SITE_COLUMNS,
     read_csv_columns,
+    read_csv_rejects,
     read_csv_schema,
 )
 from tessera.sources.geojson import read_features
+from tessera.sources.rejects import count_rejects
+from tessera.sources.split import json_elements
 from tessera.sources.tables import read_table
 from tessera.sources.text import read_lines, text_lines
 
@@ -17,7 +20,10 @@ __all__ = [
     "INCOME_COLUMNS",
     "RECORD_COLUMNS",
     "SITE_COLUMNS",
+    "count_rejects",
+    "json_elements",
     "read_csv_columns",
+    "read_csv_rejects",
     "read_csv_schema",
     "read_features",
     "read_table",

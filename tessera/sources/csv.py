@@ -8,6 +8,7 @@ becomes NULL rather than failing the job under ANSI mode.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +31,43 @@ SITE_COLUMNS: dict[str, str] = {"X": "double", "Y": "double", "DIVISION": "strin
 INCOME_COLUMNS: dict[str, str] = {"Zip Code": "string", "Estimated Median Income": "string"}
 
 
+# What a malformed record's text is kept as.
+_BAD = "_bad_record"
+
+
+def _first_lines(spark: SparkSession, paths: Sequence[str]) -> dict[str, str]:
+    """Each file's first line; a file is read no further than that."""
+    files = spark.read.text(list(paths)).inputFiles()
+    heads = {f: spark.read.text(f).take(1) for f in files}
+    return {f: h[0]["value"] for f, h in heads.items() if h}
+
+
+def _read_groups(spark: SparkSession, paths: str | Sequence[str], columns: Sequence[str], sep: str) -> DataFrame:
+    """``columns`` as text, the file and the text of malformed records, of all
+    files: those of one header are one scan with its names, scans are united by
+    name."""
+    paths = [paths] if isinstance(paths, str) else list(paths)
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for f, line in _first_lines(spark, paths).items():
+        names = tuple(next(csv.reader([line.removeprefix("\ufeff")], delimiter=sep)))
+        groups.setdefault(names, []).append(f)
+    if not groups:
+        raise ValueError(f"no CSV header in {paths}")
+    parts = []
+    for names, files in groups.items():
+        missing = [c for c in columns if c not in names]
+        if missing:
+            raise ValueError(f"CSV header lacks columns {missing}; found {list(names)} in {files[0]}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, _BAD)])
+        options = {"header": True, "sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _BAD}
+        raw = spark.read.schema(schema).options(**options).csv(files)
+        parts.append(raw.select(*[F.col(f"`{c}`") for c in columns], F.col("_metadata.file_path").alias("_file"), _BAD))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
 def read_csv_columns(
     spark: SparkSession,
     paths: str | Sequence[str],
@@ -38,18 +76,13 @@ def read_csv_columns(
 ) -> DataFrame:
     """Read headered CSV file(s) as one table and keep ``columns`` (name -> SQL type).
 
-    Several paths are read as a single scan (the union is implicit).  Column
-    pruning reaches the CSV reader, so unused columns are not converted.
+    Headers may differ in order and in further columns: every file is read by
+    its own header, and files with the same one in a single scan.  A file
+    without one of ``columns`` fails the read.  Column pruning reaches the CSV
+    reader, so unused columns are not converted.  A record with too few or too
+    many fields is kept as far as it goes (:func:`read_csv_rejects` shows them).
     """
-    paths = [paths] if isinstance(paths, str) else list(paths)
-    options = {"header": True, "sep": sep, "mode": "PERMISSIVE"}
-    raw = spark.read.options(**options).csv(paths)
-    missing = [c for c in columns if c not in raw.columns]
-    if missing:
-        raise ValueError(f"CSV header lacks columns {missing}; found {raw.columns}")
-    # The first header gives the schema; every other file's header must agree
-    # with it, or the read fails instead of taking columns by position.
-    raw = spark.read.schema(raw.schema).options(enforceSchema=False, **options).csv(paths)
+    raw = _read_groups(spark, paths, list(columns), sep)
     return raw.select(
         *[
             (F.col(f"`{name}`") if typ == "string" else F.col(f"`{name}`").try_cast(typ)).alias(name)
@@ -58,6 +91,22 @@ def read_csv_columns(
     )
 
 
+def read_csv_rejects(
+    spark: SparkSession, paths: str | Sequence[str], columns: Mapping[str, str], sep: str = ","
+) -> DataFrame:
+    """(file, record, reason) of the records that do not fit: ``fields`` (too
+    few or too many) or ``type`` (a value that is none of its column's type)."""
+    raw = _read_groups(spark, paths, list(columns), sep)
+    bad = [F.col(f"`{n}`").isNotNull() & F.col(f"`{n}`").try_cast(t).isNull() for n, t in columns.items() if t != "string"]
+    wrong = F.lit(False)
+    for b in bad:
+        wrong = wrong | b
+    reason = F.when(F.col(_BAD).isNotNull(), "fields").when(wrong, "type")
+    text = F.coalesce(_BAD, F.concat_ws(sep, *[F.coalesce(f"`{c}`", F.lit("")) for c in columns]))
+    out = raw.select(F.col("_file").alias("file"), text.alias("record"), reason.alias("reason"))
+    return out.filter(F.col("reason").isNotNull())
+
+
 def read_csv_schema(
     spark: SparkSession,
     paths: str | Sequence[str],

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.sources.split import json_elements, root_type
+
 _SQL_TYPES = {
     "string": T.StringType(),
     "double": T.DoubleType(),
@@ -40,24 +42,22 @@ def read_features(
     spark: SparkSession,
     paths: str | Sequence[str],
     properties: Mapping[str, str],
-    layout: str = "collection",
+    layout: str = "auto",
 ) -> DataFrame:
     """Features as rows: the requested properties, ``geom_type`` and ``coordinates``.
 
-    ``layout="collection"``: one FeatureCollection document per file (read as
-    multi-line JSON; such a file is one split).  ``layout="lines"``: one
-    Feature per line, which splits across tasks -- prefer it for large inputs.
-    A file of the other layout fails the read.
+    ``layout="collection"``: FeatureCollection documents, each read by as many
+    tasks as it has splits (:mod:`tessera.sources.split`).  ``layout="lines"``:
+    one Feature per line.  ``layout="auto"`` looks at the first root object of
+    the first file.  A file of the other layout fails the read.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     feature = feature_schema(properties)
+    if layout == "auto":
+        layout = "lines" if root_type(spark, paths[0]) == "Feature" else "collection"
     if layout == "collection":
-        schema = T.StructType(
-            [T.StructField("type", T.StringType()), T.StructField("features", T.ArrayType(feature))]
-        )
-        raw = spark.read.schema(schema).option("multiLine", True).json(paths)
-        wrong = F.raise_error(F.lit("not a FeatureCollection: read it with layout='lines'?"))
-        feats = raw.select(F.explode(F.coalesce("features", wrong.cast(T.ArrayType(feature)))).alias("f"))
+        parsed = json_elements(spark, paths).select(F.from_json("json", feature).alias("f"))
+        feats = parsed.filter(F.col("f.type") == "Feature")
     elif layout == "lines":
         wrong = F.raise_error(F.lit("a line is not a Feature: read it with layout='collection'?"))
         raw = spark.read.schema(feature).json(paths)
