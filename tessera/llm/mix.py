@@ -168,6 +168,11 @@ def mix_sources(docs: DataFrame, block_words: int = BLOCK_WORDS, **kw) -> DataFr
     empty frame.  Only the counted columns are shuffled, never the texts.
     """
     sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
+    return _taken(sized, block_words, **kw).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def _taken(sized: DataFrame, block_words: int, **kw) -> DataFrame:
+    """The rows of ``sized`` with source_size, target and taken."""
     placed, takes = mix_takes(sized, block_words=block_words, **kw)
     placed = cut(placed.withColumn("row", F.monotonically_increasing_id()))
     first = F.floor(F.col("start") / block_words)
@@ -181,18 +186,28 @@ def mix_sources(docs: DataFrame, block_words: int = BLOCK_WORDS, **kw) -> DataFr
         .groupBy("row")
         .agg(F.sum(F.greatest(hi - lo, F.lit(0)) * F.col("n")).alias("taken"))
     )
-    return placed.join(taken, "row", "left").select(
-        "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
-    )
+    out = placed.join(taken, "row", "left")
+    return out.withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
 
 
-def mixed_documents(docs: DataFrame, **kw) -> DataFrame:
-    """The documents that the mix takes, with ``mix_taken`` words of each.
+def mixed_documents(docs: DataFrame, block_words: int = BLOCK_WORDS, **kw) -> DataFrame:
+    """The documents that the mix takes, with ``mix_taken`` words of each (in
+    place of an input column of that name).
 
-    Rows of one doc_id, source and size share what their id takes evenly in
-    the count of words, since the mix cannot tell them apart.
+    Rows are told apart by a 128-bit hash of all their columns, not by doc_id.
+    Rows equal in all columns, which the mix cannot tell apart, each report an
+    even share of what they take together, rounded up.
     """
-    m = mix_sources(docs, **kw).filter("taken > 0")
-    m = m.groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size")).agg(F.max("taken").alias("mix_taken"))
-    j = docs.join(m, F.col("doc_id").eqNullSafe(F.col("_id")) & (word_count(F.col("text")) == F.col("_size")))
-    return j.select(*docs.columns, "mix_taken")
+    docs = docs.drop("mix_taken")
+    row = ["_row_hi", "_row_lo"]
+    while set(row) & set(docs.columns):
+        row = [f"_{r}" for r in row]
+    whole = [F.col(f"`{c}`") for c in docs.columns] + [F.col(f"`{c}`").isNull() for c in docs.columns]
+    keyed = docs.select("*", *[F.xxhash64(F.lit(i), *whole).alias(r) for i, r in enumerate(row)])
+    size = word_count(F.col("text")).alias("size")
+    sized = cut(keyed.select("doc_id", "source", size, F.col(row[0]).alias("hi"), F.col(row[1]).alias("lo")))
+    m = _taken(sized, block_words, **kw).groupBy("hi", "lo").agg(F.sum("taken").alias("all"), F.count(F.lit(1)).alias("n"))
+    m = m.filter("all > 0").select(
+        F.col("hi").alias(row[0]), F.col("lo").alias(row[1]), F.ceil(F.col("all") / F.col("n")).cast("long").alias("mix_taken")
+    )
+    return keyed.join(m, row).select(*[F.col(f"`{c}`") for c in docs.columns], "mix_taken")

@@ -115,6 +115,26 @@ def test_schedule_has_low_discrepancy(docs):
         assert all(abs(seen[s] - n * share[s] / total) < 8 for s in share)
 
 
+def test_mixed_documents_report_their_own_words(spark, docs):
+    rng = random.Random(12)
+    text = lambda n: " ".join(f"w{rng.randrange(50)}" for _ in range(n))
+    rows = [(1, text(100), "a"), (1, text(100), "b"), (1, text(100), "b"), (None, text(30), None), (None, text(40), "a")]
+    rows += [(5, "x y z", "b")] * 2 + [(9, "", "a"), (9, None, "a")] + [(20 + i, text(50), rng.choice("abc")) for i in range(20)]
+    d = docs(rows).withColumn("mix_taken", F.lit("old")).withColumn("_row_hi", F.lit(3))
+    got = mix.mixed_documents(d, block_words=16).collect()
+    assert all(isinstance(r["mix_taken"], int) and r["mix_taken"] > 0 and r["_row_hi"] == 3 for r in got)
+    assert all(r["mix_taken"] <= 3 * len(r["text"].split()) for r in got)
+    # Each source's rows together report the source's target.
+    target = {r["source"]: r["target"] for r in mix.source_targets(
+        d.select("source", mix.word_count(F.col("text")).alias("size")), mix.WEIGHTS, mix.MAX_REPEATS).collect()}
+    per = Counter()
+    for r in got:
+        per[r["source"]] += r["mix_taken"]
+    assert all(abs(per[s] - t) <= 2 for s, t in target.items())
+    plain = sum(r["taken"] for r in mix.mix_sources(d, block_words=16).collect())
+    assert abs(sum(per.values()) - plain) <= 1
+
+
 # --- toxicity ----------------------------------------------------------------
 
 
