@@ -74,3 +74,32 @@ def test_spark_round_twin_on_decimal_ties(spark):
     con.register("t", df.toPandas())
     want = dict(con.sql(f"SELECT i, {sql_spark_round('x', 2)} FROM t").fetchall())
     assert got == want
+
+
+def test_subset_correlations_in_one_pass(spark):
+    import random
+
+    from pyspark.sql import functions as F
+
+    from conftest import rows
+    from tessera.operators import correlation, subset_correlations, top_areas
+
+    rnd = random.Random(3)
+    data = [(i, rnd.choice([None, 1e6 + rnd.random(), 5.0]), rnd.random() if i % 7 else None, f"a{rnd.randrange(40)}") for i in range(400)]
+    df = spark.createDataFrame(data, "o long, x double, y double, t string").withColumn("o", F.col("o") % 50).repartition(6)
+    for order in ("o", "x"):
+        (got,) = subset_correlations(df, "x", "y", order, 60, "t").collect()
+        want = [correlation(df, "x", "y").first()[0]]
+        want += [correlation(top_areas(df, order, 60, down, "t"), "x", "y").first()[0] for down in (True, False)]
+        if order == "x":  # rows equal in order and tie may be taken either way
+            want, got = want[:1], got[:1]
+        else:
+            distinct = df.dropDuplicates(["o", "t"])
+            (got,) = subset_correlations(distinct, "x", "y", "o", 60, "t").collect()
+            want = [correlation(d, "x", "y").first()[0] for d in (distinct, top_areas(distinct, "o", 60, True, "t"), top_areas(distinct, "o", 60, False, "t"))]
+        assert all((a is None) == (b is None) and (a is None or abs(a - b) < 1e-9) for a, b in zip(got, want))
+    plan = subset_correlations(df, "x", "y", "o", 60, "t")._jdf.queryExecution().executedPlan().toString()
+    assert "Union" not in plan and plan.count("MapInArrow") == 2
+    none = subset_correlations(df.limit(0), "x", "y", "o", 5).collect()
+    assert none == [(None, None, None)]
+    assert rows(subset_correlations(df.limit(1), "x", "y", "o", 5)) == [(None, None, None)]
