@@ -22,12 +22,14 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Batches, WordHashes, as_bytes, blank_words, cut, mix, share, shared
+from tessera.llm.common import Batches, cut, mix, share, shared
 
 END, START = np.uint64(1), np.uint64(2)
 # Counts above this are taken as reliable by Good and Turing's formula.
@@ -102,22 +104,44 @@ def _group(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
+def _starts(*keys: np.ndarray) -> np.ndarray:
+    """Where groups start in keys that are sorted already."""
+    new = np.zeros(len(keys[0]), bool)
+    new[:1] = True
+    for k in keys:
+        new[1:] |= k[1:] != k[:-1]
+    return np.flatnonzero(new)
+
+
 def _sums(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, starts) if len(starts) else values[:0]
 
 
+def _hashes(texts: pa.Array) -> list[np.ndarray]:
+    """Hashes of the words of each text: a word is hashed once for all its places."""
+    words = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    flat, row = words.flatten(), pc.list_parent_indices(words).to_numpy()
+    full = pc.greater(pc.binary_length(flat), 0)  # blanks at either end leave an empty piece
+    flat, row = flat.filter(full).dictionary_encode(), row[full.to_numpy(zero_copy_only=False)]
+    known = flat.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    met = np.fromiter(map(xxhash.xxh3_64_intdigest, known), np.uint64, len(known))
+    met += np.uint64(3) * (met < 3)  # keep clear of the two marks
+    ends = np.cumsum(np.bincount(row, minlength=len(texts)))
+    return np.split(met[flat.indices.to_numpy()], ends[:-1])
+
+
 def _chunks(batches: Batches, only_training: bool, tokens: int = CHUNK_TOKENS):
     """(first row, doc ids, held out, word arrays) of at most ``tokens``
     tokens or CHUNK_DOCS documents; a longer document is a chunk of its own."""
-    hashes, row = WordHashes(), TaskContext.get().partitionId() << 40
+    row = TaskContext.get().partitionId() << 40
     ids, held, words, size = [], [], [], 0
-    # Few texts at a time are held as Python objects.
+    # Few texts at a time are held in words.
     for batch in (b.slice(at, 500) for b in batches for at in range(0, b.num_rows, 500)):
-        for k, out, t in zip(batch.column("doc_id").to_pylist(), batch.column("held").to_pylist(), as_bytes(batch, "text")):
-            if only_training and out:
-                continue
-            w = hashes.of(blank_words(t))
-            w += np.uint64(3) * (w < 3)  # keep clear of the two marks
+        if only_training:
+            batch = batch.filter(pc.invert(batch.column("held")))
+        if not batch.num_rows:
+            continue
+        for k, out, w in zip(batch.column("doc_id").to_pylist(), batch.column("held").to_pylist(), _hashes(batch.column("text"))):
             if ids and (size + len(w) + 1 > tokens or len(ids) >= CHUNK_DOCS):
                 yield row, ids, held, words
                 row += len(ids)
@@ -130,20 +154,56 @@ def _chunks(batches: Batches, only_training: bool, tokens: int = CHUNK_TOKENS):
         yield row, ids, held, words
 
 
-def _pairs(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(word, history, document) of every token of the chunk."""
+def _pairs(words: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(vocabulary, word, history, document) of every token of the chunk: the
+    chunk's hashes in order, and places in them."""
     n = np.array([len(w) + 1 for w in words])
     ends = np.cumsum(n)
     total = int(ends[-1])
-    w, h = np.empty(total, np.uint64), np.empty(total, np.uint64)
+    codes, met = pd.factorize(np.concatenate(words))
+    order = np.argsort(met)
+    rank = np.empty(len(met), np.uint32)
+    rank[order] = np.arange(2, len(met) + 2, dtype=np.uint32)  # the marks come first
+    flat = rank[codes]
+    w, h = np.empty(total, np.uint32), np.empty(total, np.uint32)
     last = np.zeros(total, bool)
     last[ends - 1] = True
-    flat = np.concatenate(words) if words else np.empty(0, np.uint64)
-    w[last], w[~last] = END, flat
+    w[last], w[~last] = 0, flat
     first = np.zeros(total, bool)
     first[ends - n] = True
-    h[first], h[~first] = START, flat
-    return w, h, np.repeat(np.arange(len(words), dtype=np.uint16), n)
+    h[first], h[~first] = 1, flat
+    return np.append(np.array([END, START]), met[order]), w, h, np.repeat(np.arange(len(words), dtype=np.uint16), n)
+
+
+def _parts_of(vocab: np.ndarray, w: np.ndarray, h: np.ndarray, hot: np.ndarray, parts: int) -> np.ndarray:
+    """Partition of each pair: its word's, or for hot words its own."""
+    part = (vocab % np.uint64(parts)).astype(np.uint32)[w]
+    often = np.isin(vocab, hot)
+    if often.any():
+        often = often[w]
+        part[often] = mix(vocab[w[often]], vocab[h[often]]) % np.uint64(parts)
+    return part
+
+
+def _distinct(*keys: tuple[np.ndarray, int]) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of (column, number of its values), in order, and how
+    often each occurs.  Columns that fit into 64 bits together are sorted as one."""
+    bits = [max(1, (size - 1).bit_length()) for _, size in keys]
+    if sum(bits) > 64:
+        order, starts = _group(*[k for k, _ in keys])
+        return [k[order[starts]] for k, _ in keys], np.diff(np.append(starts, len(order)))
+    whole = keys[0][0].astype(np.uint64)
+    for (k, _), b in zip(keys[1:], bits[1:]):
+        whole <<= np.uint64(b)
+        whole |= k
+    whole.sort()
+    starts = _starts(whole)
+    n = np.diff(np.append(starts, len(whole)))
+    whole, out = whole[starts], []
+    for (k, _), b in zip(keys[::-1], bits[::-1]):
+        out.append((whole & np.uint64((1 << b) - 1)).astype(k.dtype))
+        whole >>= np.uint64(b) if b < 64 else np.uint64(63)
+    return out[::-1], n
 
 
 def _send(rows: Iterator[tuple[int, bytes]]) -> Batches:
@@ -209,11 +269,11 @@ def _load(b: bytes) -> dict:
     return _decode(pickle.loads(zstandard.decompress(b)))
 
 
-def _pack(w: np.ndarray, h: np.ndarray) -> dict:
+def _pack(vocab: np.ndarray, w: np.ndarray, h: np.ndarray) -> dict:
     """Pairs sorted by word: each word with its number of pairs, histories by place."""
-    _, starts = _group(w)
+    starts = _starts(w)
     hu, at = np.unique(h, return_inverse=True)
-    return {"w": w[starts], "wn": _small(np.diff(np.append(starts, len(w)))), "hu": hu, "h": _small(at)}
+    return {"w": vocab[w[starts]], "wn": _small(np.diff(np.append(starts, len(w)))), "hu": vocab[hu], "h": _small(at)}
 
 
 def _unpack(x: dict) -> tuple[np.ndarray, np.ndarray]:
@@ -241,7 +301,8 @@ def _hot_words(docs: DataFrame, parts: int) -> np.ndarray:
 
     def count(batches: Batches) -> Batches:
         for _, _, _, words in _chunks(batches, True, COUNT_TOKENS):
-            w, n = np.unique(np.concatenate([*words, np.full(len(words), END)]), return_counts=True)
+            codes, w = pd.factorize(np.concatenate([*words, np.full(len(words), END)]))
+            n = np.bincount(codes)
             often = n * 8 * parts >= n.sum()
             w, n = np.append(w[often], np.uint64(0)), np.append(n[often], n.sum())  # 0: all tokens
             yield pa.record_batch([pa.array(w.view(np.int64)), pa.array(n.astype(np.int64))], names=["w", "n"])
@@ -260,16 +321,12 @@ def _count_parts(docs: DataFrame, parts: int, hot: np.ndarray) -> DataFrame:
 
     def count(batches: Batches) -> Batches:
         for _, _, _, words in _chunks(batches, True, COUNT_TOKENS):
-            w, h, _ = _pairs(words)
-            key, often = w.copy(), np.isin(w, hot)
-            key[often] = mix(w[often], h[often])
-            part = (key % np.uint64(parts)).astype(np.int32)
-            del key, often
-            order, starts = _group(part, w, h)
-            p, w, h, c = part[order][starts], w[order][starts], h[order][starts], np.diff(np.append(starts, len(order)))
+            vocab, w, h, _ = _pairs(words)
+            part = _parts_of(vocab, w, h, hot, parts)
+            (p, w, h), c = _distinct((part, parts), (w, len(vocab)), (h, len(vocab)))
             cuts = np.searchsorted(p, np.arange(parts + 1))
-            del part, order, starts
-            yield from _send((i, _dump({**_pack(w[a:b], h[a:b]), "c": _small(c[a:b])})) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a)
+            del part, p
+            yield from _send((i, _dump({**_pack(vocab, w[a:b], h[a:b]), "c": _small(c[a:b])})) for i, (a, b) in enumerate(zip(cuts, cuts[1:])) if b > a)
             del w, h, c, words
             _release()
 
@@ -316,28 +373,23 @@ def _request_parts(docs: DataFrame, model: KatzModel) -> DataFrame:
     def request(batches: Batches) -> Batches:
         model = shared(sent)
         for row, ids, held, words in _chunks(batches, False):
-            w, h, doc = _pairs(words)
-            key = w.copy()
-            hot, _ = model.spread_at(w)
-            key[hot] = mix(w[hot], h[hot])
-            part = (key % np.uint64(model.parts)).astype(np.int32)
+            vocab, w, h, doc = _pairs(words)
+            part = _parts_of(vocab, w, h, model.spread_words, model.parts)
+            (p, w, h, doc), n = _distinct((part, model.parts), (w, len(vocab)), (h, len(vocab)), (doc, len(ids)))
             train = ~np.array(held, bool)[doc]
-            order, starts = _group(part, w, h, doc)
-            p, w, h, doc, n = part[order][starts], w[order][starts], h[order][starts], doc[order][starts], np.diff(np.append(starts, len(order)))
-            train = train[order][starts]
-            del key, hot, part, order, starts
+            del part
             meta = {"ids": ids, "held": held, "n": _small(np.array([len(x) + 1 for x in words]))}
             cuts = np.searchsorted(p, np.arange(model.parts + 1))
 
-            def packed(w=w, h=h, doc=doc, n=n, train=train, cuts=cuts, meta=meta, row=row, docs=len(ids)):
+            def packed(vocab=vocab, w=w, h=h, doc=doc, n=n, train=train, cuts=cuts, meta=meta, row=row, docs=len(ids)):
                 for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
                     if b == a:
                         continue
-                    _, ps = _group(w[a:b], h[a:b])
+                    ps = _starts(w[a:b], h[a:b])
                     data = {
                         "row": row, "docs": docs, "doc": doc[a:b], "n": _small(n[a:b]),
                         "occ": _small(np.diff(np.append(ps, b - a))), "c": _small(_sums(n[a:b] * train[a:b], ps)),
-                        "meta": meta, **_pack(w[a:b][ps], h[a:b][ps]),
+                        "meta": meta, **_pack(vocab, w[a:b][ps], h[a:b][ps]),
                     }
                     meta = None  # the chunk's first row carries it
                     yield i, _dump(data)
@@ -375,7 +427,7 @@ def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     place = np.empty(len(order), np.int32)
     place[order] = np.repeat(np.arange(len(starts), dtype=np.int32), np.diff(np.append(starts, len(order))))
     del order, starts
-    out, late, upto = [], [], 0
+    out, late, upto = [], {}, 0
     for b, k in zip(x, sizes):
         pos = np.repeat(place[upto : upto + k], b["occ"].astype(np.int64))
         upto += k
@@ -387,7 +439,13 @@ def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
                 "known": _small(known), "meta": b["meta"], "row": b["row"], "size": b["docs"]}
         out.append((int(xhash(b["row"]) % model.parts), _dump(data)))
         new = ~seen[pos]
-        late.append((b["row"], ph[pos[new]], b["doc"][new], b["n"][new]))
+        lh, ld, ln = ph[pos[new]], b["doc"][new], b["n"][new]
+        to = (lh % np.uint64(model.parts)).astype(np.int64)
+        by = np.argsort(to, kind="stable")
+        lh, ld, ln, to = lh[by], ld[by], ln[by], to[by]
+        cuts = _starts(to)
+        for i, j in zip(cuts, np.append(cuts[1:], len(to))):
+            late.setdefault(int(to[i]), []).append([b["row"], lh[i:j], ld[i:j], ln[i:j]])
         b.clear()
     # Sums over the words seen after each history, and words' own counts.
     o, hs = _group(ph[seen])
@@ -396,15 +454,14 @@ def _score_part(rows: pd.DataFrame, model: KatzModel) -> pd.DataFrame:
     alone = own & (uc > 0) & (uw != END)
     cw, cc = uw[alone], uc[alone]
     parts = np.uint64(model.parts)
+    hp, cp = hist % parts, cw % parts
+    ho, co = np.argsort(hp, kind="stable"), np.argsort(cp, kind="stable")
+    every = np.arange(model.parts + 1, dtype=np.uint64)
+    h_cuts, c_cuts = np.searchsorted(hp[ho], every), np.searchsorted(cp[co], every)
     for i in range(model.parts):
-        a, b = hist % parts == i, cw % parts == i
-        unseen = []
-        for row, lh, ld, ln in late:
-            m = lh % parts == i
-            if m.any():
-                unseen.append([row, lh[m], ld[m], ln[m]])
-        if a.any() or b.any() or unseen:
-            data = {"h": hist[a], "pu": pu[a], "dm": dm[a], "w": cw[b], "c": _small(cc[b]), "unseen": unseen}
+        a, b = ho[h_cuts[i] : h_cuts[i + 1]], co[c_cuts[i] : c_cuts[i + 1]]
+        if len(a) or len(b) or i in late:
+            data = {"h": hist[a], "pu": pu[a], "dm": dm[a], "w": cw[b], "c": _small(cc[b]), "unseen": late.get(i, [])}
             out.append((i, _dump(data)))
     return pd.DataFrame(out, columns=["part", "data"]).astype({"part": "int32"})
 
