@@ -41,6 +41,9 @@ _HINT = {"email": "@", "ip": ".", "card": None, "phone": "+"}
 TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]{3,}+"
 DISCLOSURE = 0.9
 
+# Matches whose spans are gathered together.
+BLOCK = 256
+
 _SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -49,13 +52,13 @@ def find_spans(text: Column, pattern: str, wanted: Callable[[Column], Column] |
     only those whose value is ``wanted``, if that is given.
 
     Matches and what lies between them alternate, so positions are running
-    sums of their lengths.
+    sums of their lengths.  Spans are gathered by blocks, as adding to one long
+    array copies it each time.
     """
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     steps = F.zip_with(between, found, lambda b, m: F.struct(F.length(b).alias("gap"), m.alias("m")))
     steps = F.filter(steps, lambda s: s.m.isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_SPAN).alias("out"))
 
     def step(acc: Column, s: Column) -> Column:
         a = acc["at"] + s["gap"]
@@ -66,7 +69,19 @@ def find_spans(text: Column, pattern: str, wanted: Callable[[Column], Column] |
             out = F.when(wanted(s["m"]), out).otherwise(acc["out"])
         return F.struct(b.alias("at"), out.alias("out"))
 
-    return F.aggregate(steps, start, step, lambda acc: acc["out"])
+    def block(acc: Column, s: Column, i: Column) -> Column:
+        start = F.struct(acc["at"].alias("at"), F.array().cast(_SPAN).alias("out"))
+        own = F.slice(s, i * BLOCK + 1, F.lit(BLOCK))
+        add = lambda r: F.struct(r["at"].alias("at"), F.concat(acc["out"], F.array(r["out"])).alias("out"))
+        return F.aggregate(own, start, step, add)
+
+    def all_blocks(s: Column) -> Column:
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{_SPAN}>").alias("out"))
+        blocks = F.sequence(F.lit(0), F.floor(F.size(s) / BLOCK).cast("int"))
+        return F.aggregate(blocks, start, lambda acc, i: block(acc, s, i), lambda acc: F.flatten(acc["out"]))
+
+    # The steps are bound to a name, so that they are found once.
+    return F.transform(F.array(steps), all_blocks)[0]
 
 
 def _luhn(value: Column) -> Column:
@@ -93,9 +108,9 @@ def kind_spans(text: Column, kind: str) -> Column:
     """The kind's valid spans; failing matches are dropped without a retry."""
     hint = _HINT[kind]
     none = F.array().cast(_SPAN)
-    found = find_spans(text, KINDS[kind])
+    found = find_spans(text, KINDS[kind], lambda m: _valid(kind, m))
     has = text.contains(hint) if hint else text.rlike("[0-9][\\x20-]?[0-9]")
-    return F.when(has, F.filter(found, lambda s: _valid(kind, s["value"]))).otherwise(none)
+    return F.when(has, found).otherwise(none)
 
 
 def _terms(text: Column) -> Column:
