@@ -68,35 +68,45 @@ def _halves(digests: list[bytes]) -> list[pa.Array]:
 
 
 def span_runs(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, a, b): the distinct runs of each row, their hash as two longs."""
+    """(doc_key, unnamed, a, b): the distinct runs of each row, their hash as two longs."""
 
     def emit(batches: Batches) -> Batches:
         for batch in batches:
-            ids, keys = [], []
-            for k, t in zip(batch.column("doc_id").to_pylist(), as_bytes(batch, "text")):
+            at, keys = [], []
+            for i, t in enumerate(as_bytes(batch, "text")):
                 own = list(dict.fromkeys(h for _, _, h in runs_of(sentences(t), run, min_words)))
-                ids += [k] * len(own)
+                at += [i] * len(own)
                 keys += own
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), *_halves(keys)], names=["doc_id", "a", "b"])
+            at = pa.array(at, pa.int64())
+            of = [batch.column(x).take(at) for x in ("doc_key", "unnamed")]
+            yield pa.RecordBatch.from_arrays([*of, *_halves(keys)], names=["doc_key", "unnamed", "a", "b"])
 
-    return docs.select(_key().alias("doc_id"), "text").mapInArrow(emit, "doc_id long, a long, b long")
+    return docs.select(*_key(), "text").mapInArrow(emit, "doc_key long, unnamed boolean, a long, b long")
 
 
-def _key() -> F.Column:
-    """Documents are ordered by doc_id, null last."""
-    return F.coalesce(F.col("doc_id").cast("long"), F.lit(2**63 - 1))
+def _key() -> list[F.Column]:
+    """A document is its doc_id, or without one its text (by a 64-bit hash)."""
+    key = F.coalesce(F.col("doc_id").cast("long"), F.xxhash64("text"))
+    return [key.alias("doc_key"), F.col("doc_id").isNull().alias("unnamed")]
 
 
 def repeated_runs(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, a, b, first_doc): runs of a document that an earlier one has.
+    """(doc_key, unnamed, a, b, first_doc): runs of a document that an earlier
+    one has.  Documents are ordered by doc_id; those without one come last, by
+    their text's hash, and as first_doc they are null.
 
     A run is counted before it is shuffled whole, and joined back to its runs,
     so one that a third of all documents hold is split over tasks.
     """
     runs = span_runs(docs, run, min_words)
-    first = runs.groupBy("a", "b").agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
-    first = first.filter("first_doc < last_doc").drop("last_doc")
-    return runs.join(first, ["a", "b"]).filter("doc_id > first_doc").select("doc_id", "a", "b", "first_doc")
+    named, text = F.when(~F.col("unnamed"), F.col("doc_key")), F.when(F.col("unnamed"), F.col("doc_key"))
+    first = runs.groupBy("a", "b").agg(
+        F.min(named).alias("first_doc"), F.max(named).alias("last_doc"), F.min(text).alias("first_text"), F.max(text).alias("last_text")
+    )
+    first = first.filter("first_doc < last_doc or first_text < last_text or (first_doc is not null and first_text is not null)")
+    later = F.when(F.col("unnamed"), F.col("first_doc").isNotNull() | (F.col("doc_key") > F.col("first_text")))
+    later = later.otherwise(F.col("doc_key") > F.col("first_doc"))
+    return runs.join(first, ["a", "b"]).filter(later).select("doc_key", "unnamed", "a", "b", "first_doc")
 
 
 def dedup_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) -> DataFrame:
@@ -107,13 +117,13 @@ def dedup_spans(docs: DataFrame, run: int = RUN, min_words: int = MIN_WORDS) ->
     that keep the removed spans, ascending; the row's own id where it repeats
     itself).  Rows that share a doc_id are treated as one document: they do
     not remove each other's spans, but a span within one row is kept once.
+    Rows without a doc_id are one document where their texts are equal; a span
+    first kept by such a row names no document.
     Empty texts and empty tables give no spans.
     """
     later = repeated_runs(docs, run, min_words)
-    later = later.groupBy(F.col("doc_id").alias("doc_key")).agg(
-        F.collect_list(F.struct("a", "b", "first_doc")).alias("later")
-    )
-    d = docs.select("doc_id", "text", _key().alias("doc_key")).join(later, "doc_key", "left").drop("doc_key")
+    later = later.groupBy("doc_key", "unnamed").agg(F.collect_set(F.struct("a", "b", "first_doc")).alias("later"))
+    d = docs.select("doc_id", "text", *_key()).join(later, ["doc_key", "unnamed"], "left").drop("doc_key", "unnamed")
 
     def strip(batches: Batches) -> Batches:
         for batch in batches:
