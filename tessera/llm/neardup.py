@@ -206,14 +206,20 @@ def near_duplicates(
 def _grouped(docs: DataFrame, shingle: int, percent: int, k: int, k_min: int, also: tuple[str, ...] = ()) -> DataFrame:
     """doc_id, n_shingles, g, component_id, ``also`` for every row of ``docs``:
     its group, and that by the smallest doc_id; both null for the empty set."""
-    s = cut(document_sets(docs, shingle, k, also))
+    # A text is found again by its id and its hash, as ids may be null or repeated.
+    hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash"), *also)
+    s = cut(document_sets(hashed, shingle, k, ("_text_hash", *also)))
     # A class gets a number from its 128-bit hash; the smaller half serves as id.
     real = s.filter("n_shingles > 0")
     key = F.xxhash64("hi", "lo")
     classes = cut(
-        real.groupBy(key.alias("c")).agg(
-            F.min("doc_id").alias("doc_id"), F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch")
+        real.groupBy(key.alias("c"))
+        .agg(
+            F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text_hash")).alias("first"),
+            F.first("n_shingles").alias("n"),
+            F.first("sketch").alias("sketch"),
         )
+        .select("c", "first.doc_id", "first._text_hash", "n", "sketch")
     )
     lists = cut(_postings(classes, k, k_min))
     order = F.xxhash64(F.lit(1), "c")
@@ -222,8 +228,8 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, k: int, k_min: int, al
     hub = named.filter("mine = o").select("v", F.col("c").alias("hub"))
     stars = cut(named.filter("mine <> o").select("v", "c").join(hub, "v").select("hub", "c").distinct())
     # Full sets of the classes that are in any star, from their first document.
-    wanted = stars.select("c").unionAll(stars.select(F.col("hub").alias("c"))).distinct().join(classes.select("c", "doc_id"), "c")
-    wanted = wanted.select(F.col("c").alias("want"), F.col("doc_id").alias("want_doc"))
+    wanted = stars.select("c").unionAll(stars.select(F.col("hub").alias("c"))).distinct().join(classes.select("c", "doc_id", "_text_hash"), "c")
+    wanted = wanted.select(F.col("c").alias("want"), F.col("doc_id").alias("want_doc"), F.col("_text_hash").alias("want_hash"))
 
     def full_sets(batches: Batches) -> Batches:
         hashes = WordHashes()
@@ -240,7 +246,8 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, k: int, k_min: int, al
                 names=["want", "hi", "lo", "full"],
             )
 
-    text = docs.select("doc_id", "text").join(wanted, F.col("doc_id").eqNullSafe(F.col("want_doc")))
+    same = F.col("doc_id").eqNullSafe(F.col("want_doc")) & (F.col("_text_hash") == F.col("want_hash"))
+    text = hashed.select("doc_id", "text", "_text_hash").join(wanted, same)
     sets = text.select("want", "text").mapInArrow(full_sets, "want long, hi long, lo long, full binary")
     sets = cut(sets.filter(F.col("want") == key).select(F.col("want").alias("c"), "full").dropDuplicates(["c"]))
     links = cut(_star_links(stars, sets, k, k_min, percent))
