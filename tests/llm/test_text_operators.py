@@ -152,6 +152,37 @@ def test_drop_decides_by_row_where_ids_repeat_or_are_null(docs):
 # --- span dedup --------------------------------------------------------------
 
 
+def test_texts_without_an_id_are_found_one_by_one(spark, docs, monkeypatch):
+    rng = random.Random(11)
+    base = [prose(rng, 60) for _ in range(20)]
+    rows = [(None, t, "s") for t in base] + [(None, edit(rng, t, 1), "s") for t in base[:10]] + [(5, base[0], "s"), (5, base[11], "s")]
+    sets, links = [], neardup._star_links
+    monkeypatch.setattr(neardup, "_star_links", lambda pairs, s, *a: sets.append(s) or links(pairs, s, *a))
+    got = neardup.near_duplicates(docs(rows)).collect()
+    assert len(got) == len(rows) and sets[0].count() == 20
+    # Groups are named by id 5 where it is in them, else they have no name.
+    assert sorted(r["component_id"] or 0 for r in got) == [0] * 27 + [5] * 5
+    kept = neardup.drop_near_duplicates(docs(rows)).collect()
+    assert len(kept) == 20 and sum(r["doc_id"] == 5 for r in kept) == 2
+
+
+def test_many_rows_of_one_id_read_each_text_once(spark, docs, monkeypatch):
+    rng = random.Random(12)
+    base = [prose(rng, 40) for _ in range(50)]
+    rows = [(None, t, "s") for t in base] + [(None, edit(rng, t, 1), "s") for t in base]
+    table = docs(rows)
+    read, frame, real = [], type(table), type(table).mapInArrow
+
+    def seen(df, *args, **kwargs):
+        if df.columns == ["want", "text"]:
+            read.append(df)
+        return real(df, *args, **kwargs)
+
+    monkeypatch.setattr(frame, "mapInArrow", seen)
+    neardup.near_duplicates(table).collect()
+    assert [df.count() for df in read] == [len(rows)]
+
+
 def brute_spans(rows, run, min_words):
     """Rows in doc_id order; a run seen in a smaller id, or before in the row, goes."""
     split = [[p for p in re.split(r"(?:(?<=[.!?])[ \t-\r]|\n)[ \t-\r]*", t or "")] for _, t, _ in rows]
@@ -231,6 +262,18 @@ PLAIN = {
 }
 
 
+def test_rows_without_an_id_are_told_apart_by_their_text(docs):
+    rng = random.Random(13)
+    passage = " ".join(prose(rng, 15).capitalize() + "." for _ in range(4))
+    rows = [(None, f"Start {i}.\n{passage}\nEnd {i}.", "s") for i in range(6)] + [(None, None, "s"), (None, "", "s")]
+    got = [r for r in spans.dedup_spans(docs(rows)).collect() if r["text"]]
+    assert len(got) == 6 and sum(passage in r["text"] for r in got) == 1
+    assert sum(r["n_removed"] >= 4 and r["first_docs"] == [] for r in got) == 5
+    got = spans.dedup_spans(docs([*rows, (3, passage, "s")])).collect()
+    assert [r["doc_id"] for r in got if passage in (r["text"] or "")] == [3]
+    assert sum(r["first_docs"] == [3] for r in got) == 6
+
+
 def luhn(d):
     s = 0
     for i, c in enumerate(reversed(d)):
@@ -312,3 +355,20 @@ def test_pii_of_odd_rows(docs):
     got = pii.report(docs(ODD)).collect()
     assert len(got) == len(ODD) and all(r["spans"] == "" for r in got)
     assert pii.sanitise(docs(ODD)).count() == len(ODD)
+
+
+def test_pii_of_long_texts_with_many_matches(docs):
+    mails = " ".join(f"n{i}@x{i}.org" for i in range(5_000))
+    rows = [(1, "12, " * 100_000, "s"), (2, mails, "s"), (3, mails + " +1 234 567 89", "s")]
+    got = {r["doc_id"]: r for r in pii.personal_data(docs(rows)).collect()}
+    assert not got[1]["email"] + got[1]["card"] + got[1]["ip"] + got[1]["phone"]
+    want = [(m.start(), m.end(), m[0]) for m in re.finditer(r"n\d+@x\d+\.org", mails)]
+    assert [tuple(s) for s in got[2]["email"]] == want == [tuple(s) for s in got[3]["email"]]
+    assert [tuple(s)[:2] for s in got[3]["phone"]] == [(len(mails) + 1, len(mails) + 14)]
+
+
+@pytest.mark.parametrize("n", [0, 1, 255, 256, 257, 512, 513])
+def test_spans_at_the_ends_of_blocks(docs, n):
+    text = "é " + "a@b.cd, " * n
+    got = pii.personal_data(docs([(1, text, "s")])).first()["email"]
+    assert [(s["start"], s["end"]) for s in got] == [(2 + 8 * i, 8 + 8 * i) for i in range(n)]
