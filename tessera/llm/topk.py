@@ -5,6 +5,10 @@ of the summed squares around the mean), x.y is at most n*a*b + s*t; summed
 over segments this bounds the inner product from above, that is the distance
 from below.  Coarse segments are tried first, finer ones on what is left, and
 the exact product is taken for the survivors only.
+
+Queries and vectors are dealt into blocks by a shuffle; every block of queries
+meets every block of vectors in one group of bounded size, and the driver sees
+only how many rows there are and how long they are.
 """
 
 from __future__ import annotations
@@ -14,12 +18,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Batches, share, shared
+from tessera.llm.common import cut
 
 SCALE = 64
 TOP = 20
 LEVELS = (2, 8, 32)
+# Rows of a block; fewer where they are long, by the components of a block.
 QUERY_BLOCK = 4096
+VECTOR_BLOCK = 16_384
+BLOCK_COMPONENTS = 1 << 22
+# Candidates that are bounded and scored together.
+STEP = 2048
 
 
 def _usable() -> F.Column:
@@ -30,9 +39,12 @@ def _usable() -> F.Column:
 
 def scaled_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """(vec_id, v): components as floor(scale * x).  Rows with a null id, a
-    null vector or a null or non-finite component take no part."""
+    null vector or a null or non-finite component take no part; a component
+    beyond a long is an error."""
     e = F.col("embedding").cast("array<double>")
-    v = F.transform(e, lambda x: F.floor(x * F.lit(float(scale))))
+    beyond = F.raise_error(F.lit("a scaled component does not fit a long")).cast("long")
+    y = lambda x: x * F.lit(float(scale))
+    v = F.transform(e, lambda x: F.when(F.abs(y(x)) < F.lit(2.0**63), F.floor(y(x))).otherwise(beyond))
     return vectors.filter(F.col("vec_id").isNotNull() & _usable()).select("vec_id", v.alias("v"))
 
 
@@ -48,61 +60,69 @@ def segment_features(x: np.ndarray, segments: int) -> np.ndarray:
     return np.stack(out, axis=1)
 
 
-class QueryBlock:
-    def __init__(self, ids: np.ndarray, x: np.ndarray, levels: tuple[int, ...], k: int):
-        self.ids, self.x, self.levels, self.k = ids, x, levels, k
-        self.features = [segment_features(x, s) for s in levels]
+class Block:
+    """Vectors of a block: whole numbers, their doubles and segment features."""
+
+    def __init__(self, ids: np.ndarray, v: np.ndarray, levels: tuple[int, ...]):
+        self.ids, self.v, self.x = ids, v, v.astype(np.float64)
+        self.features = [segment_features(self.x, s) for s in levels]
 
 
-def _pad(rows: list[list[int]], dim: int) -> np.ndarray:
-    out = np.zeros((len(rows), dim))
-    for i, r in enumerate(rows):
-        out[i, : len(r)] = r
+def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
+    """Lists of whole numbers as rows, cut or padded with zeros to ``dim``."""
+    a = column.combine_chunks()
+    out = np.zeros((len(a), dim), np.int64)
+    n = a.value_lengths().to_numpy(zero_copy_only=False)
+    flat = a.flatten().to_numpy(zero_copy_only=False)
+    row = np.repeat(np.arange(len(a)), n)
+    at = np.arange(len(flat)) - np.repeat(np.cumsum(n) - n, n)
+    fits = at < dim
+    out[row[fits], at[fits]] = flat[fits]
     return out
 
 
-def _search(q: QueryBlock, ids: np.ndarray, x: np.ndarray, best: list[tuple[np.ndarray, np.ndarray]]) -> None:
-    """Fold the candidate rows into each query's best (scores, ids)."""
-    features = [segment_features(x, s) for s in q.levels]
-    floor = np.array([b[0][-1] if len(b[0]) == q.k else -np.inf for b in best])
-    slack = 1e-9 * (1 + np.abs(q.features[0]).sum(axis=1) * np.abs(features[0]).sum(axis=1).max(initial=0))
-    alive = q.features[0] @ features[0].T >= (floor - slack)[:, None]
+def _exact_in_doubles(q: Block, c: Block) -> bool:
+    """Whether products and sums of these whole numbers are exact in doubles."""
+    dim = max(1, q.x.shape[1])
+    return np.abs(q.x).max(initial=0) * np.abs(c.x).max(initial=0) * dim < 2.0**53
+
+
+def _search(q: Block, c: Block, copies: np.ndarray, k: int, best: list[tuple[list, list]]) -> None:
+    """Fold the candidates into each query's best (scores, ids)."""
+    floor = np.array([b[0][-1] if len(b[0]) == k else -np.inf for b in best], np.float64)
+    # What rounding can take from a bound or a bar.
+    slack = 1e-9 * (1 + np.abs(q.features[0]).sum(axis=1) * np.abs(c.features[0]).sum(axis=1).max(initial=0))
+    alive = q.features[0] @ c.features[0].T >= (floor - slack)[:, None]
+    doubles = _exact_in_doubles(q, c)
     for i in np.flatnonzero(alive.any(axis=1)):
         left = np.flatnonzero(alive[i])
-        left = left[ids[left] != q.ids[i]]
-        if len(left) > q.k and not np.isfinite(floor[i]):
+        left = left[c.ids[left] != q.ids[i]]
+        bar = floor[i]
+        if len(left) > k and not np.isfinite(bar):
             # No bar yet: the candidates with the highest bounds set one.
-            head = left[np.argpartition(-(features[-1][left] @ q.features[-1][i]), q.k - 1)[: q.k]]
-            bar = (x[head] @ q.x[i]).min()
-        else:
-            bar = floor[i]
-        for f, g in zip(features[1:], q.features[1:]):
+            head = left[np.argpartition(-(c.features[-1][left] @ q.features[-1][i]), k - 1)[:k]]
+            bar = (c.x[head] @ q.x[i]).min()
+        for f, g in zip(c.features[1:], q.features[1:]):
             if not len(left):
                 break
             left = left[f[left] @ g[i] >= bar - slack[i]]
         if not len(left):
             continue
-        scores = np.concatenate([best[i][0], x[left] @ q.x[i]])
-        who = np.concatenate([best[i][1], ids[left]])
-        top = np.lexsort((who, -scores))[: q.k]
-        best[i] = scores[top], who[top]
-
-
-def _exact_int(q: QueryBlock, x: np.ndarray) -> bool:
-    """Whether products and sums of these whole numbers are exact in doubles."""
-    dim = max(1, x.shape[1])
-    return np.abs(q.x).max(initial=0) * np.abs(x).max(initial=0) * dim < 2.0**53
+        if doubles:
+            scores = (c.x[left] @ q.x[i]).astype(np.int64)
+        else:
+            # Large components: the survivors' products as Python's whole numbers.
+            scores = c.v[left].astype(object) @ q.v[i].astype(object)
+        scores = np.repeat(scores, copies[left]).tolist() + best[i][0]
+        who = np.repeat(c.ids[left], copies[left]).tolist() + best[i][1]
+        top = sorted(zip((-s for s in scores), who))[:k]
+        best[i] = [-s for s, _ in top], [w for _, w in top]
 
 
-def _fallback(q: QueryBlock, ids: np.ndarray, x: np.ndarray, best: list) -> None:
-    """Huge components: whole-number arithmetic without bounds, kept in a long."""
-    xi = [[int(c) for c in r] for r in x]
-    for i, row in enumerate(q.x):
-        qi = [int(c) for c in row]
-        s = [max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(qi, r)))) for r in xi]
-        rows = [(-v, int(k)) for v, k in zip(s, ids) if k != q.ids[i]] + [(-int(v), int(k)) for v, k in zip(*best[i])]
-        rows = sorted(rows)[: q.k]
-        best[i] = np.array([-v for v, _ in rows], object), np.array([k for _, k in rows], np.int64)
+def _blocks(rows: DataFrame, most: int) -> int:
+    """In how many blocks the rows go: by their number and by their length."""
+    n, dim = rows.agg(F.count(F.lit(1)), F.coalesce(F.max(F.size("v")), F.lit(0))).first()
+    return max(1, -(-n // max(1, min(most, BLOCK_COMPONENTS // max(1, dim)))))
 
 
 def exact_top_k(
@@ -111,58 +131,68 @@ def exact_top_k(
     k: int = TOP,
     levels: tuple[int, ...] = LEVELS,
     query_block: int = QUERY_BLOCK,
+    vector_block: int = VECTOR_BLOCK,
 ) -> DataFrame:
     """The ``k`` highest inner products of each query among the other rows.
 
     ``vectors`` and ``queries`` hold (vec_id, v array<long>); a row is not a
     candidate of a query with its own id.  Returns query_id, rank (from 1),
     vec_id, score; ties go to the smaller vec_id.  Shorter vectors count as
-    padded with zeros.  The query set is taken in blocks of ``query_block``
-    rows, each broadcast alone; every task keeps a running top k of its
-    candidates, and only those rows are shuffled.  Repeated rows of a query
-    are one query; repeated candidate rows each take a place.
+    padded with zeros.  Rows of one query id are one query, the smallest of
+    its vectors; repeated candidate rows each take a place, up to ``k``.  A
+    score of the result that does not fit a long is an error.  Empty tables
+    give no rows.
+
+    Equal rows are counted before anything else, so no id fills a block; rows
+    without a vector take no part.  Blocks hold about ``query_block`` and
+    ``vector_block`` rows, fewer if they are long; every pair of blocks yields
+    its queries' best ``k`` only.
     """
-    spark = vectors.sparkSession
-    queries = queries.dropDuplicates(["vec_id"])
-    n = queries.count()
-    blocks = max(1, -(-n // query_block))
-    parts = []
-    for b in range(blocks):
-        rows = queries.filter(F.pmod(F.xxhash64("vec_id"), F.lit(blocks)) == b).collect()
-        dim = max((len(r[1]) for r in rows), default=0)
-        block = QueryBlock(np.array([r[0] for r in rows], np.int64), _pad([r[1] for r in rows], dim), levels, k)
-        sent = share(spark, block)
-
-        def search(batches: Batches, sent=sent, k=k) -> Batches:
-            q = shared(sent)
-            best = [(np.empty(0), np.empty(0, np.int64)) for _ in q.ids]
-            for batch in batches:
-                for at in range(0, batch.num_rows, 2048):
-                    part = batch.slice(at, 2048)
-                    rows = part.column("v").to_pylist()
-                    ids = np.array(part.column("vec_id").to_pylist(), np.int64)
-                    # Components beyond the queries' length meet zeros only.
-                    x = _pad([r[: q.x.shape[1]] for r in rows], q.x.shape[1])
-                    (_search if _exact_int(q, x) else _fallback)(q, ids, x, best)
-            for at in range(0, len(best), 500):
-                some = [(i, b) for i, b in enumerate(best[at : at + 500], at) if len(b[0])]
-                if some:
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.concatenate([np.full(len(b[0]), q.ids[i]) for i, b in some]), pa.int64()),
-                            pa.array(np.concatenate([b[1] for _, b in some]), pa.int64()),
-                            pa.array([int(v) for _, b in some for v in b[0]], pa.int64()),
-                        ],
-                        names=["query_id", "vec_id", "score"],
-                    )
-
-        parts.append(vectors.select("vec_id", "v").mapInArrow(search, "query_id long, vec_id long, score long"))
-    found = parts[0]
-    for p in parts[1:]:
-        found = found.unionAll(p)
+    has = F.col("vec_id").isNotNull() & F.col("v").isNotNull()
+    c = cut(vectors.filter(has).groupBy("vec_id", "v").agg(F.least(F.count(F.lit(1)), F.lit(k)).alias("copies")))
+    q = cut(queries.filter(has).groupBy("vec_id").agg(F.min("v").alias("v")))
+    nq, nc = _blocks(q, query_block), _blocks(c, vector_block)
+
+    def dealt(rows: DataFrame, own: str, n: int, other: str, m: int) -> DataFrame:
+        block = F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int")
+        # Columns of each side's own, as both come from the same table.
+        mine = [F.col(x).alias(x, metadata={"side": own}) for x in rows.columns]
+        return rows.select(*mine, block.alias(own), F.explode(F.sequence(F.lit(0), F.lit(m - 1))).alias(other))
+
+    out = pa.schema([("query_id", pa.int64()), ("vec_id", pa.int64()), ("score", pa.string())])
+
+    def meet(queries: pa.Table, vectors: pa.Table) -> pa.Table:
+        if not queries.num_rows or not vectors.num_rows:
+            return out.empty_table()
+        lengths = queries["v"].combine_chunks().value_lengths().to_numpy(zero_copy_only=False)
+        # Components beyond the queries' length meet zeros only.
+        dim = int(lengths.max(initial=0))
+        qs = Block(queries["vec_id"].to_numpy(), _matrix(queries["v"], dim), levels)
+        best: list[tuple[list, list]] = [([], []) for _ in qs.ids]
+        for at in range(0, vectors.num_rows, STEP):
+            part = vectors.slice(at, STEP)
+            some = Block(part["vec_id"].to_numpy(), _matrix(part["v"], dim), levels)
+            _search(qs, some, part["copies"].to_numpy(), k, best)
+        # The score as text: whether it fits a long is asked of the final ranks
+        # only, and beyond 38 digits it cannot.
+        limit = 10**38 - 1
+        return pa.table(
+            {
+                "query_id": np.repeat(qs.ids, [len(s) for s, _ in best]),
+                "vec_id": [w for _, who in best for w in who],
+                "score": [str(max(-limit, min(limit, v))) for s, _ in best for v in s],
+            },
+            schema=out,
+        )
+
+    left = dealt(q, "qb", nq, "cb", nc).groupBy("qb", "cb")
+    right = dealt(c, "cb", nc, "qb", nq).groupBy("qb", "cb")
+    found = left.cogroup(right).applyInArrow(meet, "query_id long, vec_id long, score string")
+    score = F.col("score").cast("decimal(38,0)")
     w = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return (
-        found.withColumn("rank", F.row_number().over(w))
+        found.withColumn("score", score)
+        .withColumn("rank", F.row_number().over(w))
         .filter(F.col("rank") <= k)
-        .select("query_id", "rank", "vec_id", "score")
+        .select("query_id", "rank", "vec_id", F.col("score").cast("long").alias("score"))
     )

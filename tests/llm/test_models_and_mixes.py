@@ -352,11 +352,52 @@ def test_top_k_equals_brute_force(spark, block):
     rows += [(301, [1e12] * 24), (302, [0.1] * 5), (303, []), (304, None), (305, [None] * 24), (306, [float("nan")] * 24), (320, [2.0] * 30)]
     rows += [(340, rows[20][1]), (360, [float("inf")] * 24), (None, rows[1][1])]
     v = topk.scaled_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
-    got = topk.exact_top_k(v, v.filter("vec_id % 20 = 0"), query_block=block)
+    got = topk.exact_top_k(v, v.filter("vec_id % 20 = 0"), query_block=block, vector_block=20 * block)
     assert sorted(map(tuple, got.collect())) == brute_top(rows)
     assert topk.exact_top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_top_k_of_large_components_is_exact(spark):
+    rng = random.Random(12)
+    rows = [(i, [rng.choice([1e7, 3.0, -1e7]) + rng.random() for _ in range(6)]) for i in range(60)]
+    # Products next to each other that doubles cannot tell apart.
+    rows += [(100 + i, [1e7 + i / 64, 1e7, 0.0, 0.0, 0.0, 1.0]) for i in range(30)]
+    v = topk.scaled_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = topk.exact_top_k(v, v.filter("vec_id % 20 = 0"))
+    want = brute_top(rows)
+    assert max(s for *_, s in want) > 2**53
+    assert sorted(map(tuple, got.collect())) == want
+
+
+def test_top_k_scores_beyond_a_long_raise(spark):
+    vectors = lambda x: topk.scaled_vectors(spark.createDataFrame([(0, x), (1, x)], "vec_id long, embedding array<double>"))
+    for x in ([1e12] * 3, [1e17], [1e18]):
+        v = vectors(x)
+        with pytest.raises(Exception, match="CAST_OVERFLOW|does not fit a long"):
+            topk.exact_top_k(v, v.filter("vec_id = 0")).collect()
+
+
+@pytest.mark.parametrize("block", [4096, 5])
+def test_top_k_of_repeated_rows(spark, block):
+    rng = random.Random(13)
+    rows = [(i, [rng.randrange(-9, 9) / 4 for _ in range(3)]) for i in range(50)]
+    rows += [(7, [2.0, 2.0, 2.0])] * 200 + [(40, [0.0, -1.0, 1.0])] * 50 + [(41, None)] * 50 + [(None, [1.0])] * 50
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "vec_id long, embedding array<double>, v int, copies int")
+    v = topk.scaled_vectors(df)
+    got = topk.exact_top_k(v, v.filter("vec_id % 20 = 0"), query_block=block, vector_block=3 * block)
+    # A query of several rows is asked by the smallest of them.
+    asked = {}
+    for i, e in rows:
+        if i is not None and e is not None and i % 20 == 0:
+            w = [math.floor(64 * x) for x in e]
+            asked[i] = min(w, asked.get(i, w))
+    want = []
+    for i, a in asked.items():
+        s = sorted((-sum(math.floor(64 * x) * y for x, y in zip(e, a)), j) for j, e in rows if j is not None and e is not None and j != i)
+        want += [(i, n, j, -c) for n, (c, j) in enumerate(s[:20], 1)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
 def test_segment_bound_holds():
     rng = np.random.default_rng(1)
     x, y = rng.integers(-60, 60, (40, 64)).astype(float), rng.integers(-60, 60, (40, 64)).astype(float)
