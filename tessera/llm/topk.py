@@ -28,7 +28,7 @@ QUERY_BLOCK = 4096
 VECTOR_BLOCK = 16_384
 BLOCK_COMPONENTS = 1 << 22
 # Candidates that are bounded and scored together.
-STEP = 2048
+STEP = 1024
 
 
 def _usable() -> F.Column:
@@ -87,36 +87,64 @@ def _exact_in_doubles(q: Block, c: Block) -> bool:
     return np.abs(q.x).max(initial=0) * np.abs(c.x).max(initial=0) * dim < 2.0**53
 
 
-def _search(q: Block, c: Block, copies: np.ndarray, k: int, best: list[tuple[list, list]]) -> None:
-    """Fold the candidates into each query's best (scores, ids)."""
-    floor = np.array([b[0][-1] if len(b[0]) == k else -np.inf for b in best], np.float64)
+class Best:
+    """The ``k`` best (score, id) of each of ``n`` queries so far, by query."""
+
+    def __init__(self, n: int, k: int):
+        self.n, self.k = n, k
+        self.query, self.ids, self.scores = (np.empty(0, np.int64) for _ in range(3))
+
+    def floor(self) -> np.ndarray:
+        """Each query's lowest kept score, while it has ``k``; else -inf."""
+        out = np.full(self.n, -np.inf)
+        last = np.cumsum(np.bincount(self.query, minlength=self.n)) - 1
+        full = np.bincount(self.query, minlength=self.n) == self.k
+        out[full] = self.scores[last[full]].astype(np.float64)
+        return out
+
+    def add(self, query: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        query, ids = np.concatenate([self.query, query]), np.concatenate([self.ids, ids])
+        scores = np.concatenate([self.scores, scores])
+        if scores.dtype == object:
+            order = np.array(sorted(range(len(query)), key=lambda j: (query[j], -scores[j], ids[j])), np.int64)
+        else:
+            order = np.lexsort((ids, -scores, query))
+        query = query[order]
+        keep = np.arange(len(query)) - np.searchsorted(query, query) < self.k
+        self.query, self.ids, self.scores = query[keep], ids[order][keep], scores[order][keep]
+
+
+def _search(q: Block, c: Block, copies: np.ndarray, best: Best) -> None:
+    """Fold the candidates into the queries' best."""
+    k, bar = best.k, best.floor()
     # What rounding can take from a bound or a bar.
     slack = 1e-9 * (1 + np.abs(q.features[0]).sum(axis=1) * np.abs(c.features[0]).sum(axis=1).max(initial=0))
-    alive = q.features[0] @ c.features[0].T >= (floor - slack)[:, None]
-    doubles = _exact_in_doubles(q, c)
-    for i in np.flatnonzero(alive.any(axis=1)):
-        left = np.flatnonzero(alive[i])
-        left = left[c.ids[left] != q.ids[i]]
-        bar = floor[i]
-        if len(left) > k and not np.isfinite(bar):
-            # No bar yet: the candidates with the highest bounds set one.
-            head = left[np.argpartition(-(c.features[-1][left] @ q.features[-1][i]), k - 1)[:k]]
-            bar = (c.x[head] @ q.x[i]).min()
-        for f, g in zip(c.features[1:], q.features[1:]):
-            if not len(left):
-                break
-            left = left[f[left] @ g[i] >= bar - slack[i]]
-        if not len(left):
-            continue
-        if doubles:
-            scores = (c.x[left] @ q.x[i]).astype(np.int64)
-        else:
-            # Large components: the survivors' products as Python's whole numbers.
-            scores = c.v[left].astype(object) @ q.v[i].astype(object)
-        scores = np.repeat(scores, copies[left]).tolist() + best[i][0]
-        who = np.repeat(c.ids[left], copies[left]).tolist() + best[i][1]
-        top = sorted(zip((-s for s in scores), who))[:k]
-        best[i] = [-s for s, _ in top], [w for _, w in top]
+    alive = q.ids[:, None] != c.ids[None, :]
+    new = np.flatnonzero(np.isinf(bar))
+    if len(new) and len(c.ids) > k:
+        # No bar yet: the candidates with the highest bounds set one.
+        bound = np.where(alive[new], q.features[-1][new] @ c.features[-1].T, -np.inf)
+        head = np.argpartition(-bound, k - 1, axis=1)[:, :k]
+        low = np.min([np.einsum("ij,ij->i", c.x[h], q.x[new]) for h in head.T], axis=0)
+        bar[new] = np.where(alive[new[:, None], head].all(axis=1), low, -np.inf)
+    rows, cols = np.arange(len(q.ids)), np.arange(len(c.ids))
+    for f, g in zip(q.features, c.features):
+        # Coarse to fine: whole queries and candidates leave as soon as no pair is left.
+        alive &= f[rows] @ g[cols].T >= (bar - slack)[rows, None]
+        r, t = alive.any(axis=1), alive.any(axis=0)
+        rows, cols, alive = rows[r], cols[t], alive[np.ix_(r, t)]
+    if not alive.size:
+        return
+    if _exact_in_doubles(q, c):
+        products = q.x[rows] @ c.x[cols].T
+        i, j = np.nonzero(alive & (products >= bar[rows, None]))
+        scores = products[i, j].astype(np.int64)
+    else:
+        # Large components: the survivors' products as Python's whole numbers.
+        i, j = np.nonzero(alive)
+        scores = np.array([sum(a * b for a, b in zip(q.v[rows[x]].tolist(), c.v[cols[y]].tolist())) for x, y in zip(i, j)], object)
+    n = copies[cols[j]]
+    best.add(np.repeat(rows[i], n), np.repeat(c.ids[cols[j]], n), np.repeat(scores, n))
 
 
 def _blocks(rows: DataFrame, most: int) -> int:
@@ -168,19 +196,19 @@ def exact_top_k(
         # Components beyond the queries' length meet zeros only.
         dim = int(lengths.max(initial=0))
         qs = Block(queries["vec_id"].to_numpy(), _matrix(queries["v"], dim), levels)
-        best: list[tuple[list, list]] = [([], []) for _ in qs.ids]
+        best = Best(len(qs.ids), k)
         for at in range(0, vectors.num_rows, STEP):
             part = vectors.slice(at, STEP)
             some = Block(part["vec_id"].to_numpy(), _matrix(part["v"], dim), levels)
-            _search(qs, some, part["copies"].to_numpy(), k, best)
+            _search(qs, some, part["copies"].to_numpy(), best)
         # The score as text: whether it fits a long is asked of the final ranks
         # only, and beyond 38 digits it cannot.
         limit = 10**38 - 1
         return pa.table(
             {
-                "query_id": np.repeat(qs.ids, [len(s) for s, _ in best]),
-                "vec_id": [w for _, who in best for w in who],
-                "score": [str(max(-limit, min(limit, v))) for s, _ in best for v in s],
+                "query_id": qs.ids[best.query],
+                "vec_id": best.ids,
+                "score": [str(max(-limit, min(limit, v))) for v in best.scores.tolist()],
             },
             schema=out,
         )
