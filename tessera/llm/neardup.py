@@ -209,17 +209,16 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, k: int, k_min: int, al
     # A text is found again by its id and its hash, as ids may be null or repeated.
     hashed = docs.select("doc_id", "text", F.xxhash64("text").alias("_text_hash"), *also)
     s = cut(document_sets(hashed, shingle, k, ("_text_hash", *also)))
-    # A class gets a number from its 128-bit hash; the smaller half serves as id.
+    # A class is its 128-bit hash; it is numbered once, and the numbers are written.
     real = s.filter("n_shingles > 0")
-    key = F.xxhash64("hi", "lo")
     classes = cut(
-        real.groupBy(key.alias("c"))
+        real.groupBy("hi", "lo")
         .agg(
             F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text_hash")).alias("first"),
             F.first("n_shingles").alias("n"),
             F.first("sketch").alias("sketch"),
         )
-        .select("c", "first.doc_id", "first._text_hash", "n", "sketch")
+        .select(F.monotonically_increasing_id().alias("c"), "hi", "lo", "first.doc_id", "first._text_hash", "n", "sketch")
     )
     lists = cut(_postings(classes, k, k_min))
     order = F.xxhash64(F.lit(1), "c")
@@ -228,28 +227,24 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, k: int, k_min: int, al
     hub = named.filter("mine = o").select("v", F.col("c").alias("hub"))
     stars = cut(named.filter("mine <> o").select("v", "c").join(hub, "v").select("hub", "c").distinct())
     # Full sets of the classes that are in any star, from their first document.
-    wanted = stars.select("c").unionAll(stars.select(F.col("hub").alias("c"))).distinct().join(classes.select("c", "doc_id", "_text_hash"), "c")
-    wanted = wanted.select(F.col("c").alias("want"), F.col("doc_id").alias("want_doc"), F.col("_text_hash").alias("want_hash"))
+    wanted = stars.select("c").unionAll(stars.select(F.col("hub").alias("c"))).distinct().join(classes.drop("n", "sketch"), "c")
+    wanted = wanted.select(F.struct("c", "hi", "lo").alias("want"), F.col("doc_id").alias("want_doc"), F.col("_text_hash").alias("want_hash"))
 
     def full_sets(batches: Batches) -> Batches:
         hashes = WordHashes()
         for batch in batches:
             rows = [shingle_set(hashes.of(blank_words(t)), shingle) for t in as_bytes(batch, "text")]
-            keys = [_class(x) for x in rows]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("want"),
-                    pa.array([h for h, _ in keys], pa.int64()),
-                    pa.array([x for _, x in keys], pa.int64()),
-                    pa.array([x.tobytes() for x in rows], pa.binary()),
-                ],
-                names=["want", "hi", "lo", "full"],
-            )
+            # Of the texts under one id and hash, those of the class.
+            want = batch.column("want")
+            asked = zip(want.field("hi").to_pylist(), want.field("lo").to_pylist())
+            mine = pa.array([_class(x) == k for x, k in zip(rows, asked)], pa.bool_())
+            sets = [want.field("c"), pa.array([x.tobytes() for x in rows], pa.binary())]
+            yield pa.RecordBatch.from_arrays(sets, names=["c", "full"]).filter(mine)
 
     same = F.col("doc_id").eqNullSafe(F.col("want_doc")) & (F.col("_text_hash") == F.col("want_hash"))
     text = hashed.select("doc_id", "text", "_text_hash").join(wanted, same)
-    sets = text.select("want", "text").mapInArrow(full_sets, "want long, hi long, lo long, full binary")
-    sets = cut(sets.filter(F.col("want") == key).select(F.col("want").alias("c"), "full").dropDuplicates(["c"]))
+    sets = text.select("want", "text").mapInArrow(full_sets, "c long, full binary")
+    sets = cut(sets.dropDuplicates(["c"]))
     links = cut(_star_links(stars, sets, k, k_min, percent))
     first = cut(connected_components(links, "a", "b"))
 
@@ -272,11 +267,12 @@ def _grouped(docs: DataFrame, shingle: int, percent: int, k: int, k_min: int, al
     final = connected_components(links.unionAll(more), "a", "b")
 
     # Back to the rows: a class's group is named by the smallest doc_id in it.
-    group = classes.select("c", "doc_id").join(final.select(F.col("node").alias("c"), "component"), "c", "left")
-    group = cut(group.select("c", "doc_id", F.coalesce("component", "c").alias("g")))
+    group = classes.select("c", "hi", "lo", "doc_id").join(final.select(F.col("node").alias("c"), "component"), "c", "left")
+    group = cut(group.select("hi", "lo", "doc_id", F.coalesce("component", "c").alias("g")))
     named = group.groupBy("g").agg(F.min("doc_id").alias("component_id"))
-    label = group.join(named, "g").select("c", "g", "component_id")
-    out = s.withColumn("c", F.when(F.col("n_shingles") > 0, key)).join(label, "c", "left")
+    label = group.join(named, "g").select("hi", "lo", "g", "component_id")
+    # The empty set is no class: its rows find none.
+    out = s.join(label, ["hi", "lo"], "left")
     return out.select("doc_id", "n_shingles", "g", "component_id", *also)
 
 
@@ -291,7 +287,10 @@ def drop_near_duplicates(
     Rows of the empty set are linked with nothing and all stay.
     """
     row = ("_row_hi", "_row_lo")
-    whole = [F.col(c) for c in docs.columns] + [F.col(c).isNull() for c in docs.columns]
+    while set(row) & set(docs.columns):
+        row = (f"_{row[0]}", f"_{row[1]}")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    whole = columns + [c.isNull() for c in columns]
     keyed = docs.select("*", *[F.xxhash64(F.lit(i), *whole).alias(r) for i, r in enumerate(row)])
     rows = _grouped(keyed, shingle, percent, k, k_min, row).filter(F.col("g").isNotNull())
     rows = cut(rows.groupBy("g", *row).agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("m")))
@@ -301,4 +300,4 @@ def drop_near_duplicates(
     marks = cut(marks.select(*row, "m", kept.alias("kept")).filter("not kept or m > 1"))
     once = keyed.join(marks.select(*row), list(row), "left_anti")
     repeated = keyed.join(marks.filter("kept").select(*row), list(row)).dropDuplicates(list(row))
-    return once.select(*docs.columns).unionAll(repeated.select(*docs.columns))
+    return once.select(*columns).unionAll(repeated.select(*columns))

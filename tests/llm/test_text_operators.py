@@ -138,6 +138,17 @@ def test_drop_keeps_one_row_of_each_group(docs):
     assert neardup.near_duplicates(docs([])).count() == 0
 
 
+def test_near_dedup_of_clashing_columns(docs):
+    text = "one two three four five six seven eight nine ten"
+    df = docs([(1, text, "a"), (2, text, "b"), (3, "other words only", "a")])
+    for c in ("_row_hi", "_row_lo", "__row_hi", "_text_hash", "hi", "lo", "c", "g", "a.b"):
+        df = df.withColumn(c, df.doc_id * 10)
+    got = neardup.drop_near_duplicates(df)
+    assert got.columns == df.columns
+    assert sorted((r["doc_id"], r["_row_hi"], r["a.b"]) for r in got.collect()) == [(1, 10, 10), (3, 30, 30)]
+    assert sorted(r["component_id"] for r in neardup.near_duplicates(df).collect()) == [1, 1, 3]
+
+
 def test_drop_decides_by_row_where_ids_repeat_or_are_null(docs):
     same = [(i, "one text of seven words in all", "s") for i in (None, None, 2, 2)]
     rows = [(1, "a b c d e f", "s"), (4, "A b c d e f", "s"), (4, "quite other words under the same id", "s")]
