@@ -92,32 +92,29 @@ def rule_table(spark, rules=RULES) -> DataFrame:
 def match_rules(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """(host, path, rule, rule_verdict) for the distinct (host, path) pairs that a rule fits.
 
-    The rules of a host and of the domains above it are found by an equality
-    join on the host's suffixes, over distinct hosts only.  The longest rule
-    (host and path together) wins; equal lengths go to the longer host.
+    A rule is found by equality on its host, among the host's suffixes, and on
+    its path, among the path's prefixes.  Only prefixes as long as some rule of
+    that host are made, so a url costs as many rows as its domain has unlike
+    path lengths, never as many as it has rules.  The longest rule (host and
+    path together) wins; equal lengths go to the longer host, rules that are
+    both blocked and allowed are blocked.  Rules with a null fit nothing.
     """
-    hosts = urls.select("host").distinct()
+    rules = rules.dropna(subset=["rule_host", "rule_path", "verdict"])
+    lengths = rules.select("rule_host", F.length("rule_path").alias("n")).distinct()
+    pairs = urls.select("host", "path").distinct()
     labels = F.split("host", r"\.")
     suffix = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    by_host = hosts.select("host", F.explode(suffix).alias("rule_host")).join(rules, "rule_host")
-    fits = by_host.groupBy("host").agg(
-        F.collect_list(
-            F.struct(
-                F.length(F.concat("rule_host", "rule_path")).alias("n"),
-                F.length("rule_host").alias("h"),
-                F.concat("rule_host", "rule_path").alias("rule"),
-                "rule_path",
-                "verdict",
-            )
-        ).alias("rules")
-    )
-    best = F.array_max(F.filter("rules", lambda r: F.col("path").startswith(r.rule_path)))
-    m = urls.select("host", "path").distinct().join(fits, "host").select("host", "path", best.alias("r"))
-    return m.filter("r is not null").select("host", "path", F.col("r.rule").alias("rule"), F.col("r.verdict").alias("rule_verdict"))
+    by_host = pairs.select("host").distinct().select("host", F.explode(suffix).alias("rule_host")).join(lengths, "rule_host")
+    asked = pairs.join(by_host, "host").filter(F.length("path") >= F.col("n"))
+    asked = asked.select("host", "path", "rule_host", F.substr("path", F.lit(1), F.col("n")).alias("rule_path"))
+    rule = F.concat("rule_host", "rule_path")
+    best = F.max(F.struct(F.length(rule).alias("n"), F.length("rule_host").alias("h"), rule.alias("rule"), "verdict"))
+    m = asked.join(rules, ["rule_host", "rule_path"]).groupBy("host", "path").agg(best.alias("r"))
+    return m.select("host", "path", F.col("r.rule").alias("rule"), F.col("r.verdict").alias("rule_verdict"))
 
 
 def judge_urls(pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """page_id, host, path, rule, verdict, component for every row of ``pages``.
+    """page_id, host, path, rule, verdict for every row of ``pages``.
 
     A fitting rule decides.  Otherwise a page is blocked if a rule blocks any
     of its aliases and none is expressly allowed; else it is allowed.  Link
