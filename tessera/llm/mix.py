@@ -147,44 +147,46 @@ def mix_takes(
 
     placed: the rows of ``docs`` (doc_id, source, size), with source_size,
     target and start, the position in the source's stream.  takes: source,
-    block, words and n, how many slots take the first ``words`` words of that
-    block.  Joining them on (source, block) gives the pieces that are read.
+    block, words, n, how many slots take the first ``words`` words of that
+    block, and first, the earliest of them.  Joining them on (source, block) gives the pieces that are read.
     """
     targets = cut(source_targets(docs, weights, max_repeats))
     t = targets.select(F.col("source").alias("s2"), "source_size", "target")
     placed = _stream(docs, seed).join(t, F.col("source").eqNullSafe(F.col("s2"))).drop("s2")
-    takes = schedule(targets, block_words).groupBy("source", "block", "words").agg(F.count(F.lit(1)).alias("n"))
+    takes = schedule(targets, block_words).groupBy("source", "block", "words").agg(F.count(F.lit(1)).alias("n"), F.min("slot").alias("first"))
     return placed, takes
 
 
 def mix_sources(docs: DataFrame, block_words: int = BLOCK_WORDS, **kw) -> DataFrame:
-    """doc_id, size, source_size, target, taken for every row of ``docs``.
+    """doc_id, size, source_size, target, taken, first_slot for every row of ``docs``.
 
     ``taken`` counts the words that the mix takes of a document, repeats
     included: its source's share cut into blocks, each taken as often as slots
-    name it.  Null texts and texts of blanks have size 0 and are never taken;
+    name it.  ``first_slot`` is the schedule's earliest slot that takes words of the
+    document, null if none does; in its order the sources stand near their
+    shares in every beginning of the mix.  Null texts and texts of blanks have size 0 and are never taken;
     a null source is one more source; rows that repeat a doc_id are documents
     of their own, equal rows being interchangeable.  An empty table gives an
     empty frame.  Only the counted columns are shuffled, never the texts.
     """
     sized = cut(docs.select("doc_id", "source", word_count(F.col("text")).alias("size")))
-    return _taken(sized, block_words, **kw).select("doc_id", "size", "source_size", "target", "taken")
+    return _taken(sized, block_words, **kw).select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def _taken(sized: DataFrame, block_words: int, **kw) -> DataFrame:
-    """The rows of ``sized`` with source_size, target and taken."""
+    """The rows of ``sized`` with source_size, target, taken and first_slot."""
     placed, takes = mix_takes(sized, block_words=block_words, **kw)
     placed = cut(placed.withColumn("row", F.monotonically_increasing_id()))
     first = F.floor(F.col("start") / block_words)
     last = F.floor((F.col("start") + F.col("size") - 1) / block_words)
     pieces = placed.filter("size > 0").select("row", "source", "start", "size", F.explode(F.sequence(first, last)).alias("block"))
-    t = takes.select(F.col("source").alias("s2"), F.col("block").alias("b2"), "words", "n")
+    t = takes.select(F.col("source").alias("s2"), F.col("block").alias("b2"), "words", "n", "first")
     lo = F.greatest(F.col("start"), F.col("block") * block_words)
     hi = F.least(F.col("start") + F.col("size"), F.col("block") * block_words + F.col("words"))
     taken = (
         pieces.join(t, F.col("source").eqNullSafe(F.col("s2")) & (F.col("block") == F.col("b2")))
         .groupBy("row")
-        .agg(F.sum(F.greatest(hi - lo, F.lit(0)) * F.col("n")).alias("taken"))
+        .agg(F.sum(F.greatest(hi - lo, F.lit(0)) * F.col("n")).alias("taken"), F.min(F.when(hi > lo, F.col("first"))).alias("first_slot"))
     )
     out = placed.join(taken, "row", "left")
     return out.withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))

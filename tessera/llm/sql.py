@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tessera.llm.common import LOWER, UPPER
 from tessera.llm.decontaminate import WINDOW
-from tessera.llm.mix import BLOCK_WORDS, MAX_REPEATS, SEED, WEIGHTS
+from tessera.llm.mix import BLOCK_WORDS, GOLDEN, MAX_REPEATS, SEED, WEIGHTS
 from tessera.llm.neardup import PERCENT, SHINGLE
 from tessera.llm.topk import SCALE, TOP
 from tessera.llm.urls import RULES
@@ -61,13 +61,34 @@ s2 AS (SELECT *, cap / weight AS cap_level,
    FROM s1 WINDOW lo AS (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 s3 AS (SELECT *, arg_min(lvl, cap_level) FILTER (cap_level >= lvl) OVER () AS level FROM s2),
 t AS (SELECT source, source_size, CASE WHEN level IS NULL OR cap_level <= level THEN CAST(cap AS DOUBLE) ELSE weight * level END AS target FROM s3),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS quota,
+q AS (SELECT *, CAST(round(target) AS BIGINT) AS quota, (source_size + {BLOCK_WORDS} - 1) // {BLOCK_WORDS} AS blocks FROM t),
+p AS (SELECT row_number() OVER () AS rid, d.doc_id, d.source, d.size, q.source_size, q.target, q.quota,
    CAST(coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start
-   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+   FROM d JOIN q ON d.source IS NOT DISTINCT FROM q.source),
+-- The schedule: golden-ratio points through the cumulative shares of the slots needed.
+n0 AS (SELECT *, quota // source_size * blocks + (quota % source_size + {BLOCK_WORDS} - 1) // {BLOCK_WORDS} AS need
+       FROM q WHERE target > 0 AND source_size > 0),
+n1 AS (SELECT *, CAST(sum(need) OVER () AS BIGINT) AS slots,
+          CAST(sum(need) OVER (ORDER BY source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS upto FROM n0),
+pt AS (SELECT slot, ((slot + 1) * CAST('{GOLDEN}' AS DOUBLE)) % 1.0::DOUBLE AS point
+       FROM (SELECT unnest(range(coalesce(max(slots), 0))) AS slot FROM n1)),
+hit AS (SELECT source, slot, row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS rank
+        FROM pt JOIN n1 ON point >= (upto - need) / slots AND point < upto / slots),
+got AS (SELECT n1.source, any_value(need) AS need, any_value(slots) AS slots, count(hit.slot) AS got
+        FROM n1 LEFT JOIN hit ON hit.source IS NOT DISTINCT FROM n1.source GROUP BY n1.source),
+sl AS (SELECT source, slot, rank FROM hit
+       UNION ALL SELECT source, slots + r, r FROM (SELECT source, slots, unnest(range(got, need)) AS r FROM got)),
+tk AS (SELECT sl.source, rank % blocks AS block, slot,
+          least({BLOCK_WORDS}, source_size - rank % blocks * {BLOCK_WORDS}, quota - rank // blocks * source_size - rank % blocks * {BLOCK_WORDS}) AS words
+       FROM sl JOIN n1 ON sl.source IS NOT DISTINCT FROM n1.source WHERE rank < need),
+fb AS (SELECT source, block, words, min(slot) AS slot FROM tk GROUP BY source, block, words),
+pc AS (SELECT rid, source, start, size, unnest(range(start // {BLOCK_WORDS}, (start + size - 1) // {BLOCK_WORDS} + 1)) AS block FROM p WHERE size > 0),
+fs AS (SELECT rid, min(slot) AS first_slot FROM pc JOIN fb ON pc.source IS NOT DISTINCT FROM fb.source AND pc.block = fb.block
+       WHERE start < pc.block * {BLOCK_WORDS} + words GROUP BY rid)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
    CASE WHEN size = 0 THEN 0 ELSE quota // source_size * size
-     + greatest(0, least(start + size, quota % source_size) - start) END AS taken
-FROM p
+     + greatest(0, least(start + size, quota % source_size) - start) END AS taken, first_slot
+FROM p LEFT JOIN fs USING (rid)
 """
 
 OP4 = f"""

@@ -115,6 +115,34 @@ def test_schedule_has_low_discrepancy(docs):
         assert all(abs(seen[s] - n * share[s] / total) < 8 for s in share)
 
 
+def test_first_slots_follow_the_golden_ratio(docs):
+    rows = [(i, "w " * (40 + i % 50), f"s{i % 3}") for i in range(300)] + [(900, None, "s0"), (901, "", None)]
+    df = docs(rows)
+    got = mix.mix_sources(df, block_words=64).collect()
+    source = {k: s for k, _, s in rows}
+    assert all((r["first_slot"] is None) == (r["taken"] == 0) for r in got)
+    # The sources of the slots, from the points themselves.
+    size, target = Counter(), {}
+    for r in got:
+        size[source[r["doc_id"]]] += r["size"]
+        target[source[r["doc_id"]]] = r["target"]
+    need, names = [], [s for s in ("s0", "s1", "s2") if target[s] > 0]
+    for s in names:
+        quota = round(target[s])
+        need.append(quota // size[s] * -(-size[s] // 64) + -(-(quota % size[s]) // 64))
+    n, at = sum(need), np.cumsum([0, *need])
+    owner = [names[int(np.searchsorted(at[1:] / n, (k + 1) * mix.GOLDEN % 1.0, "right"))] for k in range(n)]
+    for r in got:
+        if r["first_slot"] is not None and r["first_slot"] < n:
+            assert owner[r["first_slot"]] == source[r["doc_id"]]
+    # In every beginning of the first slots, sources stand near their shares.
+    whole = {s: target[s] / sum(target[t] for t in names) for s in names}
+    seen = Counter()
+    for k, s in enumerate(owner, 1):
+        seen[s] += 1
+        assert all(abs(seen[t] - k * whole[t]) < 4 for t in names)
+
+
 def test_mixed_documents_report_their_own_words(spark, docs):
     rng = random.Random(12)
     text = lambda n: " ".join(f"w{rng.randrange(50)}" for _ in range(n))
@@ -332,6 +360,24 @@ def test_rules_and_aliases(spark):
     assert urls.judge_urls(df.limit(0), urls.rule_table(spark)).count() == 0
 
 
+def test_many_rules_of_one_domain(spark):
+    rng = random.Random(14)
+    piece = lambda: rng.choice(["a", "b", "é", "long-name", ""])
+    path = lambda: "/" + "/".join(piece() for _ in range(rng.randrange(5)))
+    hosts = ["org", "x.org", "a.x.org", "b.a.x.org", "ax.org", "", "y.net"]
+    rules = [(rng.choice(["allow", "block"]), rng.choice(hosts), path()) for _ in range(400)]
+    rules += [("block", "x.org", "/twice"), ("allow", "x.org", "/twice"), ("block", None, "/"), ("allow", "x.org", None), ("allow", "y.net", "")]
+    asked = [(rng.choice(hosts), path() + rng.choice(["", "x", "/twice"])) for _ in range(300)] + [("x.org", "/twice/1"), ("", "")]
+    table = spark.createDataFrame(rules, "verdict string, rule_host string, rule_path string")
+    got = urls.match_rules(spark.createDataFrame(asked, "host string, path string"), table).collect()
+    want = set()
+    for h, p in set(asked):
+        fits = [(len(rh + rp), len(rh), rh + rp, v) for v, rh, rp in rules if rh is not None and rp is not None and (h == rh or h.endswith("." + rh)) and p.startswith(rp)]
+        if fits:
+            want.add((h, p, *max(fits)[2:]))
+    assert {tuple(r) for r in got} == want and len(got) == len(want)
+
+
 # --- top-k -------------------------------------------------------------------
 
 
