@@ -19,11 +19,10 @@ from __future__ import annotations
 import hashlib
 
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import Batches, cut, lower_ascii
+from tessera.llm.common import Batches, cut, lower_ascii, packed
 from tessera.session import bounded_broadcast
 
 FAN = 8
@@ -134,42 +133,40 @@ def leaf_digests(docs: DataFrame) -> DataFrame:
     )
 
 
-def ranked(rows: DataFrame, order: list[str]) -> DataFrame:
+def ranked(rows: DataFrame, order: list[str], n_rows: int) -> DataFrame:
     """Add ``idx`` (from 0) of every row in its ``tree`` by ``order`` and ``n``,
     the tree's rows.
 
-    ``rows`` must be a checkpointed frame.  The rows are dealt by range, each
-    partition counts its own, and what stands before a partition comes from
-    the counts alone.  Rows equal in ``order`` are split as any others.
+    ``rows`` must be a checkpointed frame, of ``n_rows`` rows.  The rows are
+    dealt by range, each range counts its own, and what stands before a range
+    comes from the counts alone.  Rows equal in ``order`` are split as any others.
     """
     keyed = rows.withColumn("_row", F.monotonically_increasing_id())
     keys = ["tree", *order, "_row"]
-    dealt = cut(keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_row"))
+    dealt = keyed.repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_row")
+    # Ranges packed into one partition stay whole and in order, under their ids.
+    dealt = cut(packed(dealt.withColumn("_part", F.spark_partition_id()), n_rows))
 
     def number(batches: Batches) -> Batches:
-        pid, tree, at = TaskContext.get().partitionId(), None, 0
+        run, at = None, 0
         for batch in batches:
             idx = []
-            for t in batch.column("tree").to_pylist():
-                if t != tree:
-                    tree, at = t, 0
+            for key in zip(batch.column("_part").to_pylist(), batch.column("tree").to_pylist()):
+                if key != run:
+                    run, at = key, 0
                 idx.append(at)
                 at += 1
-            cols = [*batch.columns, pa.array([pid] * len(idx), pa.int32()), pa.array(idx, pa.int64())]
-            yield pa.RecordBatch.from_arrays(cols, names=[*batch.schema.names, "_part", "_at"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(idx, pa.int64())], names=[*batch.schema.names, "_at"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in dealt.schema)
-    numbered = dealt.mapInArrow(number, f"{fields}, _part int, _at long")
-    # _part is the id of the checkpoint's partition: the same in both uses.
-    counts = dealt.groupBy("tree", F.spark_partition_id().alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    numbered = dealt.mapInArrow(number, f"{fields}, _at long")
+    counts = dealt.groupBy("tree", "_part").agg(F.count(F.lit(1)).alias("_n"))
     own = Window.partitionBy("tree")
     before = own.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = cut(
-        counts.select("tree", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(own).alias("n"))
-    )
-    starts, _ = bounded_broadcast(starts, 500_000, 32 << 20)
+    starts = counts.select("tree", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"), F.sum("_n").over(own).alias("n"))
+    starts, _ = bounded_broadcast(cut(packed(starts, n_rows)), 500_000, 32 << 20)
     out = numbered.join(starts, ["tree", "_part"])
-    return out.withColumn("idx", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start")
+    return packed(out.withColumn("idx", F.col("_start") + F.col("_at")).drop("_part", "_at", "_start"), n_rows)
 
 
 def _hex(raw: bytes) -> bytes:
@@ -190,8 +187,8 @@ def _leaves(n: int, block: int) -> int:
     return min(SEGMENT, n - block * SEGMENT)
 
 
-def segment_logs(rows: DataFrame) -> list[DataFrame]:
-    """The log of every tree in ``rows`` (tree, idx, n, leaf): per band a frame
+def segment_logs(rows: DataFrame, n_rows: int) -> list[DataFrame]:
+    """The log of every tree in the ``n_rows`` ``rows`` (tree, idx, n, leaf): per band a frame
     of segments (tree, block, n, nodes), ``nodes`` being the 32-byte digests in
     order of completion and ``n`` the tree's leaves in that band."""
 
@@ -213,7 +210,7 @@ def segment_logs(rows: DataFrame) -> list[DataFrame]:
     rows = rows.select("tree", "idx", "n", "leaf")
     while True:
         seg = rows.groupBy("tree", F.expr(f"idx div {SEGMENT}").alias("_block")).applyInArrow(build, _SEGMENT_SCHEMA)
-        seg = cut(seg)
+        seg = cut(packed(seg, n_rows))
         bands.append(seg)
         if not seg.filter(F.col("n") > SEGMENT).limit(1).count():
             return bands
@@ -254,7 +251,7 @@ def _paths_of(segments: DataFrame) -> DataFrame:
     return segments.select("tree", "block", "n", "nodes", "above").mapInArrow(extract, f"tree string, idx long, path {_PATH}")
 
 
-def root_paths(bands: list[DataFrame], above: DataFrame | None = None) -> DataFrame:
+def root_paths(bands: list[DataFrame], n_rows: int, above: DataFrame | None = None) -> DataFrame:
     """(tree, block, n, nodes, above) of the lowest segments: ``above`` has the
     siblings from the segment's root upward, and goes on with those that the
     frame ``above`` (tree, above) gives for the tree's root."""
@@ -263,14 +260,16 @@ def root_paths(bands: list[DataFrame], above: DataFrame | None = None) -> DataFr
     have = top.withColumn("above", empty) if above is None else top.join(above, "tree")
     for seg in reversed(bands[:-1]):
         paths = _paths_of(have).select("tree", F.col("idx").alias("block"), F.col("path").alias("above"))
-        have = cut(seg.join(paths, ["tree", "block"]))
+        have = cut(packed(seg.join(paths, ["tree", "block"]), n_rows))
     return have
 
 
 def manifest_log(docs: DataFrame) -> DataFrame:
     """tree, position, level, index, digest: the whole log of every language's
     tree, a row per node, positions counting from 0 in order of completion."""
-    bands = segment_logs(ranked(cut(leaf_digests(docs)), ["doc_id", "leaf"]))
+    n_rows = docs.count()
+    leaves = cut(packed(leaf_digests(docs), n_rows))
+    bands = segment_logs(ranked(leaves, ["doc_id", "leaf"], n_rows), n_rows)
     totals = bands[0].select("tree", F.col("n").alias("total")).distinct()
     parts = [seg.withColumn("band", F.lit(k)) for k, seg in enumerate(bands)]
     every = parts[0]
@@ -308,14 +307,16 @@ def manifest_proofs(docs: DataFrame) -> DataFrame:
     order of their leaves; equal rows are leaves of their own.  A row whose
     text (or doc_id) is null is never tampered with.  No rows give no rows.
     """
-    rows = cut(ranked(cut(leaf_digests(docs)), ["doc_id", "leaf"]))
-    bands = segment_logs(rows)
-    subroots = cut(roots(bands).select(F.lit("").alias("tree"), F.col("tree").alias("lang_tree"), "leaf"))
-    langs = cut(ranked(subroots, ["lang_tree"]))
-    top_bands = segment_logs(langs)
-    lang_paths = _paths_of(root_paths(top_bands)).join(langs.select("idx", "lang_tree"), "idx")
-    above = cut(lang_paths.select(F.col("lang_tree").alias("tree"), F.col("path").alias("above")))
-    segments = root_paths(bands, above)
+    n_rows = docs.count()
+    rows = cut(ranked(cut(packed(leaf_digests(docs), n_rows)), ["doc_id", "leaf"], n_rows))
+    bands = segment_logs(rows, n_rows)
+    subroots = cut(packed(roots(bands).select(F.lit("").alias("tree"), F.col("tree").alias("lang_tree"), "leaf"), n_rows))
+    n_langs = subroots.count()
+    langs = cut(ranked(subroots, ["lang_tree"], n_langs))
+    top_bands = segment_logs(langs, n_langs)
+    lang_paths = _paths_of(root_paths(top_bands, n_langs)).join(langs.select("idx", "lang_tree"), "idx")
+    above = cut(packed(lang_paths.select(F.col("lang_tree").alias("tree"), F.col("path").alias("above")), n_langs))
+    segments = root_paths(bands, n_rows, above)
 
     def prove(leaves: pa.Table, segment: pa.Table) -> pa.Table:
         leaves = leaves.sort_by("idx")
@@ -350,4 +351,5 @@ def manifest_proofs(docs: DataFrame) -> DataFrame:
         "folded_root string, verified boolean, log_position long"
     )
     left = rows.withColumn("block", F.expr(f"idx div {SEGMENT}"))
-    return left.groupBy("tree", "block").cogroup(segments.groupBy("tree", "block")).applyInArrow(prove, schema)
+    proofs = left.groupBy("tree", "block").cogroup(segments.groupBy("tree", "block")).applyInArrow(prove, schema)
+    return packed(proofs, n_rows)

@@ -165,6 +165,31 @@ def test_manifest_of_long_texts_and_no_rows(spark):
     assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, brute_proofs(rows)))
 
 
+def test_manifest_of_few_rows_in_many_partitions_writes_few_files(spark, monkeypatch):
+    files, cut = [], merkle.cut
+
+    def counted(df):
+        out = cut(df)
+        files.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(merkle, "cut", counted)
+    rows = [(i, f"Text {i}", lang, "s", 1) for i, lang in enumerate(["en", "fr", None] * 400)]
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        proofs = merkle.manifest_proofs(make(spark, rows).repartition(60))
+        got = proofs.drop("log_position").collect()
+        files.append(proofs.rdd.getNumPartitions())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(map(str, (tuple(r) for r in got))) == sorted(map(str, brute_proofs(rows)))
+    assert max(files) <= 2 * spark.sparkContext.defaultParallelism
+
+
 @pytest.mark.parametrize("n", [1, 2, 7, 8, 9, 63, 64, 65, 100, 512, 513, 700])
 def test_positions_follow_from_sizes(n):
     top = merkle.height(n)
