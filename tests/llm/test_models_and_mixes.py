@@ -11,7 +11,7 @@ import corpus_pipeline
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
-from tessera.llm import chat, katz, mix, topk, toxicity, urls
+from tessera.llm import chat, components, katz, mix, topk, toxicity, urls
 from tessera.llm.components import connected_components
 
 # --- chat --------------------------------------------------------------------
@@ -336,6 +336,29 @@ def test_components_of_a_chain_a_star_and_noise(spark):
     assert got == {**{i: 100 for i in range(100, 161)}, 500: 500, **{600 + i: 500 for i in range(50)}, 8: 8, 9: 8}
 
 
+def test_rounds_over_few_edges_write_few_files(spark, monkeypatch):
+    files, cut = [], components.cut
+
+    def counted(df):
+        out = cut(df)
+        files.append(out.rdd.getNumPartitions())
+        return out
+
+    monkeypatch.setattr(components, "cut", counted)
+    conf = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = spark.range(60).selectExpr("id as a", "id + 2 as b").repartition(30)
+        got = {r["node"]: r["component"] for r in connected_components(df, "a", "b").collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {k: k % 2 for k in range(62)}
+    assert len(files) > 2 and max(files[1:]) <= 2 * spark.sparkContext.defaultParallelism
+
+
 def test_rules_and_aliases(spark):
     html = '<html><head><link rel="canonical" href="{}"></head></html>'
     pages = [
