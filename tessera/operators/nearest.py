@@ -127,6 +127,12 @@ def _pick_sql(arr: str, best: str, payload: list[str]) -> tuple[Column, Column]:
     return F.expr(chord_best), F.expr(exact)
 
 
+def _closest(arr: str, best: str) -> Column:
+    """The entries of array column ``arr`` that may be the exact best: those
+    within the tie band of the chord-best in column ``best``."""
+    return F.expr(f"filter(`{arr}`, e -> {_c2_sql('e')} <= `{best}`.c2 * {1.0 + _TIE!r}D)")
+
+
 def _within(best: Column, h: float) -> Column:
     return best["c2"] <= F.lit((h - _EPS) ** 2)
 
@@ -225,8 +231,9 @@ def nearest_site(
     Points or sites with a NULL coordinate are ignored; with no sites the
     result is empty (as a cross join with an empty side would be).
     ``form="array"`` picks the best candidate with ``array_min`` in the
-    point's own row; ``form="window"`` explodes the candidates and keeps
-    ``row_number() == 1`` per place (the classic plan).  Every form and plan
+    point's own row; ``form="window"`` explodes the candidates that may win
+    (those within the tie band of the chord-best) and keeps ``row_number() == 1``
+    per place (the classic plan).  Every form and plan
     gives one row for each input row, whatever its id.
     """
     if form not in ("array", "window"):
@@ -278,6 +285,8 @@ def nearest_site(
 
 
 def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str, payload: list[str]) -> DataFrame:
+    # What a resolved point holds: its best site, or those the window ranks.
+    done = "_best" if form == "array" else "_list"
     cur = pts
     for r, h in enumerate(hs):
         table = (
@@ -287,28 +296,28 @@ def _nearest_broadcast(pts: DataFrame, s: DataFrame, hs: list[float], form: str,
         )
         key = cell_key("_px", "_py", "_pz", h)
         if r > 0:
-            key = F.when(F.col("_best").isNull(), key)
+            key = F.when(F.col(done).isNull(), key)
         cur = cur.withColumn(f"_k{r}", key).join(
             F.broadcast(table), F.col(f"_k{r}") == F.col(f"_c{r}"), "left"
         )
         b, t = _pick_sql(f"_cands{r}", f"_b{r}", payload)
-        cur = cur.withColumn(f"_b{r}", b).withColumn(f"_t{r}", t)
+        cur = cur.withColumn(f"_b{r}", b)
+        own = t if form == "array" else _closest(f"_cands{r}", f"_b{r}")
+        cur = cur.withColumn(f"_t{r}", own)
         hit = F.when(_within(F.col(f"_b{r}"), h), F.col(f"_t{r}"))
-        cols = {"_best": hit if r == 0 else F.coalesce(F.col("_best"), hit)}
-        if form == "window":
-            lst = F.when(_within(F.col(f"_b{r}"), h), F.col(f"_cands{r}"))
-            cols["_list"] = lst if r == 0 else F.coalesce(F.col("_list"), lst)
-        cur = cur.withColumns(cols).drop(f"_k{r}", f"_c{r}", f"_cands{r}", f"_b{r}", f"_t{r}")
+        cur = cur.withColumn(done, hit if r == 0 else F.coalesce(F.col(done), hit))
+        cur = cur.drop(f"_k{r}", f"_c{r}", f"_cands{r}", f"_b{r}", f"_t{r}")
     # Whatever the levels left open is resolved against every site: the site
     # list is a scalar subquery, evaluated once; its size was checked
     # against the bound.  Resolved points never evaluate it.
     every = s.agg(F.collect_list(_entry(payload))).scalar()
-    cur = cur.withColumn("_all", F.when(F.col("_best").isNull(), every) if hs else every)
+    cur = cur.withColumn("_all", F.when(F.col(done).isNull(), every) if hs else every)
+    b, brute = _pick_sql("_all", "_ab", payload)
+    cur = cur.withColumn("_ab", b)
     if form == "array":
-        b, brute = _pick_sql("_all", "_ab", payload)
-        cur = cur.withColumn("_ab", b)
         return cur.withColumn("_best", F.coalesce(F.col("_best"), brute) if hs else brute)
-    todo = F.coalesce(F.col("_list"), F.col("_all")) if hs else F.col("_all")
+    rest = _closest("_all", "_ab")
+    todo = F.coalesce(F.col("_list"), rest) if hs else rest
     exploded = cur.select(*pts.columns, F.explode(todo).alias("_s")).withColumn(
         "_best", _exact_of_entry(F.col("_s"), payload)
     )

@@ -179,3 +179,26 @@ def test_shuffled_plan_on_random_places_and_ties(spark):
     a = rows(nearest_site(points, sites, "pid", max_broadcast_sites=0))
     b = rows(nearest_site(points, sites, "pid"))
     assert a == b and len(a) == len(pts)
+
+
+def _nodes(plan):
+    """The nodes of an executed plan, those of finished stages included."""
+    yield plan
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        below.append(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        below.append(plan.plan())
+    for x in below:
+        yield from _nodes(x)
+
+
+def test_window_ranks_only_sites_that_may_win(spark):
+    pts, sites = _data(spark, n_pts=500)
+    got = nearest_site(pts, sites, "pid", site_cols=["site_name"], form="window")
+    n = len(got.collect())
+    plan = got._jdf.queryExecution().executedPlan()
+    ranked = [x for x in _nodes(plan) if x.nodeName() == "Generate" and "_s#" in x.output().toString()]
+    # Without ties a place brings one row to the window, not its whole list.
+    assert n == 501 and ranked
+    assert all(x.metrics().apply("numOutputRows").value() <= n for x in ranked)
