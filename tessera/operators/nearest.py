@@ -22,9 +22,12 @@ Two physical plans:
   summed up by the tight box of its sites and its most central site; its
   children (or, in the finest cubes, its sites) are one array.  A point keeps the
   cubes whose box may hold its nearest site: those no farther, at their nearest,
-  than the central site of any other.  Cubes are opened level by level with shuffled equi-joins on
-  the cube id (AQE splits hot cubes), so a point far outside a dense city opens
-  the few cubes on the city's near side, not the city.
+  than the central site of any other.  Places of one small cell descend together: from
+  the middle of their box, with twice its radius added to the bound, cubes are
+  opened level by level with shuffled equi-joins on the cube id (AQE splits hot
+  cubes).  A place then chooses among its cell's finest cubes by itself, so a
+  point far outside a dense city opens the few cubes on the city's near side,
+  not the city.
 
 Ties in distance go to the smallest site key; sites sharing one location are
 first reduced to the smallest key, which can never lose such a tie.
@@ -337,7 +340,8 @@ def _summaries(df: DataFrame, child: Column, lo: tuple, hi: tuple, rep: tuple, h
     cubes = df.groupBy(F.expr(cell_key_sql(*lo, h)).alias("_cube")).agg(
         *box, central.alias("_central"), F.collect_list(child).alias("_children")
     )
-    return cubes.select("_cube", *_BOX, *[F.col(f"_central.{r}").alias(r) for r in _REP], "_children").checkpoint()
+    reps = [F.col(f"_central.{r}").alias(r) for r in _REP]
+    return cubes.select("_cube", *_BOX, *reps, "_children", F.lit(h).alias("_edge")).checkpoint()
 
 
 def _cube_tree(s: DataFrame, payload: list[str], leaf_sites: int = _LEAF) -> list[DataFrame]:
@@ -361,16 +365,26 @@ def _near_sql(e: str) -> str:
     return " + ".join(f"pow({a}, 2)" for a in axes)
 
 
-def _far_sql(e: str) -> str:
-    """Squared distance from the point to the central site of ``e``."""
-    return " + ".join(f"(_p{c} - {e}._r{c}) * (_p{c} - {e}._r{c})" for c in "xyz")
+# Slack of a bound on squared distances, for ties and the rounding of the
+# products below (a few 1e-16).
+_SLACK = 4e-15
 
 
-def _keep_sql(boxes: str) -> str:
-    """The cubes among array ``boxes`` that may hold the nearest site, as
-    (cube, near, far); a hair of slack keeps ties."""
-    scored = f"transform({boxes}, e -> named_struct('cube', e._cube, 'near', {_near_sql('e')}, 'far', {_far_sql('e')}))"
-    return _prune_sql(scored)
+def _keep_sql(boxes: str, radius: str = "0D") -> str:
+    """(l, kept): a bound on the squared distance from the point to the nearest
+    site of any place within ``radius`` of it, seen from the point, and the cubes
+    among array column ``boxes`` that may hold one, as (near, e).
+
+    The least distance to a central site is found by products, as its vector has
+    length 1.  Most boxes are told to be beyond the bound on one axis alone."""
+    dots = f"transform({boxes}, e -> _px * e._rx + _py * e._ry + _pz * e._rz)"
+    far = f"greatest(0D, _px * _px + _py * _py + _pz * _pz + 1D - 2D * array_max({dots}))"
+    bound = f"pow(sqrt({far}) + 2D * {radius}, 2) * {1.0 + 4 * _TIE!r}D + {_SLACK!r}D"
+    reach = ", ".join(f"'{c}0', _p{c} - 1.000001D * sqrt(l), '{c}1', _p{c} + 1.000001D * sqrt(l)" for c in "xyz")
+    meets = " and ".join(f"e._{c}0 <= w.{c}1 and e._{c}1 >= w.{c}0" for c in "xyz")
+    near = f"filter({boxes}, e -> {meets} and {_near_sql('e')} <= w.l)"
+    kept = f"transform({near}, e -> named_struct('near', {_near_sql('e')}, 'e', e))"
+    return f"transform(transform(array({bound}), l -> named_struct('l', l, {reach})), w -> named_struct('l', w.l, 'kept', {kept}))[0]"
 
 
 def _with_least_sql(array: str, value: str) -> str:
@@ -379,11 +393,6 @@ def _with_least_sql(array: str, value: str) -> str:
     return f"transform(array({array}), q -> named_struct('q', q, 'm', array_min(transform(q, e -> {value}))))"
 
 
-def _prune_sql(scored: str) -> str:
-    keep = f"filter(w.q, e -> e.near <= w.m * {1.0 + 4 * _TIE!r}D + 1e-15D)"
-    return f"transform({_with_least_sql(scored, 'e.far')}, w -> {keep})[0]"
-
-
 def _exact_sql(arr: str, payload: list[str]) -> str:
     """Best site of the array by distance, then key, as in :func:`_pick_sql`."""
     near = f"filter(w.q, e -> {_c2_sql('e')} <= w.m * {1.0 + _TIE!r}D)"
@@ -395,18 +404,32 @@ def _exact_sql(arr: str, payload: list[str]) -> str:
 _PLACE = ["_px", "_py", "_pz", "_plon", "_plat"]
 
 
+def _cells(places: DataFrame) -> DataFrame:
+    """(_cell, middle of the tight box of its places, half its diagonal)."""
+    axes = ("_px", "_py", "_pz")
+    box = [f(c).alias(f"{c}_{n}") for c in axes for n, f in (("lo", F.min), ("hi", F.max))]
+    half = sum((F.pow((F.col(f"{c}_hi") - F.col(f"{c}_lo")) / 2, 2) for c in axes), F.lit(0.0))
+    middle = [((F.col(f"{c}_lo") + F.col(f"{c}_hi")) / 2).alias(c) for c in axes]
+    return places.groupBy("_cell").agg(*box).select("_cell", *middle, F.sqrt(half).alias("_radius"))
+
+
 def _open_cubes(places: DataFrame, tree: list[DataFrame]) -> DataFrame:
     """Every place with the finest cubes that may hold its nearest site, one row
     per cube (``_cube``)."""
+    edge = tree[0].select("_edge").first()[0]
+    celled = places.select(*_PLACE, F.expr(cell_key_sql("_px", "_py", "_pz", edge)).alias("_cell"))
+    cell = ["_cell", "_px", "_py", "_pz", "_radius"]
     # Few boxes (counted while the tree was built), as one array.
     every = tree[-1].agg(F.collect_list(F.struct("_cube", *_BOX, *_REP))).scalar()
-    cur = places.select(*_PLACE, every.alias("_boxes")).select(*_PLACE, F.expr(_keep_sql("_boxes")).alias("_kept"))
+    cur = _cells(celled).select(*cell, every.alias("_boxes"))
+    cur = cur.select(*cell, F.expr(_keep_sql("_boxes", "_radius")).alias("_in")).select(*cell, F.expr("_in.kept.e").alias("_boxes"))
     for level in reversed(tree[1:]):
-        opened = cur.select(*_PLACE, F.explode("_kept.cube").alias("_cube")).join(level.select("_cube", "_children"), "_cube")
-        kept = opened.select(*_PLACE, F.expr(_keep_sql("_children")).alias("_kept"))
-        cur = kept.groupBy(*_PLACE).agg(F.flatten(F.collect_list("_kept")).alias("_all"))
-        cur = cur.select(*_PLACE, F.expr(_prune_sql("_all")).alias("_kept"))
-    return cur.select(*_PLACE, F.explode("_kept.cube").alias("_cube"))
+        opened = cur.select(*cell, F.explode("_boxes._cube").alias("_cube")).join(level.select("_cube", "_children"), "_cube")
+        kept = opened.select(*cell, F.expr(_keep_sql("_children", "_radius")).alias("_in"))
+        cur = kept.groupBy(*cell).agg(F.min("_in.l").alias("l"), F.flatten(F.collect_list("_in.kept")).alias("kept"))
+        cur = cur.select(*cell, F.expr("transform(filter(kept, k -> k.near <= l), k -> k.e)").alias("_boxes"))
+    own = celled.join(cur.select("_cell", "_boxes"), "_cell").select(*_PLACE, F.expr(_keep_sql("_boxes")).alias("_in"))
+    return own.select(*_PLACE, F.explode("_in.kept.e._cube").alias("_cube"))
 
 
 def _nearest_shuffled(places: DataFrame, s: DataFrame, payload: list[str]) -> DataFrame:

@@ -202,3 +202,12 @@ def test_window_ranks_only_sites_that_may_win(spark):
     # Without ties a place brings one row to the window, not its whole list.
     assert n == 501 and ranked
     assert all(x.metrics().apply("numOutputRows").value() <= n for x in ranked)
+
+
+def test_places_of_one_cell_descend_together(spark):
+    from tessera.operators import nearest as N
+
+    pts = [(1, 0.5, 0.5, 0.5, 7), (2, 0.5, 0.7, 0.5, 7), (3, 0.1, 0.2, 0.3, 8)]
+    places = spark.createDataFrame(pts, "pid int, _px double, _py double, _pz double, _cell int")
+    got = sorted(tuple(round(x, 9) for x in r) for r in N._cells(places).collect())
+    assert got == [(7, 0.5, 0.6, 0.5, 0.1), (8, 0.1, 0.2, 0.3, 0.0)]
